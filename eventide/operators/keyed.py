@@ -21,18 +21,18 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 def running_reduce(df: DataFrame, key: str | Sequence[str], seq: str, value: str,
                    name: str = "running_sum", n_buckets: int | None = None) -> DataFrame:
     """One output row per input row: the sum of ``value`` so far in its key."""
-    b = prefix.with_buckets(df, seq, n_buckets)
-    out = prefix.running(b, _keys(key), [seq], prefix.BUCKET, {name: (F.col(value), "sum", True)})
-    return out.drop(prefix.BUCKET)
+    b, kcols, raw = prefix.prepare(df, _keys(key), seq, n_buckets)
+    out = prefix.running(b, kcols, [seq], {name: (F.col(value), "sum", True)}, raw)
+    return prefix.cleanup(out, kcols)
 
 
 def row_numbers(df: DataFrame, key: str | Sequence[str], order: Sequence[str], name: str = "rn",
                 ascending: bool = True, n_buckets: int | None = None) -> DataFrame:
     """1-based position of each row within its key (``order[0]`` drives the buckets)."""
-    b = prefix.with_buckets(df, order[0], n_buckets, ascending=ascending)
+    b, kcols, raw = prefix.prepare(df, _keys(key), order[0], n_buckets, ascending=ascending)
     ordered = order if ascending else [F.col(o).desc() for o in order]
-    out = prefix.running(b, _keys(key), ordered, prefix.BUCKET, {name: (F.lit(1), "count", True)})
-    return out.drop(prefix.BUCKET)
+    out = prefix.running(b, kcols, ordered, {name: (F.lit(1), "count", True)}, raw)
+    return prefix.cleanup(out, kcols)
 
 
 def count_window_avg(df: DataFrame, key: str | Sequence[str], seq: str, value: str, n: int = 2,

@@ -38,11 +38,9 @@ def paginate(df: DataFrame, order: Sequence[tuple[str, bool]], page_size: int,
     a filter on ``page``; a full export should write the table instead.
     """
     first, asc = order[0]
-    b = prefix.with_buckets(df, first, n_buckets, ascending=asc)
-    cols = _sort_cols(order)
-    out = prefix.running(b, [], cols, prefix.BUCKET, {"rn": (F.lit(1), "count", True)})
-    return (out.withColumn("page", F.expr(f"(rn - 1) div {int(page_size)}"))
-               .drop(prefix.BUCKET))
+    b, kcols, raw = prefix.prepare(df, [], first, n_buckets, ascending=asc)
+    out = prefix.running(b, kcols, _sort_cols(order), {"rn": (F.lit(1), "count", True)}, raw)
+    return prefix.cleanup(out.withColumn("page", F.expr(f"(rn - 1) div {int(page_size)}")), kcols)
 
 
 def page(df: DataFrame, order: Sequence[tuple[str, bool]], page_size: int, number: int) -> DataFrame:

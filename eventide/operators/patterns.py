@@ -31,7 +31,7 @@ def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, i
     k = len(stages)
     base = df.select(*keys, ts, seq, id_col,
                      *[F.coalesce(s, F.lit(False)).alias(f"_st{i}") for i, s in enumerate(stages)])
-    cur = prefix.with_buckets(base, ts, n_buckets)
+    cur, kcols, raw = prefix.prepare(base, keys, ts, n_buckets)
     order = [ts, seq]
     # _nx{i}: for every row, the next row of stage i and its own chain onward
     for i in range(k - 1, 0, -1):
@@ -39,7 +39,9 @@ def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, i
         if i < k - 1:
             fields.append(F.col(f"_nx{i + 1}").alias("next"))
         payload = F.struct(*fields)
-        cur = prefix.next_match(cur, keys, order, prefix.BUCKET, F.col(f"_st{i}"), payload, f"_nx{i}")
+        # the last stage needs nothing computed earlier: summarise it map-side
+        src = raw if i == k - 1 else None
+        cur = prefix.next_match(cur, kcols, order, F.col(f"_st{i}"), payload, f"_nx{i}", src)
     # the first row of each later stage is taken; if it does not continue,
     # no later row of that stage can (it would be later still)
     ids, path, complete = [F.col(id_col).alias("id0")], "_nx1", F.col("_st0")

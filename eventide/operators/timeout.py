@@ -20,9 +20,10 @@ def inactivity_timeout(df: DataFrame, key: str | Sequence[str], ts: str, seq: st
     """Rows ``(key..., count, last_ts, fire_ts)`` as the timers would emit them."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [ts, seq]
-    b = prefix.with_buckets(df.select(*keys, ts, seq), ts, n_buckets)
-    counted = prefix.running(b, keys, order, prefix.BUCKET, {"count": (F.lit(1), "count", True)})
-    nxt = prefix.next_match(counted, keys, order, prefix.BUCKET, F.lit(True), F.col(ts), "_next_ts")
+    b, kcols, raw = prefix.prepare(df.select(*keys, ts, seq), keys, ts, n_buckets)
+    counted = prefix.running(b, kcols, order, {"count": (F.lit(1), "count", True)}, raw)
+    nxt = prefix.next_match(counted, kcols, order, F.lit(True), F.col(ts), "_next_ts", raw,
+                            payload_is_order_key=True)
     gap = F.make_dt_interval(secs=F.lit(gap_us / 1e6).cast("decimal(18,6)"))
     fires = F.col("_next_ts").isNull() | (F.col("_next_ts") > F.col(ts) + gap)
     return (nxt.where(fires)

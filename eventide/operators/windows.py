@@ -88,9 +88,9 @@ def watermark_trace(df: DataFrame, ts: str, seq: str, delay_us: int = 0,
     none (NULL).  ``is_late`` marks rows at or behind it.  Global order is
     handled by the bucketed prefix scan, never by one partition.
     """
-    b = prefix.with_buckets(df, seq, n_buckets)
-    out = prefix.running(b, [], [seq], prefix.BUCKET, {"_maxprev": (F.col(ts), "max", False)})
+    b, kcols, raw = prefix.prepare(df, [], seq, n_buckets)
+    out = prefix.running(b, kcols, [seq], {"_maxprev": (F.col(ts), "max", False)}, raw)
     wm = F.col("_maxprev") - F.make_dt_interval(secs=F.lit(delay_us / 1e6).cast("decimal(18,6)"))
     return (out.withColumn("watermark", wm)
                .withColumn("is_late", F.coalesce(F.col(ts) <= F.col("watermark"), F.lit(False)))
-               .drop("_maxprev", prefix.BUCKET))
+               .transform(lambda d: prefix.cleanup(d, kcols)).drop("_maxprev"))

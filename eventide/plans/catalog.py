@@ -40,7 +40,7 @@ PAGE_SIZE = 100
 BUFFER_N = 7
 COUNT_WINDOW_N = 2
 INCLUDE_USERS = (3, 7, 11, 19, 23, 42, 77, 101, 149)
-MATCH_QUERY = "data quality"
+MATCH_QUERY = "esat chch"
 
 
 def _events(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
@@ -387,15 +387,17 @@ select make_timestamp(s.idx * {HIST_WIDTH_US}) as bucket_start, cast(coalesce(c.
 from s left join c on s.idx = c.idx""",
     "histogram_top_terms": f"""
 select bucket_start, user_id, doc_count, rank from (
-  select {_bucket_sql('ts', DAY_US)} as bucket_start, user_id, count(*) as doc_count,
-         row_number() over (partition by {_bucket_sql('ts', DAY_US)} order by count(*) desc, user_id) as rank
-  from events where ts is not null and user_id is not null group by all)
+  select bucket_start, user_id, doc_count,
+         row_number() over (partition by bucket_start order by doc_count desc, user_id) as rank
+  from (select {_bucket_sql('ts', DAY_US)} as bucket_start, user_id, count(*) as doc_count
+        from events where ts is not null and user_id is not null group by all))
 where rank <= 5""",
     "histogram_top_terms_include": f"""
 select bucket_start, user_id, doc_count, rank from (
-  select {_bucket_sql('ts', DAY_US)} as bucket_start, user_id, count(*) as doc_count,
-         row_number() over (partition by {_bucket_sql('ts', DAY_US)} order by count(*) desc, user_id) as rank
-  from events where ts is not null and user_id in {INCLUDE_USERS} group by all)
+  select bucket_start, user_id, doc_count,
+         row_number() over (partition by bucket_start order by doc_count desc, user_id) as rank
+  from (select {_bucket_sql('ts', DAY_US)} as bucket_start, user_id, count(*) as doc_count
+        from events where ts is not null and user_id in {INCLUDE_USERS} group by all))
 where rank <= 5""",
     "terms_and_avg_one_pass": """
 select c_mktsegment, grouping(c_mktsegment) = 1 as is_total, count(*) as doc_count,
@@ -409,7 +411,7 @@ where coalesce(n_chars > 200, false)
 order by n_chars desc, doc_id""",
     "match_tokens": """
 select doc_id, lang from documents
-where regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])(data|quality)([^\\p{L}\\p{N}_]|$)')""",
+where regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])(esat|chch)([^\\p{L}\\p{N}_]|$)')""",
     "exists_filter": """
 select event_id, nullif(event_type, 'error') as event_type from events
 where nullif(event_type, 'error') is not null""",

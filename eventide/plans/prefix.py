@@ -54,9 +54,9 @@ def with_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
     n = n_buckets or default_buckets(df.sparkSession)
     dtype = dict(df.dtypes)[order_col]
     v = _as_number(F.col(order_col), dtype)
-    stats = df.select(_as_number(F.col(order_col), dtype).alias("_v"))
-    lo = stats.select(F.min("_v")).scalar()
-    hi = stats.select(F.max("_v")).scalar()
+    bounds = (df.select(_as_number(F.col(order_col), dtype).alias("_v"))
+                .select(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar())
+    lo, hi = bounds["lo"], bounds["hi"]
     span = hi - lo
     pos = (v - lo) if ascending else (hi - v)
     raw = F.when(span > 0, F.floor(pos * F.lit(float(n)) / span)).otherwise(F.lit(0))
@@ -65,12 +65,43 @@ def with_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
     return df.withColumn(name, b)
 
 
-def _join_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
-    cols = list(keys) + [bucket]
-    renamed = carry.select(*[F.col(c).alias(f"_c_{c}") for c in cols],
-                           *[c for c in carry.columns if c not in cols])
-    cond = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in cols]
-    return df.join(renamed, on=cond, how="left").drop(*[f"_c_{c}" for c in cols])
+def _zero(dtype: str) -> Column:
+    if dtype == "string":
+        return F.lit("")
+    if dtype == "boolean":
+        return F.lit(False)
+    if dtype in ("date", "timestamp", "timestamp_ntz"):
+        return F.lit("1970-01-01").cast(dtype)
+    return F.lit(0).cast(dtype)
+
+
+def prepare(df: DataFrame, keys: Sequence[str], order_col: str, n_buckets: int | None = None,
+            ascending: bool = True) -> tuple[DataFrame, list[str], DataFrame]:
+    """Add the bucket and NULL-safe key columns and hash-partition on them.
+
+    Returns the partitioned frame, the partition key columns (without the
+    bucket) and the same rows before the shuffle: first-pass summaries are
+    aggregated from that one map-side, so only partial aggregates cross the
+    network for them.  Keys are replaced by ``(coalesce(k, zero), k IS NULL)`` pairs so
+    that later joins are plain equi-joins on exactly the partitioning columns:
+    the data is shuffled once and every later step reuses that partitioning.
+    """
+    b = with_buckets(df, order_col, n_buckets, ascending)
+    kcols: list[str] = []
+    types = dict(df.dtypes)
+    for i, k in enumerate(keys):
+        b = (b.withColumn(f"_k{i}", F.coalesce(F.col(k), _zero(types[k])))
+              .withColumn(f"_n{i}", F.col(k).isNull()))
+        kcols += [f"_k{i}", f"_n{i}"]
+    return b.repartition(*kcols, BUCKET), kcols, b
+
+
+def cleanup(df: DataFrame, kcols: Sequence[str]) -> DataFrame:
+    return df.drop(*kcols, BUCKET)
+
+
+def _join_carry(df: DataFrame, carry: DataFrame, kcols: Sequence[str]) -> DataFrame:
+    return df.join(carry, on=[*kcols, BUCKET], how="left")
 
 
 def _order(order: Sequence[Column | str], reverse: bool = False) -> list[Column]:
@@ -81,16 +112,17 @@ def _order(order: Sequence[Column | str], reverse: bool = False) -> list[Column]
     return out
 
 
-def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
-            specs: dict[str, tuple[Column, str, bool]]) -> DataFrame:
-    """Running aggregates in ``order`` within ``keys``.
+def running(df: DataFrame, kcols: Sequence[str], order: Sequence[Column | str],
+            specs: dict[str, tuple[Column, str, bool]],
+            summary_from: DataFrame | None = None) -> DataFrame:
+    """Running aggregates in ``order`` within the keys of :func:`prepare`.
 
     ``specs`` maps an output name to ``(value, op, inclusive)``, op one of
     ``sum``, ``count``, ``max``, ``min``.  ``inclusive=False`` covers only
-    strictly earlier rows (the first row then gets NULL for max/min, 0 for
-    sum/count).
+    strictly earlier rows (NULL for the first row, 0 for count).
+    ``summary_from`` holds the same rows before the shuffle, when available.
     """
-    w_local = Window.partitionBy(*keys, bucket).orderBy(*_order(order))
+    w_local = Window.partitionBy(*kcols, BUCKET).orderBy(*_order(order))
     local_cols, summary_aggs, carry_cols = [], [], []
     agg_fn = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
     for name, (val, op, inclusive) in specs.items():
@@ -99,14 +131,14 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: st
         summary_aggs.append(agg_fn[op](val).alias(f"_s_{name}"))
     local = df.select("*", *local_cols)
 
-    summary = df.groupBy(*keys, bucket).agg(*summary_aggs)
-    w_carry = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    summary = (summary_from if summary_from is not None else df).groupBy(*kcols, BUCKET).agg(*summary_aggs)
+    w_carry = Window.partitionBy(*kcols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     for name, (_val, op, _inc) in specs.items():
         carry_op = {"count": F.sum}.get(op, agg_fn[op])
         carry_cols.append(carry_op(f"_s_{name}").over(w_carry).alias(f"_k_{name}"))
-    carry = summary.select(*keys, bucket, *carry_cols)
+    carry = summary.select(*kcols, BUCKET, *carry_cols)
 
-    out = _join_carry(local, carry, keys, bucket)
+    out = _join_carry(local, carry, kcols)
     for name, (_val, op, _inc) in specs.items():
         lc, kc = F.col(f"_l_{name}"), F.col(f"_k_{name}")
         if op == "count":
@@ -123,26 +155,33 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: st
     return out.drop(*drop)
 
 
-def next_match(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
-               cond: Column, payload: Column, name: str) -> DataFrame:
+def next_match(df: DataFrame, kcols: Sequence[str], order: Sequence[str],
+               cond: Column, payload: Column, name: str,
+               summary_from: DataFrame | None = None, payload_is_order_key: bool = False) -> DataFrame:
     """For every row, ``payload`` of the first strictly later row (in
-    ``order`` within ``keys``) for which ``cond`` holds, else NULL.
+    ``order`` within the keys) for which ``cond`` holds, else NULL.
 
     Inside a bucket this is a running ``last(ignorenulls)`` over the reversed
     order (linear, one sort); across buckets the first match of each later
-    bucket is carried back through the summaries.
+    bucket is carried back through the summaries.  When ``payload`` is the
+    first order column itself, the summary is a plain ``min`` (hash
+    aggregate) instead of a ``min`` over a struct (sort aggregate).
     """
-    w_rev = (Window.partitionBy(*keys, bucket).orderBy(*_order(order, reverse=True))
+    w_rev = (Window.partitionBy(*kcols, BUCKET).orderBy(*_order(order, reverse=True))
              .rowsBetween(Window.unboundedPreceding, -1))
     hit = F.when(cond, payload)
     local = df.withColumn("_nm_local", F.last(hit, ignorenulls=True).over(w_rev))
 
-    ordered = F.struct(*[F.col(o) for o in order], payload.alias("_p"))
-    summary = df.groupBy(*keys, bucket).agg(F.min(F.when(cond, ordered)).alias("_first"))
-    w_carry = (Window.partitionBy(*keys).orderBy(F.col(bucket).desc())
+    src = summary_from if summary_from is not None else df
+    if payload_is_order_key:
+        first = F.struct(F.min(F.when(cond, payload)).alias("_p"))
+    else:
+        first = F.min(F.when(cond, F.struct(*[F.col(o) for o in order], payload.alias("_p"))))
+    summary = src.groupBy(*kcols, BUCKET).agg(first.alias("_first"))
+    w_carry = (Window.partitionBy(*kcols).orderBy(F.col(BUCKET).desc())
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*keys, bucket,
+    carry = summary.select(*kcols, BUCKET,
                            F.last(F.col("_first._p"), ignorenulls=True).over(w_carry).alias("_nm_carry"))
-    out = _join_carry(local, carry, keys, bucket)
+    out = _join_carry(local, carry, kcols)
     return (out.withColumn(name, F.coalesce("_nm_local", "_nm_carry"))
                .drop("_nm_local", "_nm_carry"))
