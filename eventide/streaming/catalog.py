@@ -1,4 +1,126 @@
-"""Streaming entries of the query catalogue (filled in below)."""
+"""Streaming entries of the query catalogue.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE_SQL: dict = {}
+Each entry streams a whole driver table through the streaming operator with
+``Trigger.AvailableNow`` (the closing no-data batch included) and returns
+what the sink received.  The SQL oracle is the batch answer restricted to
+what the final watermark has closed: with a 0 s delay the watermark is the
+largest event time, truncated to milliseconds.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventide.operators.metrics import counted_stream
+from eventide.plans import catalog as C
+from eventide.streaming import processors, windows
+from eventide.streaming.runner import run_available, table_stream
+
+
+def _ev(spark, sf_dir, cols, delay="0 seconds"):
+    return table_stream(spark, sf_dir, "events", cols, delay=delay)
+
+
+def _ntz(df, *cols):
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+def sq_tumbling_sum(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["ts", "event_type", "value"])
+    return run_available(windows.tumbling_sum(ev, "ts", C.TUMBLE, "value", key="event_type"),
+                         "stream_tumbling_sum")
+
+
+def sq_tumbling_offset_count(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["ts"])
+    return run_available(windows.tumbling_count(ev, "ts", C.TUMBLE, offset=C.OFFSET),
+                         "stream_tumbling_offset_count")
+
+
+def sq_window_tag_rows(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["event_id", "ts", "event_type"], delay=None)
+    return run_available(windows.tag_rows(ev, "ts", C.TAG_WINDOW), "stream_window_tag_rows")
+
+
+def sq_chained_windows(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["event_id", "ts"])
+    return run_available(windows.chained_windows(ev, "ts", C.CHAIN_W1, C.CHAIN_W2, C.CHAIN_OFFSET),
+                         "stream_chained_windows")
+
+
+def sq_running_reduce(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "value"], delay=None).select(
+        "event_id", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("v"))
+    return run_available(processors.running_reduce(ev, "user_id", "event_id", "v"),
+                         "stream_running_reduce")
+
+
+def sq_count_window_avg(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "value"], delay=None).select(
+        "event_id", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("v"))
+    return run_available(processors.count_window_avg(ev, "user_id", "event_id", "v", C.COUNT_WINDOW_N),
+                         "stream_count_window_avg")
+
+
+def sq_inactivity_timeout(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "ts"])
+    out = run_available(processors.inactivity_timeout(ev, "user_id", "ts", "event_id", C.TIMEOUT_GAP_US),
+                        "stream_inactivity_timeout")
+    return _ntz(out, "last_ts", "fire_ts")
+
+
+def sq_sequence_match(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "ts", "event_type"])
+    out = run_available(processors.sequence_match(ev, C._stages(), "ts", "event_id", "event_id",
+                                                  key="user_id"), "stream_sequence_match")
+    return _ntz(out, "start_ts", "end_ts")
+
+
+def sq_record_counter(spark, sf_dir):
+    ev = _ev(spark, sf_dir, ["event_id", "event_type", "user_id"], delay=None)
+    from eventide.sources.lines import good_rows, split_key_value
+    lines = ev.select("event_id", F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("line"))
+    parsed = counted_stream(good_rows(split_key_value(lines, "line", "bigint")), "myCounter")
+    return run_available(parsed.select("event_id", "key", "value"), "stream_record_counter")
+
+
+STREAM_QUERIES = {
+    "stream_tumbling_sum": sq_tumbling_sum,
+    "stream_tumbling_offset_count": sq_tumbling_offset_count,
+    "stream_window_tag_rows": sq_window_tag_rows,
+    "stream_chained_windows": sq_chained_windows,
+    "stream_running_reduce": sq_running_reduce,
+    "stream_count_window_avg": sq_count_window_avg,
+    "stream_inactivity_timeout": sq_inactivity_timeout,
+    "stream_sequence_match": sq_sequence_match,
+    "stream_record_counter": sq_record_counter,
+}
+
+# the final watermark of a 0 s delay stream over ``events``
+_WM = "(select date_trunc('millisecond', max(ts)) from events)"
+
+
+def _closed(sql: str, end_col: str = "window_end") -> str:
+    return f"select * from ({sql}) where {end_col} <= {_WM}"
+
+
+STREAM_ORACLE_SQL = {
+    "stream_tumbling_sum": _closed(C.ORACLE_SQL["tumbling_sum"]),
+    "stream_tumbling_offset_count": _closed(C.ORACLE_SQL["tumbling_offset_count"]),
+    "stream_window_tag_rows": C.ORACLE_SQL["window_tag_rows"],
+    "stream_chained_windows": _closed(C.ORACLE_SQL["chained_windows"]),
+    "stream_running_reduce": C.ORACLE_SQL["running_reduce"],
+    "stream_count_window_avg": C.ORACLE_SQL["count_window_avg"],
+    "stream_inactivity_timeout": f"""
+select user_id, count, ts as last_ts, ts + to_microseconds({C.TIMEOUT_GAP_US}) as fire_ts from (
+  select user_id, ts, row_number() over (partition by user_id order by ts, event_id) as count,
+         lead(ts) over (partition by user_id order by ts, event_id) as nxt
+  from events)
+where (nxt is not null and nxt > ts + to_microseconds({C.TIMEOUT_GAP_US}))
+   or (nxt is null and ts + to_microseconds({C.TIMEOUT_GAP_US}) <= {_WM})""",
+    "stream_sequence_match": C._seq_sql(True).replace(
+        "from events)", f"from events where ts <= {_WM})", 1),
+    "stream_record_counter": C.ORACLE_SQL["record_counter"],
+}
