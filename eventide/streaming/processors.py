@@ -158,8 +158,10 @@ class InactivityTimeout(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        # fired = 1 once the timer has emitted the current ``last``
         self.st = handle.getValueState("st", StructType([
-            StructField("count", LongType()), StructField("last_us", LongType())]))
+            StructField("count", LongType()), StructField("last_us", LongType()),
+            StructField("fired", LongType())]))
 
     def _timer_ms(self, last_us: int) -> int:
         return -((-(last_us + self.gap)) // 1000)  # ceil to whole ms
@@ -167,19 +169,19 @@ class InactivityTimeout(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows).sort_values([self.ts, self.seq], kind="stable")
         ts = _us(pdf[self.ts])
-        count, last = self.st.get() if self.st.exists() else (0, None)
+        count, last, fired = self.st.get() if self.st.exists() else (0, None, 0)
         prev = np.empty_like(ts)
         prev[1:] = ts[:-1]
         has_prev = np.ones(len(ts), dtype=bool)
-        if last is None:
-            has_prev[0] = False
-            prev[0] = 0
+        if last is None or fired:
+            has_prev[0] = False  # nothing pending: new key, or already emitted by the timer
+            prev[0] = 0 if last is None else last
         else:
             prev[0] = last
             self.handle.deleteTimer(self._timer_ms(last))
         fire = has_prev & (ts - prev > self.gap)
         counts_before = count + np.arange(len(ts))       # count when the previous row was last
-        self.st.update((int(count + len(ts)), int(ts[-1])))
+        self.st.update((int(count + len(ts)), int(ts[-1]), 0))
         self.handle.registerTimer(self._timer_ms(int(ts[-1])))
         if fire.any():
             yield pd.DataFrame({self.key_col: _key_value(key),
@@ -189,8 +191,9 @@ class InactivityTimeout(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.st.exists():
-            count, last = self.st.get()
-            if self._timer_ms(last) == expiredTimerInfo.getExpiryTimeInMs():
+            count, last, fired = self.st.get()
+            if not fired and self._timer_ms(last) == expiredTimerInfo.getExpiryTimeInMs():
+                self.st.update((count, last, 1))
                 yield pd.DataFrame({self.key_col: [_key_value(key)], "count": [int(count)],
                                     "last_ts": _ts([last]), "fire_ts": _ts([last + self.gap])})
 

@@ -22,8 +22,10 @@ def spark():
 
 @pytest.fixture()
 def scratch(spark):
+    """A fresh folder under the checkpoint root, as a local path."""
     from eventide.session import scratch_path
-    return scratch_path(spark, "t")
+    p = scratch_path(spark, "t")
+    return p[len("file:"):] if p.startswith("file:") else p
 
 
 def rows(df, *cols):
