@@ -29,10 +29,18 @@ def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, i
     """Matches as rows ``(key..., id_0 .. id_k, ts_0, ts_k, ids)``."""
     keys = [] if key is None else ([key] if isinstance(key, str) else list(key))
     k = len(stages)
-    base = df.select(*keys, ts, seq, id_col,
-                     *[F.coalesce(s, F.lit(False)).alias(f"_st{i}") for i, s in enumerate(stages)])
-    cur, kcols, raw = prefix.prepare(base, keys, ts, n_buckets)
+    types = dict(df.dtypes)
+    mask = sum((F.when(F.coalesce(s, F.lit(False)), F.lit(1 << i)).otherwise(F.lit(0))
+                for i, s in enumerate(stages)), F.lit(0)).cast("int")
+    base = df.select(*keys, *dict.fromkeys([ts, seq, id_col]), mask.alias("_mask"))
+    # keys travel as the NULL-safe pairs only: every pass then reads the same
+    # shuffled columns, and Spark reuses the single exchange
+    cur, kcols, raw = prefix.prepare(base, keys, ts, n_buckets, drop_keys=True)
     order = [ts, seq]
+
+    def stage(i: int):
+        return (F.col("_mask").bitwiseAND(F.lit(1 << i))) != 0
+
     # _nx{i}: for every row, the next row of stage i and its own chain onward
     for i in range(k - 1, 0, -1):
         fields = [F.col(id_col).alias(f"id{i}"), F.col(ts).alias(f"ts{i}")]
@@ -41,15 +49,15 @@ def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, i
         payload = F.struct(*fields)
         # the last stage needs nothing computed earlier: summarise it map-side
         src = raw if i == k - 1 else None
-        cur = prefix.next_match(cur, kcols, order, F.col(f"_st{i}"), payload, f"_nx{i}", src)
+        cur = prefix.next_match(cur, kcols, order, stage(i), payload, f"_nx{i}", src)
     # the first row of each later stage is taken; if it does not continue,
     # no later row of that stage can (it would be later still)
-    ids, path, complete = [F.col(id_col).alias("id0")], "_nx1", F.col("_st0")
+    ids, path, complete = [F.col(id_col).alias("id0")], "_nx1", stage(0)
     for i in range(1, k):
         complete = complete & F.col(path).isNotNull()
         ids.append(F.col(f"{path}.id{i}").alias(f"id{i}"))
         last_ts = F.col(f"{path}.ts{i}")
         path = f"{path}.next"
-    return (cur.where(complete)
-               .select(*keys, *ids, F.col(ts).alias("start_ts"), last_ts.alias("end_ts"))
+    out = prefix.restore_keys(cur.where(complete), keys, kcols, types)
+    return (out.select(*keys, *ids, F.col(ts).alias("start_ts"), last_ts.alias("end_ts"))
                .withColumn("ids", concat_ids(*[f"id{i}" for i in range(k)])))

@@ -76,7 +76,7 @@ def _zero(dtype: str) -> Column:
 
 
 def prepare(df: DataFrame, keys: Sequence[str], order_col: str, n_buckets: int | None = None,
-            ascending: bool = True) -> tuple[DataFrame, list[str], DataFrame]:
+            ascending: bool = True, drop_keys: bool = False) -> tuple[DataFrame, list[str], DataFrame]:
     """Add the bucket and NULL-safe key columns and hash-partition on them.
 
     Returns the partitioned frame, the partition key columns (without the
@@ -93,6 +93,8 @@ def prepare(df: DataFrame, keys: Sequence[str], order_col: str, n_buckets: int |
         b = (b.withColumn(f"_k{i}", F.coalesce(F.col(k), _zero(types[k])))
               .withColumn(f"_n{i}", F.col(k).isNull()))
         kcols += [f"_k{i}", f"_n{i}"]
+    if drop_keys:
+        b = b.drop(*keys)
     return b.repartition(*kcols, BUCKET), kcols, b
 
 
@@ -100,6 +102,19 @@ def cleanup(df: DataFrame, kcols: Sequence[str]) -> DataFrame:
     return df.drop(*kcols, BUCKET)
 
 
+def restore_keys(df: DataFrame, keys: Sequence[str], kcols: Sequence[str], types: dict) -> DataFrame:
+    """Rebuild original key columns from the NULL-safe pairs of :func:`prepare`.
+
+    Callers that drop the raw keys before the shuffle use this, so that every
+    later consumer of the shuffled rows needs exactly the same columns and
+    Spark reuses one exchange instead of shuffling the rows again.
+    """
+    for i, k in enumerate(keys):
+        df = df.withColumn(k, F.when(F.col(f"_n{i}"), F.lit(None).cast(types[k]))
+                              .otherwise(F.col(f"_k{i}")))
+    return df
+
+
 def _join_carry(df: DataFrame, carry: DataFrame, kcols: Sequence[str]) -> DataFrame:
     return df.join(carry, on=[*kcols, BUCKET], how="left")
 
