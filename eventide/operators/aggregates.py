@@ -54,22 +54,37 @@ def avg_epoch_ms(df: DataFrame, ts: str, prefix: str = "avg") -> DataFrame:
                        .alias(f"{prefix}_ts"))
 
 
+def _per_value(df: DataFrame, field: str) -> DataFrame:
+    """One row per distinct value (NULL included) with its row count.
+
+    Partial counts are combined map-side, so a value holding a third of the
+    rows crosses the shuffle as one row per task; the global step then reads
+    one row per distinct value instead of the Expand that a distinct aggregate
+    next to ``count(*)`` would plan.
+    """
+    return df.groupBy(field).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _total() -> Column:
+    return F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total")
+
+
 def cardinality(df: DataFrame, field: str, exact: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct non-NULL values plus the total row count (A4, A5).
 
     The approximate form is a HyperLogLog++ sketch merged across tasks; the
-    exact form shuffles the distinct values.
+    exact form counts the distinct groups.
     """
-    dist = (F.count_distinct(field) if exact else F.approx_count_distinct(field, rsd))
-    return df.agg(dist.alias("cardinality"), F.count(F.lit(1)).alias("total"))
+    g = _per_value(df, field)
+    dist = F.count(field) if exact else F.approx_count_distinct(field, rsd)
+    return g.agg(dist.alias("cardinality"), _total())
 
 
 def cardinality_check(df: DataFrame, field: str, rsd: float = 0.01, tolerance: float = 0.05) -> DataFrame:
     """Whether the approximate distinct count is within ``tolerance`` of exact."""
-    approx = F.approx_count_distinct(field, rsd)
-    exact = F.count_distinct(field)
-    return df.agg((F.abs(approx - exact) <= F.lit(tolerance) * exact).alias("within_5pct"),
-                  F.count(F.lit(1)).alias("total"))
+    g = _per_value(df, field)
+    approx, exact = F.approx_count_distinct(field, rsd), F.count(field)
+    return g.agg((F.abs(approx - exact) <= F.lit(tolerance) * exact).alias("within_5pct"), _total())
 
 
 def _bucket_index(ts: Column, width_us: int, offset_us: int = 0) -> Column:

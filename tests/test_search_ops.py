@@ -51,6 +51,17 @@ def test_avg_or_zero_on_empty(spark):
     assert A.avg_or_zero(df, "v").collect()[0].avg_value == 0.0
 
 
+def test_cardinality_ignores_nulls_and_counts_all_rows(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (3,)], "u bigint")
+    r = A.cardinality(df, "u", exact=True).collect()[0]
+    assert (r.cardinality, r.total) == (3, 5)
+    r = A.cardinality(df, "u").collect()[0]
+    assert (r.cardinality, r.total) == (3, 5)
+    assert A.cardinality_check(df, "u").collect()[0].within_5pct is True
+    r = A.cardinality(df.where("u > 10"), "u", exact=True).collect()[0]
+    assert (r.cardinality, r.total) == (0, 0)
+
+
 def test_range_is_inclusive_and_exists_counts_empty(spark):
     df = spark.createDataFrame([(1, ""), (2, None), (3, "x"), (4, "y")], "t bigint, s string")
     assert [r.t for r in df.where(P.range_between("t", 2, 3)).orderBy("t").collect()] == [2, 3]
