@@ -34,6 +34,17 @@ def epoch_ms(col: Column | str) -> Column:
     return F.unix_millis(_c(col).cast("timestamp"))
 
 
+def display_time(ms: Column | str, small: int = 50_000) -> Column:
+    """Epoch milliseconds as ``yyyy-MM-dd HH:mm:ss.SSS`` text (P5).
+
+    Values up to ``small`` are not epoch times but counters or offsets: they
+    are shown as the number itself.
+    """
+    m = _c(ms)
+    return (F.when(m <= F.lit(small), m.cast("string"))
+             .otherwise(F.date_format(F.timestamp_millis(m), "yyyy-MM-dd HH:mm:ss.SSS")))
+
+
 def concat_ids(*cols: Column | str) -> Column:
     """Ids joined by single spaces with a trailing space, e.g. ``"1 5 4 "``."""
     parts = []

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions import predicates as P
-from eventide.functions.scalars import json_number
+from eventide.functions.scalars import display_time, epoch_ms, json_number
 from eventide.functions.text import match
 from eventide.operators import aggregates as A
 from eventide.operators import buffer, keyed, ordering, patterns, timeout, updates, windows
 from eventide.operators.metrics import counted
-from eventide.sources.lines import good_rows, split_key_value
-from eventide.sources.tables import read_table
+from eventide.sources.lines import good_rows, parse_json_lines, split_key_value
+from eventide.sources.tables import full_scan, read_table
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -41,6 +41,7 @@ BUFFER_N = 7
 COUNT_WINDOW_N = 2
 INCLUDE_USERS = (3, 7, 11, 19, 23, 42, 77, 101, 149)
 MATCH_QUERY = "esat chch"
+RENAME_FROM, RENAME_TO = "error", "failure"
 
 
 def _events(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
@@ -238,6 +239,33 @@ def q_json_bundle_lines(spark, sf_dir):
     return json_lines(c)
 
 
+def q_json_line_source(spark, sf_dir):
+    ev = _events(spark, sf_dir, ["event_id", "props"]).withColumnRenamed("props", "line")
+    return parse_json_lines(ev, "k bigint", "line")
+
+
+def q_full_scan_count(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return full_scan(li, P.match_all()).agg(F.count(F.lit(1)).alias("total"))
+
+
+def q_epoch_display(spark, sf_dir):
+    ev = _events(spark, sf_dir, ["event_id", "ts"]).select("event_id", epoch_ms("ts").alias("ts_ms"))
+    return ev.withColumn("ts_display", display_time("ts_ms"))
+
+
+def q_rename_value(spark, sf_dir):
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "event_type"])
+    return updates.rename_value(ev, "event_type", RENAME_FROM, RENAME_TO)
+
+
+def q_sequence_last_match(spark, sf_dir):
+    """The match a file sink overwritten per match keeps (T6): the one
+    completed last in event time (ties by later end row, then later start)."""
+    m = q_sequence_match(spark, sf_dir)
+    return ordering.top_hits(m, [("end_ts", False), ("id2", False), ("start_ts", False), ("id0", False)], 1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_sum": q_tumbling_sum,
     "tumbling_offset_count": q_tumbling_offset_count,
@@ -270,6 +298,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conditional_update": q_conditional_update,
     "backfill_merge": q_backfill_merge,
     "json_bundle_lines": q_json_bundle_lines,
+    "json_line_source": q_json_line_source,
+    "full_scan_count": q_full_scan_count,
+    "epoch_display": q_epoch_display,
+    "rename_value": q_rename_value,
+    "sequence_last_match": q_sequence_last_match,
 }
 
 
@@ -370,8 +403,8 @@ select coalesce(avg(value), 0.0) as avg_value from events where value > 1e12""",
 select coalesce(cast(sum(cast(round(value * 100) as bigint)) as double) / count(value) / 100.0, 0.0) as avg_value
 from events""",
     "avg_event_time": """
-select cast(sum(epoch_ms(ts)::hugeint) // count(ts) as bigint) as avg_ms,
-       make_timestamp(cast(sum(epoch_ms(ts)::hugeint) // count(ts) as bigint) * 1000) as avg_ts
+select cast(sum((epoch_us(ts) // 1000)::hugeint) // count(ts) as bigint) as avg_ms,
+       make_timestamp(cast(sum((epoch_us(ts) // 1000)::hugeint) // count(ts) as bigint) * 1000) as avg_ts
 from events""",
     "cardinality_exact": """
 select count(distinct user_id) as cardinality, count(*) as total from events
@@ -441,4 +474,20 @@ from dst d full outer join src s on d.o_orderkey = s.o_orderkey""",
     "json_bundle_lines": """
 select to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_mktsegment': c_mktsegment})::varchar as line
 from customer""",
+    "json_line_source": """
+select event_id, try_cast(json_extract(props, '$.k') as bigint) as k, cast(null as varchar) as _corrupt
+from events""",
+    "full_scan_count": """
+select count(*) as total from lineitem""",
+    "epoch_display": """
+select event_id, ms as ts_ms,
+       case when ms <= 50000 then cast(ms as varchar)
+            else strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S.%g') end as ts_display
+from (select event_id, epoch_us(ts) // 1000 as ms from events)""",
+    "rename_value": f"""
+select event_id, user_id,
+       case when event_type = '{RENAME_FROM}' then '{RENAME_TO}' else event_type end as event_type
+from events""",
+    "sequence_last_match": f"""
+select * from ({_seq_sql(True)}) order by end_ts desc, id2 desc, start_ts desc, id0 desc limit 1""",
 }

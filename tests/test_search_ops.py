@@ -111,3 +111,10 @@ def test_split_key_value_quarantines_bad_lines(spark):
     out = split_key_value(df)
     assert rows(out, "key", "value", "bad") == [("a", 1, False), ("b", None, True), ("c", None, True),
                                                  ("d", None, True), ("e", 3, False)]
+
+
+def test_display_time_keeps_small_values_numeric(spark):
+    from eventide.functions.scalars import display_time
+    df = spark.createDataFrame([(0,), (50000,), (50001,), (1704110301764,)], "ms bigint")
+    got = [r.d for r in df.orderBy("ms").select(display_time("ms").alias("d")).collect()]
+    assert got == ["0", "50000", "1970-01-01 00:00:50.001", "2024-01-01 11:58:21.764"]
