@@ -86,6 +86,25 @@ def sq_record_counter(spark, sf_dir):
     return run_available(parsed.select("event_id", "key", "value"), "stream_record_counter")
 
 
+def sq_buffered_sink_latest(spark, sf_dir):
+    """T3 streamed: buffers of ``BUFFER_N`` rows written per file name by the
+    exactly-once sink; the result is what survives in the sink folder."""
+    from eventide.session import scratch_path
+    from eventide.streaming.buffered_sink import buffered_sink_stream
+    ev = _ev(spark, sf_dir, ["event_id", "event_type"], delay=None)
+    out = scratch_path(spark, "stream_buffered_sink")
+    q = buffered_sink_stream(ev, f"{out}/sink", f"{out}/_checkpoint", "event_type", "event_id",
+                             C.BUFFER_N)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    written = spark.read.schema("event_id bigint, event_type string, buffer_idx bigint, file_name string") \
+                   .json(f"{out}/sink")
+    return (written.groupBy("file_name", "buffer_idx")
+                   .agg(F.count(F.lit(1)).alias("buffer_rows"), F.min("event_id").alias("first_seq"),
+                        F.max("event_id").alias("last_seq")))
+
+
 STREAM_QUERIES = {
     "stream_tumbling_sum": sq_tumbling_sum,
     "stream_tumbling_offset_count": sq_tumbling_offset_count,
@@ -96,6 +115,7 @@ STREAM_QUERIES = {
     "stream_inactivity_timeout": sq_inactivity_timeout,
     "stream_sequence_match": sq_sequence_match,
     "stream_record_counter": sq_record_counter,
+    "stream_buffered_sink_latest": sq_buffered_sink_latest,
 }
 
 # the final watermark of a 0 s delay stream over ``events``
@@ -123,4 +143,5 @@ where (nxt is not null and nxt > ts + to_microseconds({C.TIMEOUT_GAP_US}))
     "stream_sequence_match": C._seq_sql(True).replace(
         "from events)", f"from events where ts <= {_WM})", 1),
     "stream_record_counter": C.ORACLE_SQL["record_counter"],
+    "stream_buffered_sink_latest": C.ORACLE_SQL["buffered_sink_latest"],
 }
