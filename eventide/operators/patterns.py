@@ -25,8 +25,13 @@ from eventide.plans import prefix
 
 def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, id_col: str,
                    key: str | Sequence[str] | None = None,
-                   n_buckets: int | None = None) -> DataFrame:
-    """Matches as rows ``(key..., id_0 .. id_k, ts_0, ts_k, ids)``."""
+                   n_buckets: int | None = None, within_us: int | None = None) -> DataFrame:
+    """Matches as rows ``(key..., id_0 .. id_k, ts_0, ts_k, ids)``.
+
+    ``within_us`` bounds a match's span (last stage time minus first).  The
+    chain of first matching rows is unique per start, so a start whose chain
+    ends too late has no match at all.
+    """
     keys = [] if key is None else ([key] if isinstance(key, str) else list(key))
     k = len(stages)
     types = dict(df.dtypes)
@@ -58,6 +63,9 @@ def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, i
         ids.append(F.col(f"{path}.id{i}").alias(f"id{i}"))
         last_ts = F.col(f"{path}.ts{i}")
         path = f"{path}.next"
+    if within_us is not None:
+        span = F.unix_micros(last_ts.cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))
+        complete = complete & (span <= F.lit(int(within_us)))
     out = prefix.restore_keys(cur.where(complete), keys, kcols, types)
     return (out.select(*keys, *ids, F.col(ts).alias("start_ts"), last_ts.alias("end_ts"))
                .withColumn("ids", concat_ids(*[f"id{i}" for i in range(k)])))

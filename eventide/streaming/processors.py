@@ -234,8 +234,10 @@ class SequencePattern(StatefulProcessor):
     waiting for stage i advance together on the next stage-i row.
     """
 
-    def __init__(self, key: str | None, ts: str, seq: str, id_col: str, n_stages: int):
+    def __init__(self, key: str | None, ts: str, seq: str, id_col: str, n_stages: int,
+                 within_us: int | None = None):
         self.key_col, self.ts, self.seq, self.id_col, self.k = key, ts, seq, id_col, n_stages
+        self.within = within_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -270,7 +272,10 @@ class SequencePattern(StatefulProcessor):
         for ts_us, _seq, rid, mask in ready:
             for i in range(self.k - 1, 0, -1):          # later stages first: one step per row
                 if mask >> i & 1 and waiting[i]:
-                    moved = [(s, ids + [rid]) for s, ids in waiting[i]]
+                    # the first stage-i row decides: a start it leaves too far
+                    # behind can never match
+                    moved = [(s, ids + [rid]) for s, ids in waiting[i]
+                             if self.within is None or ts_us - s <= self.within]
                     waiting[i] = []
                     if i == self.k - 1:
                         done += [(s, ids, ts_us) for s, ids in moved]
@@ -279,7 +284,10 @@ class SequencePattern(StatefulProcessor):
             if mask & 1:
                 waiting[1].append((ts_us, [rid]))
         self.partial.clear()
-        flat = [(i, s, ids) for i in range(1, self.k) for s, ids in waiting[i]]
+        # every later row is newer than the watermark: bounded matches whose
+        # span already ended can be dropped, so state stays bounded
+        alive = (lambda s: True) if self.within is None else (lambda s: s + self.within > wm_us)
+        flat = [(i, s, ids) for i in range(1, self.k) for s, ids in waiting[i] if alive(s)]
         if flat:
             self.partial.put(flat)
         self.buf.clear()
@@ -300,8 +308,13 @@ class SequencePattern(StatefulProcessor):
 
 
 def sequence_match(stream: DataFrame, stages: Sequence[Column], ts: str, seq: str, id_col: str,
-                   key: str | None = None) -> DataFrame:
-    """Streaming T2.  ``key=None`` runs the pattern unkeyed (one state group)."""
+                   key: str | None = None, within_us: int | None = None) -> DataFrame:
+    """Streaming T2.  ``key=None`` runs the pattern unkeyed (one state group).
+
+    Without ``within_us`` an open partial match waits in state until it
+    completes; with it, partials older than the bound are dropped once the
+    watermark passes their deadline.
+    """
     k = len(stages)
     types = dict(stream.dtypes)
     # one bitmask column, computed JVM-side: bit i set when stage i matches
@@ -315,6 +328,6 @@ def sequence_match(stream: DataFrame, stages: Sequence[Column], ts: str, seq: st
     schema = (key_schema + ", ".join(f"id{i} bigint" for i in range(k))
               + ", start_ts timestamp, end_ts timestamp, ids string")
     return (src.groupBy(gkey)
-               .transformWithStateInPandas(SequencePattern(key, ts, seq, id_col, k), schema,
+               .transformWithStateInPandas(SequencePattern(key, ts, seq, id_col, k, within_us), schema,
                                            "Append", "EventTime"))
 

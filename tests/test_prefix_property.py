@@ -60,7 +60,7 @@ def test_timeout_and_watermark(spark, data, nb):
     assert got == rows(ref, "seq", "watermark", "is_late")
 
 
-def _brute_matches(data):
+def _brute_matches(data, within=None):
     """Reference semantics, written directly: for each start, first later
     middle, then first later end (order = (time, seq)), per key."""
     tagged = sorted(((k, t, i, e) for i, (k, t, _v, e) in enumerate(data)), key=lambda r: (r[1], r[2]))
@@ -73,7 +73,7 @@ def _brute_matches(data):
         if mid is None:
             continue
         end = next((r for r in later if (r[1], r[2]) > (mid[1], mid[2]) and r[3] == "c"), None)
-        if end is not None:
+        if end is not None and (within is None or end[1] - t <= within):
             out.append((k, i, mid[2], end[2]))
     return sorted(out, key=repr)
 
@@ -86,3 +86,14 @@ def test_sequence_match_brute_force(spark, data, nb):
     got = rows(patterns.sequence_match(df, stg, "ts", "seq", "seq", key="k", n_buckets=nb),
                "k", "id0", "id1", "id2")
     assert got == _brute_matches(data)
+
+
+@settings(**SETTINGS)
+@given(st.lists(row_st, min_size=1, max_size=40), st.integers(1, 6), st.integers(0, 30))
+def test_sequence_match_within_brute_force(spark, data, nb, within_s):
+    df = _df(spark, data)
+    stg = [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"]
+    got = rows(patterns.sequence_match(df, stg, "ts", "seq", "seq", key="k", n_buckets=nb,
+                                       within_us=within_s * 1_000_000),
+               "k", "id0", "id1", "id2")
+    assert got == _brute_matches(data, within_s)

@@ -18,6 +18,7 @@ from eventide.streaming.runner import event_stream, start_to_parquet
 
 SCHEMA = pa.schema([("k", pa.string()), ("ts", pa.timestamp("us")), ("seq", pa.int64()),
                     ("v", pa.int64()), ("e", pa.string())])
+WITHIN = 200_000_000   # pattern span bound: 200 s
 SPARK_SCHEMA = "k string, ts timestamp_ntz, seq bigint, v bigint, e string"
 
 
@@ -70,6 +71,9 @@ def test_stateful_parity_with_restart(spark, scratch):
         "timeout": lambda s: processors.inactivity_timeout(s, "k", "ts", "seq", gap),
         "pattern": lambda s: processors.sequence_match(
             s, [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"], "ts", "seq", "seq", key="k"),
+        "within": lambda s: processors.sequence_match(
+            s, [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"], "ts", "seq", "seq", key="k",
+            within_us=WITHIN),
         "running": lambda s: processors.running_reduce(s, "k", "seq", "v"),
         "count": lambda s: processors.count_window_avg(s, "k", "seq", "v", 2),
     }
@@ -89,6 +93,11 @@ def test_stateful_parity_with_restart(spark, scratch):
     ref = patterns.sequence_match(batch, [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"],
                                   "ts", "seq", "seq", key="k")
     assert rows(got, "k", "ids") == rows(ref, "k", "ids")
+    got = spark.read.parquet(f"{out}/within/data")
+    ref_w = patterns.sequence_match(batch, [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"],
+                                    "ts", "seq", "seq", key="k", within_us=WITHIN)
+    assert rows(got, "k", "ids") == rows(ref_w, "k", "ids")
+    assert 0 < ref_w.count() < ref.count()               # the bound removes some matches
     got = spark.read.parquet(f"{out}/running/data").where("k != 'zz'")
     assert rows(got, "seq", "running_sum") == rows(keyed.running_reduce(batch, "k", "seq", "v"), "seq", "running_sum")
     got = spark.read.parquet(f"{out}/count/data").where("k != 'zz'")
