@@ -47,7 +47,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable core settings to an existing session."""
     for k, v in _CORE_CONF.items():
-        if k.startswith("spark.ui") or "stateStore.providerClass" in k:
+        if k.startswith("spark.ui"):
             continue
         try:
             spark.conf.set(k, v)

@@ -13,16 +13,24 @@ microseconds.  Timers are in milliseconds, as Spark's watermark is.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 
+# The processors travel to the Python workers (and to the driver-side runner
+# that reads their state schemas) by value, so a cluster needs no install of
+# this package for them; numpy, pandas and pyspark are imported by name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _arrays(rows: Iterator[pd.DataFrame], names: Sequence[str]) -> dict[str, np.ndarray]:
     """The batch's rows of one key as numpy columns (no pandas per-row work:
     per-key pandas operations cost ~10x the numpy equivalent)."""
