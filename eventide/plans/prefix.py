@@ -18,6 +18,16 @@ recomputation after an executor loss reproduces it, and rows equal on the
 order column always share a bucket.  The big side is shuffled once, on
 ``(key, bucket)``; the summary side is small and AQE may broadcast it after
 measuring it.
+
+How many buckets (default): only keys with more than ``rowsPerBucket`` rows
+are split, each into ``ceil(rows / rowsPerBucket)`` equal-width ranges of its
+own order values; every other key stays whole in bucket 0.  The split keys
+come from one map-side-combined count per key and are broadcast: there are at
+most ``maxSplitKeys`` of them, because the threshold is raised to
+``rows / maxSplitKeys`` when the table is that large.  Summaries thus hold
+about one row per key plus one per split bucket, not one per row.  Passing
+``n_buckets`` instead cuts the global order range into that many buckets
+for every key (tests use it to force splits on tiny inputs).
 """
 
 from __future__ import annotations
@@ -28,6 +38,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bkt"
+ROWS_PER_BUCKET_CONF = "spark.eventide.prefix.rowsPerBucket"
+MAX_SPLIT_KEYS_CONF = "spark.eventide.prefix.maxSplitKeys"
+# Defaults of the two settings above.
+ROWS_PER_BUCKET = 2_000_000
+MAX_SPLIT_KEYS = 100_000
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -75,6 +90,51 @@ def _zero(dtype: str) -> Column:
     return F.lit(0).cast(dtype)
 
 
+def _conf_int(spark: SparkSession, key: str, default: int) -> int:
+    return int(spark.conf.get(key, str(default)))
+
+
+def _split_threshold(df: DataFrame) -> Column:
+    """Rows above which a key is split: ``rowsPerBucket``, raised so that at
+    most ``maxSplitKeys`` keys can exceed it (a lazy scalar subquery)."""
+    spark = df.sparkSession
+    per = _conf_int(spark, ROWS_PER_BUCKET_CONF, ROWS_PER_BUCKET)
+    most = _conf_int(spark, MAX_SPLIT_KEYS_CONF, MAX_SPLIT_KEYS)
+    total = df.select(F.count(F.lit(1)).alias("_n")).scalar()
+    return F.greatest(F.lit(per).cast("bigint"), F.ceil(total / F.lit(most)).cast("bigint"))
+
+
+def _range_bucket(v: Column, lo: Column, hi: Column, n: Column, ascending: bool) -> Column:
+    span = hi - lo
+    pos = (v - lo) if ascending else (hi - v)
+    raw = F.when(span > 0, F.floor(pos * n.cast("double") / span)).otherwise(F.lit(0))
+    b = F.least(raw.cast("bigint"), (n - 1).cast("bigint"))
+    # NULL order values sort first ascending and last descending
+    return F.coalesce(b, F.lit(-1 if ascending else (1 << 62)).cast("bigint"))
+
+
+def _adaptive_buckets(df: DataFrame, kcols: list[str], order_col: str, ascending: bool) -> DataFrame:
+    dtype = dict(df.dtypes)[order_col]
+    v = _as_number(F.col(order_col), dtype)
+    thresh = _split_threshold(df)
+    if not kcols:  # global order: the table is the one key
+        bounds = (df.select(v.alias("_v"))
+                    .select(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"),
+                                     F.count(F.lit(1)).alias("n")).alias("_b")).scalar())
+        n = F.greatest(F.lit(1).cast("bigint"), F.ceil(bounds["n"] / thresh).cast("bigint"))
+        return df.withColumn(BUCKET, _range_bucket(v, bounds["lo"], bounds["hi"], n, ascending))
+    # keys over the threshold, with their own order range; at most
+    # maxSplitKeys rows by construction, so the broadcast is bounded
+    split = (df.groupBy(*kcols)
+               .agg(F.count(F.lit(1)).alias("_cnt"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+               .where(F.col("_cnt") > thresh)
+               .select(*kcols, F.ceil(F.col("_cnt") / thresh).cast("bigint").alias("_nk"), "_lo", "_hi"))
+    j = df.join(F.broadcast(split), on=kcols, how="left")
+    b = F.when(F.col("_nk").isNull(), F.lit(0).cast("bigint")).otherwise(
+        _range_bucket(v, F.col("_lo"), F.col("_hi"), F.col("_nk"), ascending))
+    return j.withColumn(BUCKET, b).drop("_nk", "_lo", "_hi")
+
+
 def prepare(df: DataFrame, keys: Sequence[str], order_col: str, n_buckets: int | None = None,
             ascending: bool = True, drop_keys: bool = False) -> tuple[DataFrame, list[str], DataFrame]:
     """Add the bucket and NULL-safe key columns and hash-partition on them.
@@ -86,13 +146,17 @@ def prepare(df: DataFrame, keys: Sequence[str], order_col: str, n_buckets: int |
     that later joins are plain equi-joins on exactly the partitioning columns:
     the data is shuffled once and every later step reuses that partitioning.
     """
-    b = with_buckets(df, order_col, n_buckets, ascending)
     kcols: list[str] = []
     types = dict(df.dtypes)
+    b = df
     for i, k in enumerate(keys):
         b = (b.withColumn(f"_k{i}", F.coalesce(F.col(k), _zero(types[k])))
               .withColumn(f"_n{i}", F.col(k).isNull()))
         kcols += [f"_k{i}", f"_n{i}"]
+    if n_buckets is not None:
+        b = with_buckets(b, order_col, n_buckets, ascending)
+    else:
+        b = _adaptive_buckets(b, kcols, order_col, ascending)
     if drop_keys:
         b = b.drop(*keys)
     return b.repartition(*kcols, BUCKET), kcols, b

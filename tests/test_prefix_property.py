@@ -1,6 +1,7 @@
 """Bucketed prefix scans equal plain single-partition windows (brute force),
 including a key holding most rows, NULL keys, ties and few/many buckets."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -21,11 +22,22 @@ def _df(spark, data):
     return df.withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
 
 
-SETTINGS = dict(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = dict(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+# None: the default adaptive bucketing, with a split threshold of 3 rows so
+# that the hot key, the NULL key and most others are cut into several buckets
+NB = st.one_of(st.none(), st.integers(1, 6))
+
+
+@pytest.fixture(autouse=True)
+def _tiny_split_threshold(spark):
+    from eventide.plans.prefix import ROWS_PER_BUCKET_CONF
+    spark.conf.set(ROWS_PER_BUCKET_CONF, "3")
+    yield
+    spark.conf.unset(ROWS_PER_BUCKET_CONF)
 
 
 @settings(**SETTINGS)
-@given(st.lists(row_st, min_size=1, max_size=40), st.integers(1, 6))
+@given(st.lists(row_st, min_size=1, max_size=40), NB)
 def test_running_and_count_windows(spark, data, nb):
     df = _df(spark, data)
     got = rows(keyed.running_reduce(df, "k", "seq", "v", n_buckets=nb), "seq", "running_sum")
@@ -42,7 +54,7 @@ def test_running_and_count_windows(spark, data, nb):
 
 
 @settings(**SETTINGS)
-@given(st.lists(row_st, min_size=1, max_size=40), st.integers(1, 6))
+@given(st.lists(row_st, min_size=1, max_size=40), NB)
 def test_timeout_and_watermark(spark, data, nb):
     df = _df(spark, data)
     got = rows(timeout.inactivity_timeout(df, "k", "ts", "seq", 5_000_000, n_buckets=nb))
@@ -79,7 +91,7 @@ def _brute_matches(data, within=None):
 
 
 @settings(**SETTINGS)
-@given(st.lists(row_st, min_size=1, max_size=40), st.integers(1, 6))
+@given(st.lists(row_st, min_size=1, max_size=40), NB)
 def test_sequence_match_brute_force(spark, data, nb):
     df = _df(spark, data)
     stg = [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"]
@@ -89,7 +101,7 @@ def test_sequence_match_brute_force(spark, data, nb):
 
 
 @settings(**SETTINGS)
-@given(st.lists(row_st, min_size=1, max_size=40), st.integers(1, 6), st.integers(0, 30))
+@given(st.lists(row_st, min_size=1, max_size=40), NB, st.integers(0, 30))
 def test_sequence_match_within_brute_force(spark, data, nb, within_s):
     df = _df(spark, data)
     stg = [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"]
