@@ -78,7 +78,8 @@ class RunningSum(StatefulProcessor):
         a = _arrays(rows, [self.seq, self.value])
         o = np.argsort(a[self.seq], kind="stable")
         seq, v = a[self.seq][o], _int64(a[self.value][o])
-        base = self.total.get()[0] if self.total.exists() else 0
+        cur = self.total.get()                          # None when the key is new
+        base = cur[0] if cur is not None else 0
         run = base + np.cumsum(v)
         self.total.update((int(run[-1]),))
         yield pd.DataFrame({self.seq: seq, self.key_col: np.repeat(_key_value(key), len(seq)),
@@ -117,7 +118,8 @@ class CountWindowAverage(StatefulProcessor):
         a = _arrays(rows, [self.seq, self.value])
         o = np.argsort(a[self.seq], kind="stable")
         seq, v = a[self.seq][o].astype("int64"), _int64(a[self.value][o])
-        cnt, pend_s, pend_first = self.acc.get() if self.acc.exists() else (0, 0, None)
+        cur = self.acc.get()
+        cnt, pend_s, pend_first = cur if cur is not None else (0, 0, None)
         open_n = cnt % n
         if open_n:                                      # rows of the window left open earlier
             v = np.concatenate([[pend_s], v])
@@ -190,7 +192,8 @@ class InactivityTimeout(StatefulProcessor):
         a = _arrays(rows, [self.ts, self.seq])
         ts_all = _us(a[self.ts])
         ts = ts_all[np.lexsort((a[self.seq], ts_all))]
-        count, last, fired = self.st.get() if self.st.exists() else (0, None, 0)
+        cur = self.st.get()
+        count, last, fired = cur if cur is not None else (0, None, 0)
         prev = np.empty_like(ts)
         prev[1:] = ts[:-1]
         has_prev = np.ones(len(ts), dtype=bool)
@@ -211,8 +214,9 @@ class InactivityTimeout(StatefulProcessor):
                                 "last_ts": _ts(p), "fire_ts": _ts(p + self.gap)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.st.exists():
-            count, last, fired = self.st.get()
+        cur = self.st.get()
+        if cur is not None:
+            count, last, fired = cur
             if not fired and self._timer_ms(last) == expiredTimerInfo.getExpiryTimeInMs():
                 self.st.update((count, last, 1))
                 yield pd.DataFrame({self.key_col: [_key_value(key)], "count": [int(count)],
