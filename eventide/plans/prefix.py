@@ -21,11 +21,12 @@ measuring it.
 
 How many buckets (default): only keys with more than ``rowsPerBucket`` rows
 are split, each into ``ceil(rows / rowsPerBucket)`` equal-width ranges of its
-own order values; every other key stays whole in bucket 0.  The split keys
+own order values; every other key stays whole (NULL bucket).  The split keys
 come from one map-side-combined count per key and are broadcast: there are at
 most ``maxSplitKeys`` of them, because the threshold is raised to
-``rows / maxSplitKeys`` when the table is that large.  Summaries thus hold
-about one row per key plus one per split bucket, not one per row.  Passing
+``rows / maxSplitKeys`` when the table is that large.  A key kept whole has
+nothing to carry, so only split keys' carries are joined back: at most about
+``2 * maxSplitKeys`` rows, whatever the table size.  Passing
 ``n_buckets`` instead cuts the global order range into that many buckets
 for every key (tests use it to force splits on tiny inputs).
 """
@@ -37,7 +38,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BUCKET = "_bkt"
+BUCKET = "_bkt"     # NULL on the rows of a key kept whole
 ROWS_PER_BUCKET_CONF = "spark.eventide.prefix.rowsPerBucket"
 MAX_SPLIT_KEYS_CONF = "spark.eventide.prefix.maxSplitKeys"
 # Defaults of the two settings above.
@@ -122,7 +123,7 @@ def _adaptive_buckets(df: DataFrame, kcols: list[str], order_col: str, ascending
                     .select(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"),
                                      F.count(F.lit(1)).alias("n")).alias("_b")).scalar())
         n = F.greatest(F.lit(1).cast("bigint"), F.ceil(bounds["n"] / thresh).cast("bigint"))
-        return df.withColumn(BUCKET, _range_bucket(v, bounds["lo"], bounds["hi"], n, ascending))
+        return df.withColumn(BUCKET, F.when(n > 1, _range_bucket(v, bounds["lo"], bounds["hi"], n, ascending)))
     # keys over the threshold, with their own order range; at most
     # maxSplitKeys rows by construction, so the broadcast is bounded
     split = (df.groupBy(*kcols)
@@ -130,8 +131,8 @@ def _adaptive_buckets(df: DataFrame, kcols: list[str], order_col: str, ascending
                .where(F.col("_cnt") > thresh)
                .select(*kcols, F.ceil(F.col("_cnt") / thresh).cast("bigint").alias("_nk"), "_lo", "_hi"))
     j = df.join(F.broadcast(split), on=kcols, how="left")
-    b = F.when(F.col("_nk").isNull(), F.lit(0).cast("bigint")).otherwise(
-        _range_bucket(v, F.col("_lo"), F.col("_hi"), F.col("_nk"), ascending))
+    b = F.when(F.col("_nk").isNotNull(),
+               _range_bucket(v, F.col("_lo"), F.col("_hi"), F.col("_nk"), ascending))
     return j.withColumn(BUCKET, b).drop("_nk", "_lo", "_hi")
 
 
@@ -179,6 +180,25 @@ def restore_keys(df: DataFrame, keys: Sequence[str], kcols: Sequence[str], types
     return df
 
 
+def _summary_rows(src: DataFrame | None, df: DataFrame) -> DataFrame:
+    """Rows to summarise per bucket.  A key kept whole (NULL bucket) has
+    nothing to carry; from the rows before the shuffle its rows are skipped
+    outright.  After the shuffle they are summarised (one row per key) and
+    only dropped from the carry (:func:`_carry_rows`): a row filter there
+    would reach the bucket assignment and plan a second shuffle of the rows
+    instead of reusing the first."""
+    if src is not None:
+        return src.where(F.col(BUCKET).isNotNull())
+    return df
+
+
+def _carry_rows(carry: DataFrame) -> DataFrame:
+    """Carries of split keys only: about ``2 * maxSplitKeys`` rows at most,
+    small enough for AQE to broadcast into the join back (NULL buckets would
+    never join anyway)."""
+    return carry.where(F.col(BUCKET).isNotNull())
+
+
 def _join_carry(df: DataFrame, carry: DataFrame, kcols: Sequence[str]) -> DataFrame:
     return df.join(carry, on=[*kcols, BUCKET], how="left")
 
@@ -210,12 +230,12 @@ def running(df: DataFrame, kcols: Sequence[str], order: Sequence[Column | str],
         summary_aggs.append(agg_fn[op](val).alias(f"_s_{name}"))
     local = df.select("*", *local_cols)
 
-    summary = (summary_from if summary_from is not None else df).groupBy(*kcols, BUCKET).agg(*summary_aggs)
+    summary = _summary_rows(summary_from, df).groupBy(*kcols, BUCKET).agg(*summary_aggs)
     w_carry = Window.partitionBy(*kcols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     for name, (_val, op, _inc) in specs.items():
         carry_op = {"count": F.sum}.get(op, agg_fn[op])
         carry_cols.append(carry_op(f"_s_{name}").over(w_carry).alias(f"_k_{name}"))
-    carry = summary.select(*kcols, BUCKET, *carry_cols)
+    carry = _carry_rows(summary.select(*kcols, BUCKET, *carry_cols))
 
     out = _join_carry(local, carry, kcols)
     for name, (_val, op, _inc) in specs.items():
@@ -251,16 +271,16 @@ def next_match(df: DataFrame, kcols: Sequence[str], order: Sequence[str],
     hit = F.when(cond, payload)
     local = df.withColumn("_nm_local", F.last(hit, ignorenulls=True).over(w_rev))
 
-    src = summary_from if summary_from is not None else df
     if payload_is_order_key:
         first = F.struct(F.min(F.when(cond, payload)).alias("_p"))
     else:
         first = F.min(F.when(cond, F.struct(*[F.col(o) for o in order], payload.alias("_p"))))
-    summary = src.groupBy(*kcols, BUCKET).agg(first.alias("_first"))
+    summary = _summary_rows(summary_from, df).groupBy(*kcols, BUCKET).agg(first.alias("_first"))
     w_carry = (Window.partitionBy(*kcols).orderBy(F.col(BUCKET).desc())
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*kcols, BUCKET,
-                           F.last(F.col("_first._p"), ignorenulls=True).over(w_carry).alias("_nm_carry"))
+    carry = _carry_rows(summary.select(*kcols, BUCKET,
+                                       F.last(F.col("_first._p"), ignorenulls=True).over(w_carry)
+                                        .alias("_nm_carry")))
     out = _join_carry(local, carry, kcols)
     return (out.withColumn(name, F.coalesce("_nm_local", "_nm_carry"))
                .drop("_nm_local", "_nm_carry"))
