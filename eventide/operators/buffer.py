@@ -8,7 +8,7 @@ unless asked.  The surviving content is: per name, its latest buffer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.operators.keyed import row_numbers
@@ -30,9 +30,10 @@ def latest_buffers(df: DataFrame, name_col: str, seq: str, n: int, emit_partial:
                    n_buckets: int | None = None) -> DataFrame:
     """Rows of the buffer that is last written under each file name."""
     rows = buffers(df, name_col, seq, n, emit_partial, n_buckets)
-    last = rows.groupBy("file_name").agg(F.max("buffer_idx").alias("_last"))
-    return (rows.join(last, "file_name")
-                .where(F.col("buffer_idx") == F.col("_last")).drop("_last"))
+    # the surviving buffer numbers (one per name); joining on the buffer
+    # number, at most ``n`` rows each, never gathers one name's rows in a task
+    last = rows.groupBy("file_name").agg(F.max("buffer_idx").alias("buffer_idx")).select("buffer_idx")
+    return rows.join(last, "buffer_idx")
 
 
 def latest_buffer_summary(df: DataFrame, name_col: str, seq: str, n: int,
@@ -44,9 +45,11 @@ def latest_buffer_summary(df: DataFrame, name_col: str, seq: str, n: int,
                 .agg(F.max_by(name_col, seq).alias("file_name"), F.count(F.lit(1)).alias("buffer_rows"),
                      F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"))
                 .where(F.col("buffer_rows") == n))
-    w = Window.partitionBy("file_name").orderBy(F.col("buffer_idx").desc())
-    return (per_buf.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-                   .select("file_name", "buffer_idx", "buffer_rows", "first_seq", "last_seq"))
+    # latest buffer per name as a partial/final aggregate: a name owning most
+    # buffers is combined map-side instead of sorted in one window task
+    latest = per_buf.groupBy("file_name").agg(
+        F.max(F.struct("buffer_idx", "buffer_rows", "first_seq", "last_seq")).alias("_l"))
+    return latest.select("file_name", "_l.buffer_idx", "_l.buffer_rows", "_l.first_seq", "_l.last_seq")
 
 
 def write_latest(df: DataFrame, path: str, name_col: str, seq: str, n: int, fmt: str = "json") -> None:
