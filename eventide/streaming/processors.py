@@ -173,6 +173,12 @@ class InactivityTimeout(StatefulProcessor):
     the pending emission is made first and then the state is updated, so the
     result does not depend on how rows fall into micro-batches.  A gap of
     exactly ``gap`` is not a timeout.
+
+    Rows are taken in (event time, seq) order within a micro-batch, on
+    arrival.  Parity with the batch form therefore assumes a key's rows do
+    not arrive in a later micro-batch with an event time before rows already
+    seen; with a 0 s watermark delay such rows are late and dropped by Spark
+    (and counted in ``numRowsDroppedByWatermark``), while batch keeps them.
     """
 
     def __init__(self, key: str, ts: str, seq: str, gap_us: int):
