@@ -97,13 +97,16 @@ def _bucket_start(idx: Column, width_us: int, offset_us: int = 0) -> Column:
 
 
 def date_histogram(df: DataFrame, ts: str, width_us: int, fill: bool = True,
-                   offset_us: int = 0, chunks: int = 64, count_name: str = "doc_count") -> DataFrame:
+                   offset_us: int = 0, chunk_buckets: int = 1_000_000,
+                   count_name: str = "doc_count") -> DataFrame:
     """Row count per fixed-width time bucket.
 
     With ``fill`` every bucket between the first and the last non-empty one
     is returned, empty ones with 0.  The bucket series is generated in two
-    levels (``chunks`` ranges, then the buckets inside each range) after a
-    repartition, so no single task generates the whole series.
+    levels: the range is cut into chunks of at most ``chunk_buckets``
+    buckets, the chunks are spread over the shuffle partitions, and each
+    chunk is exploded where it lands.  However fine the width, no task
+    generates more than one chunk's worth of buckets per chunk it owns.
     """
     idx = _bucket_index(F.col(ts), width_us, offset_us)
     counts = (df.where(F.col(ts).isNotNull())
@@ -111,18 +114,16 @@ def date_histogram(df: DataFrame, ts: str, width_us: int, fill: bool = True,
     if not fill:
         return counts.select(_bucket_start(F.col("_idx"), width_us, offset_us).alias("bucket_start"),
                              count_name)
+    per = int(chunk_buckets)
     bounds = counts.agg(F.min("_idx").alias("_lo"), F.max("_idx").alias("_hi"))
-    per_chunk = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(chunks)).cast("bigint")
+    n_chunks = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(per)).cast("bigint")
     ranges = (bounds.where(F.col("_lo").isNotNull())
-                    .select("_lo", "_hi", per_chunk.alias("_per"))
-                    .select("_lo", "_hi", "_per",
-                            F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                 F.lit(chunks - 1).cast("bigint"))).alias("_c"))
-                    .where(F.col("_lo") + F.col("_c") * F.col("_per") <= F.col("_hi"))
-                    .repartition(chunks, "_c"))
+                    .select("_lo", "_hi", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1))
+                                            .alias("_c"))
+                    .repartition("_c"))
+    first = F.col("_lo") + F.col("_c") * F.lit(per)
     series = ranges.select(F.explode(F.sequence(
-        F.col("_lo") + F.col("_c") * F.col("_per"),
-        F.least(F.col("_hi"), F.col("_lo") + (F.col("_c") + 1) * F.col("_per") - 1))).alias("_idx"))
+        first, F.least(F.col("_hi"), first + F.lit(per - 1)))).alias("_idx"))
     return (series.join(counts, "_idx", "left")
                   .select(_bucket_start(F.col("_idx"), width_us, offset_us).alias("bucket_start"),
                           F.coalesce(F.col(count_name), F.lit(0)).cast("bigint").alias(count_name)))

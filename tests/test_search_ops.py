@@ -71,8 +71,10 @@ def test_range_is_inclusive_and_exists_counts_empty(spark):
 def test_date_histogram_fills_gaps(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:01",), ("2024-01-01 00:00:01",), ("2024-01-01 00:00:04",)],
                                "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
-    out = A.date_histogram(df, "ts", 1_000_000, chunks=2).orderBy("bucket_start").collect()
-    assert [r.doc_count for r in out] == [2, 0, 0, 1]
+    for per in (1, 3, 1000):                      # chunks of 1 and 3 buckets, and one chunk
+        out = A.date_histogram(df, "ts", 1_000_000, chunk_buckets=per).orderBy("bucket_start").collect()
+        assert [r.doc_count for r in out] == [2, 0, 0, 1]
+        assert out[0].bucket_start.second == 1
 
 
 def test_histogram_top_terms_include(spark):
