@@ -19,7 +19,7 @@ from eventide.operators import aggregates as A
 from eventide.operators import buffer, keyed, ordering, patterns, timeout, updates, windows
 from eventide.operators.metrics import counted
 from eventide.sources.lines import good_rows, parse_json_lines, split_key_value
-from eventide.sources.tables import full_scan, read_table
+from eventide.sources.tables import full_scan, read_table, time_range, wildcard_scan
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -42,6 +42,8 @@ COUNT_WINDOW_N = 2
 INCLUDE_USERS = (3, 7, 11, 19, 23, 42, 77, 101, 149)
 MATCH_QUERY = "esat chch"
 RENAME_FROM, RENAME_TO = "error", "failure"
+RANGE_START, RANGE_END = "2024-01-05 00:00:00", "2024-01-12 00:00:00"
+SCAN_GLOB, SCAN_TYPE = "doc*.parquet", "src7"
 
 
 def _events(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
@@ -266,6 +268,21 @@ def q_sequence_last_match(spark, sf_dir):
     return ordering.top_hits(m, [("end_ts", False), ("id2", False), ("start_ts", False), ("id0", False)], 1)
 
 
+def q_time_range_scan(spark, sf_dir):
+    """S6 on an unpartitioned table: the half-open range reaches the Parquet
+    reader as pushed filters (row groups outside it are skipped)."""
+    ev = _events(spark, sf_dir, ["event_id", "ts", "user_id"])
+    return time_range(ev, "ts", RANGE_START, RANGE_END)
+
+
+def q_wildcard_type_scan(spark, sf_dir):
+    """Every dataset matching a glob, restricted to one type; the glob
+    and the type predicate are the only inputs (no table name)."""
+    df = wildcard_scan(spark, f"{sf_dir.rstrip('/')}/{SCAN_GLOB}", SCAN_TYPE, type_col="source",
+                       merge_schema=False, with_dataset=False)
+    return df.select("doc_id", "lang", "source", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_sum": q_tumbling_sum,
     "tumbling_offset_count": q_tumbling_offset_count,
@@ -303,6 +320,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "epoch_display": q_epoch_display,
     "rename_value": q_rename_value,
     "sequence_last_match": q_sequence_last_match,
+    "time_range_scan": q_time_range_scan,
+    "wildcard_type_scan": q_wildcard_type_scan,
 }
 
 
@@ -490,4 +509,9 @@ select event_id, user_id,
 from events""",
     "sequence_last_match": f"""
 select * from ({_seq_sql(True)}) order by end_ts desc, id2 desc, start_ts desc, id0 desc limit 1""",
+    "time_range_scan": f"""
+select event_id, ts, user_id from events
+where ts >= timestamp '{RANGE_START}' and ts < timestamp '{RANGE_END}'""",
+    "wildcard_type_scan": f"""
+select doc_id, lang, source, n_chars from documents where source = '{SCAN_TYPE}'""",
 }

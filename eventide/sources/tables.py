@@ -22,14 +22,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[st
 
 
 def wildcard_scan(spark: SparkSession, pattern: str, doc_type: str | None = None,
-                  type_col: str = "type", merge_schema: bool = True) -> DataFrame:
+                  type_col: str = "type", merge_schema: bool = True,
+                  with_dataset: bool = True) -> DataFrame:
     """Scan every dataset matching a path glob, like an index wildcard.
 
-    ``_dataset`` names the folder each row came from.  ``doc_type`` of
-    ``None`` or ``"*"`` means every type; otherwise rows of that type only.
+    ``_dataset`` (when ``with_dataset``) names the folder each row came from.
+    ``doc_type`` of ``None`` or ``"*"`` means every type; otherwise rows of
+    that type only.
     """
-    df = (spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(pattern)
-          .withColumn("_dataset", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)))
+    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(pattern)
+    if with_dataset:
+        df = df.withColumn("_dataset", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
     if doc_type not in (None, "*"):
         df = df.where(F.col(type_col) == F.lit(doc_type))
     return df
