@@ -28,6 +28,15 @@ def test_filters_pushed_and_columns_pruned(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
 
 
+def test_range_and_type_scans_push_down(spark):
+    p = _plan(Q["time_range_scan"](spark, SF001))
+    assert "GreaterThanOrEqual(ts,2024-01-05T00:00), LessThan(ts,2024-01-12T00:00)" in p
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in p
+    p = _plan(Q["wildcard_type_scan"](spark, SF001))
+    assert "EqualTo(source,src7)" in p
+    assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in p
+
+
 def test_top_n_is_bounded(spark):
     assert "TakeOrderedAndProject" in _plan(Q["terms_top10"](spark, SF001))
     assert "WindowGroupLimit" in _plan(Q["histogram_top_terms"](spark, SF001))
