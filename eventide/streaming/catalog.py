@@ -86,6 +86,27 @@ def sq_record_counter(spark, sf_dir):
     return run_available(parsed.select("event_id", "key", "value"), "stream_record_counter")
 
 
+# File size and trigger size of the derived line stream
+LINES_PER_FILE = 1_000_000
+LINE_FILES_PER_TRIGGER = 64
+
+
+def sq_line_source(spark, sf_dir):
+    """S4 with S2c: "<key> <value>" text lines, which Spark derives from
+    ``events`` and writes as files under the shared root, read back as an
+    unbounded text stream, parsed, and counted (T4).  Malformed lines are
+    dropped by ``good_rows``."""
+    from eventide.session import scratch_path
+    from eventide.sources.lines import good_rows, split_key_value, stream_lines
+    out = scratch_path(spark, "stream_line_source")
+    ev = C.read_table(spark, sf_dir, "events", ["event_type", "user_id"])
+    (ev.select(F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("value"))
+       .write.option("maxRecordsPerFile", LINES_PER_FILE).text(f"{out}/lines"))
+    lines = stream_lines(spark, f"{out}/lines", max_files_per_trigger=LINE_FILES_PER_TRIGGER)
+    parsed = counted_stream(good_rows(split_key_value(lines, "line", "bigint")), "myCounter")
+    return run_available(parsed.select("key", "value"), "stream_line_source", out=f"{out}/result")
+
+
 def sq_buffered_sink_latest(spark, sf_dir):
     """T3 streamed: buffers of ``BUFFER_N`` rows written per file name by the
     exactly-once sink; the result is what survives in the sink folder."""
@@ -116,6 +137,7 @@ STREAM_QUERIES = {
     "stream_sequence_match": sq_sequence_match,
     "stream_record_counter": sq_record_counter,
     "stream_buffered_sink_latest": sq_buffered_sink_latest,
+    "stream_line_source": sq_line_source,
 }
 
 # the final watermark of a 0 s delay stream over ``events``
@@ -144,4 +166,7 @@ where (nxt is not null and nxt > ts + to_microseconds({C.TIMEOUT_GAP_US}))
         "from events)", f"from events where ts <= {_WM})", 1),
     "stream_record_counter": C.ORACLE_SQL["record_counter"],
     "stream_buffered_sink_latest": C.ORACLE_SQL["buffered_sink_latest"],
+    "stream_line_source": """
+select event_type as key, user_id as value from events
+where event_type is not null and event_type <> '' and user_id is not null""",
 }
