@@ -25,12 +25,15 @@ from eventide.plans import prefix
 
 def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, id_col: str,
                    key: str | Sequence[str] | None = None,
-                   n_buckets: int | None = None, within_us: int | None = None) -> DataFrame:
+                   n_buckets: int | None = None, within_us: int | None = None,
+                   partials: bool = False) -> DataFrame:
     """Matches as rows ``(key..., id_0 .. id_k, ts_0, ts_k, ids)``.
 
     ``within_us`` bounds a match's span (last stage time minus first).  The
     chain of first matching rows is unique per start, so a start whose chain
-    ends too late has no match at all.
+    ends too late has no match at all.  With ``partials`` every start row is
+    returned with the chain found so far (later ids NULL) and a ``complete``
+    flag; the streaming form carries the open ones.
     """
     keys = [] if key is None else ([key] if isinstance(key, str) else list(key))
     k = len(stages)
@@ -66,6 +69,10 @@ def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, i
     if within_us is not None:
         span = F.unix_micros(last_ts.cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))
         complete = complete & (span <= F.lit(int(within_us)))
+    if partials:
+        out = prefix.restore_keys(cur.where(stage(0)), keys, kcols, types)
+        return out.select(*keys, *ids, F.col(ts).alias("start_ts"), last_ts.alias("end_ts"),
+                          F.coalesce(complete, F.lit(False)).alias("complete"))
     out = prefix.restore_keys(cur.where(complete), keys, kcols, types)
     return (out.select(*keys, *ids, F.col(ts).alias("start_ts"), last_ts.alias("end_ts"))
                .withColumn("ids", concat_ids(*[f"id{i}" for i in range(k)])))

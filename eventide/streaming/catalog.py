@@ -78,6 +78,23 @@ def sq_sequence_match(spark, sf_dir):
     return _ntz(out, "start_ts", "end_ts")
 
 
+def sq_sequence_match_global(spark, sf_dir):
+    """T2 unkeyed, streamed: the pattern sink with its own 0 s watermark; all
+    work is the distributed batch pattern over final and retained rows."""
+    from eventide.session import scratch_path
+    from eventide.streaming.global_pattern import global_pattern_stream
+    ev = _ev(spark, sf_dir, ["event_id", "ts", "event_type"], delay=None)
+    out = scratch_path(spark, "stream_sequence_match_global")
+    q = global_pattern_stream(ev, f"{out}/sink", f"{out}/_checkpoint", C._stages(), "ts",
+                              "event_id", "event_id")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    m = spark.read.schema("id0 bigint, id1 bigint, id2 bigint, start_ts timestamp, end_ts timestamp, "
+                          "ids string").parquet(f"{out}/sink/matches")
+    return _ntz(m.select("id0", "id1", "id2", "start_ts", "end_ts", "ids"), "start_ts", "end_ts")
+
+
 def sq_record_counter(spark, sf_dir):
     ev = _ev(spark, sf_dir, ["event_id", "event_type", "user_id"], delay=None)
     from eventide.sources.lines import good_rows, split_key_value
@@ -135,6 +152,7 @@ STREAM_QUERIES = {
     "stream_count_window_avg": sq_count_window_avg,
     "stream_inactivity_timeout": sq_inactivity_timeout,
     "stream_sequence_match": sq_sequence_match,
+    "stream_sequence_match_global": sq_sequence_match_global,
     "stream_record_counter": sq_record_counter,
     "stream_buffered_sink_latest": sq_buffered_sink_latest,
     "stream_line_source": sq_line_source,
@@ -164,6 +182,8 @@ where (nxt is not null and nxt > ts + to_microseconds({C.TIMEOUT_GAP_US}))
    or (nxt is null and ts + to_microseconds({C.TIMEOUT_GAP_US}) <= {_WM})""",
     "stream_sequence_match": C._seq_sql(True).replace(
         "from events)", f"from events where ts <= {_WM})", 1),
+    "stream_sequence_match_global": C._seq_sql(False).replace(
+        "from events)", f"from events where ts <= {_WM})", 1),
     "stream_record_counter": C.ORACLE_SQL["record_counter"],
     "stream_buffered_sink_latest": C.ORACLE_SQL["buffered_sink_latest"],
     "stream_line_source": """
