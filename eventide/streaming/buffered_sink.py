@@ -10,7 +10,8 @@ then a commit marker holding the number of rows consumed so far.  A
 re-delivered batch id at or below the last marker is skipped; a batch that
 failed before its marker is redone with the same inputs, and its output
 overwrite is idempotent.  Nothing is kept in driver or executor memory
-between batches.
+between batches, and versions older than the previous batch's are removed
+(:mod:`eventide.streaming.state_log`).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.operators.keyed import row_numbers
+from eventide.streaming.state_log import commit, last_commit
 
 
 class BufferedSink:
@@ -27,12 +29,8 @@ class BufferedSink:
         self.state = f"{self.path}/_buffer_state"
 
     def _last_commit(self, spark: SparkSession) -> tuple[int, int]:
-        try:
-            m = spark.read.parquet(f"{self.state}/commits")
-        except Exception:  # no commit yet
-            return -1, 0
-        r = m.orderBy(F.col("batch_id").desc()).limit(1).collect()
-        return (int(r[0].batch_id), int(r[0].consumed)) if r else (-1, 0)
+        r = last_commit(spark, self.state)
+        return (int(r.batch_id), int(r.consumed)) if r else (-1, 0)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -61,9 +59,8 @@ class BufferedSink:
             tail = numbered.join(per_buf.where(F.col("buffer_rows") < self.n).select("buffer_idx"),
                                  "buffer_idx").select(*batch.columns)
             tail.write.mode("overwrite").parquet(f"{self.state}/pending/batch={batch_id}")
-            spark.createDataFrame([(batch_id, consumed + n_full * self.n)],
-                                  "batch_id bigint, consumed bigint") \
-                 .write.mode("append").parquet(f"{self.state}/commits")
+            commit(spark, self.state, batch_id, (batch_id, consumed + n_full * self.n),
+                   "batch_id bigint, consumed bigint", last_id, ["pending"])
         finally:
             numbered.unpersist()
 

@@ -21,7 +21,8 @@ operator (:func:`eventide.operators.patterns.sequence_match`).
 Exactly-once as in the buffered sink: output and retained rows are written
 under the batch id, then a commit marker with the watermark.  A re-delivered
 batch at or below the last marker is skipped; a redone batch overwrites its
-own output.
+own output.  Versions older than the previous batch's are removed
+(:mod:`eventide.streaming.state_log`).
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.scalars import concat_ids
 from eventide.operators.patterns import sequence_match
+from eventide.streaming.state_log import commit, last_commit
 
 
 class GlobalPatternSink:
@@ -43,12 +45,8 @@ class GlobalPatternSink:
         self.out, self.state = f"{self.path}/matches", f"{self.path}/_pattern_state"
 
     def _last_commit(self, spark: SparkSession) -> tuple[int, int | None]:
-        try:
-            m = spark.read.parquet(f"{self.state}/commits")
-        except Exception:  # no commit yet
-            return -1, None
-        r = m.orderBy(F.col("batch_id").desc()).limit(1).collect()
-        return (int(r[0].batch_id), r[0].wm_us) if r else (-1, None)
+        r = last_commit(spark, self.state)
+        return (int(r.batch_id), r.wm_us) if r else (-1, None)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -84,8 +82,8 @@ class GlobalPatternSink:
                 kept.write.mode("overwrite").parquet(f"{self.state}/kept/batch={batch_id}")
             finally:
                 chains.unpersist()
-            spark.createDataFrame([(batch_id, new_wm)], "batch_id bigint, wm_us bigint") \
-                 .write.mode("append").parquet(f"{self.state}/commits")
+            commit(spark, self.state, batch_id, (batch_id, new_wm), "batch_id bigint, wm_us bigint",
+                   last_id, ["kept"])
         finally:
             rows.unpersist()
 

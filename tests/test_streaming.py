@@ -198,3 +198,7 @@ def test_unkeyed_stream_pattern_carries_partials(spark, scratch):
     assert any(a < 70 <= b for a, b, _ in spans) and any(a < 155 <= b for a, b, _ in spans)
     ref = patterns.sequence_match(_as_df(spark, data), stages, "ts", "seq", "seq")
     assert got == sorted(r.ids for r in ref.collect())
+    # old state versions are removed: the last two batches' remain
+    state = f"{out}/sink/_pattern_state"
+    assert sorted(os.listdir(f"{state}/kept")) == ["batch=1", "batch=2"]
+    assert sorted(d for d in os.listdir(f"{state}/commits") if d.startswith("batch=")) == ["batch=1", "batch=2"]
