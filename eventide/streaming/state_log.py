@@ -14,17 +14,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Row, SparkSession
-from pyspark.sql import functions as F
 
 
 def last_commit(spark: SparkSession, state: str) -> Row | None:
-    """The latest commit marker, or ``None`` before the first commit."""
-    try:
-        m = spark.read.parquet(f"{state}/commits")
-    except Exception:  # no commit yet
+    """The latest commit marker, or ``None`` before the first commit.
+
+    Only the newest ``batch=<n>`` folder holding a data file is read (a
+    marker whose write did not commit has none).  A read error is raised,
+    not taken for "no commit", so a storage fault cannot restart a sink from
+    empty state.
+    """
+    fs, path = _fs(spark, f"{state}/commits")
+    if not fs.exists(path):
+        return None
+    done = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if name.startswith("batch=") and name[6:].isdigit() and any(
+                not c.getPath().getName().startswith(("_", ".")) for c in fs.listStatus(st.getPath())):
+            done.append(int(name[6:]))
+    if not done:
         return None
-    r = m.orderBy(F.col("batch_id").desc()).limit(1).collect()
-    return r[0] if r else None
+    return spark.read.parquet(f"{state}/commits/batch={max(done)}").first()
 
 
 def commit(spark: SparkSession, state: str, batch_id: int, values: tuple, schema: str,
@@ -40,12 +51,17 @@ def _prune(spark: SparkSession, folder: str, keep_from: int) -> None:
     """Delete the ``batch=<n>`` children of ``folder`` with ``n < keep_from``."""
     if keep_from <= 0:
         return
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs, path = _fs(spark, folder)
     if not fs.exists(path):
         return
     for st in fs.listStatus(path):
         name = st.getPath().getName()
         if name.startswith("batch=") and name[6:].isdigit() and int(name[6:]) < keep_from:
             fs.delete(st.getPath(), True)
+
+
+def _fs(spark: SparkSession, folder: str):
+    """The Hadoop FileSystem of ``folder`` and its Path."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
