@@ -20,8 +20,11 @@ order column always share a bucket.  The big side is shuffled once, on
 measuring it.
 
 How many buckets (default): only keys with more than ``rowsPerBucket`` rows
-are split, each into ``ceil(rows / rowsPerBucket)`` equal-width ranges of its
-own order values; every other key stays whole (NULL bucket).  The split keys
+are split, each into ``ceil(rows / rowsPerBucket)`` ranges of about equal row
+count, cut at a piecewise-linear estimate of the key's own value distribution
+(``QUANTILES`` knots from ``percentile_approx`` over the split keys' rows), so
+a burst of one key in a short span is spread too; every other key stays
+whole (NULL bucket).  The split keys
 come from one map-side-combined count per key and are broadcast: there are at
 most ``maxSplitKeys`` of them, because the threshold is raised to
 ``rows / maxSplitKeys`` when the table is that large.  A key kept whole has
@@ -44,6 +47,9 @@ MAX_SPLIT_KEYS_CONF = "spark.eventide.prefix.maxSplitKeys"
 # Defaults of the two settings above.
 ROWS_PER_BUCKET = 2_000_000
 MAX_SPLIT_KEYS = 100_000
+# Resolution and accuracy of a split key's order-value sketch.
+QUANTILES = 16
+QUANTILE_ACCURACY = 10_000
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -105,35 +111,57 @@ def _split_threshold(df: DataFrame) -> Column:
     return F.greatest(F.lit(per).cast("bigint"), F.ceil(total / F.lit(most)).cast("bigint"))
 
 
-def _range_bucket(v: Column, lo: Column, hi: Column, n: Column, ascending: bool) -> Column:
-    span = hi - lo
-    pos = (v - lo) if ascending else (hi - v)
-    raw = F.when(span > 0, F.floor(pos * n.cast("double") / span)).otherwise(F.lit(0))
-    b = F.least(raw.cast("bigint"), (n - 1).cast("bigint"))
-    # NULL order values sort first ascending and last descending
-    return F.coalesce(b, F.lit(-1 if ascending else (1 << 62)).cast("bigint"))
+def _cdf_bucket(v: Column, lo: Column, hi: Column, q: Column, n: Column, ascending: bool) -> Column:
+    """Bucket from a piecewise-linear estimate of the key's distribution.
+
+    ``q`` holds the key's ``QUANTILES - 1`` inner quantiles; with ``lo`` and
+    ``hi`` they are the knots.  The position of ``v`` is its interval index
+    plus its linear place inside the interval, so buckets hold about equal
+    row counts however the values cluster (a burst gets many buckets), and
+    ``n`` may exceed the number of knots.  Monotone in ``v``; equal values
+    share a bucket; NULL goes where Spark's null ordering puts it.
+    """
+    knots = F.concat(F.array(lo), q, F.array(hi))
+    # interval index: plain comparisons (codegen; no lambda, which a scalar
+    # subquery argument would not be allowed in)
+    i = sum((F.when(F.element_at(q, j) <= v, F.lit(1)).otherwise(F.lit(0)) for j in range(1, QUANTILES)),
+            F.lit(0))
+    a, b = F.element_at(knots, i + 1), F.element_at(knots, i + 2)
+    frac = F.when(b > a, F.least(F.greatest((v - a) / (b - a), F.lit(0.0)), F.lit(1.0))).otherwise(F.lit(0.0))
+    pos = (i + frac) / F.lit(float(QUANTILES))
+    pos = pos if ascending else F.lit(1.0) - pos
+    raw = F.when(v.isNotNull(), F.least(F.floor(pos * n).cast("bigint"), (n - 1).cast("bigint")))
+    return F.coalesce(raw, F.lit(-1 if ascending else (1 << 62)).cast("bigint"))
 
 
 def _adaptive_buckets(df: DataFrame, kcols: list[str], order_col: str, ascending: bool) -> DataFrame:
     dtype = dict(df.dtypes)[order_col]
     v = _as_number(F.col(order_col), dtype)
     thresh = _split_threshold(df)
+    fractions = [i / QUANTILES for i in range(1, QUANTILES)]
     if not kcols:  # global order: the table is the one key
         bounds = (df.select(v.alias("_v"))
                     .select(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"),
-                                     F.count(F.lit(1)).alias("n")).alias("_b")).scalar())
+                                     F.count(F.lit(1)).alias("n"),
+                                     F.percentile_approx("_v", fractions, QUANTILE_ACCURACY).alias("q"))
+                             .alias("_b")).scalar())
         n = F.greatest(F.lit(1).cast("bigint"), F.ceil(bounds["n"] / thresh).cast("bigint"))
-        return df.withColumn(BUCKET, F.when(n > 1, _range_bucket(v, bounds["lo"], bounds["hi"], n, ascending)))
+        return df.withColumn(BUCKET, F.when(n > 1, _cdf_bucket(v, bounds["lo"], bounds["hi"], bounds["q"],
+                                                               n, ascending)))
     # keys over the threshold, with their own order range; at most
     # maxSplitKeys rows by construction, so the broadcast is bounded
     split = (df.groupBy(*kcols)
                .agg(F.count(F.lit(1)).alias("_cnt"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
                .where(F.col("_cnt") > thresh)
                .select(*kcols, F.ceil(F.col("_cnt") / thresh).cast("bigint").alias("_nk"), "_lo", "_hi"))
-    j = df.join(F.broadcast(split), on=kcols, how="left")
+    # the split keys' value distribution, sketched from their rows only:
+    # QUANTILES - 1 doubles per key, still a bounded broadcast
+    sketch = (df.join(F.broadcast(split.select(*kcols)), on=kcols, how="left_semi")
+                .groupBy(*kcols).agg(F.percentile_approx(v, fractions, QUANTILE_ACCURACY).alias("_q")))
+    j = df.join(F.broadcast(split.join(sketch, on=kcols)), on=kcols, how="left")
     b = F.when(F.col("_nk").isNotNull(),
-               _range_bucket(v, F.col("_lo"), F.col("_hi"), F.col("_nk"), ascending))
-    return j.withColumn(BUCKET, b).drop("_nk", "_lo", "_hi")
+               _cdf_bucket(v, F.col("_lo"), F.col("_hi"), F.col("_q"), F.col("_nk"), ascending))
+    return j.withColumn(BUCKET, b).drop("_nk", "_lo", "_hi", "_q")
 
 
 def prepare(df: DataFrame, keys: Sequence[str], order_col: str, n_buckets: int | None = None,
