@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from . import containment
+from .quality_fm import op7_quality
 from .simhash_vptree import op2_simhash
 
-QUERIES = {"op2_simhash": op2_simhash}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op2_simhash": op2_simhash, "op7_quality": op7_quality, "op8_containment": containment.op8_containment}
+ORACLE_SQL: dict[str, str] = {"op8_containment": containment.ORACLE}
