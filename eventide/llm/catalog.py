@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from . import containment
+from .packing import op10_packing
 from .quality_fm import op7_quality
 from .simhash_vptree import op2_simhash
 
-QUERIES = {"op2_simhash": op2_simhash, "op7_quality": op7_quality, "op8_containment": containment.op8_containment}
+QUERIES = {"op2_simhash": op2_simhash, "op7_quality": op7_quality, "op8_containment": containment.op8_containment,
+           "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {"op8_containment": containment.ORACLE}

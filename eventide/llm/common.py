@@ -5,12 +5,14 @@ from __future__ import annotations
 
 import inspect
 import sys
-from collections.abc import Iterable
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.session import scratch_path
 
@@ -91,25 +93,27 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())
 
 
-def offsets_by_order(df: DataFrame, order: Iterable[Column], group: str | None, size: str, out: str,
-                     rows_per_task: int = 200_000) -> DataFrame:
-    """Exclusive running sum of ``size`` in ``order`` (within ``group`` if
-    given; the order must then start with it) without a one-task window: the
-    rows are dealt into ordered ranges and written, each range is summed
-    locally, and only the ranges' totals (a row per range and group) are
-    accumulated.  ``size`` must be a non-null long.
+def offsets_by_order(df: DataFrame, order: list[Column], size: str, out: str) -> DataFrame:
+    """Exclusive running sum of ``size`` (a non-null long) over all rows in
+    ``order``, without a one-task window: rows are dealt into ordered ranges,
+    summed inside their range and written once; only the ranges' totals, one
+    row each, are accumulated.  ``order`` must be a total order.
     """
-    from pyspark.sql import Window
-    spark, order = df.sparkSession, list(order)
-    n = df.count()
-    parts = max(1, min(-(-n // rows_per_task), 1_000_000), int(spark.conf.get("spark.sql.shuffle.partitions")) if n > 10_000 else 1)
-    dealt = materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "dealt")
-    keys = ["_part"] + ([group] if group else [])
-    totals = materialize(dealt.groupBy(*keys).agg(F.sum(size).alias("_total")), "totals")
-    # one row per range (and group): far fewer than the rows they stand for
-    w = (Window.partitionBy(group) if group else Window.partitionBy(F.lit(0))).orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1)
-    base = totals.select(*keys, F.coalesce(F.sum("_total").over(w), F.lit(0).cast("long")).alias("_base"))
-    local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (dealt.withColumn("_local", F.coalesce(F.sum(size).over(local), F.lit(0).cast("long")))
-            .join(base, keys).withColumn(out, F.col("_base") + F.col("_local")).drop("_base", "_local", "_part"))
+    at = df.columns.index(size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for b in batches:
+            end = total + np.cumsum(b.column(at).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(end - b.column(at).to_numpy(zero_copy_only=False), pa.int64())],
+                                             [*b.schema.names, "_local"])
+            total = int(end[-1]) if len(end) else total
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                        .mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("_local", T.LongType())]))
+                        .withColumn("_part", F.spark_partition_id()), "dealt")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = materialize(dealt.groupBy("_part").agg(F.sum(size).alias("_total"))
+                       .select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).cast("long").alias("_base")), "base")
+    return dealt.join(base, "_part").withColumn(out, F.col("_base") + F.col("_local")).drop("_base", "_local", "_part")
