@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from . import containment
 from .packing import op10_packing
+from .pca_tiles import op3_embeddings
 from .quality_fm import op7_quality
 from .secrets import op6_secrets
 from .simhash_vptree import op2_simhash
 
-QUERIES = {"op2_simhash": op2_simhash, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_containment": containment.op8_containment,
+QUERIES = {"op2_simhash": op2_simhash, "op3_embeddings": op3_embeddings, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_containment": containment.op8_containment,
            "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {"op8_containment": containment.ORACLE}
