@@ -8,7 +8,8 @@ from .pca_tiles import op3_embeddings
 from .quality_fm import op7_quality
 from .secrets import op6_secrets
 from .simhash_vptree import op2_simhash
+from .suffix_dedup import op9_suffix_dedup
 
 QUERIES = {"op2_simhash": op2_simhash, "op3_embeddings": op3_embeddings, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_containment": containment.op8_containment,
-           "op10_packing": op10_packing}
+           "op9_suffix_dedup": op9_suffix_dedup, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {"op8_containment": containment.ORACLE}
