@@ -17,23 +17,30 @@ from eventide.operators.keyed import row_numbers
 def buffers(df: DataFrame, name_col: str, seq: str, n: int, emit_partial: bool = False,
             n_buckets: int | None = None) -> DataFrame:
     """Every row with its buffer number, buffer size and the buffer's file name."""
+    b, per_buf = _buffered(df, name_col, seq, n, emit_partial, n_buckets)
+    return b.join(per_buf, "buffer_idx")
+
+
+def _buffered(df: DataFrame, name_col: str, seq: str, n: int, emit_partial: bool,
+              n_buckets: int | None) -> tuple[DataFrame, DataFrame]:
+    """Rows with their buffer number, and one row per buffer that is written."""
     rn = row_numbers(df, [], [seq], "_rn", n_buckets=n_buckets)
-    b = rn.withColumn("buffer_idx", F.expr(f"(_rn - 1) div {int(n)}"))
+    b = rn.withColumn("buffer_idx", F.expr(f"(_rn - 1) div {int(n)}")).drop("_rn")
     per_buf = (b.groupBy("buffer_idx")
                 .agg(F.max_by(name_col, seq).alias("file_name"), F.count(F.lit(1)).alias("buffer_rows")))
-    if not emit_partial:
-        per_buf = per_buf.where(F.col("buffer_rows") == n)
-    return b.join(per_buf, "buffer_idx").drop("_rn")
+    return b, per_buf if emit_partial else per_buf.where(F.col("buffer_rows") == n)
 
 
 def latest_buffers(df: DataFrame, name_col: str, seq: str, n: int, emit_partial: bool = False,
                    n_buckets: int | None = None) -> DataFrame:
     """Rows of the buffer that is last written under each file name."""
-    rows = buffers(df, name_col, seq, n, emit_partial, n_buckets)
-    # the surviving buffer numbers (one per name); joining on the buffer
-    # number, at most ``n`` rows each, never gathers one name's rows in a task
-    last = rows.groupBy("file_name").agg(F.max("buffer_idx").alias("buffer_idx")).select("buffer_idx")
-    return rows.join(last, "buffer_idx")
+    b, per_buf = _buffered(df, name_col, seq, n, emit_partial, n_buckets)
+    # the surviving buffers are picked from the summaries, one per name, before
+    # the rows are touched; joining on the buffer number, at most ``n`` rows
+    # each, never gathers one name's rows in a task
+    last = (per_buf.groupBy("file_name").agg(F.max(F.struct("buffer_idx", "buffer_rows")).alias("_b"))
+            .select("_b.buffer_idx", "file_name", "_b.buffer_rows"))
+    return b.join(last, "buffer_idx")
 
 
 def latest_buffer_summary(df: DataFrame, name_col: str, seq: str, n: int,

@@ -8,24 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.plans import prefix
 
 
-def _sort_cols(order: Sequence[tuple[str, bool]]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
-
-
 def sort_by(df: DataFrame, order: Sequence[tuple[str, bool]]) -> DataFrame:
     """Sort by ``[(column, ascending), ...]`` (L1): a range-partitioned sort."""
-    return df.orderBy(*_sort_cols(order))
+    return df.orderBy(*prefix.sort_columns(order))
 
 
 def top_hits(df: DataFrame, order: Sequence[tuple[str, bool]], size: int = 10) -> DataFrame:
     """First ``size`` rows in a total order (L2): ``TakeOrderedAndProject``."""
-    return df.orderBy(*_sort_cols(order)).limit(size)
+    return df.orderBy(*prefix.sort_columns(order)).limit(size)
 
 
 def paginate(df: DataFrame, order: Sequence[tuple[str, bool]], page_size: int,
@@ -34,12 +30,11 @@ def paginate(df: DataFrame, order: Sequence[tuple[str, bool]], page_size: int,
 
     ``rn`` is 1-based, ``page = (rn - 1) div page_size``.  The global row
     number comes from the bucketed prefix scan (bucket counts carried
-    forward), not from a single-partition window.  Readers take one page with
+    forward), not from a single-partition window; columns may be of any type.  Readers take one page with
     a filter on ``page``; a full export should write the table instead.
     """
-    first, asc = order[0]
-    b, kcols, raw = prefix.prepare(df, [], first, n_buckets, ascending=asc)
-    out = prefix.running(b, kcols, _sort_cols(order), {"rn": (F.lit(1), "count", True)}, raw)
+    b, kcols, raw = prefix.prepare(df, [], order, n_buckets)
+    out = prefix.running(b, kcols, order, {"rn": (F.lit(1), "count", True)}, raw)
     return prefix.cleanup(out.withColumn("page", F.expr(f"(rn - 1) div {int(page_size)}")), kcols)
 
 

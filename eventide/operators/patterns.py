@@ -43,8 +43,8 @@ def sequence_match(df: DataFrame, stages: Sequence[Column], ts: str, seq: str, i
     base = df.select(*keys, *dict.fromkeys([ts, seq, id_col]), mask.alias("_mask"))
     # keys travel as the NULL-safe pairs only: every pass then reads the same
     # shuffled columns, and Spark reuses the single exchange
-    cur, kcols, raw = prefix.prepare(base, keys, ts, n_buckets, drop_keys=True)
-    order = [ts, seq]
+    order = list(dict.fromkeys([ts, seq]))
+    cur, kcols, raw = prefix.prepare(base, keys, order, n_buckets, drop_keys=True)
 
     def stage(i: int):
         return (F.col("_mask").bitwiseAND(F.lit(1 << i))) != 0

@@ -20,7 +20,7 @@ def inactivity_timeout(df: DataFrame, key: str | Sequence[str], ts: str, seq: st
     """Rows ``(key..., count, last_ts, fire_ts)`` as the timers would emit them."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [ts, seq]
-    b, kcols, raw = prefix.prepare(df.select(*keys, ts, seq), keys, ts, n_buckets)
+    b, kcols, raw = prefix.prepare(df.select(*keys, ts, seq), keys, order, n_buckets)
     counted = prefix.running(b, kcols, order, {"count": (F.lit(1), "count", True)}, raw)
     nxt = prefix.next_match(counted, kcols, order, F.lit(True), F.col(ts), "_next_ts", raw,
                             payload_is_order_key=True)

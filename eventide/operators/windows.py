@@ -37,9 +37,10 @@ def tumbling_sum(df: DataFrame, ts: str, size: str, value: str, key: str | None
                  offset: str | None = None) -> DataFrame:
     """Sum, count and latest event time per (window, key).
 
-    The sum is exact (DECIMAL(38,2) over cents) and returned as DOUBLE.
+    The sum is in the value's own type, no digit dropped; a caller who wants a
+    sum that does not depend on the order of addition passes a DECIMAL.
     """
-    aggs = [F.sum(F.col(value).cast("decimal(18,2)")).cast("double").alias("sum_value"),
+    aggs = [F.sum(value).alias("sum_value"),
             F.count(F.lit(1)).alias("n"),
             F.max(ts).alias("last_ts")]
     return tumbling_agg(df, ts, size, aggs, key, offset)
@@ -88,7 +89,7 @@ def watermark_trace(df: DataFrame, ts: str, seq: str, delay_us: int = 0,
     none (NULL).  ``is_late`` marks rows at or behind it.  Global order is
     handled by the bucketed prefix scan, never by one partition.
     """
-    b, kcols, raw = prefix.prepare(df, [], seq, n_buckets)
+    b, kcols, raw = prefix.prepare(df, [], [seq], n_buckets)
     out = prefix.running(b, kcols, [seq], {"_maxprev": (F.col(ts), "max", False)}, raw)
     wm = F.col("_maxprev") - F.make_dt_interval(secs=F.lit(delay_us / 1e6).cast("decimal(18,6)"))
     return (out.withColumn("watermark", wm)

@@ -4,31 +4,25 @@ putting a whole key, or the whole table, into one task.
 A plain ``Window.partitionBy(key).orderBy(seq)`` sends every row of a key to
 one task, and a bare ``Window.orderBy(seq)`` sends the whole table to one task.
 When one key holds a third of the rows that task is the job.  The helpers here
-split the order range into buckets and work in three steps:
+cut the table, in the order of (key, order columns), into buckets of about
+equal row counts and work in three steps:
 
 1. rows are windowed per ``(key, bucket)`` -- many tasks, bounded groups;
 2. each ``(key, bucket)`` is summarised into one row (count, sum, max, first
-   matching row ...), and a tiny window over the summaries gives the carry from
-   earlier (or later) buckets;
+   matching row ...), and a small window over the summaries of a key gives the
+   carry from earlier (or later) buckets;
 3. the carry is joined back on ``(key, bucket)`` and combined with the local
-   value.
-
-The bucket is a deterministic, monotone function of the first order column, so
-recomputation after an executor loss reproduces it, and rows equal on the
-order column always share a bucket.  The big side is shuffled once, on
-``(key, bucket)``; the summary side is small and AQE may broadcast it after
-measuring it.
-
-How many buckets (default): only keys with more than ``rowsPerBucket`` rows
-are split, each into ``ceil(rows / rowsPerBucket)`` equal-width ranges of its
-own order values; every other key stays whole (NULL bucket).  The split keys
-come from one map-side-combined count per key and are broadcast: there are at
-most ``maxSplitKeys`` of them, because the threshold is raised to
-``rows / maxSplitKeys`` when the table is that large.  A key kept whole has
-nothing to carry, so only split keys' carries are joined back: at most about
-``2 * maxSplitKeys`` rows, whatever the table size.  Passing
-``n_buckets`` instead cuts the global order range into that many buckets
-for every key (tests use it to force splits on tiny inputs).
+   value.  Only keys that span several buckets carry anything, so at most one
+   row per bucket is joined back.
+
+The cuts are quantiles of a sample drawn by hash of the key and order columns
+themselves, compared in the columns' own types and directions, ties broken by
+the later order columns and NULLs in Spark's default place.  So an outlier, a
+handful of distinct values, many NULLs or a text column spread as evenly as
+anything else, provided the order columns together tell rows apart.  The sample
+is a lazy scalar subquery and a deterministic function of the rows: recomputing
+after an executor loss gives the same buckets.  A row's bucket is found by
+binary search.  The rows are shuffled once, on ``(key, bucket)``.
 """
 
 from __future__ import annotations
@@ -38,47 +32,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BUCKET = "_bkt"     # NULL on the rows of a key kept whole
-ROWS_PER_BUCKET_CONF = "spark.eventide.prefix.rowsPerBucket"
-MAX_SPLIT_KEYS_CONF = "spark.eventide.prefix.maxSplitKeys"
-# Defaults of the two settings above.
-ROWS_PER_BUCKET = 2_000_000
-MAX_SPLIT_KEYS = 100_000
+BUCKET = "_bkt"
+SAMPLES_PER_BUCKET = 32     # expected; more make bucket sizes more even
 
+Order = Sequence[str | tuple[str, bool]]
 
-def default_buckets(spark: SparkSession) -> int:
-    """Buckets per key: enough to spread a hot key over every core."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(64, 8 * n)
 
+def default_buckets(spark: SparkSession) -> int:
+    """Enough buckets to spread the table over every core."""
+    return max(32, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
-def _as_number(c: Column, dtype: str) -> Column:
-    if dtype in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    return c.cast("double")
 
-
-def with_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
-                 ascending: bool = True, name: str = BUCKET) -> DataFrame:
-    """Add a bucket column that is monotone in ``order_col``.
-
-    Bounds come from a scalar subquery (min/max of one column), so the plan
-    stays lazy and the statistics are recomputed with the data.  NULL order
-    values go to the bucket where Spark's default null ordering puts them
-    (first when ascending, last when descending).
-    """
-    n = n_buckets or default_buckets(df.sparkSession)
-    dtype = dict(df.dtypes)[order_col]
-    v = _as_number(F.col(order_col), dtype)
-    bounds = (df.select(_as_number(F.col(order_col), dtype).alias("_v"))
-                .select(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar())
-    lo, hi = bounds["lo"], bounds["hi"]
-    span = hi - lo
-    pos = (v - lo) if ascending else (hi - v)
-    raw = F.when(span > 0, F.floor(pos * F.lit(float(n)) / span)).otherwise(F.lit(0))
-    b = F.least(raw.cast("bigint"), F.lit(n - 1))
-    b = F.coalesce(b, F.lit(-1 if ascending else n).cast("bigint"))
-    return df.withColumn(name, b)
+def _spec(order: Order) -> list[tuple[str, bool]]:
+    return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
 
 
 def _zero(dtype: str) -> Column:
@@ -91,61 +57,68 @@ def _zero(dtype: str) -> Column:
     return F.lit(0).cast(dtype)
 
 
-def _conf_int(spark: SparkSession, key: str, default: int) -> int:
-    return int(spark.conf.get(key, str(default)))
-
-
-def _split_threshold(df: DataFrame) -> Column:
-    """Rows above which a key is split: ``rowsPerBucket``, raised so that at
-    most ``maxSplitKeys`` keys can exceed it (a lazy scalar subquery)."""
-    spark = df.sparkSession
-    per = _conf_int(spark, ROWS_PER_BUCKET_CONF, ROWS_PER_BUCKET)
-    most = _conf_int(spark, MAX_SPLIT_KEYS_CONF, MAX_SPLIT_KEYS)
-    total = df.select(F.count(F.lit(1)).alias("_n")).scalar()
-    return F.greatest(F.lit(per).cast("bigint"), F.ceil(total / F.lit(most)).cast("bigint"))
-
-
-def _range_bucket(v: Column, lo: Column, hi: Column, n: Column, ascending: bool) -> Column:
-    span = hi - lo
-    pos = (v - lo) if ascending else (hi - v)
-    raw = F.when(span > 0, F.floor(pos * n.cast("double") / span)).otherwise(F.lit(0))
-    b = F.least(raw.cast("bigint"), (n - 1).cast("bigint"))
-    # NULL order values sort first ascending and last descending
-    return F.coalesce(b, F.lit(-1 if ascending else (1 << 62)).cast("bigint"))
-
-
-def _adaptive_buckets(df: DataFrame, kcols: list[str], order_col: str, ascending: bool) -> DataFrame:
-    dtype = dict(df.dtypes)[order_col]
-    v = _as_number(F.col(order_col), dtype)
-    thresh = _split_threshold(df)
-    if not kcols:  # global order: the table is the one key
-        bounds = (df.select(v.alias("_v"))
-                    .select(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"),
-                                     F.count(F.lit(1)).alias("n")).alias("_b")).scalar())
-        n = F.greatest(F.lit(1).cast("bigint"), F.ceil(bounds["n"] / thresh).cast("bigint"))
-        return df.withColumn(BUCKET, F.when(n > 1, _range_bucket(v, bounds["lo"], bounds["hi"], n, ascending)))
-    # keys over the threshold, with their own order range; at most
-    # maxSplitKeys rows by construction, so the broadcast is bounded
-    split = (df.groupBy(*kcols)
-               .agg(F.count(F.lit(1)).alias("_cnt"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-               .where(F.col("_cnt") > thresh)
-               .select(*kcols, F.ceil(F.col("_cnt") / thresh).cast("bigint").alias("_nk"), "_lo", "_hi"))
-    j = df.join(F.broadcast(split), on=kcols, how="left")
-    b = F.when(F.col("_nk").isNotNull(),
-               _range_bucket(v, F.col("_lo"), F.col("_hi"), F.col("_nk"), ascending))
-    return j.withColumn(BUCKET, b).drop("_nk", "_lo", "_hi")
-
-
-def prepare(df: DataFrame, keys: Sequence[str], order_col: str, n_buckets: int | None = None,
-            ascending: bool = True, drop_keys: bool = False) -> tuple[DataFrame, list[str], DataFrame]:
+def _before(a, b, spec: Sequence[tuple[str, bool]], equal: bool) -> Column:
+    """Whether row ``a`` comes before row ``b`` (or with it, if ``equal``);
+    NULLs come first ascending and last descending, as in Spark's sort."""
+    out = F.lit(equal)
+    for name, asc in reversed(spec):
+        x, y = a(name), b(name)
+        less = (x.isNull() & y.isNotNull()) | F.coalesce(x < y, F.lit(False)) if asc else \
+            (x.isNotNull() & y.isNull()) | F.coalesce(x > y, F.lit(False))
+        out = less | (x.eqNullSafe(y) & out)
+    return out
+
+
+def _cuts(df: DataFrame, spec: Sequence[tuple[str, bool]], n: int) -> Column:
+    """``n - 1`` cut rows at the quantiles of a hash sample, as an array."""
+    names = [c for c, _ in spec]
+    total = df.select(F.count(F.lit(1))).scalar()
+    every = F.greatest(F.lit(1).cast("bigint"), F.floor(total / F.lit(n * SAMPLES_PER_BUCKET)).cast("bigint"))
+    drawn = df.select(*names).where(F.pmod(F.xxhash64(*names), every) == 0)
+
+    def compare(x, y):
+        return (F.when(_before(x.getField, y.getField, spec, False), F.lit(-1))
+                 .when(_before(y.getField, x.getField, spec, False), F.lit(1)).otherwise(F.lit(0)))
+
+    rows = F.array_sort(F.collect_list(F.struct(*names)), compare)
+    at = F.transform(F.sequence(F.lit(1), F.lit(n - 1)),
+                     lambda i: F.get(F.col("_s"), F.floor(i * F.size("_s") / F.lit(n)).cast("int"))) if n > 1 else F.col("_s")
+    return drawn.agg(rows.alias("_s")).select(F.when(F.size("_s") > 0, at).otherwise(F.col("_s")).alias("_c")).scalar()
+
+
+def with_buckets(df: DataFrame, order: Order, n_buckets: int | None = None, name: str = BUCKET) -> DataFrame:
+    """Add the bucket number: the cuts at or before the row, by binary search."""
+    n = n_buckets or default_buckets(df.sparkSession)
+    if n <= 1:
+        return df.withColumn(name, F.lit(0))
+    spec = _spec(order)
+    cut = df.withColumn("_cuts", _cuts(df, spec, n))
+
+    def step(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / F.lit(2)).cast("int")
+        here = F.get(F.col("_cuts"), mid)
+        right = _before(here.getField, F.col, spec, True)
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(
+            F.when(right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
+             .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size("_cuts").alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length() + 1)), start, step, lambda acc: acc["lo"])
+    return cut.withColumn(name, found).drop("_cuts")
+
+
+def prepare(df: DataFrame, keys: Sequence[str], order: Order, n_buckets: int | None = None,
+            drop_keys: bool = False) -> tuple[DataFrame, list[str], DataFrame]:
     """Add the bucket and NULL-safe key columns and hash-partition on them.
 
     Returns the partitioned frame, the partition key columns (without the
     bucket) and the same rows before the shuffle: first-pass summaries are
-    aggregated from that one map-side, so only partial aggregates cross the
-    network for them.  Keys are replaced by ``(coalesce(k, zero), k IS NULL)`` pairs so
-    that later joins are plain equi-joins on exactly the partitioning columns:
-    the data is shuffled once and every later step reuses that partitioning.
+    aggregated from those map-side, so only partial aggregates cross the
+    network for them.
+
+    Keys are replaced by ``(coalesce(k, zero), k IS NULL)`` pairs so that later
+    joins are plain equi-joins on exactly the partitioning columns: the data is
+    shuffled once and every later step reuses that partitioning.
     """
     kcols: list[str] = []
     types = dict(df.dtypes)
@@ -154,10 +127,7 @@ def prepare(df: DataFrame, keys: Sequence[str], order_col: str, n_buckets: int |
         b = (b.withColumn(f"_k{i}", F.coalesce(F.col(k), _zero(types[k])))
               .withColumn(f"_n{i}", F.col(k).isNull()))
         kcols += [f"_k{i}", f"_n{i}"]
-    if n_buckets is not None:
-        b = with_buckets(b, order_col, n_buckets, ascending)
-    else:
-        b = _adaptive_buckets(b, kcols, order_col, ascending)
+    b = with_buckets(b, [*kcols, *order], n_buckets)
     if drop_keys:
         b = b.drop(*keys)
     return b.repartition(*kcols, BUCKET), kcols, b
@@ -180,39 +150,21 @@ def restore_keys(df: DataFrame, keys: Sequence[str], kcols: Sequence[str], types
     return df
 
 
-def _summary_rows(src: DataFrame | None, df: DataFrame) -> DataFrame:
-    """Rows to summarise per bucket.  A key kept whole (NULL bucket) has
-    nothing to carry; from the rows before the shuffle its rows are skipped
-    outright.  After the shuffle they are summarised (one row per key) and
-    only dropped from the carry (:func:`_carry_rows`): a row filter there
-    would reach the bucket assignment and plan a second shuffle of the rows
-    instead of reusing the first."""
-    if src is not None:
-        return src.where(F.col(BUCKET).isNotNull())
-    return df
-
-
-def _carry_rows(carry: DataFrame) -> DataFrame:
-    """Carries of split keys only: about ``2 * maxSplitKeys`` rows at most,
-    small enough for AQE to broadcast into the join back (NULL buckets would
-    never join anyway)."""
-    return carry.where(F.col(BUCKET).isNotNull())
-
-
 def _join_carry(df: DataFrame, carry: DataFrame, kcols: Sequence[str]) -> DataFrame:
     return df.join(carry, on=[*kcols, BUCKET], how="left")
 
 
-def _order(order: Sequence[Column | str], reverse: bool = False) -> list[Column]:
-    out = []
-    for o in order:
-        c = F.col(o) if isinstance(o, str) else o
-        out.append(c.desc() if reverse else c)
-    return out
+def sort_columns(order: Order, reverse: bool = False) -> list[Column]:
+    return [F.col(c).asc_nulls_first() if asc != reverse else F.col(c).desc_nulls_last() for c, asc in _spec(order)]
 
 
-def running(df: DataFrame, kcols: Sequence[str], order: Sequence[Column | str],
-            specs: dict[str, tuple[Column, str, bool]],
+def _spanning(summary: DataFrame, kcols: Sequence[str], w, carry: Sequence[Column]) -> DataFrame:
+    """The carries of buckets that have others before them (in ``w``) in their key."""
+    return (summary.select(*kcols, BUCKET, F.count(F.lit(1)).over(w).alias("_others"), *carry)
+            .where(F.col("_others") > 0).drop("_others"))
+
+
+def running(df: DataFrame, kcols: Sequence[str], order: Order, specs: dict[str, tuple[Column, str, bool]],
             summary_from: DataFrame | None = None) -> DataFrame:
     """Running aggregates in ``order`` within the keys of :func:`prepare`.
 
@@ -221,7 +173,7 @@ def running(df: DataFrame, kcols: Sequence[str], order: Sequence[Column | str],
     strictly earlier rows (NULL for the first row, 0 for count).
     ``summary_from`` holds the same rows before the shuffle, when available.
     """
-    w_local = Window.partitionBy(*kcols, BUCKET).orderBy(*_order(order))
+    w_local = Window.partitionBy(*kcols, BUCKET).orderBy(*sort_columns(order))
     local_cols, summary_aggs, carry_cols = [], [], []
     agg_fn = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
     for name, (val, op, inclusive) in specs.items():
@@ -230,14 +182,12 @@ def running(df: DataFrame, kcols: Sequence[str], order: Sequence[Column | str],
         summary_aggs.append(agg_fn[op](val).alias(f"_s_{name}"))
     local = df.select("*", *local_cols)
 
-    summary = _summary_rows(summary_from, df).groupBy(*kcols, BUCKET).agg(*summary_aggs)
+    summary = (df if summary_from is None else summary_from).groupBy(*kcols, BUCKET).agg(*summary_aggs)
     w_carry = Window.partitionBy(*kcols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     for name, (_val, op, _inc) in specs.items():
         carry_op = {"count": F.sum}.get(op, agg_fn[op])
         carry_cols.append(carry_op(f"_s_{name}").over(w_carry).alias(f"_k_{name}"))
-    carry = _carry_rows(summary.select(*kcols, BUCKET, *carry_cols))
-
-    out = _join_carry(local, carry, kcols)
+    out = _join_carry(local, _spanning(summary, kcols, w_carry, carry_cols), kcols)
     for name, (_val, op, _inc) in specs.items():
         lc, kc = F.col(f"_l_{name}"), F.col(f"_k_{name}")
         if op == "count":
@@ -254,8 +204,7 @@ def running(df: DataFrame, kcols: Sequence[str], order: Sequence[Column | str],
     return out.drop(*drop)
 
 
-def next_match(df: DataFrame, kcols: Sequence[str], order: Sequence[str],
-               cond: Column, payload: Column, name: str,
+def next_match(df: DataFrame, kcols: Sequence[str], order: Order, cond: Column, payload: Column, name: str,
                summary_from: DataFrame | None = None, payload_is_order_key: bool = False) -> DataFrame:
     """For every row, ``payload`` of the first strictly later row (in
     ``order`` within the keys) for which ``cond`` holds, else NULL.
@@ -266,7 +215,7 @@ def next_match(df: DataFrame, kcols: Sequence[str], order: Sequence[str],
     first order column itself, the summary is a plain ``min`` (hash
     aggregate) instead of a ``min`` over a struct (sort aggregate).
     """
-    w_rev = (Window.partitionBy(*kcols, BUCKET).orderBy(*_order(order, reverse=True))
+    w_rev = (Window.partitionBy(*kcols, BUCKET).orderBy(*sort_columns(order, reverse=True))
              .rowsBetween(Window.unboundedPreceding, -1))
     hit = F.when(cond, payload)
     local = df.withColumn("_nm_local", F.last(hit, ignorenulls=True).over(w_rev))
@@ -275,12 +224,10 @@ def next_match(df: DataFrame, kcols: Sequence[str], order: Sequence[str],
         first = F.struct(F.min(F.when(cond, payload)).alias("_p"))
     else:
         first = F.min(F.when(cond, F.struct(*[F.col(o) for o in order], payload.alias("_p"))))
-    summary = _summary_rows(summary_from, df).groupBy(*kcols, BUCKET).agg(first.alias("_first"))
+    summary = (df if summary_from is None else summary_from).groupBy(*kcols, BUCKET).agg(first.alias("_first"))
     w_carry = (Window.partitionBy(*kcols).orderBy(F.col(BUCKET).desc())
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = _carry_rows(summary.select(*kcols, BUCKET,
-                                       F.last(F.col("_first._p"), ignorenulls=True).over(w_carry)
-                                        .alias("_nm_carry")))
-    out = _join_carry(local, carry, kcols)
+    carry = F.last(F.col("_first._p"), ignorenulls=True).over(w_carry).alias("_nm_carry")
+    out = _join_carry(local, _spanning(summary, kcols, w_carry, [carry]), kcols)
     return (out.withColumn(name, F.coalesce("_nm_local", "_nm_carry"))
                .drop("_nm_local", "_nm_carry"))

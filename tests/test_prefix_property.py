@@ -23,19 +23,10 @@ def _df(spark, data):
 
 
 SETTINGS = dict(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-# None: the default adaptive bucketing, with a split threshold of 3 rows so
-# that the hot key, the NULL key and most others are cut into several buckets
+# None: the default number of buckets, more than there are rows
 NB = st.one_of(st.none(), st.integers(1, 6))
 
 
-@pytest.fixture(autouse=True)
-def _tiny_split_threshold(spark):
-    from eventide.plans.prefix import ROWS_PER_BUCKET_CONF
-    spark.conf.set(ROWS_PER_BUCKET_CONF, "3")
-    yield
-    spark.conf.unset(ROWS_PER_BUCKET_CONF)
-
-
 @settings(**SETTINGS)
 @given(st.lists(row_st, min_size=1, max_size=40), NB)
 def test_running_and_count_windows(spark, data, nb):
@@ -109,3 +100,45 @@ def test_sequence_match_within_brute_force(spark, data, nb, within_s):
                                        within_us=within_s * 1_000_000),
                "k", "id0", "id1", "id2")
     assert got == _brute_matches(data, within_s)
+
+
+SPREAD = {
+    "outlier": "case when id = 0 then 1000000000000 else id end",
+    "two_values": "id % 2",
+    "half_null": "case when id % 2 = 0 then null else id end",
+    "text": "concat('name ', cast(id * 7919 % 1000 as string))",
+    "skewed_text": "case when id % 3 > 0 then 'hot' else cast(id as string) end",
+    "decimal": "cast(id % 13 as decimal(20, 3)) / 7",
+}
+
+
+@pytest.mark.parametrize("name", sorted(SPREAD))
+@pytest.mark.parametrize("asc", [True, False])
+def test_buckets_are_even_for_any_distribution(spark, name, asc):
+    from eventide.plans import prefix
+    df = spark.range(0, 20000, 1, 5).selectExpr(f"{SPREAD[name]} as v", "id")
+    sizes = [r["count"] for r in prefix.with_buckets(df, [("v", asc), "id"], 20).groupBy(prefix.BUCKET).count().collect()]
+    assert sum(sizes) == 20000 and max(sizes) <= 3 * 1000, sizes
+    # buckets follow the order
+    edge = prefix.with_buckets(df, [("v", asc), "id"], 20)
+    w = Window.orderBy(*prefix.sort_columns([("v", asc), "id"]))
+    assert edge.withColumn("back", F.col(prefix.BUCKET) < F.lag(prefix.BUCKET).over(w)).where("back").count() == 0
+
+
+def test_a_hot_key_is_spread(spark):
+    from eventide.plans import prefix
+    df = spark.range(0, 20000, 1, 5).selectExpr("case when id % 10 > 0 then 'hot' else cast(id as string) end as k", "id")
+    b, kcols, _ = prefix.prepare(df, ["k"], ["id"], 20)
+    rows_of = b.where("k = 'hot'").groupBy(prefix.BUCKET).count().collect()
+    assert len(rows_of) >= 15 and max(r["count"] for r in rows_of) <= 3000
+
+
+def test_row_numbers_over_text_and_reduce_operators(spark):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else f"n{i * 37 % 11}", float(i % 4)) for i in range(60)], "id bigint, s string, v double")
+    got = rows(keyed.row_numbers(df, [], [("s", False), "id"], n_buckets=7), "id", "rn")
+    w = Window.orderBy(F.col("s").desc_nulls_last(), "id")
+    assert got == rows(df.withColumn("rn", F.row_number().over(w).cast("bigint")), "id", "rn")
+    for op, fn in (("max", F.max), ("min", F.min), ("count", F.count), ("sum", F.sum)):
+        got = rows(keyed.running_reduce(df, "s", "id", "v", n_buckets=4, op=op), "id", "running_sum")
+        wk = Window.partitionBy("s").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+        assert got == rows(df.withColumn("running_sum", fn("v").over(wk)), "id", "running_sum")
