@@ -17,31 +17,46 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _with_negation(pred: Column, negation: Column) -> Column:
+    """Remember how to negate ``pred`` in a form the scan can push down; a NULL
+    field satisfies the negation."""
+    pred.__dict__["negation"] = negation
+    return pred
+
+
 def term(col: Column | str, value) -> Column:
     """Exact equality on an un-analysed field (F1)."""
-    return _c(col) == F.lit(value)
+    c = _c(col)
+    return _with_negation(c == F.lit(value), c.isNull() | (c != F.lit(value)))
 
 
 def terms(col: Column | str, values: Iterable) -> Column:
     """Equality with any of a list of values (F9 ``include``)."""
-    return _c(col).isin(list(values))
+    c = _c(col)
+    pred = c.isin(list(values))
+    return _with_negation(pred, c.isNull() | ~pred)
 
 
 def range_between(col: Column | str, lo=None, hi=None) -> Column:
     """Range with both ends inclusive (F6); an open end is ``None``."""
     c = _c(col)
+    out = c.isNull()
+    if lo is not None:
+        out = out | (c < F.lit(lo))
+    if hi is not None:
+        out = out | (c > F.lit(hi))
     if lo is not None and hi is not None:
-        return c.between(F.lit(lo), F.lit(hi))
+        return _with_negation(c.between(F.lit(lo), F.lit(hi)), out)
     if lo is not None:
-        return c >= F.lit(lo)
+        return _with_negation(c >= F.lit(lo), out)
     if hi is not None:
-        return c <= F.lit(hi)
-    return c.isNotNull()
+        return _with_negation(c <= F.lit(hi), out)
+    return _with_negation(c.isNotNull(), out)
 
 
 def exists(col: Column | str) -> Column:
     """Field present (F7).  An empty string counts as present."""
-    return _c(col).isNotNull()
+    return _with_negation(_c(col).isNotNull(), _c(col).isNull())
 
 
 def match_all() -> Column:
@@ -50,20 +65,23 @@ def match_all() -> Column:
 
 
 def must(*preds: Column) -> Column:
-    """All clauses hold (F3, F5).  A NULL clause fails the row."""
-    if not preds:
-        return F.lit(True)
-    return reduce(lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in preds])
+    """All clauses hold (F3, F5): plain conjunction, so that each clause can
+    reach the scan.  A NULL clause makes it NULL or false, which a filter
+    rejects alike."""
+    return reduce(lambda a, b: a & b, preds) if preds else F.lit(True)
 
 
 def must_not(*preds: Column) -> Column:
-    """No clause holds (F4).  A row lacking the field (NULL) satisfies it."""
+    """No clause holds (F4).  A row lacking the field (NULL) satisfies it.
+    Clauses built in this module are negated in a form the scan can take."""
     if not preds:
         return F.lit(True)
-    return reduce(lambda a, b: a & b, [~F.coalesce(p, F.lit(False)) for p in preds])
+    return reduce(lambda a, b: a & b, [p.__dict__.get("negation", ~F.coalesce(p, F.lit(False))) for p in preds])
 
 
 def bool_query(must_: Iterable[Column] = (), must_not_: Iterable[Column] = (),
                filter_: Iterable[Column] = ()) -> Column:
     """Boolean query: ``must`` and ``filter`` are ANDed, ``must_not`` negated."""
-    return must(*list(must_), *list(filter_)) & must_not(*list(must_not_))
+    clauses = [*must_, *filter_]
+    parts = ([must(*clauses)] if clauses else []) + ([must_not(*must_not_)] if must_not_ else [])
+    return reduce(lambda a, b: a & b, parts) if parts else F.lit(True)

@@ -30,14 +30,16 @@ def terms(df: DataFrame, field: str, size: int = 10, count_name: str = "doc_coun
 
 
 def avg_or_zero(df: DataFrame, field: str, name: str = "avg_value") -> DataFrame:
-    """Global average; an empty input gives 0.0 instead of NULL (A2)."""
-    return df.agg(F.coalesce(F.avg(field), F.lit(0.0)).alias(name))
+    """Global average as a double; an empty input gives 0.0 instead of NULL (A2).
+
+    The sum is in the field's own type: exact, and so independent of the order
+    of addition, where the caller passes an integer or DECIMAL field.
+    """
+    return df.agg(F.coalesce(_average(F.sum(field), F.count(field)), F.lit(0.0)).alias(name))
 
 
-def avg_cents(df: DataFrame, field: str, name: str = "avg_value") -> DataFrame:
-    """Average of a money-like field, summed exactly in whole cents."""
-    cents = F.round(F.col(field) * 100).cast("bigint")
-    return df.agg(F.coalesce(F.sum(cents) / F.count(cents) / F.lit(100.0), F.lit(0.0)).alias(name))
+def _average(total: Column, n: Column) -> Column:
+    return F.when(n > 0, total.cast("double") / n.cast("double"))
 
 
 def avg_epoch_ms(df: DataFrame, ts: str, prefix: str = "avg") -> DataFrame:
@@ -72,24 +74,28 @@ def _total() -> Column:
 def cardinality(df: DataFrame, field: str, exact: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct non-NULL values plus the total row count (A4, A5).
 
-    The approximate form is a HyperLogLog++ sketch merged across tasks; the
-    exact form counts the distinct groups.
+    The approximate form runs HyperLogLog++ over the rows themselves: a task
+    sends one sketch of fixed size, whatever the number of distinct values.
+    The exact form counts the distinct groups.
     """
-    g = _per_value(df, field)
-    dist = F.count(field) if exact else F.approx_count_distinct(field, rsd)
-    return g.agg(dist.alias("cardinality"), _total())
+    if not exact:
+        return df.agg(F.approx_count_distinct(field, rsd).alias("cardinality"), F.count(F.lit(1)).alias("total"))
+    return _per_value(df, field).agg(F.count(field).alias("cardinality"), _total())
 
 
 def cardinality_check(df: DataFrame, field: str, rsd: float = 0.01, tolerance: float = 0.05) -> DataFrame:
-    """Whether the approximate distinct count is within ``tolerance`` of exact."""
-    g = _per_value(df, field)
-    approx, exact = F.approx_count_distinct(field, rsd), F.count(field)
-    return g.agg((F.abs(approx - exact) <= F.lit(tolerance) * exact).alias("within_5pct"), _total())
+    """The exact distinct count, and whether the approximate one is within
+    ``tolerance`` of it."""
+    exact = cardinality(df, field, exact=True)
+    approx = cardinality(df, field, rsd=rsd).select("cardinality").scalar()
+    return exact.select((F.abs(approx - F.col("cardinality")) <= F.lit(tolerance) * F.col("cardinality")).alias("within_5pct"),
+                        "cardinality", "total")
 
 
 def _bucket_index(ts: Column, width_us: int, offset_us: int = 0) -> Column:
-    us = F.unix_micros(ts.cast("timestamp"))
-    return F.floor((us - F.lit(offset_us)) / F.lit(width_us)).cast("bigint")
+    us = F.unix_micros(ts.cast("timestamp")) - F.lit(int(offset_us)).cast("bigint")
+    width = F.lit(int(width_us)).cast("bigint")
+    return F.call_function("div", us - F.pmod(us, width), width)     # floor, in integers
 
 
 def _bucket_start(idx: Column, width_us: int, offset_us: int = 0) -> Column:
@@ -153,12 +159,13 @@ def terms_and_avg(df: DataFrame, field: str, value: str, count_name: str = "doc_
                   avg_name: str = "avg_value") -> DataFrame:
     """Per-term counts and averages plus the overall row, in one scan (A10).
 
-    ``GROUPING SETS ((field), ())`` computes both grains from one Expand; the
-    result is not limited by any page size.  Averages are exact in cents.
+    The rows are grouped by term once; the overall row is rolled up from the
+    terms' sums, so no row is expanded.  The result is not limited by any page
+    size.  Sums are in the value's own type, as in :func:`avg_or_zero`.
     """
-    cents = F.round(F.col(value) * 100).cast("bigint")
-    return (df.groupingSets([[F.col(field)], []], F.col(field))
-              .agg(F.grouping_id().alias("_g"),
-                   F.count(F.lit(1)).alias(count_name),
-                   (F.sum(cents) / F.count(cents) / F.lit(100.0)).alias(avg_name))
-              .select(field, (F.col("_g") == 1).alias("is_total"), count_name, avg_name))
+    per_term = df.groupBy(field).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"), F.count(value).alias("_c"))
+    return (per_term.groupingSets([[F.col(field)], []], F.col(field))
+            .agg(F.grouping_id().alias("_g"), F.sum("_n").alias(count_name),
+                 _average(F.sum("_s"), F.sum("_c")).alias(avg_name))
+            .select(field, (F.col("_g") == 1).alias("is_total"), count_name, avg_name)
+            .where((F.col(count_name) > 0)))
