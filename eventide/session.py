@@ -49,21 +49,24 @@ def ensure_conf(spark: SparkSession) -> None:
     for k, v in _CORE_CONF.items():
         if k.startswith("spark.ui"):
             continue
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
+        elif spark.conf.get(k, None) != v:
+            raise RuntimeError(f"the session was built with {k}={spark.conf.get(k, None)}; this library needs {v}")
     checkpoint_root(spark)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a private folder is set.
+    Only on a local master, where nothing is configured, a private folder is
+    set; a cluster without a shared folder is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="eventide-ckpt-", dir=os.environ.get("EVENTIDE_SCRATCH", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

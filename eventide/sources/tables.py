@@ -6,6 +6,7 @@ predicates, so pruning and pushdown happen in the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -22,17 +23,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[st
 
 
 def wildcard_scan(spark: SparkSession, pattern: str, doc_type: str | None = None,
-                  type_col: str = "type", merge_schema: bool = True,
+                  type_col: str = "type", merge_schema: bool = False,
                   with_dataset: bool = True) -> DataFrame:
     """Scan every dataset matching a path glob, like an index wildcard.
 
-    ``_dataset`` (when ``with_dataset``) names the folder each row came from.
-    ``doc_type`` of ``None`` or ``"*"`` means every type; otherwise rows of
-    that type only.
+    ``_dataset`` (when ``with_dataset``) is the path component of the row's
+    file that the last component of the glob matches, without a ``.parquet``
+    ending: a folder of part files or a single file.  ``doc_type`` of ``None``
+    or ``"*"`` means every type; otherwise rows of that type only.
+    ``merge_schema`` opens every footer; datasets of different columns need it.
     """
     df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(pattern)
     if with_dataset:
-        df = df.withColumn("_dataset", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
+        depth = len([x for x in re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "", pattern).split("/") if x])
+        plain = F.regexp_replace(F.col("_metadata.file_path"), r"^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "")
+        part = F.element_at(F.split(plain, "/+"), depth)
+        df = df.withColumn("_dataset", F.regexp_replace(F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B"))), r"\.parquet$", ""))
     if doc_type not in (None, "*"):
         df = df.where(F.col(type_col) == F.lit(doc_type))
     return df
