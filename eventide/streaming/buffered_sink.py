@@ -5,22 +5,23 @@ micro-batches; each full buffer is written under ``file_name=<key of its last
 row>``, replacing the earlier content of that name.  The partial last buffer
 is carried to the next micro-batch in a versioned table.
 
-Exactly-once: every micro-batch writes its carry under its own batch id and
-then a commit marker holding the number of rows consumed so far.  A
+Exactly-once: every micro-batch writes its carry into the free one of two
+slots and then a commit marker holding the number of rows consumed so far.  A
 re-delivered batch id at or below the last marker is skipped; a batch that
 failed before its marker is redone with the same inputs, and its output
 overwrite is idempotent.  Nothing is kept in driver or executor memory
-between batches, and versions older than the previous batch's are removed
-(:mod:`eventide.streaming.state_log`).
+between batches (:mod:`eventide.streaming.state_log`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.operators.keyed import row_numbers
-from eventide.streaming.state_log import commit, last_commit
+from eventide.streaming.state_log import commit, keep, kept_path, last_commit, next_slot
+
+_MARKER = "batch_id bigint, consumed bigint"
 
 
 class BufferedSink:
@@ -28,19 +29,15 @@ class BufferedSink:
         self.path, self.name_col, self.seq, self.n, self.fmt = path.rstrip("/"), name_col, seq, n, fmt
         self.state = f"{self.path}/_buffer_state"
 
-    def _last_commit(self, spark: SparkSession) -> tuple[int, int]:
-        r = last_commit(spark, self.state)
-        return (int(r.batch_id), int(r.consumed)) if r else (-1, 0)
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        last_id, consumed = self._last_commit(spark)
-        if batch_id <= last_id:
+        last = last_commit(spark, self.state, _MARKER)
+        consumed = int(last.consumed) if last else 0
+        if last and batch_id <= last.batch_id:
             return
         rows = batch
-        if last_id >= 0:
-            pending = spark.read.schema(batch.schema).parquet(f"{self.state}/pending/batch={last_id}")
-            rows = pending.unionByName(batch)
+        if last:
+            rows = spark.read.schema(batch.schema).parquet(kept_path(self.state, last.slot)).unionByName(batch)
         numbered = (row_numbers(rows, [], [self.seq], "_rn")
                     .withColumn("_pos", F.col("_rn") + F.lit(consumed))
                     .withColumn("buffer_idx", F.expr(f"(_pos - 1) div {self.n}")).drop("_rn"))
@@ -58,9 +55,9 @@ class BufferedSink:
             n_full = full.count()
             tail = numbered.join(per_buf.where(F.col("buffer_rows") < self.n).select("buffer_idx"),
                                  "buffer_idx").select(*batch.columns)
-            tail.write.mode("overwrite").parquet(f"{self.state}/pending/batch={batch_id}")
-            commit(spark, self.state, batch_id, (batch_id, consumed + n_full * self.n),
-                   "batch_id bigint, consumed bigint", last_id, ["pending"])
+            slot = next_slot(last)
+            keep(tail, self.state, slot)
+            commit(spark, self.state, slot, (batch_id, consumed + n_full * self.n), _MARKER)
         finally:
             numbered.unpersist()
 

@@ -13,6 +13,8 @@ microseconds.  Timers are in milliseconds, as Spark's watermark is.
 
 from __future__ import annotations
 
+import bisect
+import re
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -22,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 
 # The processors travel to the Python workers (and to the driver-side runner
@@ -49,41 +51,70 @@ def _ts(us) -> np.ndarray:
     return np.asarray(us, dtype="int64").astype("datetime64[us]")
 
 
-def _int64(a: np.ndarray) -> np.ndarray:
-    return np.nan_to_num(a.astype("float64")).astype("int64") if a.dtype.kind == "f" else a.astype("int64")
-
-
-def _trunc_div(s: np.ndarray, n: int) -> np.ndarray:
-    """Integer division truncating toward zero (Java / Spark ``div``)."""
-    q = np.abs(s) // n
-    return np.where(s < 0, -q, q)
+def _state(**types: str) -> StructType:
+    """A state schema; built where the query is, since DDL is parsed by the JVM."""
+    return StructType.fromDDL(", ".join(f"{k} {t}" for k, t in types.items()))
 
 
 def _key_value(key) -> object:
     return key[0] if isinstance(key, tuple) else key
 
 
+# Values reach the handlers without NULLs, beside a flag that tells them: a
+# NULL in an integer column would turn it into floating point on the way.
+
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _sum_type(dtype: str) -> str:
+    """Type of a sum, as Spark's batch ``sum`` has it."""
+    if dtype in _WHOLE:
+        return "bigint"
+    if dtype in ("float", "double"):
+        return "double"
+    m = re.fullmatch(r"decimal\((\d+),(\d+)\)", dtype)
+    if not m:
+        raise TypeError(f"cannot sum a {dtype}: cast it to an integer, double or decimal type first")
+    return f"decimal({min(38, int(m[1]) + 10)},{m[2]})"
+
+
+def _split_nulls(stream: DataFrame, key: str, seq: str, value: str) -> tuple[DataFrame, str]:
+    kind = _sum_type(dict(stream.dtypes)[value])
+    return stream.select(seq, key, F.coalesce(F.col(value).cast(kind), F.lit(0).cast(kind)).alias("amount"),
+                         F.col(value).isNotNull().alias("given")), kind
+
+
+def _numbers(a: np.ndarray, kind: str) -> np.ndarray:
+    return a if kind.startswith("decimal") else a.astype("int64" if kind == "bigint" else "float64")
+
+
+def _scalar(x, kind: str):
+    return x if kind.startswith("decimal") else (int(x) if kind == "bigint" else float(x))
+
+
 # --------------------------------------------------------------------------- A8
 
 class RunningSum(StatefulProcessor):
-    """One output row per input row: the key's sum so far, in ``seq`` order."""
+    """One output row per input row: the key's sum so far, in ``seq`` order,
+    and whether any value was given so far."""
 
-    def __init__(self, key: str, seq: str, value: str, name: str = "running_sum"):
-        self.key_col, self.seq, self.value, self.name = key, seq, value, name
+    def __init__(self, key: str, seq: str, kind: str):
+        self.key_col, self.seq, self.kind = key, seq, kind
+        self.state = _state(s=kind, n="bigint")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", StructType([StructField("s", LongType())]))
+        self.total = handle.getValueState("total", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        a = _arrays(rows, [self.seq, self.value])
+        a = _arrays(rows, [self.seq, "amount", "given"])
         o = np.argsort(a[self.seq], kind="stable")
-        seq, v = a[self.seq][o], _int64(a[self.value][o])
+        seq, v, given = a[self.seq][o], _numbers(a["amount"][o], self.kind), a["given"][o].astype(bool)
         cur = self.total.get()                          # None when the key is new
-        base = cur[0] if cur is not None else 0
-        run = base + np.cumsum(v)
-        self.total.update((int(run[-1]),))
+        base, count = cur if cur is not None else (_scalar(0, self.kind) if not self.kind.startswith("decimal") else v[0] - v[0], 0)
+        run, n = base + np.cumsum(v), count + np.cumsum(given)
+        self.total.update((_scalar(run[-1], self.kind), int(n[-1])))
         yield pd.DataFrame({self.seq: seq, self.key_col: np.repeat(_key_value(key), len(seq)),
-                            self.value: v, self.name: run})
+                            "amount": v, "given": given, "total": run, "some": n > 0})
 
     def close(self) -> None:
         pass
@@ -91,60 +122,63 @@ class RunningSum(StatefulProcessor):
 
 def running_reduce(stream: DataFrame, key: str, seq: str, value: str,
                    name: str = "running_sum") -> DataFrame:
+    """Running sum in the value's own type; NULL values do not contribute, and
+    the sum is NULL until one does, as in the batch form."""
     types = dict(stream.dtypes)
-    schema = (f"{seq} {types[seq]}, {key} {types[key]}, {value} bigint, {name} bigint")
-    return (stream.select(seq, key, F.col(value).cast("bigint").alias(value))
-                  .groupBy(key)
-                  .transformWithStateInPandas(RunningSum(key, seq, value, name), schema,
-                                              "Append", "None"))
+    src, kind = _split_nulls(stream, key, seq, value)
+    schema = f"{seq} {types[seq]}, {key} {types[key]}, amount {kind}, given boolean, total {kind}, some boolean"
+    out = src.groupBy(key).transformWithStateInPandas(RunningSum(key, seq, kind), schema, "Append", "None")
+    return out.select(seq, key, F.when(F.col("given"), F.col("amount")).cast(types[value]).alias(value),
+                      F.when(F.col("some"), F.col("total")).alias(name))
 
 
 # --------------------------------------------------------------------------- A9
 
 class CountWindowAverage(StatefulProcessor):
-    """Every ``n`` rows of a key: emit ``sum div n``; an open window is kept
-    in state (count so far, pending sum, first sequence number)."""
+    """Every ``n`` rows of a key: emit their sum and how many gave a value; an
+    open window is kept in state (count so far, pending sum and values, first
+    sequence number)."""
 
-    def __init__(self, key: str, seq: str, value: str, n: int):
-        self.key_col, self.seq, self.value, self.n = key, seq, value, n
+    def __init__(self, key: str, seq: str, n: int, kind: str):
+        self.key_col, self.seq, self.n, self.kind = key, seq, n, kind
+        self.state = _state(cnt="bigint", pend_s=kind, pend_n="bigint", pend_first="bigint")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", StructType([
-            StructField("cnt", LongType()), StructField("pend_s", LongType()),
-            StructField("pend_first", LongType())]))
+        self.acc = handle.getValueState("acc", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n = self.n
-        a = _arrays(rows, [self.seq, self.value])
+        a = _arrays(rows, [self.seq, "amount", "given"])
         o = np.argsort(a[self.seq], kind="stable")
-        seq, v = a[self.seq][o].astype("int64"), _int64(a[self.value][o])
+        seq, v = a[self.seq][o].astype("int64"), _numbers(a["amount"][o], self.kind)
+        given = a["given"][o].astype("int64")
         cur = self.acc.get()
-        cnt, pend_s, pend_first = cur if cur is not None else (0, 0, None)
+        cnt, pend_s, pend_n, pend_first = cur if cur is not None else (0, None, 0, None)
         open_n = cnt % n
+        weight = np.ones(len(o), dtype="int64")
         if open_n:                                      # rows of the window left open earlier
-            v = np.concatenate([[pend_s], v])
+            v = np.concatenate([np.array([pend_s], dtype=v.dtype), v])
+            given = np.concatenate([[pend_n], given])
             seq = np.concatenate([[pend_first], seq])
-            weight = np.concatenate([[open_n], np.ones(len(o), dtype="int64")])
-        else:
-            weight = np.ones(len(o), dtype="int64")
+            weight = np.concatenate([[open_n], weight])
         pos = (cnt - open_n) + np.cumsum(weight)        # 1-based position of each row's end
         win = (pos - 1) // n
         starts = np.flatnonzero(np.r_[True, win[1:] != win[:-1]])
-        s = np.add.reduceat(v, starts)
-        c = np.add.reduceat(weight, starts)
+        s, c, g = np.add.reduceat(v, starts), np.add.reduceat(weight, starts), np.add.reduceat(given, starts)
         first = seq[starts]
         last = seq[np.r_[starts[1:], len(seq)] - 1]
         full = c == n
         new_cnt = int(cnt + len(o))
         if c[-1] < n:
-            self.acc.update((new_cnt, int(s[-1]), int(first[-1])))
+            self.acc.update((new_cnt, _scalar(s[-1], self.kind), int(g[-1]), int(first[-1])))
         else:
-            self.acc.update((new_cnt, 0, None))
+            self.acc.update((new_cnt, None, 0, None))
         if full.any():
             yield pd.DataFrame({
                 self.key_col: np.repeat(_key_value(key), int(full.sum())),
                 "window_idx": win[starts][full],
-                "avg_value": _trunc_div(s[full], n),
+                "total": s[full],
+                "given": g[full],
                 "first_seq": first[full],
                 "last_seq": last[full]})
 
@@ -153,13 +187,13 @@ class CountWindowAverage(StatefulProcessor):
 
 
 def count_window_avg(stream: DataFrame, key: str, seq: str, value: str, n: int = 2) -> DataFrame:
+    """Average of every ``n`` rows, divided as in the batch form."""
     types = dict(stream.dtypes)
-    schema = (f"{key} {types[key]}, window_idx bigint, avg_value bigint, "
-              "first_seq bigint, last_seq bigint")
-    return (stream.select(seq, key, F.col(value).cast("bigint").alias(value))
-                  .groupBy(key)
-                  .transformWithStateInPandas(CountWindowAverage(key, seq, value, n), schema,
-                                              "Append", "None"))
+    src, kind = _split_nulls(stream, key, seq, value)
+    schema = f"{key} {types[key]}, window_idx bigint, total {kind}, given bigint, first_seq bigint, last_seq bigint"
+    out = src.groupBy(key).transformWithStateInPandas(CountWindowAverage(key, seq, n, kind), schema, "Append", "None")
+    avg = F.expr(f"total div {n}") if types[value] in _WHOLE else F.col("total") / F.lit(n)
+    return out.select(key, "window_idx", F.when(F.col("given") > 0, avg).alias("avg_value"), "first_seq", "last_seq")
 
 
 # --------------------------------------------------------------------------- T1
@@ -167,77 +201,77 @@ def count_window_avg(stream: DataFrame, key: str, seq: str, value: str, n: int =
 class InactivityTimeout(StatefulProcessor):
     """Per key a running count; emit ``(key, count, last, last + gap)`` when
     ``gap`` of event time passes without an update.  The count is never
-    reset.
-
-    When a key's own next row arrives more than ``gap`` after the last one,
-    the pending emission is made first and then the state is updated, so the
-    result does not depend on how rows fall into micro-batches.  A gap of
-    exactly ``gap`` is not a timeout.
-
-    Rows are taken in (event time, seq) order within a micro-batch, on
-    arrival.  Parity with the batch form therefore assumes a key's rows do
-    not arrive in a later micro-batch with an event time before rows already
-    seen; with a 0 s watermark delay such rows are late and dropped by Spark
-    (and counted in ``numRowsDroppedByWatermark``), while batch keeps them.
+    reset.  A gap of exactly ``gap`` is not a timeout.
+
+    Rows are buffered until the watermark passes them and then taken in (event
+    time, seq) order, so the result does not depend on how they arrive or fall
+    into micro-batches, whatever the watermark's delay.
     """
 
-    def __init__(self, key: str, ts: str, seq: str, gap_us: int):
+    def __init__(self, key: str, ts: str, seq: str, gap_us: int, seq_type: str = "bigint"):
         self.key_col, self.ts, self.seq, self.gap = key, ts, seq, int(gap_us)
+        self.buffered, self.state = _state(ts_us="bigint", seq=seq_type), _state(count="bigint", last_us="bigint", fired="bigint")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # fired = 1 once the timer has emitted the current ``last``
-        self.st = handle.getValueState("st", StructType([
-            StructField("count", LongType()), StructField("last_us", LongType()),
-            StructField("fired", LongType())]))
+        self.buf = handle.getListState("buf", self.buffered)
+        # fired = 1 once the row counted last has been reported
+        self.st = handle.getValueState("st", self.state)
 
-    def _timer_ms(self, last_us: int) -> int:
-        return -((-(last_us + self.gap)) // 1000)  # ceil to whole ms
+    @staticmethod
+    def _timer_ms(us: int) -> int:
+        return -((-us) // 1000)  # ceil to whole ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         a = _arrays(rows, [self.ts, self.seq])
-        ts_all = _us(a[self.ts])
-        ts = ts_all[np.lexsort((a[self.seq], ts_all))]
-        cur = self.st.get()
-        count, last, fired = cur if cur is not None else (0, None, 0)
-        prev = np.empty_like(ts)
-        prev[1:] = ts[:-1]
-        has_prev = np.ones(len(ts), dtype=bool)
-        if last is None or fired:
-            has_prev[0] = False  # nothing pending: new key, or already emitted by the timer
-            prev[0] = 0 if last is None else last
-        else:
-            prev[0] = last
-            self.handle.deleteTimer(self._timer_ms(last))
-        fire = has_prev & (ts - prev > self.gap)
-        counts_before = count + np.arange(len(ts))       # count when the previous row was last
-        self.st.update((int(count + len(ts)), int(ts[-1]), 0))
-        self.handle.registerTimer(self._timer_ms(int(ts[-1])))
-        if fire.any():
-            p = prev[fire]
-            yield pd.DataFrame({self.key_col: np.repeat(_key_value(key), len(p)),
-                                "count": counts_before[fire].astype("int64"),
-                                "last_ts": _ts(p), "fire_ts": _ts(p + self.gap)})
+        ts = _us(a[self.ts])
+        self.buf.appendList(list(zip(ts.tolist(), a[self.seq].tolist())))
+        self.handle.registerTimer(self._timer_ms(int(ts.min())))
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        buf = sorted(self.buf.get()) if self.buf.exists() else []
+        at = bisect.bisect_right(buf, wm_us, key=lambda r: r[0])
         cur = self.st.get()
-        if cur is not None:
-            count, last, fired = cur
-            if not fired and self._timer_ms(last) == expiredTimerInfo.getExpiryTimeInMs():
-                self.st.update((count, last, 1))
-                yield pd.DataFrame({self.key_col: [_key_value(key)], "count": [int(count)],
-                                    "last_ts": _ts([last]), "fire_ts": _ts([last + self.gap])})
+        count, last, fired = cur if cur is not None else (0, None, 0)
+        if at:
+            ts = np.array([r[0] for r in buf[:at]], dtype="int64")
+            prev = np.concatenate([[last if last is not None else ts[0]], ts[:-1]])
+            fire = ts - prev > self.gap
+            fire[0] &= last is not None and not fired
+            counts = count + np.arange(at)              # count when the previous row was last
+            if fire.any():
+                yield self._rows(key, counts[fire], prev[fire])
+            count, last, fired = int(count + at), int(ts[-1]), 0
+            self.buf.clear()
+            if buf[at:]:
+                self.buf.put(buf[at:])
+                self.handle.registerTimer(self._timer_ms(buf[at][0]))
+        if last is not None and not fired:
+            due = last + self.gap
+            if due > wm_us:
+                self.handle.registerTimer(self._timer_ms(due))
+            elif not buf[at:] or buf[at][0] - last > self.gap:
+                yield self._rows(key, np.array([count]), np.array([last]))
+                fired = 1
+        self.st.update((count, last, fired))
+
+    def _rows(self, key, count: np.ndarray, last: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({self.key_col: np.repeat(_key_value(key), len(count)), "count": count.astype("int64"),
+                             "last_ts": _ts(last), "fire_ts": _ts(last + self.gap)})
 
     def close(self) -> None:
         pass
 
 
 def inactivity_timeout(stream: DataFrame, key: str, ts: str, seq: str, gap_us: int) -> DataFrame:
-    """Needs a watermark on ``ts``; emits append-only rows."""
+    """Needs a watermark on ``ts``; emits append-only rows.  Rows behind the
+    watermark when they arrive, or without event time, are dropped."""
     types = dict(stream.dtypes)
     schema = f"{key} {types[key]}, count bigint, last_ts timestamp, fire_ts timestamp"
-    return (stream.select(key, ts, seq).groupBy(key)
-                  .transformWithStateInPandas(InactivityTimeout(key, ts, seq, gap_us), schema,
+    return (stream.where(F.col(ts).isNotNull()).select(key, *dict.fromkeys([ts, seq])).groupBy(key)
+                  .transformWithStateInPandas(InactivityTimeout(key, ts, seq, gap_us, types[seq]), schema,
                                               "Append", "EventTime"))
 
 
@@ -253,18 +287,16 @@ class SequencePattern(StatefulProcessor):
     """
 
     def __init__(self, key: str | None, ts: str, seq: str, id_col: str, n_stages: int,
-                 within_us: int | None = None):
+                 within_us: int | None = None, seq_type: str = "bigint", id_type: str = "bigint"):
         self.key_col, self.ts, self.seq, self.id_col, self.k = key, ts, seq, id_col, n_stages
         self.within = within_us
+        self.buffered = _state(ts_us="bigint", seq=seq_type, id=id_type, mask="bigint")
+        self.waiting = _state(stage="bigint", start_us="bigint", ids=f"array<{id_type}>")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", StructType([
-            StructField("ts_us", LongType()), StructField("seq", LongType()),
-            StructField("id", LongType()), StructField("mask", LongType())]))
-        self.partial = handle.getListState("partial", StructType([
-            StructField("stage", LongType()), StructField("start_us", LongType()),
-            StructField("ids", ArrayType(LongType()))]))
+        self.buf = handle.getListState("buf", self.buffered)
+        self.partial = handle.getListState("partial", self.waiting)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         a = _arrays(rows, list(dict.fromkeys([self.ts, self.seq, self.id_col, "stage_mask"])))
@@ -313,7 +345,7 @@ class SequencePattern(StatefulProcessor):
             self.buf.put(rest)
             self.handle.registerTimer(-((-int(rest[0][0])) // 1000))
         if done:
-            out = {f"id{i}": np.array([d[1][i] for d in done], dtype="int64") for i in range(self.k)}
+            out = {f"id{i}": [d[1][i] for d in done] for i in range(self.k)}
             if self.key_col is not None:
                 out = {self.key_col: np.repeat(_key_value(key), len(done)), **out}
             out["start_ts"] = _ts([d[0] for d in done])
@@ -343,9 +375,9 @@ def sequence_match(stream: DataFrame, stages: Sequence[Column], ts: str, seq: st
     base = list(dict.fromkeys([ts, seq, id_col]))      # id and seq may be one column
     src = stream.select(*([key] if key else [F.lit(0).alias("all_rows")]), *base, mask)
     key_schema = f"{key} {types[key]}, " if key else ""
-    schema = (key_schema + ", ".join(f"id{i} bigint" for i in range(k))
+    schema = (key_schema + ", ".join(f"id{i} {types[id_col]}" for i in range(k))
               + ", start_ts timestamp, end_ts timestamp, ids string")
-    return (src.groupBy(gkey)
-               .transformWithStateInPandas(SequencePattern(key, ts, seq, id_col, k, within_us), schema,
-                                           "Append", "EventTime"))
+    return (src.where(F.col(ts).isNotNull()).groupBy(gkey)
+               .transformWithStateInPandas(SequencePattern(key, ts, seq, id_col, k, within_us, types[seq], types[id_col]),
+                                           schema, "Append", "EventTime"))
 

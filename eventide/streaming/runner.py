@@ -16,8 +16,13 @@ from pyspark.sql.types import StructType
 from eventide.session import scratch_path
 
 
+# Files a micro-batch takes at most: bounds what one batch reads and one key's
+# handler call sees, however much is available.
+FILES_PER_TRIGGER = 64
+
+
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -25,7 +30,8 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 
 
 def event_stream(spark: SparkSession, path: str, schema: StructType, ts: str = "ts",
-                 delay: str | None = "0 seconds", max_files_per_trigger: int | None = None) -> DataFrame:
+                 delay: str | None = "0 seconds",
+                 max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """Event stream with ``ts`` as TIMESTAMP and, when ``delay`` is given, a
     watermark.  TIMESTAMP_NTZ is cast first: watermarks refuse it."""
     df = file_stream(spark, path, schema, max_files_per_trigger=max_files_per_trigger)
@@ -41,7 +47,8 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, columns=None, **kw
     schema = spark.read.parquet(path).schema
     if columns:
         schema = StructType([f for f in schema.fields if f.name in columns])
-    return event_stream(spark, f"{sf_dir.rstrip('/')}/{name}*.parquet", schema, **kw)
+    # a stream source reads a single file only through a glob: this one matches that name alone
+    return event_stream(spark, f"{sf_dir.rstrip('/')}/{name}.parque[t]", schema, **kw)
 
 
 def start_to_parquet(df: DataFrame, out: str, checkpoint: str, output_mode: str = "append",

@@ -1,67 +1,47 @@
 """Versioned state for ``foreachBatch`` sinks.
 
-A sink writes the rows it carries under ``<state>/<folder>/batch=<id>`` and
-then its commit marker under ``<state>/commits/batch=<id>``.  After a commit,
-versions older than the previous commit are removed, as Spark keeps only
-recent batches of its own logs.  The folders hold at most two versions
-however long the stream runs, so reading the commit log costs the same at
-every batch.  Deletion goes through the Hadoop FileSystem of the path, so it
-works on any shared store the checkpoint root is on.
+A sink carries rows from one micro-batch to the next in two slots used in
+turn: a batch reads the slot of the last commit and overwrites the other, then
+writes its commit marker there too.  A crash at any point leaves the last
+committed slot whole, and the state never holds more than two versions.  Only
+DataFrame reads and writes are used, so it works on any shared store.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from pyspark.sql import Row, SparkSession
 
+def last_commit(spark: SparkSession, state: str, schema: str) -> Row | None:
+    """The latest commit marker with its ``slot``, or ``None`` before the first.
 
-def last_commit(spark: SparkSession, state: str) -> Row | None:
-    """The latest commit marker, or ``None`` before the first commit.
-
-    Only the newest ``batch=<n>`` folder holding a data file is read (a
-    marker whose write did not commit has none).  A read error is raised,
-    not taken for "no commit", so a storage fault cannot restart a sink from
-    empty state.
+    A slot whose marker was never finished is passed over; any other read error
+    is raised, so that a storage fault cannot restart a sink from empty state.
     """
-    fs, path = _fs(spark, f"{state}/commits")
-    if not fs.exists(path):
-        return None
-    done = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and name[6:].isdigit() and any(
-                not c.getPath().getName().startswith(("_", ".")) for c in fs.listStatus(st.getPath())):
-            done.append(int(name[6:]))
-    if not done:
-        return None
-    return spark.read.parquet(f"{state}/commits/batch={max(done)}").first()
+    found = []
+    for slot in (0, 1):
+        try:
+            found += spark.read.schema(f"{schema}, slot int").parquet(f"{state}/commits/slot={slot}").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return max(found, key=lambda r: r["batch_id"], default=None)
+
+
+def next_slot(last: Row | None) -> int:
+    return 0 if last is None else 1 - int(last["slot"])
 
 
-def commit(spark: SparkSession, state: str, batch_id: int, values: tuple, schema: str,
-           prev_id: int, folders: Sequence[str]) -> None:
-    """Write the marker of ``batch_id``, then drop versions before ``prev_id``."""
-    spark.createDataFrame([values], schema).write.mode("overwrite") \
-         .parquet(f"{state}/commits/batch={batch_id}")
-    for f in ("commits", *folders):
-        _prune(spark, f"{state}/{f}", prev_id)
+def kept_path(state: str, slot: int) -> str:
+    return f"{state}/kept/slot-{slot}"
 
 
-def _prune(spark: SparkSession, folder: str, keep_from: int) -> None:
-    """Delete the ``batch=<n>`` children of ``folder`` with ``n < keep_from``."""
-    if keep_from <= 0:
-        return
-    fs, path = _fs(spark, folder)
-    if not fs.exists(path):
-        return
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and name[6:].isdigit() and int(name[6:]) < keep_from:
-            fs.delete(st.getPath(), True)
+def keep(rows: DataFrame, state: str, slot: int) -> None:
+    rows.write.mode("overwrite").parquet(kept_path(state, slot))
 
 
-def _fs(spark: SparkSession, folder: str):
-    """The Hadoop FileSystem of ``folder`` and its Path."""
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
+def commit(spark: SparkSession, state: str, slot: int, values: tuple, schema: str) -> None:
+    """Write the marker of the batch whose rows were kept in ``slot``."""
+    (spark.createDataFrame([(*values, slot)], f"{schema}, slot int").coalesce(1)
+     .write.mode("overwrite").parquet(f"{state}/commits/slot={slot}"))

@@ -198,7 +198,85 @@ def test_unkeyed_stream_pattern_carries_partials(spark, scratch):
     assert any(a < 70 <= b for a, b, _ in spans) and any(a < 155 <= b for a, b, _ in spans)
     ref = patterns.sequence_match(_as_df(spark, data), stages, "ts", "seq", "seq")
     assert got == sorted(r.ids for r in ref.collect())
-    # old state versions are removed: the last two batches' remain
+    # the late row is counted; two slots of state however many batches
+    from eventide.streaming.global_pattern import dropped_rows
+    assert dropped_rows(spark, f"{out}/sink") == 1
     state = f"{out}/sink/_pattern_state"
-    assert sorted(os.listdir(f"{state}/kept")) == ["batch=1", "batch=2"]
-    assert sorted(d for d in os.listdir(f"{state}/commits") if d.startswith("batch=")) == ["batch=1", "batch=2"]
+    assert sorted(os.listdir(f"{state}/kept")) == ["slot-0", "slot-1"]
+    assert sorted(os.listdir(f"{state}/commits")) == ["slot=0", "slot=1"]
+
+
+def test_unkeyed_pattern_with_repeated_ids_and_a_span_bound(spark, scratch):
+    """Repeated ids do not keep finished starts; with a bound the state stays flat."""
+    from eventide.streaming.global_pattern import global_pattern_stream
+    data = [(k, t, i, 1, e) for k, t, i, _, e in _events(n=240, seed=21)]       # v, the id, is always 1
+    sentinel = ("zz", data[-1][1] + 10**12, 10**6, 1, "x")
+    chunks = [data[i:i + 40] for i in range(0, 240, 40)] + [[sentinel]]
+    src = f"{scratch}/src"
+    _write_files(src, chunks)
+    stages = [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"]
+    sizes = []
+    stream = event_stream(spark, src, spark.createDataFrame([], SPARK_SCHEMA).schema, delay=None, max_files_per_trigger=1)
+    q = global_pattern_stream(stream, f"{scratch}/sink", f"{scratch}/chk", stages, "ts", "seq", "v", delay_us=0, within_us=WITHIN)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = spark.read.parquet(f"{scratch}/sink/matches")
+    ref = patterns.sequence_match(_as_df(spark, data), stages, "ts", "seq", "v", within_us=WITHIN)
+    assert rows(got, "start_ts", "end_ts", "ids") == rows(ref, "start_ts", "end_ts", "ids") and ref.count() > 5
+    for slot in (0, 1):
+        sizes.append(spark.read.parquet(f"{scratch}/sink/_pattern_state/kept/slot-{slot}").count())
+    assert max(sizes) < 40, sizes
+
+
+def _overlapping(data, files, reach):
+    """The rows dealt to files in event-time order, up to ``reach`` places out of place."""
+    rnd = random.Random(9)
+    late = sorted(range(len(data)), key=lambda i: i + rnd.random() * reach)
+    size = -(-len(data) // files)
+    return [[data[i] for i in late[lo:lo + size]] for lo in range(0, len(data), size)]
+
+
+def test_out_of_order_rows_within_the_delay(spark, scratch):
+    """Timeouts and patterns equal the batch forms whatever the arrival order,
+    also with text ids, text sequence numbers apart."""
+    data = _events(n=160, seed=5)
+    sentinel = ("zz", data[-1][1] + 10**12, 10**6, 0, "x")
+    src = f"{scratch}/src"
+    _write_files(src, [*_overlapping(data, 5, 12), [sentinel]])
+    stages = [F.col("e") == "a", F.col("e") == "b", F.col("e") == "c"]
+    schema = spark.createDataFrame([], SPARK_SCHEMA).schema
+    delay = "1500 seconds"
+
+    def run(name, build):
+        stream = event_stream(spark, src, schema, delay=delay, max_files_per_trigger=1)
+        q = start_to_parquet(build(stream.withColumn("name", F.concat(F.lit("r"), "seq"))), f"{scratch}/{name}/data", f"{scratch}/{name}/chk")
+        q.awaitTermination()
+        assert q.exception() is None
+        assert sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress) == 0
+        return spark.read.parquet(f"{scratch}/{name}/data")
+
+    batch = _as_df(spark, data).withColumn("name", F.concat(F.lit("r"), "seq"))
+    got = run("timeout", lambda s: processors.inactivity_timeout(s, "k", "ts", "seq", 60_000_000)).where("k <> 'zz'")
+    assert rows(got.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz")), "k", "count", "last_ts") == rows(
+        timeout.inactivity_timeout(batch, "k", "ts", "seq", 60_000_000), "k", "count", "last_ts")
+    got = run("pattern", lambda s: processors.sequence_match(s, stages, "ts", "seq", "name", key="k"))
+    want = patterns.sequence_match(batch, stages, "ts", "seq", "name", key="k")
+    assert rows(got, "k", "id0", "id1", "id2", "ids") == rows(want, "k", "id0", "id1", "id2", "ids") and want.count() > 5
+
+
+def test_running_values_keep_their_type_and_nulls(spark, scratch):
+    big = 9_007_199_254_740_993
+    data = [("a", 1, 1, big, "x"), ("a", 2, 2, None, "x"), ("b", 3, 3, None, "x"), ("b", 4, 4, 5, "x"), ("a", 5, 5, 1, "x"), ("b", 6, 6, -4, "x")]
+    src = f"{scratch}/src"
+    _write_files(src, [data[:3], data[3:]], shuffle=False)
+    batch = _as_df(spark, data)
+    for name, dtype in (("long", "bigint"), ("money", "decimal(20,3)"), ("real", "double")):
+        cast = lambda d, t=dtype: d.withColumn("v", (F.col("v") / F.lit(8)).cast(t) if t == "double" else F.col("v").cast(t))
+        _run(spark, src, f"{scratch}/r{name}", lambda s: processors.running_reduce(cast(s), "k", "seq", "v"))
+        got = spark.read.parquet(f"{scratch}/r{name}/data")
+        ref = keyed.running_reduce(cast(batch), "k", "seq", "v")
+        assert rows(got, "seq", "v", "running_sum") == rows(ref, "seq", "v", "running_sum")
+        _run(spark, src, f"{scratch}/c{name}", lambda s: processors.count_window_avg(cast(s), "k", "seq", "v", 2))
+        got = spark.read.parquet(f"{scratch}/c{name}/data")
+        ref = keyed.count_window_avg(cast(batch), "k", "seq", "v", 2)
+        assert rows(got, "k", "window_idx", "avg_value", "first_seq", "last_seq") == rows(ref, "k", "window_idx", "avg_value", "first_seq", "last_seq")
