@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions import predicates as P
@@ -19,7 +19,8 @@ from eventide.operators import aggregates as A
 from eventide.operators import buffer, keyed, ordering, patterns, timeout, updates, windows
 from eventide.operators.metrics import counted
 from eventide.sources.lines import good_rows, parse_json_lines, split_key_value
-from eventide.sources.tables import full_scan, read_table, time_range, wildcard_scan
+from eventide.sources.tables import (full_scan, read_table, time_range, time_range_scan, wildcard_scan,
+                                     write_time_partitioned)
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -39,6 +40,7 @@ HIST_WIDTH_US = 30 * 60 * 1_000_000
 PAGE_SIZE = 100
 BUFFER_N = 7
 COUNT_WINDOW_N = 2
+SPLIT_BUCKETS = 200
 INCLUDE_USERS = (3, 7, 11, 19, 23, 42, 77, 101, 149)
 MATCH_QUERY = "esat chch"
 RENAME_FROM, RENAME_TO = "error", "failure"
@@ -54,11 +56,25 @@ def _cents(c: str = "value"):
     return F.round(F.col(c) * 100).cast("bigint")
 
 
+def _money(c: str = "value"):
+    """The field as exact cents; the queries choose the type, not the operators."""
+    return F.col(c).cast("decimal(18,2)").alias(c)
+
+
 # --------------------------------------------------------------------- windows
 
 def q_tumbling_sum(spark, sf_dir):
-    ev = _events(spark, sf_dir, ["ts", "event_type", "value"])
-    return windows.tumbling_sum(ev, "ts", TUMBLE, "value", key="event_type")
+    ev = _events(spark, sf_dir, ["ts", "event_type", "value"]).select("ts", "event_type", _money())
+    out = windows.tumbling_sum(ev, "ts", TUMBLE, "value", key="event_type")
+    return out.withColumn("sum_value", F.col("sum_value").cast("double"))
+
+
+def q_tumbling_sum_fine(spark, sf_dir):
+    """W2 on a field with digits beyond the cent."""
+    ev = _events(spark, sf_dir, ["ts", "event_type", "value"]).select(
+        "ts", "event_type", (_money() * F.lit("0.001").cast("decimal(4,3)")).alias("value"))
+    out = windows.tumbling_sum(ev, "ts", TUMBLE, "value", key="event_type")
+    return out.withColumn("sum_value", F.col("sum_value").cast("string"))
 
 
 def q_tumbling_offset_count(spark, sf_dir):
@@ -81,6 +97,12 @@ def q_watermark_trace(spark, sf_dir):
     return windows.watermark_trace(ev, "ts", "event_id", delay_us=0)
 
 
+def q_watermark_trace_split(spark, sf_dir):
+    """W6 with many more buckets than tasks."""
+    ev = _events(spark, sf_dir, ["event_id", "ts"])
+    return windows.watermark_trace(ev, "ts", "event_id", delay_us=0, n_buckets=SPLIT_BUCKETS)
+
+
 # ------------------------------------------------------------- keyed operators
 
 def q_running_reduce(spark, sf_dir):
@@ -110,6 +132,18 @@ def q_sequence_match(spark, sf_dir):
     return patterns.sequence_match(ev, _stages(), "ts", "event_id", "event_id", key="user_id")
 
 
+def q_sequence_match_split(spark, sf_dir):
+    """T2 with the keys cut into many buckets."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type"])
+    return patterns.sequence_match(ev, _stages(), "ts", "event_id", "event_id", key="user_id", n_buckets=SPLIT_BUCKETS)
+
+
+def q_running_max(spark, sf_dir):
+    """A8 with another reduction."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "value"]).select("event_id", "user_id", _cents().alias("v"))
+    return keyed.running_reduce(ev, "user_id", "event_id", "v", name="running_max", op="max")
+
+
 def q_sequence_match_global(spark, sf_dir):
     ev = _events(spark, sf_dir, ["event_id", "ts", "event_type"])
     return patterns.sequence_match(ev, _stages(), "ts", "event_id", "event_id", key=None)
@@ -123,9 +157,26 @@ def q_buffered_sink_latest(spark, sf_dir):
 def q_record_counter(spark, sf_dir):
     ev = _events(spark, sf_dir, ["event_id", "event_type", "user_id"])
     lines = ev.select("event_id", F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("line"))
-    parsed = good_rows(split_key_value(lines, "line", "bigint"))
-    observed, _obs = counted(parsed, "myCounter")
-    return observed.select("event_id", "key", "value")
+    return good_rows(split_key_value(lines, "line", "bigint")).select("event_id", "key", "value")
+
+
+def q_record_counter_value(spark, sf_dir):
+    """T4: what the counter holds after the job, beside the lines it left out."""
+    ev = _events(spark, sf_dir, ["event_id", "event_type", "user_id"])
+    # every seventh line has no number
+    lines = ev.select(F.concat_ws(" ", "event_type", F.when(F.col("event_id") % 7 != 0, F.col("user_id").cast("string"))
+                                  .otherwise("none")).alias("line"))
+    bad = Observation("bad")
+    observed, good = counted(good_rows(split_key_value(lines, "line", "bigint"), bad), "records")
+    observed.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(int(good.get["records"]), int(bad.get["bad_lines"]))], "records bigint, bad_lines bigint")
+
+
+def q_string_lines(spark, sf_dir):
+    """Key and text value, further tokens ignored."""
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    lines = c.select("c_custkey", F.concat_ws(" ", "c_mktsegment", "c_name", F.lit("extra")).alias("line"))
+    return good_rows(split_key_value(lines, "line", "string")).select("c_custkey", "key", "value")
 
 
 # ------------------------------------------------------------ search analytics
@@ -142,8 +193,7 @@ def q_avg_or_zero(spark, sf_dir):
 
 
 def q_avg_value(spark, sf_dir):
-    ev = _events(spark, sf_dir, ["value"])
-    return A.avg_cents(ev, "value")
+    return A.avg_or_zero(_events(spark, sf_dir, ["value"]).select(_money()), "value")
 
 
 def q_avg_event_time(spark, sf_dir):
@@ -177,7 +227,7 @@ def q_histogram_top_terms_include(spark, sf_dir):
 
 
 def q_terms_and_avg_one_pass(spark, sf_dir):
-    cust = read_table(spark, sf_dir, "customer", ["c_mktsegment", "c_acctbal"])
+    cust = read_table(spark, sf_dir, "customer", ["c_mktsegment", "c_acctbal"]).select("c_mktsegment", _money("c_acctbal"))
     return A.terms_and_avg(cust, "c_mktsegment", "c_acctbal")
 
 
@@ -215,6 +265,18 @@ def q_paged_scan(spark, sf_dir):
     return ordering.paginate(o, [("o_totalprice", False), ("o_orderkey", True)], PAGE_SIZE)
 
 
+def q_paged_scan_by_name(spark, sf_dir):
+    """L3 over a text column."""
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
+    return ordering.paginate(c, [("c_name", False), ("c_custkey", True)], PAGE_SIZE)
+
+
+def q_paged_scan_by_status(spark, sf_dir):
+    """L3 over a column of three values."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+    return ordering.paginate(o, [("o_orderstatus", True), ("o_orderkey", False)], PAGE_SIZE)
+
+
 def q_top_hits(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice", "o_orderstatus"])
     return ordering.top_hits(o.where(P.term("o_orderstatus", "F")),
@@ -241,6 +303,16 @@ def q_json_bundle_lines(spark, sf_dir):
     return json_lines(c)
 
 
+def q_bundle_total(spark, sf_dir):
+    """The total written beside the bundle's data."""
+    from eventide.session import scratch_path
+    from eventide.sources.sinks import bundle
+    path = scratch_path(spark, "bundle")
+    bundle(read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"]), path)
+    lines = spark.read.schema("c_custkey bigint").json(f"{path}/data").agg(F.count("c_custkey").alias("n"))
+    return spark.read.schema("total bigint").json(f"{path}/total").select("total", lines.select("n").scalar().alias("lines"))
+
+
 def q_json_line_source(spark, sf_dir):
     ev = _events(spark, sf_dir, ["event_id", "props"]).withColumnRenamed("props", "line")
     return parse_json_lines(ev, "k bigint", "line")
@@ -275,6 +347,20 @@ def q_time_range_scan(spark, sf_dir):
     return time_range(ev, "ts", RANGE_START, RANGE_END)
 
 
+def q_time_pruned_scan(spark, sf_dir):
+    """S6 on a date-partitioned copy: whole days outside the range are not opened."""
+    from eventide.session import scratch_path
+    path = scratch_path(spark, "events-by-day")
+    write_time_partitioned(_events(spark, sf_dir, ["event_id", "ts", "user_id"]), path, "ts")
+    return time_range_scan(spark, path, "ts", RANGE_START, RANGE_END).select("event_id", "ts", "user_id")
+
+
+def q_wildcard_multi_scan(spark, sf_dir):
+    """S5 over several datasets, each row with its dataset's name."""
+    df = wildcard_scan(spark, f"{sf_dir.rstrip('/')}/{{documents,labels}}.parquet", merge_schema=True)
+    return df.select("doc_id", F.col("_dataset").alias("dataset"), "quality")
+
+
 def q_wildcard_type_scan(spark, sf_dir):
     """Every dataset matching a glob, restricted to one type; the glob
     and the type predicate are the only inputs (no table name)."""
@@ -285,17 +371,23 @@ def q_wildcard_type_scan(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_sum": q_tumbling_sum,
+    "tumbling_sum_fine": q_tumbling_sum_fine,
     "tumbling_offset_count": q_tumbling_offset_count,
     "window_tag_rows": q_window_tag_rows,
     "chained_windows": q_chained_windows,
     "watermark_trace": q_watermark_trace,
+    "watermark_trace_split": q_watermark_trace_split,
     "running_reduce": q_running_reduce,
+    "running_max": q_running_max,
     "count_window_avg": q_count_window_avg,
     "inactivity_timeout": q_inactivity_timeout,
     "sequence_match": q_sequence_match,
+    "sequence_match_split": q_sequence_match_split,
     "sequence_match_global": q_sequence_match_global,
     "buffered_sink_latest": q_buffered_sink_latest,
     "record_counter": q_record_counter,
+    "record_counter_value": q_record_counter_value,
+    "string_lines": q_string_lines,
     "terms_top10": q_terms_top10,
     "avg_or_zero": q_avg_or_zero,
     "avg_value": q_avg_value,
@@ -311,17 +403,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exists_filter": q_exists_filter,
     "project_and_cast": q_project_and_cast,
     "paged_scan": q_paged_scan,
+    "paged_scan_by_name": q_paged_scan_by_name,
+    "paged_scan_by_status": q_paged_scan_by_status,
     "top_hits": q_top_hits,
     "conditional_update": q_conditional_update,
     "backfill_merge": q_backfill_merge,
     "json_bundle_lines": q_json_bundle_lines,
+    "bundle_total": q_bundle_total,
     "json_line_source": q_json_line_source,
     "full_scan_count": q_full_scan_count,
     "epoch_display": q_epoch_display,
     "rename_value": q_rename_value,
     "sequence_last_match": q_sequence_last_match,
     "time_range_scan": q_time_range_scan,
+    "time_pruned_scan": q_time_pruned_scan,
     "wildcard_type_scan": q_wildcard_type_scan,
+    "wildcard_multi_scan": q_wildcard_multi_scan,
 }
 
 
@@ -356,6 +453,12 @@ select {_bucket_sql('ts', TUMBLE_US)} as window_start,
        {_bucket_sql('ts', TUMBLE_US)} + interval 6 hours as window_end,
        event_type, cast(sum(cast(value as decimal(18,2))) as double) as sum_value,
        count(*) as n, max(ts) as last_ts
+from events group by all""",
+    "tumbling_sum_fine": f"""
+select {_bucket_sql('ts', TUMBLE_US)} as window_start,
+       {_bucket_sql('ts', TUMBLE_US)} + interval 6 hours as window_end,
+       event_type, cast(sum(cast(value as decimal(18,2)) * cast(0.001 as decimal(4,3))) as varchar) as sum_value,
+       count(*) as n, max(ts) as last_ts
 from events group by all""",
     "tumbling_offset_count": f"""
 select {_bucket_sql('ts', TUMBLE_US, OFFSET_US)} as window_start,
@@ -411,6 +514,28 @@ select file_name, buffer_idx, buffer_rows, first_seq, last_seq from f
 qualify row_number() over (partition by file_name order by buffer_idx desc) = 1""",
     "record_counter": """
 select event_id, event_type as key, user_id as value from events""",
+    "record_counter_value": """
+select count(*) filter (where event_id % 7 <> 0) as records, count(*) filter (where event_id % 7 = 0) as bad_lines
+from events""",
+    "string_lines": """
+select c_custkey, c_mktsegment as key, c_name as value from customer""",
+    "running_max": """
+select event_id, user_id, cast(round(value * 100) as bigint) as v,
+       max(cast(round(value * 100) as bigint)) over (partition by user_id order by event_id
+            rows between unbounded preceding and current row) as running_max
+from events""",
+    "paged_scan_by_name": f"""
+select c_custkey, c_name, rn, (rn - 1) // {PAGE_SIZE} as page from (
+  select c_custkey, c_name, row_number() over (order by c_name desc nulls last, c_custkey) as rn from customer)""",
+    "paged_scan_by_status": f"""
+select o_orderkey, o_orderstatus, rn, (rn - 1) // {PAGE_SIZE} as page from (
+  select o_orderkey, o_orderstatus, row_number() over (order by o_orderstatus nulls first, o_orderkey desc) as rn
+  from orders)""",
+    "bundle_total": """
+select count(*) as total, count(*) as lines from customer""",
+    "wildcard_multi_scan": """
+select doc_id, 'documents' as dataset, cast(null as integer) as quality from documents
+union all select doc_id, 'labels', quality from labels""",
     "terms_top10": """
 select o_custkey, count(*) as doc_count from orders
 where o_orderdate between timestamp '1995-01-01 00:00:00' and timestamp '1996-12-31 00:00:00'
@@ -419,7 +544,7 @@ group by o_custkey order by doc_count desc, o_custkey asc limit 10""",
     "avg_or_zero": """
 select coalesce(avg(value), 0.0) as avg_value from events where value > 1e12""",
     "avg_value": """
-select coalesce(cast(sum(cast(round(value * 100) as bigint)) as double) / count(value) / 100.0, 0.0) as avg_value
+select coalesce(cast(sum(cast(value as decimal(18,2))) as double) / count(value), 0.0) as avg_value
 from events""",
     "avg_event_time": """
 select cast(sum((epoch_us(ts) // 1000)::hugeint) // count(ts) as bigint) as avg_ms,
@@ -429,7 +554,7 @@ from events""",
 select count(distinct user_id) as cardinality, count(*) as total from events
 where ts between timestamp '2024-01-05 00:00:00' and timestamp '2024-01-20 00:00:00'""",
     "cardinality_within_5pct": """
-select true as within_5pct, count(*) as total from events
+select true as within_5pct, count(distinct user_id) as cardinality, count(*) as total from events
 where ts between timestamp '2024-01-05 00:00:00' and timestamp '2024-01-20 00:00:00'""",
     "date_histogram_filled": f"""
 with c as (select (epoch_us(ts) // {HIST_WIDTH_US}) as idx, count(*) as n
@@ -453,7 +578,7 @@ select bucket_start, user_id, doc_count, rank from (
 where rank <= 5""",
     "terms_and_avg_one_pass": """
 select c_mktsegment, grouping(c_mktsegment) = 1 as is_total, count(*) as doc_count,
-       cast(sum(cast(round(c_acctbal * 100) as bigint)) as double) / count(c_acctbal) / 100.0 as avg_value
+       cast(sum(cast(c_acctbal as decimal(18,2))) as double) / count(c_acctbal) as avg_value
 from customer group by grouping sets ((c_mktsegment), ())""",
     "bool_must_mustnot": """
 select doc_id, nullif(lang, 'fr') as lang, source, n_chars from documents
@@ -515,3 +640,7 @@ where ts >= timestamp '{RANGE_START}' and ts < timestamp '{RANGE_END}'""",
     "wildcard_type_scan": f"""
 select doc_id, lang, source, n_chars from documents where source = '{SCAN_TYPE}'""",
 }
+
+ORACLE_SQL["watermark_trace_split"] = ORACLE_SQL["watermark_trace"]
+ORACLE_SQL["sequence_match_split"] = ORACLE_SQL["sequence_match"]
+ORACLE_SQL["time_pruned_scan"] = ORACLE_SQL["time_range_scan"]

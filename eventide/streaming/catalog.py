@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from eventide.operators.metrics import counted_stream
 from eventide.plans import catalog as C
 from eventide.streaming import processors, windows
-from eventide.streaming.runner import run_available, table_stream
+from eventide.streaming.runner import event_stream, run_available, table_stream
 
 
 def _ev(spark, sf_dir, cols, delay="0 seconds"):
@@ -29,8 +29,9 @@ def _ntz(df, *cols):
 
 def sq_tumbling_sum(spark, sf_dir):
     ev = _ev(spark, sf_dir, ["ts", "event_type", "value"])
-    return run_available(windows.tumbling_sum(ev, "ts", C.TUMBLE, "value", key="event_type"),
-                         "stream_tumbling_sum")
+    ev = ev.withColumn("value", F.col("value").cast("decimal(18,2)"))
+    out = run_available(windows.tumbling_sum(ev, "ts", C.TUMBLE, "value", key="event_type"), "stream_tumbling_sum")
+    return out.withColumn("sum_value", F.col("sum_value").cast("double"))
 
 
 def sq_tumbling_offset_count(spark, sf_dir):
@@ -64,6 +65,62 @@ def sq_count_window_avg(spark, sf_dir):
                          "stream_count_window_avg")
 
 
+def sq_running_reduce_decimal(spark, sf_dir):
+    """A8 streamed over exact decimals, some of them NULL."""
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "event_type", "value"], delay=None).select(
+        "event_id", "user_id", F.when(F.col("event_type") != "error", F.col("value").cast("decimal(18,2)")).alias("v"))
+    out = run_available(processors.running_reduce(ev, "user_id", "event_id", "v"), "stream_running_reduce_decimal")
+    return out.select("event_id", "user_id", F.col("v").cast("string").alias("v"),
+                      F.col("running_sum").cast("string").alias("running_sum"))
+
+
+def _write_out_of_order(spark, sf_dir, path, cols):
+    """The events as files that arrive about in event-time order: one write per
+    shifted week, rows shifted by up to six hours, so files overlap."""
+    ev = C.read_table(spark, sf_dir, "events", cols)
+    week = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) + (F.col("event_id") % 7) * C.HOUR_US) / F.lit(7 * C.DAY_US))
+    ev = ev.withColumn("_week", week)
+    for r in ev.select("_week").distinct().orderBy("_week").collect():      # one row per week
+        ev.where(F.col("_week") == r["_week"]).drop("_week").write.mode("append").parquet(path)
+
+
+def _out_of_order(spark, sf_dir, name, cols):
+    from eventide.session import scratch_path
+    path = scratch_path(spark, name)
+    _write_out_of_order(spark, sf_dir, path, cols)
+    return event_stream(spark, path, spark.read.parquet(path).schema, delay=OUT_OF_ORDER_DELAY, max_files_per_trigger=1)
+
+
+def sq_timeout_out_of_order(spark, sf_dir):
+    """T1 over overlapping files, one per micro-batch, with a watermark delay."""
+    ev = _out_of_order(spark, sf_dir, "stream_timeout_out_of_order_in", ["event_id", "user_id", "ts"])
+    out = run_available(processors.inactivity_timeout(ev, "user_id", "ts", "event_id", C.TIMEOUT_GAP_US),
+                        "stream_timeout_out_of_order")
+    return _ntz(out, "last_ts", "fire_ts")
+
+
+def sq_pattern_out_of_order(spark, sf_dir):
+    """T2 over overlapping files with text ids."""
+    ev = _out_of_order(spark, sf_dir, "stream_pattern_out_of_order_in", ["event_id", "user_id", "ts", "event_type"])
+    ev = ev.withColumn("name", F.concat(F.lit("e"), F.col("event_id").cast("string")))
+    out = run_available(processors.sequence_match(ev, C._stages(), "ts", "event_id", "name", key="user_id"),
+                        "stream_pattern_out_of_order")
+    return _ntz(out, "start_ts", "end_ts")
+
+
+def sq_late_rows(spark, sf_dir):
+    """A tenth of the rows arrive after the watermark of all others; those
+    whose window is closed by then are dropped."""
+    from eventide.session import scratch_path
+    path, out = scratch_path(spark, "stream_late_rows_in"), scratch_path(spark, "stream_late_rows")
+    ev = C.read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    for late in (False, True):      # the second run goes on from the first one's checkpoint
+        ev.where((F.col("event_id") % 10 == 0) == F.lit(late)).write.mode("append").parquet(path)
+        stream = event_stream(spark, path, ev.schema)
+        result = run_available(windows.tumbling_count(stream, "ts", C.TUMBLE), "stream_late_rows", out=out)
+    return result
+
+
 def sq_inactivity_timeout(spark, sf_dir):
     ev = _ev(spark, sf_dir, ["event_id", "user_id", "ts"])
     out = run_available(processors.inactivity_timeout(ev, "user_id", "ts", "event_id", C.TIMEOUT_GAP_US),
@@ -143,7 +200,15 @@ def sq_buffered_sink_latest(spark, sf_dir):
                         F.max("event_id").alias("last_seq")))
 
 
+# Fixed value: over a week and six hours, the most by which a row of
+# _write_out_of_order can arrive behind a later one.
+OUT_OF_ORDER_DELAY = "8 days"
+
 STREAM_QUERIES = {
+    "stream_running_reduce_decimal": sq_running_reduce_decimal,
+    "stream_timeout_out_of_order": sq_timeout_out_of_order,
+    "stream_pattern_out_of_order": sq_pattern_out_of_order,
+    "stream_late_rows": sq_late_rows,
     "stream_tumbling_sum": sq_tumbling_sum,
     "stream_tumbling_offset_count": sq_tumbling_offset_count,
     "stream_window_tag_rows": sq_window_tag_rows,
@@ -162,6 +227,19 @@ STREAM_QUERIES = {
 _WM = "(select date_trunc('millisecond', max(ts)) from events)"
 
 
+_WM_DELAYED = f"({_WM} - interval 8 days)"
+
+
+def _timeout_sql(wm: str) -> str:
+    return f"""
+select user_id, count, ts as last_ts, ts + to_microseconds({C.TIMEOUT_GAP_US}) as fire_ts from (
+  select user_id, ts, row_number() over (partition by user_id order by ts, event_id) as count,
+         lead(ts) over (partition by user_id order by ts, event_id) as nxt
+  from events)
+where (nxt is null or nxt > ts + to_microseconds({C.TIMEOUT_GAP_US}))
+  and ts + to_microseconds({C.TIMEOUT_GAP_US}) <= {wm}"""
+
+
 def _closed(sql: str, end_col: str = "window_end") -> str:
     return f"select * from ({sql}) where {end_col} <= {_WM}"
 
@@ -173,13 +251,24 @@ STREAM_ORACLE_SQL = {
     "stream_chained_windows": _closed(C.ORACLE_SQL["chained_windows"]),
     "stream_running_reduce": C.ORACLE_SQL["running_reduce"],
     "stream_count_window_avg": C.ORACLE_SQL["count_window_avg"],
-    "stream_inactivity_timeout": f"""
-select user_id, count, ts as last_ts, ts + to_microseconds({C.TIMEOUT_GAP_US}) as fire_ts from (
-  select user_id, ts, row_number() over (partition by user_id order by ts, event_id) as count,
-         lead(ts) over (partition by user_id order by ts, event_id) as nxt
-  from events)
-where (nxt is not null and nxt > ts + to_microseconds({C.TIMEOUT_GAP_US}))
-   or (nxt is null and ts + to_microseconds({C.TIMEOUT_GAP_US}) <= {_WM})""",
+    "stream_inactivity_timeout": _timeout_sql(_WM),
+    "stream_timeout_out_of_order": _timeout_sql(_WM_DELAYED),
+    "stream_pattern_out_of_order": "select user_id, 'e' || id0 as id0, 'e' || id1 as id1, 'e' || id2 as id2, start_ts, end_ts, "
+                                   "'e' || id0 || ' e' || id1 || ' e' || id2 || ' ' as ids from ("
+                                   + C._seq_sql(True).replace("from events)", f"from events where ts <= {_WM_DELAYED})", 1) + ")",
+    "stream_running_reduce_decimal": """
+select event_id, user_id, cast(v as varchar) as v,
+       cast(sum(v) over (partition by user_id order by event_id rows between unbounded preceding and current row) as varchar) as running_sum
+from (select event_id, user_id, case when event_type <> 'error' then cast(value as decimal(18,2)) end as v from events)""",
+    "stream_late_rows": f"""
+select * from (
+  select {C._bucket_sql('ts', C.TUMBLE_US)} as window_start,
+         {C._bucket_sql('ts', C.TUMBLE_US)} + interval 6 hours as window_end, count(*) as n
+  from events
+  where event_id % 10 <> 0 or {C._bucket_sql('ts', C.TUMBLE_US)} + interval 6 hours
+        > (select date_trunc('millisecond', max(ts)) from events where event_id % 10 <> 0)
+  group by all)
+where window_end <= {_WM}""",
     "stream_sequence_match": C._seq_sql(True).replace(
         "from events)", f"from events where ts <= {_WM})", 1),
     "stream_sequence_match_global": C._seq_sql(False).replace(

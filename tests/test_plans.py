@@ -4,10 +4,14 @@ exchange over a fact table."""
 import contextlib
 import io
 
+import re
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF001
+from eventide.functions import predicates as P
 from eventide.sources.tables import time_range_scan, write_time_partitioned
 
 Q = E.queries()
@@ -43,14 +47,61 @@ def test_top_n_is_bounded(spark):
 
 
 def test_global_order_without_single_partition(spark):
-    for name in ("watermark_trace", "paged_scan", "buffered_sink_latest", "sequence_match_global"):
-        p = _plan(Q[name](spark, SF001))
-        main = p.split("\n\n")[0]
-        # only the per-bucket summaries (a few rows per bucket) may meet in one partition
-        for line in p.splitlines():
-            if "Exchange SinglePartition" in line:
-                assert "HashAggregate" in p or "SortAggregate" in p
-        assert "Window" in main
+    """Nothing but partial aggregates (a row per task) and bucket summaries (a
+    row per bucket) may meet in one partition."""
+    for name in ("watermark_trace", "paged_scan", "paged_scan_by_name", "buffered_sink_latest", "sequence_match_global"):
+        df = Q[name](spark, SF001)
+        assert "Window" in _plan(df)
+        assert _single_partition_inputs(df) <= {"HashAggregate", "SortAggregate", "ObjectHashAggregate"}
+    # the check itself can fail
+    bare = spark.range(10).withColumn("n", F.row_number().over(Window.orderBy("id")))
+    assert _single_partition_inputs(bare) - {"HashAggregate"}
+
+
+def _single_partition_inputs(df) -> set[str]:
+    """Operators that feed a single-partition exchange, projections passed over."""
+    p = _plan(df)
+    tree = {}           # operator id -> (depth, name), in the order of the trees
+    found, lines = set(), [re.match(r"([\s:|+*-]*)(\w[\w ]*?) \((\d+)\)", x) for x in p.splitlines()]
+    single = set(re.findall(r"\((\d+)\) Exchange\n(?:[^\n]+\n)*?Arguments: SinglePartition", p))
+    lines = [(len(m[1]), m[2].strip(), m[3]) for m in lines if m]
+    for i, (_, name, at) in enumerate(lines):
+        if name == "Exchange" and at in single:
+            below = [n for _, n, _ in lines[i + 1:]]
+            found.add(next(n for n in below if n not in ("Project", "ColumnarToRow", "Filter")))
+    return found
+
+
+def test_bool_query_is_pushed_down(spark):
+    df = spark.read.parquet(f"{SF001}/documents.parquet").where(P.bool_query(
+        must_=[F.col("n_chars") > 200], must_not_=[P.term("lang", "de"), P.term("source", "src3"), P.range_between("doc_id", 5, 9)]))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", _plan(df))[1]
+    for part in ("GreaterThan(n_chars,200)", "Or(IsNull(lang),Not(EqualTo(lang,de)))", "Or(IsNull(source),Not(EqualTo(source,src3)))",
+                 "LessThan(doc_id,5)"):
+        assert part in pushed, pushed
+    assert "EqualTo(source,src3)" in _plan(Q["bool_must_mustnot"](spark, SF001)).split("PushedFilters")[1].split("\n")[0]
+
+
+def test_approximate_count_sends_one_sketch_per_task(spark):
+    from eventide.operators import aggregates as A
+    p = _plan(A.cardinality(spark.read.parquet(f"{SF001}/events.parquet"), "user_id"))
+    assert p.count("Exchange (") == 1 + p.count("ReusedExchange (") and "Expand" not in p
+    assert "Expand" not in _plan(Q["terms_and_avg_one_pass"](spark, SF001)).split("Scan parquet")[0].split("Exchange")[-1]
+
+
+def test_scans_of_ordered_operators(spark):
+    """The rows, the map-side summaries, and for the cuts a sample of the order
+    columns and a count; only the pattern's middle stage is summarised from the
+    shuffled rows, which it reuses."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")     # reuse is then in the static plan
+    try:
+        for name in ("sequence_match", "running_reduce", "inactivity_timeout", "paged_scan"):
+            df = Q[name](spark, SF001)
+            spark.conf.set("spark.sql.adaptive.enabled", "false")     # the query sets the library's own
+            schemas = re.findall(r"ReadSchema: struct<(.*)>", _plan(df))
+            assert len(schemas) <= 4 + (name == "inactivity_timeout") and "" in schemas, (name, schemas)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def _executed_exchanges(df):
@@ -67,17 +118,9 @@ def _executed_exchanges(df):
 
 
 def test_pattern_shuffles_the_table_once(spark):
-    from eventide.plans.prefix import ROWS_PER_BUCKET_CONF
-    # default: no user is big enough to split; the rows still move only once
-    ids, moving_rows, _tree = _executed_exchanges(Q["sequence_match"](spark, SF001))
-    assert len(moving_rows) == 1, moving_rows
-    # users split into buckets: summaries shuffle too, the rows still once,
-    # and both passes read that one shuffle
-    spark.conf.set(ROWS_PER_BUCKET_CONF, "20")
-    try:
-        ids, moving_rows, tree = _executed_exchanges(Q["sequence_match"](spark, SF001))
-    finally:
-        spark.conf.unset(ROWS_PER_BUCKET_CONF)
+    # users cut into buckets: summaries shuffle too, the rows once, and both
+    # passes read that one shuffle
+    ids, moving_rows, tree = _executed_exchanges(Q["sequence_match"](spark, SF001))
     assert len(ids) >= 3 and len(moving_rows) == 1, moving_rows
     assert "ReusedExchange" in tree
 

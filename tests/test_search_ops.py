@@ -1,13 +1,15 @@
 """Search-style predicates, aggregations, paging and updates."""
 
+import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import rows
 from eventide.functions import predicates as P
 from eventide.functions.text import match, query_tokens
 from eventide.operators import aggregates as A
-from eventide.operators import ordering, updates
-from eventide.sources.lines import split_key_value
+from eventide.operators import ordering, updates, windows
+from eventide.sources.lines import good_rows, parse_json_lines, split_key_value
 
 EMAILS = [
     ("e1", "email", "Electrical Technician", "上海", "21644", 1000),
@@ -113,6 +115,42 @@ def test_split_key_value_quarantines_bad_lines(spark):
     out = split_key_value(df)
     assert rows(out, "key", "value", "bad") == [("a", 1, False), ("b", None, True), ("c", None, True),
                                                  ("d", None, True), ("e", 3, False)]
+    more = spark.createDataFrame([("c 3 extra",), ("x",), (None,)], "line string")
+    seen = Observation("bad")
+    good = good_rows(split_key_value(more), seen)
+    assert rows(good, "key", "value") == [("c", 3)] and seen.get["bad_lines"] == 2
+
+
+def test_failfast_fails(spark):
+    df = spark.createDataFrame([("a 1",), ("c x",)], "line string")
+    with pytest.raises(Exception, match="malformed line: c x"):
+        split_key_value(df, failfast=True).select("value").collect()
+    good = spark.createDataFrame([("a 1",)], "line string")
+    assert split_key_value(good, failfast=True).select("key", "value").collect() == [("a", 1)]
+
+
+def test_json_lines_flag_only_what_does_not_parse(spark):
+    lines = ['{"id":1,"t":2}', '{"other":5}', "{}", '{"id":null,"t":null}', '{"id":1,"t":"abc"}', "no json", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "n int, line string")
+    got = parse_json_lines(df, "id bigint, t bigint").orderBy("n").collect()
+    assert [(r.id, r.t) for r in got[:4]] == [(1, 2), (None, None), (None, None), (None, None)]
+    assert [r._corrupt for r in got] == [None, None, None, None, lines[4], lines[5], None]
+    assert got[4].id == 1
+
+
+def test_backfill_keeps_null_keys_apart(spark):
+    dst = spark.createDataFrame([(1, "d"), (None, "n1")], "k int, v string")
+    src = spark.createDataFrame([(1, None), (None, "n2"), (2, "s")], "k int, v string")
+    assert rows(updates.backfill(dst, src, "k")) == sorted([(1, "d"), (2, "s"), (None, "n1"), (None, "n2")], key=repr)
+
+
+def test_sums_keep_their_digits(spark):
+    df = spark.createDataFrame([("a", "2024-01-01 00:00:01", 0.004), ("a", "2024-01-01 00:00:02", 0.004)], "k string, t string, v double").withColumn(
+        "ts", F.col("t").cast("timestamp_ntz"))
+    assert windows.tumbling_sum(df, "ts", "1 hour", "v", key="k").first().sum_value == 0.008
+    assert A.avg_or_zero(df, "v").first().avg_value == 0.004
+    assert [r.avg_value for r in A.terms_and_avg(df, "k", "v").collect()] == [0.004, 0.004]
+    assert A.terms_and_avg(df.limit(0), "k", "v").count() == 0
 
 
 def test_display_time_keeps_small_values_numeric(spark):

@@ -21,6 +21,10 @@ def test_wildcard_scan_and_type_filter(spark, scratch):
     _write_datasets(spark, scratch)
     emails = wildcard_scan(spark, f"{scratch}/saas_*", "email")
     assert rows(emails, "id", "_dataset") == [("a1", "saas_a"), ("b1", "saas_b")]
+    one = spark.read.parquet(f"{scratch}/saas_b").coalesce(1)
+    one.write.parquet(f"{scratch}/single+1.parquet")
+    named = wildcard_scan(spark, f"{scratch}/s*", "*").groupBy("_dataset").count()
+    assert rows(named) == [("saas_a", 2), ("saas_b", 1), ("single+1", 1)]
     every = wildcard_scan(spark, f"{scratch}/saas_*", "*")
     assert rows(every, "id") == [("a1",), ("a2",), ("b1",)]
     assert full_scan(every, F.col("n") > 1).count() == 2
