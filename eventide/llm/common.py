@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import inspect
 import sys
-from collections.abc import Iterator
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,15 @@ def ship_by_value() -> None:
 ship_by_value()
 
 
+def per_worker(name: str, make: Callable[[], Any]) -> Any:
+    """``make()``, once per Python worker process: kept between its tasks, in
+    a module of its own since this one is shipped with every task."""
+    state = sys.modules.setdefault("_eventide_worker", types.ModuleType("_eventide_worker"))
+    if not hasattr(state, name):
+        setattr(state, name, make())
+    return getattr(state, name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df

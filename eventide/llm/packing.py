@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import os
 import re
-import string
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, offsets_by_order, ship_by_value, table
+from .common import materialize, offsets_by_order, per_worker, ship_by_value, table
 
 ship_by_value()
 
@@ -37,30 +36,25 @@ LENGTH = 2048
 QUANTUM = 128
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 500_000
+CACHE = 600_000         # pieces a worker remembers
 
 
-# the tokenizer's own split, for lower-case printable ASCII without blanks
-_ASCII_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Texts of these characters are not changed by the tokenizer's normalisation
+# but for case, which is theirs one by one; then its own split can be taken here.
+_PLAIN = re.compile("[\\n\\t\\r -~À-ÖØ-öø-įı-ſ]*")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įı-ſ]+|[0-9]|[^\\n\\t\\r a-zß-öø-įı-ſ0-9]+")
 
 
-def pieces_of(word: str) -> list[str] | None:
-    """A blank-free word as the tokenizer splits it before merging, where that
-    is certain; None elsewhere."""
-    if "<|" in word:                    # may be a special token
-        return None
-    if word.isascii():
-        return _ASCII_PIECE.findall(word.lower()) if word.isprintable() else None
-    core = word.rstrip(string.punctuation)
-    if core.isalpha() and core.lower().isalpha():
-        return [core, word[len(core):]] if len(core) < len(word) else [core]
-    return None
+def pieces_of(text: str) -> list[str] | None:
+    """A text as the tokenizer splits it before merging, where that is
+    certain; None elsewhere (also where a special token may be spelt)."""
+    return _PIECE.findall(text.lower()) if _PLAIN.fullmatch(text) and "<|" not in text else None
 
 
 class Encoder:
-    """Ids of whole texts as little-endian bytes.  The tokenizer's pieces never
-    span white space, so words between blanks and line ends are encoded once
-    each and their ids joined."""
+    """Ids of whole texts as little-endian bytes.  A piece is encoded once and
+    its ids joined; texts that cannot be split here are cut at blanks and line
+    ends, which the tokenizer's pieces never span, and their words encoded."""
 
     def __init__(self, path: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,8 +66,8 @@ class Encoder:
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}      # of plain texts
+        self.words: dict[str, bytes] = {}       # of others
         self.end = np.array([END_ID], self.kind).tobytes()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
@@ -96,20 +90,16 @@ class Encoder:
         buf, ends = ids.tobytes(), ends.tolist()
         return [buf[i:j] for i, j in zip([0, *ends], ends)]
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words, self.pieces = {"": b""}, {}
-        cut = {w: pieces_of(w) for w in words if w not in self.words}
-        new = list({p for own in cut.values() for p in own or () if p not in self.pieces})
-        self.pieces.update(zip(new, self._pieces(new)))
-        odd = [w for w, own in cut.items() if own is None]
-        self.words.update(zip(odd, self._each(odd)))
-        self.words.update((w, b"".join([self.pieces[p] for p in own])) for w, own in cut.items() if own is not None)
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.words.__getitem__, words)) + self.end for words in split]
+        split = [pieces_of(t) for t in texts]
+        words = [None if p is not None else re.split("[ \n\t\r]+", t) for t, p in zip(texts, split)]
+        for cache, lists, learn in ((self.pieces, split, self._pieces), (self.words, words, self._each)):
+            if len(cache) > CACHE:
+                cache.clear()
+            new = list({p for own in lists if own for p in own if p not in cache})
+            cache.update(zip(new, learn(new)))
+        return [b"".join(map((self.pieces if w is None else self.words).__getitem__, p if w is None else w)) + self.end
+                for p, w in zip(split, words)]
 
 
 def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str | None = "source",
@@ -118,7 +108,7 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     source = F.col(source_col).cast("string") if source_col else F.lit(None).cast("string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = per_worker(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
         width = int(encoder.kind[-1])
         for b in batches:
             for lo in range(0, b.num_rows, 100):

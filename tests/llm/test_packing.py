@@ -29,13 +29,13 @@ def test_ids_are_the_tokenizers(encoder):
 
 
 def test_cache_limit(encoder):
-    old, P.CACHE_WORDS = P.CACHE_WORDS, 10
+    old, P.CACHE = P.CACHE, 10
     try:
         e = P.Encoder(None)
         for t in ODD:
             assert np.frombuffer(e.encode([t])[0], e.kind).tolist() == want_ids(encoder, t)
     finally:
-        P.CACHE_WORDS = old
+        P.CACHE = old
 
 
 def check(rows, texts, encoder, length):
