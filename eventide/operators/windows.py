@@ -65,7 +65,7 @@ def tag_rows(df: DataFrame, ts: str, size: str, offset: str | None = None,
 
 
 def chained_windows(df: DataFrame, ts: str, size1: str, size2: str, offset2: str | None = None,
-                    flag: str = "afterWindow1") -> DataFrame:
+                    flag: str = "window1") -> DataFrame:
     """Two windows in a row.
 
     Stage 1 passes every row through with its window and a constant flag

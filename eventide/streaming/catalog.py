@@ -156,7 +156,7 @@ def sq_record_counter(spark, sf_dir):
     ev = _ev(spark, sf_dir, ["event_id", "event_type", "user_id"], delay=None)
     from eventide.sources.lines import good_rows, split_key_value
     lines = ev.select("event_id", F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("line"))
-    parsed = counted_stream(good_rows(split_key_value(lines, "line", "bigint")), "myCounter")
+    parsed = counted_stream(good_rows(split_key_value(lines, "line", "bigint")), "records")
     return run_available(parsed.select("event_id", "key", "value"), "stream_record_counter")
 
 
@@ -177,7 +177,7 @@ def sq_line_source(spark, sf_dir):
     (ev.select(F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("value"))
        .write.option("maxRecordsPerFile", LINES_PER_FILE).text(f"{out}/lines"))
     lines = stream_lines(spark, f"{out}/lines", max_files_per_trigger=LINE_FILES_PER_TRIGGER)
-    parsed = counted_stream(good_rows(split_key_value(lines, "line", "bigint")), "myCounter")
+    parsed = counted_stream(good_rows(split_key_value(lines, "line", "bigint")), "records")
     return run_available(parsed.select("key", "value"), "stream_line_source", out=f"{out}/result")
 
 

@@ -126,9 +126,9 @@ def test_stream_counter(spark, scratch):
     data = _events(n=30)
     src = f"{scratch}/src"
     _write_files(src, [data[:10], data[10:]])
-    q = _run(spark, src, f"{scratch}/out", lambda st: counted_stream(st, "myCounter"))
-    seen = sum(p["observedMetrics"]["myCounter"]["myCounter"] for p in q.recentProgress
-               if "myCounter" in p.get("observedMetrics", {}))
+    q = _run(spark, src, f"{scratch}/out", lambda st: counted_stream(st, "records"))
+    seen = sum(p["observedMetrics"]["records"]["records"] for p in q.recentProgress
+               if "records" in p.get("observedMetrics", {}))
     assert seen == 30
 
 
