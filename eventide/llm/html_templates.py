@@ -53,6 +53,8 @@ WORDS = frozenset("nav navbar navigation menu submenu masthead footer sidebar as
                   "newsletter subscribe subscription signup signin login social share sharing related recommended recommendations trending "
                   "breadcrumb breadcrumbs pagination pager comment comments disqus replies respond toolbar widget widgets search searchbox skip "
                   "copyright colophon".split())
+# The same inside a run-together word.
+_INSIDE = re.compile("sidebar|comment(?!ar)|cookie|newsletter|advert(?!en)|adsby|adslot|adunit|adbox|breadcrumb|footer|navbar|sponsor|paginat|masthead", re.I)
 CLOSES = {  # a start tag ends an open element of these, up to the boundary
     "li": (frozenset(["li"]), frozenset("ul ol menu".split())), "dt": (frozenset("dt dd".split()), frozenset(["dl"])),
     "dd": (frozenset("dt dd".split()), frozenset(["dl"])), "option": (frozenset(["option"]), frozenset("select datalist".split())),
@@ -200,7 +202,7 @@ class Page:
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id"):
                 words = {w.lower() for w in _WORD.findall(value)}
-                if words & WORDS or "header" in words and not inside:
+                if words & WORDS or _INSIDE.search(value) or "header" in words and not inside:
                     return True
             elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 return True

@@ -21,6 +21,7 @@ ONE = [  # html, main text
     ("<article><p>1</p><style>p{}</style><textarea>no</textarea><pre> a\n  b </pre></article>", "1 a b"),
     ("<body><script>never closed <p>x</p>", ""), ("", ""), ("   ", ""), ("<", "<"), ("<p", ""),
     ("<article><p>in</article><p>out</p>", "in"),
+    ("<article><p>a</p><div class='sitefooter'>f</div><ol class=commentlist><li>c</ol><p class='commentary adverbs'>b</p></article>", "a b"),
     ("<ARTICLE><P CLASS=x>Up</P><DIV ROLE='navigation'>m</DIV></ARTICLE>", "Up"),
     ("<article>" + "<div><b>" * 3000 + "deep" + "</article>", "deep"),
     ("<article><ul><li>one</li><li>two<ul><li>three</ul></li></ul><dl><dt>t<dd>d</dl></article>", "one two three t d"),
