@@ -29,6 +29,24 @@ def ship_by_value() -> None:
 ship_by_value()
 
 
+class Shared:
+    """A broadcast value of the caller's own classes.  Spark pickles broadcasts
+    by reference to modules the workers may not have, so the value travels as
+    bytes that hold its classes too."""
+
+    def __init__(self, spark: SparkSession, value: Any):
+        self.packed, self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self):
+        return {"packed": self.packed, "held": None}
+
+    @property
+    def value(self) -> Any:
+        if self.held is None:
+            self.held = cloudpickle.loads(self.packed.value)
+        return self.held
+
+
 def per_worker(name: str, make: Callable[[], Any]) -> Any:
     """``make()``, once per Python worker process: kept between its tasks, in
     a module of its own since this one is shipped with every task."""

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_by_value, table
+from .common import Shared, ship_by_value, table
 
 ship_by_value()
 
@@ -99,7 +99,7 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id",
     src = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(doc_text).cast("string").alias("text")).where("doc_id is not null")
     out = None
     for block in _blocks(items, item_col, item_text, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(Searcher(block, threshold, size))
+        shared = Shared(docs.sparkSession, Searcher(block, threshold, size))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -119,7 +119,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_text: str = "text", ite
     """The documents, all columns, that contain no item; one pass per block."""
     where = docs.columns.index(doc_text)
     for block in _blocks(items, item_col, item_text, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(Searcher(block, threshold, size))
+        shared = Shared(docs.sparkSession, Searcher(block, threshold, size))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:

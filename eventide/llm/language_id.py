@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_by_value, table
+from .common import Shared, ship_by_value, table
 
 ship_by_value()
 
@@ -182,7 +182,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row.  Null texts and texts without
     a letter are ``und`` with score 0, as is everything if there was nothing to
     learn from; null and repeated ids stay; an empty table gives no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)    # by number of languages, at most MAX_LANGUAGES
+    shared = Shared(docs.sparkSession, model)    # by number of languages, at most MAX_LANGUAGES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_by_value, table
+from .common import Shared, ship_by_value, table
 
 ship_by_value()
 
@@ -172,7 +172,7 @@ def _source(docs: DataFrame) -> DataFrame:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, score)`` of every row, repeated and null ids included; null
     text is empty, and empty texts have a score like any other."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)    # SIZE rows, whatever the input
+    shared = Shared(docs.sparkSession, model)    # SIZE rows, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -184,7 +184,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model, below: float = REJECT_BELOW) -> DataFrame:
     """The documents, all columns, that score ``below`` or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     t, n = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, forest, materialize, ship_by_value, table
+from .common import Shared, components, forest, materialize, ship_by_value, table
 
 ship_by_value()
 
@@ -175,7 +175,7 @@ def classes(fps: DataFrame, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROWS
         return fps.withColumn("component_id", F.col("doc_id"))
     picked = points.select("fp").sample(min(1.0, sample / n), 3).limit(2 * sample).toPandas()["fp"].to_numpy(np.int64)
     tree = build_tree(picked.view(np.uint64), max(2, int(leaf_rows * min(1.0, sample / n))), max_bits, max_leaves)
-    shared = fps.sparkSession.sparkContext.broadcast(tree)      # at most max_leaves rows
+    shared = Shared(fps.sparkSession, tree)      # at most max_leaves rows
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
