@@ -121,6 +121,27 @@ def sq_late_rows(spark, sf_dir):
     return result
 
 
+def sq_watermark_trace(spark, sf_dir):
+    """W6 streamed: the events arrive in three lots, in the order of their ids."""
+    from eventide.session import scratch_path
+    from eventide.streaming.trace import watermark_trace_stream
+    path, out = scratch_path(spark, "stream_watermark_trace_in"), scratch_path(spark, "stream_watermark_trace")
+    ev = C.read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    lo, hi = lo or 0, hi or 0
+    third = (hi - lo) // 3 + 1
+    for k in range(3):
+        first = lo + k * third
+        ev.where(F.col("event_id").between(first, first + third - 1)).write.mode("append").parquet(path)
+        stream = event_stream(spark, path, ev.schema, delay=None, max_files_per_trigger=None)
+        q = watermark_trace_stream(stream, f"{out}/sink", f"{out}/_checkpoint", "ts", "event_id")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    rows = spark.read.schema("event_id bigint, ts timestamp, watermark timestamp, is_late boolean").parquet(f"{out}/sink/trace")
+    return _ntz(rows.select("event_id", "ts", "watermark", "is_late"), "ts", "watermark")
+
+
 def sq_inactivity_timeout(spark, sf_dir):
     ev = _ev(spark, sf_dir, ["event_id", "user_id", "ts"])
     out = run_available(processors.inactivity_timeout(ev, "user_id", "ts", "event_id", C.TIMEOUT_GAP_US),
@@ -209,6 +230,7 @@ STREAM_QUERIES = {
     "stream_timeout_out_of_order": sq_timeout_out_of_order,
     "stream_pattern_out_of_order": sq_pattern_out_of_order,
     "stream_late_rows": sq_late_rows,
+    "stream_watermark_trace": sq_watermark_trace,
     "stream_tumbling_sum": sq_tumbling_sum,
     "stream_tumbling_offset_count": sq_tumbling_offset_count,
     "stream_window_tag_rows": sq_window_tag_rows,
@@ -248,6 +270,7 @@ STREAM_ORACLE_SQL = {
     "stream_tumbling_sum": _closed(C.ORACLE_SQL["tumbling_sum"]),
     "stream_tumbling_offset_count": _closed(C.ORACLE_SQL["tumbling_offset_count"]),
     "stream_window_tag_rows": C.ORACLE_SQL["window_tag_rows"],
+    "stream_watermark_trace": C.ORACLE_SQL["watermark_trace"],
     "stream_chained_windows": _closed(C.ORACLE_SQL["chained_windows"]),
     "stream_running_reduce": C.ORACLE_SQL["running_reduce"],
     "stream_count_window_avg": C.ORACLE_SQL["count_window_avg"],
