@@ -40,9 +40,9 @@ ship_by_value()
 
 WINDOW = 200
 GRAM = 50
-PART = 1 << 21          # bytes hashed at a time
-SHARD_BYTES = 1 << 20   # of segments sorted at a time
-SPLIT = 2_000           # distinct segments of an anchor in one sub-shard
+PART = 1 << 18          # bytes hashed at a time
+SHARD_BYTES = 1 << 18   # of segments sorted at a time
+SPLIT = 500             # distinct segments of an anchor in one sub-shard
 FILTER_BITS = 22        # of the filter of documents that take part, whatever their number
 
 _U = np.uint64
