@@ -56,6 +56,14 @@ def per_worker(name: str, make: Callable[[], Any]) -> Any:
     return getattr(state, name)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in pieces of few rows (views, not copies): Python objects
+    are made for one piece at a time, however large Spark's batches are."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df

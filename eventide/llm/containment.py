@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Shared, ship_by_value, table
+from .common import Shared, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -102,7 +102,7 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id",
         shared = Shared(docs.sparkSession, Searcher(block, threshold, size))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in slices(batches):
                 rows = [(d, *hit) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
                         for hit in shared.value.find(t)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else
@@ -122,7 +122,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_text: str = "text", ite
         shared = Shared(docs.sparkSession, Searcher(block, threshold, size))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in slices(batches):
                 yield b.filter(pa.array([not shared.value.find(t) for t in b.column(where).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, ship_by_value, table
+from .common import materialize, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -257,7 +257,7 @@ def templates(pages: DataFrame, least: int = PAGES, share: float = SHARE) -> Dat
     """``(host, hashes)``: subtrees that occur on at least ``least`` pages and
     ``share`` (prose: ``PROSE_SHARE``) of all pages of their host."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             hosts, hashes = [], []
             for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = set(Page(source).subtrees()[1])
@@ -287,13 +287,13 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in slices(batches):
             packed = [c.compress(x) for x in b.column(2).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary()), b.column(3)], ["page_id", "url", "packed", "host"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in slices(batches):
             texts = []
             for packed, hashes in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 page = Page(c.decompress(packed).decode("utf-8", "surrogatepass"))

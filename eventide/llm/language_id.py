@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Shared, ship_by_value, table
+from .common import Shared, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -158,7 +158,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     drawn = rows.where(F.col("lang").isin(*counts)).where(draw < F.try_element_at(rate, F.col("lang")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             keep = [i for i, t in enumerate(b.column(1).to_pylist()) if t and _LETTER.search(t)]
             for lo in range(0, len(keep), 200):
                 part = b.take(pa.array(keep[lo:lo + 200]))
@@ -185,7 +185,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = Shared(docs.sparkSession, model)    # by number of languages, at most MAX_LANGUAGES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             langs, scores = shared.value.predict(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, offsets_by_order, per_worker, ship_by_value, table
+from .common import materialize, offsets_by_order, per_worker, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -110,14 +110,12 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
         width = int(encoder.kind[-1])
-        for b in batches:
-            for lo in range(0, b.num_rows, 100):
-                part = b.slice(lo, 100)
-                ids = encoder.encode([t or "" for t in part.column(2).to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(x) // width for x in ids], pa.int64()),
-                     pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
-                    ["doc_id", "source", "n", "width", "ids"])
+        for b in slices(batches, 100):
+            ids = encoder.encode([t or "" for t in b.column(2).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([len(x) // width for x in ids], pa.int64()),
+                 pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
+                ["doc_id", "source", "n", "width", "ids"])
 
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), source.alias("source"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, source string, n long, width int, ids binary"))
@@ -192,7 +190,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
-        for b in batches:
+        for b in slices(batches):
             out = []
             for doc, source, n, width, ids, own in zip(*(c.to_pylist() for c in b.columns)):
                 whole = ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Shared, ship_by_value, table
+from .common import Shared, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -150,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             f = [features(t, n) for t, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(3), pa.array([x[0].astype(np.int32) for x in f], pa.list_(pa.int32())),
@@ -175,7 +175,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = Shared(docs.sparkSession, model)    # SIZE rows, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             f = [features(t, n) for t, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shared.value.score(f), pa.float64())], ["doc_id", "score"])
 
@@ -188,7 +188,7 @@ def keep_good(docs: DataFrame, model: Model, below: float = REJECT_BELOW) -> Dat
     t, n = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sizes = b.column(n).to_pylist() if n is not None else [None] * b.num_rows
             f = [features(x, m) for x, m in zip(b.column(t).to_pylist(), sizes)]
             yield b.filter(pa.array(shared.value.score(f) >= below))

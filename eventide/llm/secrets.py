@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, ship_by_value, table
+from .common import materialize, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -200,7 +200,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     """One pass over the texts: a written row per document with base spans and
     candidates, and the rules that follow from all of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2048):     # one histogram row each
             null, seen = np.zeros(HISTOGRAM, np.int64), np.zeros(HISTOGRAM, np.int64)
             texts = [t or "" for t in b.column(1).to_pylist()]
             base, more = [base_spans(t) for t in texts], [candidates(t) for t in texts]
@@ -237,7 +237,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows, rules = scan(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             out = []
             for i, base, more in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 base = list(zip(base[::3], base[1::3], base[2::3]))
@@ -261,7 +261,7 @@ def redact(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_ch
     n = docs.columns.index(size_col) if size_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             cols, old = list(b.columns), b.column(t).to_pylist()
             new = [rules.redact(x, mark) for x in old]
             cols[t] = pa.array(new, b.schema.field(t).type)

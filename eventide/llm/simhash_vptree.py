@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Shared, components, forest, materialize, ship_by_value, table
+from .common import Shared, components, forest, materialize, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -62,7 +62,7 @@ def simhash(data: bytes, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, fp)``: the fingerprint as a signed long; null text is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1).cast(pa.binary()).to_pylist()
             fp = np.fromiter([simhash(x or b"", shingle) for x in texts], np.uint64, len(texts)).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, ship_by_value, table
+from .common import materialize, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -238,7 +238,7 @@ def _picked(keyed: DataFrame, keys: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         there, press = np.unpackbits(packed).astype(bool), zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in slices(batches):
             b = b.filter(pa.array(there[b.column(0).to_numpy(zero_copy_only=False) & mask]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([press.compress(t) for t in b.column(2).to_pylist()], pa.binary())],
                                              ["k", "k2", "packed"])
@@ -249,7 +249,7 @@ def _picked(keyed: DataFrame, keys: DataFrame) -> DataFrame:
 def _segments(keyed: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(window, gram)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(2).to_pylist()
             k, k2 = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
             for data, text, offset, size in _parts(texts, PART, window):
@@ -392,7 +392,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in slices(batches):
             out = []
             for k, k2, packed, own in zip(*(c.to_pylist() for c in b.columns)):
                 text, left, at, spans, gone = press.decompress(packed), [], 0, 0, 0

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from eventide.session import scratch_path
 
-from .common import materialize, ship_by_value, table
+from .common import materialize, ship_by_value, slices, table
 
 ship_by_value()
 
@@ -327,7 +327,7 @@ class WarcWriter(ds.DataSourceArrowWriter):
         store, path = _store(self.path)
         store.create_dir(path, recursive=True)
         files, out, size = [], None, 0
-        for batch in iterator:
+        for batch in slices(iterator, 64):
             for row in batch.to_pylist():
                 if out is None:
                     files.append(f"{uuid.uuid4().hex}.warc.gz")
