@@ -33,14 +33,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bkt"
-SAMPLES_PER_BUCKET = 32     # expected; more make bucket sizes more even
+SAMPLES_PER_BUCKET = 16     # expected; more make bucket sizes more even
 
 Order = Sequence[str | tuple[str, bool]]
 
 
 def default_buckets(spark: SparkSession) -> int:
     """Enough buckets to spread the table over every core."""
-    return max(32, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def _spec(order: Order) -> list[tuple[str, bool]]:
@@ -80,7 +80,8 @@ def _cuts(df: DataFrame, spec: Sequence[tuple[str, bool]], n: int) -> Column:
         return (F.when(_before(x.getField, y.getField, spec, False), F.lit(-1))
                  .when(_before(y.getField, x.getField, spec, False), F.lit(1)).otherwise(F.lit(0)))
 
-    rows = F.array_sort(F.collect_list(F.struct(*names)), compare)
+    rows = F.collect_list(F.struct(*names))
+    rows = F.array_sort(rows) if all(asc for _, asc in spec) else F.array_sort(rows, compare)
     at = F.transform(F.sequence(F.lit(1), F.lit(n - 1)),
                      lambda i: F.get(F.col("_s"), F.floor(i * F.size("_s") / F.lit(n)).cast("int"))) if n > 1 else F.col("_s")
     return drawn.agg(rows.alias("_s")).select(F.when(F.size("_s") > 0, at).otherwise(F.col("_s")).alias("_c")).scalar()
@@ -103,7 +104,7 @@ def with_buckets(df: DataFrame, order: Order, n_buckets: int | None = None, name
              .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
 
     start = F.struct(F.lit(0).alias("lo"), F.size("_cuts").alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length() + 1)), start, step, lambda acc: acc["lo"])
+    found = F.aggregate(F.sequence(F.lit(1), F.lit((n - 1).bit_length())), start, step, lambda acc: acc["lo"])
     return cut.withColumn(name, found).drop("_cuts")
 
 
