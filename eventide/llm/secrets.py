@@ -1,8 +1,10 @@
 """Secret scans: three fixed patterns, and a randomness test battery with
 length-aware false-discovery control for strings no pattern names.
 
-Every run of 20 or more key characters is a candidate.  From its characters an
-encoding is inferred (hex, base32, one-case letters, letters and digits,
+Every run of 20 or more key characters is a candidate, and so is every part of
+20 or more that is left of it between slashes, between the separators of one
+base64 alphabet or the other, or between all of them: keys stand in URLs and
+paths.  From its characters an encoding is inferred (hex, base32, one-case letters, letters and digits,
 base64), and over that alphabet three tests ask how far it is from a uniform
 random string: chi-squared of the symbol counts, Wald-Wolfowitz runs above and
 below the middle symbol, and lag-1 serial correlation.  Fisher's sum joins
@@ -43,6 +45,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+_PARTS = tuple(re.compile(f"[^{c}]{{20,}}") for c in ("/", "+/", "_-", "+/_-"))
 _ALPHABETS = tuple((re.compile(f"[{c}]+"), len(a), {ord(x): i for i, x in enumerate(a)}) for c, a in (
     ("0-9a-f", "0123456789abcdef"), ("0-9A-F", "0123456789ABCDEF"),
     ("A-Z2-7", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), ("a-z", "abcdefghijklmnopqrstuvwxyz"),
@@ -115,18 +118,24 @@ def _cell(u: np.ndarray) -> np.ndarray:
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
-    """``(start, end, cell)`` of every string tested; cell = alphabet group,
-    length class and randomness.  Strings of digits only are not tested."""
+    """``(start, end, cell)`` of every string tested: the runs that one
+    alphabet holds, and the parts of all runs, which may overlap; cell =
+    alphabet group, length class and randomness.  Strings of digits only are
+    not tested."""
     out = []
     for m in _CANDIDATE.finditer(text):
-        word = m[0]
-        if word.isdigit():
-            continue
-        for pattern, k, index in _ALPHABETS:
-            if pattern.fullmatch(word):
-                rows = np.array([[index[ord(c)] for c in word]])
-                out.append((m.start(), m.end(), _cells(GROUPS.index(min(64, k + 2 * (k == 62))), length_class(len(word)), battery(rows, k, (k,))[k])[0]))
-                break
+        spans = {m.span()}
+        if not m[0].isalnum():
+            spans.update(x.span() for p in _PARTS for x in p.finditer(text, *m.span()))
+        for start, end in sorted(spans):
+            word = text[start:end]
+            if word.isdigit():
+                continue
+            for pattern, k, index in _ALPHABETS:
+                if pattern.fullmatch(word):
+                    rows = np.array([[index[ord(c)] for c in word]])
+                    out.append((start, end, _cells(GROUPS.index(min(64, k + 2 * (k == 62))), length_class(len(word)), battery(rows, k, (k,))[k])[0]))
+                    break
     return out
 
 
@@ -177,9 +186,16 @@ class Rules:
         return sorted(base + self.more(base, candidates(text)))
 
     def more(self, base: list[tuple[int, int, int]], found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """The tested strings that are discoveries, unless a base span covers them."""
-        return [(s, 3, e) for s, e, c in found if c % CELLS < self.cells[c // CELLS]
-                and not any(x <= s and e <= y for x, _, y in base)]
+        """The tested strings that are discoveries, unless a base span covers
+        them; those that overlap are one."""
+        out: list[tuple[int, int, int]] = []
+        for s, e, c in sorted(found):
+            if c % CELLS < self.cells[c // CELLS] and not any(x <= s and e <= y for x, _, y in base):
+                if out and s < out[-1][2]:
+                    out[-1] = (out[-1][0], 3, max(e, out[-1][2]))
+                else:
+                    out.append((s, 3, e))
+        return out
 
     def redact(self, text: str | None, mark: str = MARK) -> str | None:
         if text is None:

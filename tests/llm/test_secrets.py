@@ -102,6 +102,27 @@ def test_random_keys_are_found_and_text_is_not(corpus):
     assert got[None].n_assign == 1 and len([r for r in S.find_secrets(df).collect()]) == len(rows) + 4
 
 
+def test_random_keys_in_urls_are_found(spark, docs):
+    words = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").orderBy("doc_id").limit(300).collect()]
+    rng = random.Random(6)
+    key = lambda letters: "".join(rng.choice(letters) for _ in range(40))
+    urls = [("/api-v2/user_data/", B64[:62]), ("/some/long/path/to/the/old/directory/of/reports/", B64[:62]), ("/my-site_files/", B64), ("/a-b/c/", B64[:62] + "-_")]
+    plain = "/api-v2/user_data/old-reports/the_directory/of-things"
+    keys = {i: (urls[i // 10 % 4][0], key(urls[i // 10 % 4][1])) for i in range(0, 300, 10)}
+    rows = [(i, f"{t} {''.join(keys[i])}" if i in keys else f"{t} {plain}") for i, t in enumerate(words)]
+    rules = S.scan(docs(rows))[1]
+    kept = sum(keys[i][1] in rules.redact(t) for i, t in rows if i in keys)
+    wrong = sum(k == 3 for i, t in rows if i not in keys for _, k, _ in rules.spans(t))
+    assert kept <= 0.1 * len(keys) and wrong <= 2
+
+
+def test_every_key_character_is_tested():
+    key = "".join(random.Random(7).choice(B64[:62]) for _ in range(40))
+    for before, after in (("/api-v2/user_data/", ""), ("/a/b/", "/c-d"), ("x_y+", "-z/"), ("", "/data_of-all")):
+        t = before + key + after
+        assert (len(before), len(before) + 40) in [x[:2] for x in S.candidates(t)], t
+
+
 def test_redaction_keeps_rows_and_columns(corpus):
     rows, keys, _, df = corpus
     got = S.redact(df)
