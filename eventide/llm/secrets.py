@@ -10,8 +10,10 @@ random string: chi-squared of the symbol counts, Wald-Wolfowitz runs above and
 below the middle symbol, and lag-1 serial correlation.  Fisher's sum joins
 them to one p-value of randomness.  Short strings pass such tests easily, so
 what also counts is how rarely ordinary text of the same length does as well:
-the letters of all documents, cut into stretches of the candidate lengths, give
-that null distribution, and Benjamini-Hochberg over all candidates sets the
+the letters of every document, cut into stretches of each of the candidate
+lengths, give that null distribution (a length with fewer than LEAST stretches
+is made up to it from a fixed one: letters drawn by their frequency in English,
+which look more random than text does), and Benjamini-Hochberg over all candidates sets the
 cut for each alphabet and length.  Only histograms of fixed size leave the scan.
 """
 
@@ -39,6 +41,9 @@ GROUPS = (16, 26, 32, 36, 64)       # alphabet sizes; 62 counts as 64
 CELLS = 48                          # of -log10 of the randomness p-value, a quarter each
 RANDOM = 12                         # cells in which the battery itself does not reject randomness (p >= 0.001)
 HISTOGRAM = len(GROUPS) * len(LENGTHS) * CELLS
+LEAST = 20_000                      # stretches of ordinary text behind the p-values of a length class
+# Per 10,000 letters of English text, a to z.
+FREQUENCIES = (820, 150, 280, 430, 1270, 220, 200, 610, 700, 15, 77, 400, 240, 670, 750, 190, 10, 600, 630, 910, 280, 98, 240, 15, 200, 7)
 MARK = "[SECRET]"
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -144,30 +149,42 @@ def _cells(group: int, length: int, u: np.ndarray) -> list[int]:
 
 
 def reference(texts: list[str], into: np.ndarray) -> None:
-    """Add the texts' letters, cut in turn into stretches of each length, to
-    the histogram of ordinary text: the same letters seen as symbols of every
-    alphabet (folded for hex)."""
-    whole, rows = sum(LENGTHS), []
-    for t in texts:
-        x = np.frombuffer(t.encode("ascii", "ignore").lower().translate(None, _NO_LETTERS), np.uint8)
-        rows.append(x[:len(x) // whole * whole].reshape(-1, whole))
-    full = np.concatenate(rows).astype(np.int64) - 97 if rows else np.zeros((0, whole), np.int64)
-    for lo in range(0, len(full), 4096):
-        at = 0
-        for c, n in enumerate(LENGTHS):
-            part = full[lo:lo + 4096, at:at + n]
-            at += n
-            got = battery(part, 26, GROUPS)
-            for g, k in enumerate(GROUPS):
-                into += np.bincount(_cells(g, c, got[k]), minlength=HISTOGRAM)
+    """Add the texts' letters, each text cut into stretches of every length
+    on its own, to the histogram of ordinary text: the same letters seen as
+    symbols of every alphabet (folded for hex)."""
+    letters = [np.frombuffer(t.encode("ascii", "ignore").lower().translate(None, _NO_LETTERS), np.uint8) - 97 for t in texts]
+    for c, n in enumerate(LENGTHS):
+        rows = [x[:len(x) // n * n].reshape(-1, n) for x in letters if len(x) >= n]
+        if rows:
+            _add(np.concatenate(rows), c, into)
+
+
+def _add(rows: np.ndarray, c: int, into: np.ndarray) -> None:
+    for lo in range(0, len(rows), 4096):
+        got = battery(rows[lo:lo + 4096].astype(np.int64), 26, GROUPS)
+        for g, k in enumerate(GROUPS):
+            into += np.bincount(_cells(g, c, got[k]), minlength=HISTOGRAM)
+
+
+def fixed_null() -> np.ndarray:
+    """The histogram of ``LEAST`` stretches of each length, letters drawn
+    independently by ``FREQUENCIES``; the same on every call."""
+    rng, out = np.random.default_rng(3), np.zeros(HISTOGRAM, np.int64)
+    share = np.cumsum(FREQUENCIES) / sum(FREQUENCIES)
+    for c, n in enumerate(LENGTHS):
+        _add(np.searchsorted(share, rng.random((LEAST, n)), side="right"), c, out)
+    return out
 
 
 def cuts(null: np.ndarray, seen: np.ndarray, rate: float = FALSE_DISCOVERY) -> np.ndarray:
     """For each alphabet group and length class, the number of cells (from the
     most random) that are discoveries: Benjamini-Hochberg over the candidates
-    ``seen``, with p-values from the histogram ``null`` of ordinary text, and
-    the battery does not reject randomness."""
+    ``seen``, with p-values from the histogram ``null`` of ordinary text, made
+    up to ``LEAST`` stretches, and the battery does not reject randomness."""
     null, seen = null.reshape(-1, CELLS), seen.reshape(-1, CELLS)
+    short = np.maximum(0, LEAST - null.sum(1, keepdims=True))
+    if short.any() and seen.any():
+        null = null + fixed_null().reshape(-1, CELLS) * (short / LEAST)
     p = (np.cumsum(null, 1) + 1) / (null.sum(1, keepdims=True) + 1)
     order = np.argsort(p, axis=None, kind="stable")
     rank = np.cumsum(seen.ravel()[order])

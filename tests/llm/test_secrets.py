@@ -123,6 +123,25 @@ def test_every_key_character_is_tested():
         assert (len(before), len(before) + 40) in [x[:2] for x in S.candidates(t)], t
 
 
+@pytest.mark.parametrize("words", [["буква", "слово", "текст", "мир"], ["short", "text", "of", "few", "letters"], []])
+def test_keys_are_found_where_ordinary_letters_are_few(docs, words):
+    rng = random.Random(8)
+    keys = {i: "".join(rng.choice(B64[:62]) for _ in range(40)) for i in range(0, 200, 10)}
+    paths = "path/to/the/directory/of/reports/and/old/things"
+    rows = [(i, f"{' '.join(words * 3)} {keys.get(i, paths if i % 10 == 5 else '')}") for i in range(200)]
+    got = {r.doc_id: r.text for r in S.redact(docs(rows)).collect()}
+    assert sum(k not in got[i] for i, k in keys.items()) >= 0.9 * len(keys)
+    assert all(got[i] == t for i, t in rows if i not in keys)
+
+
+def test_every_text_adds_stretches_of_every_length_it_has():
+    for t in ("x" * 19, "word " * 7, "a" * 85 + "é1" * 50, "letters" * 40):
+        into = np.zeros(S.HISTOGRAM, np.int64)
+        S.reference([t, "", t], into)
+        n = sum(c.isascii() and c.isalpha() for c in t)
+        assert into.reshape(len(S.GROUPS), len(S.LENGTHS), -1).sum(2).tolist() == [[2 * (n // x) for x in S.LENGTHS]] * len(S.GROUPS)
+
+
 def test_redaction_keeps_rows_and_columns(corpus):
     rows, keys, _, df = corpus
     got = S.redact(df)
