@@ -3,9 +3,13 @@
 Every page is parsed into elements.  The block
 elements are hashed as subtrees (tag, text, children); Spark counts on how many
 pages of its host each subtree occurs, and those that occur on many are
-deleted as the site's template.  What HTML itself or an element's class, id or
-role declares to be no article (menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, comments) goes even where it does not recur.  Prose inside an article element and
+deleted as the site's template.  What HTML itself or an element's role
+declares to be no article (menus, headers, footers, asides, forms, scripts,
+hidden parts) goes even where it does not recur.  A word of a class or id only
+claims that: a name made of such words and words of layout alone ("sidebar",
+"ad-slot") deletes its element if that holds less than half of the page's text and
+all elements of the word no more than half, and never the whole text; a name with any other word
+("has-sidebar", "share-price") deletes nothing that does not recur.  Prose inside an article element and
 a subtree that holds half of a page's text are content, never template: equal
 articles on a host do not delete each other.
 
@@ -38,16 +42,18 @@ PROSE_SHARE = 0.5       # paragraphs, lists and the like that no article holds:
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript noframes noembed iframe xmp template svg math".split())
+RAW = frozenset("script style textarea title noscript noframes noembed iframe xmp template svg".split())
+MATH = frozenset("math mi mo mn ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover "
+                 "munderover mmultiscripts mprescripts none mtable mtr mtd mlabeledtr maction semantics annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
-                   "strike strong sub sup time tt u var wbr img".split())
-EDGELESS = INLINE | frozenset("script style noscript template meta link base title textarea iframe xmp svg math button select input object embed "
+                   "strike strong sub sup time tt u var wbr img".split()) | MATH
+EDGELESS = INLINE | frozenset("script style noscript template meta link base title textarea iframe xmp svg button select input object embed "
                               "canvas audio video map area param source track option optgroup datalist".split())
 DROP = frozenset("nav footer aside form menu dialog button select input option optgroup datalist object embed applet canvas audio "
-                 "video map head script style textarea title noscript noframes noembed iframe xmp template svg math frameset".split())
+                 "video map head script style textarea title noscript noframes noembed iframe xmp template svg annotation annotation-xml frameset".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form status".split())
-# Words of a class or id that declare an element to be no article.
+# Words of a class or id that claim an element to be no article.
 WORDS = frozenset("nav navbar navigation menu submenu masthead footer sidebar aside ad ads advert adverts advertisement advertising sponsor sponsored "
                   "promo promotion banner cookie cookies consent gdpr notice notices notification notifications alert alerts popup modal overlay paywall "
                   "newsletter subscribe subscription signup signin login social share sharing related recommended recommendations trending "
@@ -55,6 +61,14 @@ WORDS = frozenset("nav navbar navigation menu submenu masthead footer sidebar as
                   "copyright colophon".split())
 # The same inside a run-together word.
 _INSIDE = re.compile("sidebar|comment(?!ar)|cookie|newsletter|advert(?!en)|adsby|adslot|adunit|adbox|breadcrumb|footer|navbar|sponsor|paginat|masthead", re.I)
+_REST = frozenset("s ed ion or isement isements ising orial google".split())    # of such a word, without that part
+# Words of layout, which say nothing of what an element holds.
+LAYOUT = frozenset("a the my js is site page blog post posts entry article articles story stories news content contents main primary secondary global local top bottom "
+                   "left right upper lower center middle side inner outer first last box boxes block blocks bar bars wrap wrapper wrapped container "
+                   "holder area region zone section sections panel pane slot slots unit units module modules component group row col column columns grid "
+                   "list lists item items link links button buttons btn icon icons text title heading header head body form field input label message "
+                   "messages msg count counter fixed sticky floating mobile desktop tablet small large big mini full wide sub media network networks "
+                   "thread toggle trigger open close dropdown tab tabs card cards view image img logo".split())
 CLOSES = {  # a start tag ends an open element of these, up to the boundary
     "li": (frozenset(["li"]), frozenset("ul ol menu".split())), "dt": (frozenset("dt dd".split()), frozenset(["dl"])),
     "dd": (frozenset("dt dd".split()), frozenset(["dl"])), "option": (frozenset(["option"]), frozenset("select datalist".split())),
@@ -131,10 +145,10 @@ class Page:
             attrs.append(m[3][:-1])
             parents.append(stack[-1])
             if tag in RAW:
-                if not m[3].endswith("/>") or tag not in ("svg", "math"):
+                if not m[3].endswith("/>") or tag != "svg":
                     end = re.compile(f"</{tag}(?=[\\s/>])[^>]*+>?", re.I).search(source, at)
                     at = end.end() if end else len(source)
-            elif tag not in VOID:
+            elif tag not in VOID and not (tag in MATH and m[3].endswith("/>")):
                 stack.append(me)
                 depth_of[tag] = depth_of.get(tag, 0) + 1
 
@@ -154,11 +168,16 @@ class Page:
         for i in range(n - 1, 0, -1):
             if holds[i]:
                 holds[parents[i]] = True
-        self.out, self.inside = [False] * n, [False] * n
+        self.out, self.inside, self.claimed = [False] * n, [False] * n, [False] * n
+        claims: dict[int, set[str]] = {}
         for i in range(1, n):
             p = parents[i]
             self.inside[i] = self.inside[p] or main[i]
             self.out[i] = self.out[p] or tags[i] in RAW or not holds[i] and self._declared(i, self.inside[p])
+            if self.attr[i] and not self.out[i] and not holds[i]:
+                self.claimed[i], words = self._claims(i, self.inside[p])
+                if words:
+                    claims[i] = words
         first: dict[int, str] = {}
         for i, text in self.events:     # a block that opens with the heading "Comments"
             if text and tags[i] in ("h1", "h2", "h3", "h4", "h5", "h6") and not self.out[i]:
@@ -175,9 +194,12 @@ class Page:
         self.root = [False] * n
         for i in articles:
             self.root[i] = True
-        if not articles:
-            self.root[0] = True
-        elif not any(tags[i] == "h1" and self.inside[i] and not self.out[i] and self._under(i) for i in range(n)):
+        self.root[0] = not articles
+        for i in range(1, n):
+            self.root[i] = self.root[i] or self.root[parents[i]]
+        if claims:
+            self._weigh(claims)
+        if articles and not any(tags[i] == "h1" and self.inside[i] and not self.out[i] and self.root[i] for i in range(n)):
             for i in range(n):          # the headline stands before its article
                 if tags[i] == "h1" and not self.out[i]:
                     self.root[i] = True
@@ -185,12 +207,50 @@ class Page:
         for i in range(1, n):
             self.root[i] = self.root[i] or self.root[parents[i]]
 
-    def _under(self, i: int) -> bool:
-        while i:
-            if self.root[i]:
-                return True
-            i = self.parent[i]
-        return self.root[0]
+    def _weigh(self, claims: dict[int, set[str]]) -> None:
+        """Delete what class or id words claim, if it is a small share of the text."""
+        n, parents = len(self.tag), self.parent
+        size = [0] * n
+        for i, text in self.events:
+            if text and not self.out[i]:
+                size[i] += sum(map(len, text.split()))
+        for i in range(n - 1, 0, -1):
+            size[parents[i]] += size[i]
+        small = {i: words for i, words in claims.items() if 2 * size[i] < size[0]}
+        above: list[frozenset] = [frozenset()] * n          # words claimed by an element or those around it
+        total: dict[str, int] = {}
+        for i in range(1, n):
+            above[i] = above[parents[i]]
+            if i in small:
+                for w in small[i] - above[i]:
+                    total[w] = total.get(w, 0) + size[i]
+                above[i] = above[i] | small[i]
+        out = self.out[:]
+        for i in range(1, n):
+            out[i] = out[i] or out[parents[i]] or i in small and any(2 * total[w] <= size[0] for w in small[i])
+        if any(text and not out[i] and self.root[i] and not text.isspace() for i, text in self.events):
+            self.out = out
+
+    def _claims(self, i: int, inside: bool) -> tuple[bool, set[str]]:
+        """Whether a class or id has a word of boilerplate, and such words of
+        the names that hold nothing else but words of layout."""
+        any_word, found = False, set()
+        if self.tag[i] in ("html", "body"):
+            return any_word, found
+        for name, value in _ATTR.findall(self.attr[i]):
+            if name.lower() not in ("class", "id"):
+                continue
+            for token in value.strip("\"'").split():
+                words = {w.lower() for w in _WORD.findall(token)}
+                own = words & WORDS | {m.lower() for m in _INSIDE.findall(token)}
+                if "header" in words and not inside:
+                    own.add("header")
+                if own:
+                    any_word = True
+                    if all(w in WORDS or w in LAYOUT or _INSIDE.search(w) and all(r in _REST or r in WORDS or r in LAYOUT for r in _INSIDE.sub(" ", w).split())
+                           for w in words):
+                        found |= own
+        return any_word, found
 
     def _declared(self, i: int, inside: bool) -> bool:
         tag, attr = self.tag[i], self.attr[i]
@@ -200,11 +260,7 @@ class Page:
             return False
         for name, value in _ATTR.findall(attr):
             name, value = name.lower(), value.strip("\"'")
-            if name in ("class", "id"):
-                words = {w.lower() for w in _WORD.findall(value)}
-                if words & WORDS or _INSIDE.search(value) or "header" in words and not inside:
-                    return True
-            elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 return True
             elif name == "style" and _HIDDEN.search(value):
                 return True
@@ -232,7 +288,7 @@ class Page:
                 parts[p].append((parts[i][0][0], f"{digest[i]:x}"))
                 parts[p].sort(key=lambda x: x[0])
         found = [i for i in range(1, n) if size[i] and self.tag[i] not in INLINE and 2 * size[i] < size[0]
-                 and (self.out[i] or not (self.inside[i] and self.tag[i] in PROSE))]
+                 and (self.out[i] or self.claimed[i] or not (self.inside[i] and self.tag[i] in PROSE))]
         # the last bit tells prose, which takes more to be template
         return found, [digest[i] & ~1 | (self.tag[i] in PROSE) for i in found]
 

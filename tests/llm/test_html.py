@@ -34,6 +34,33 @@ def test_one_page(source, want):
     assert H.Page(source).text() == want
 
 
+LONG = "the main text of a page that has many words and no article element"
+CLAIMED = [  # a class or id word claims, the text decides
+    (f"<div class='content-sidebar-wrap'><p>{LONG}</p><div id='sidebar'>other posts</div></div>", LONG),
+    (f"<body><div class='has-sidebar'><h1>T</h1><p>{LONG}</p></div><div class='widget'>x</div></body>", f"T {LONG}"),
+    (f"<nav>{LONG} {LONG} {LONG}</nav><div id='search-results'><p>{LONG}</p></div>", LONG),
+    ("".join(f"<div class='search-item'>{LONG} {i}</div>" for i in range(5)), " ".join(f"{LONG} {i}" for i in range(5))),
+    (f"<div id='comments'>{LONG}</div>", LONG),
+    (f"<div class='notice'>{LONG}</div><div class='widget'>{LONG}</div><div class='related'>{LONG}</div>", f"{LONG} {LONG} {LONG}"),
+    (f"<article><p>{LONG}</p><div class='share-price'>12.30</div><section class='cookie-recipes'><p>mix</p></section></article>", f"{LONG} 12.30 mix"),
+    (f"<article><p>{LONG}</p><div class='share-buttons'>tweet</div><div class='adsbygoogle'>buy</div><ul id='relatedPosts'><li>x</ul></article>", LONG),
+    ("<article><p>so <math><mi>e</mi><mo>=</mo><mspace width=1/><semantics><mrow><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow>"
+     "<annotation encoding='application/x-tex'>e=mc^2</annotation></semantics></math> holds</p></article>", "so e=mc2 holds"),
+]
+
+
+@pytest.mark.parametrize("source,want", CLAIMED)
+def test_class_words_do_not_delete_the_text(source, want):
+    assert H.Page(source).text() == want
+
+
+def test_claims_that_recur_are_deleted(spark):
+    word = lambda i: " ".join(f"w{i}x{k}" for k in range(20))
+    page = "<article><p>{}</p><ul class='share-whatever'><li>tell a friend</ul><div class='share-price'>{}</div></article>"
+    rows = [(i, "http://h/x", page.format(word(i), i), None, None) for i in range(20)]
+    assert {r.page_id: r.text for r in H.main_text(frame(spark, rows)).collect()} == {i: f"{word(i)} {i}" for i in range(20)}
+
+
 def site(spark, seed=1):
     """Pages whose boilerplate no tag or class declares."""
     rng = random.Random(seed)
