@@ -2,8 +2,9 @@
 the shared folder and read again as the next one's input.
 
 1. quality: documents the factorisation machine rejects go;
-2. near_duplicates: of each SimHash class the document with the smallest id stays
-   (of rows that repeat that id, one);
+2. near_duplicates: of each SimHash class one row stays, of those with the smallest
+   id; classes are of rows, so different texts that share an id do not replace
+   each other;
 3. decontamination: documents that contain a benchmark item go;
 4. secrets: every span found is replaced by a mark, no document goes;
 5. packing: pieces of token sequences, sources mixed.
@@ -29,17 +30,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class; rows without an id are kept."""
-    classes = simhash_vptree.near_duplicates(docs)
-    dropped = materialize(classes.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    repeated = materialize(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
-    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
-    if repeated.isEmpty():
-        return kept
-    twice = kept.join(repeated, "doc_id", "left_semi").select(docs.columns)
-    first = twice.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_row"))
-    return (kept.join(repeated, "doc_id", "left_anti").select(docs.columns)
-            .unionByName(first.select("doc_id", "_row.*").select(docs.columns)))
+    """One row of each class; rows without an id are kept.
+
+    Rows are told apart by id and a hash of all columns: an id that occurs with
+    several texts is in the class of each, and links nothing."""
+    row = F.xxhash64(*[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())])
+    keyed = docs.withColumn("_row", row)
+    rows = materialize(simhash_vptree.fingerprints(keyed.where("doc_id is not null"), keep=("_row",)), "rows")
+    best = rows.groupBy("fp").agg(F.min(F.struct("doc_id", "_row")).alias("_best"))
+    classes = simhash_vptree.classes(best.select(F.col("fp").alias("doc_id"), "fp"))     # nodes are texts, not ids
+    first = materialize(best.join(classes.select("fp", "component_id"), "fp").groupBy("component_id").agg(F.min("_best").alias("_best"))
+                        .select("_best.*"), "first")
+    repeated = materialize(rows.groupBy("doc_id", "_row").count().where("count > 1").join(first, ["doc_id", "_row"], "left_semi")
+                           .select("doc_id", "_row"), "repeated")
+    kept = keyed.join(first, ["doc_id", "_row"], "left_semi")
+    if not repeated.isEmpty():
+        twice = kept.join(repeated, ["doc_id", "_row"], "left_semi").groupBy("doc_id", "_row").agg(
+            F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_cols"))
+        kept = (kept.join(repeated, ["doc_id", "_row"], "left_anti").select(docs.columns)
+                .unionByName(twice.select("doc_id", "_cols.*").select(docs.columns)))
+    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,16 +59,20 @@ def simhash(data: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * count > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint as a signed long; null text is empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` and the long columns ``keep``: the fingerprint as a
+    signed long; null text is empty."""
+    names = ["doc_id", "fp", *keep]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = b.column(1).cast(pa.binary()).to_pylist()
             fp = np.fromiter([simhash(x or b"", shingle) for x in texts], np.uint64, len(texts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], names)
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
+            .mapInArrow(run, ", ".join(f"{c} long" for c in names)))
 
 
 def distance(a: np.ndarray, b) -> np.ndarray:

@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from conftest import SF001
 from eventide.llm import containment, packing, secrets
@@ -72,3 +74,18 @@ def test_odd_documents(spark, docs, tmp_path):
         for name, stage in C.STAGES:
             out = stage(spark, table, str(tmp_path))
             assert (out.count() > 0) == (table is df), name
+
+
+def test_ids_with_several_texts_keep_one_row_of_each_class(spark, docs):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(60)) for w in "abcd")
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, b),         # 5 is a copy of 3, and has a text of its own
+            (20, c), (20, d), (21, c), (22, d), (22, d)]    # two unrelated texts with the smallest id of their class
+    got = C.near_duplicates(spark, docs(rows), "")
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted([(3, a), (5, b), (20, c), (20, d)])
+    assert C.near_duplicates(spark, docs(rows * 3), "").count() == 4
+
+
+def test_rows_that_differ_in_nulls_only_are_told_apart(spark, docs):
+    df = docs([(1, "x y z"), (1, "x y z")], langs={1: "x"}).withColumn("source", F.lit(None).cast("string"))
+    other = df.withColumn("source", F.col("lang")).withColumn("lang", F.lit(None).cast("string"))
+    assert C.near_duplicates(spark, df.unionByName(other), "").count() == 1
