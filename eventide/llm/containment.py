@@ -5,7 +5,9 @@ distinct shingles is contained at ``threshold`` if at least ``need =
 ceil(threshold * n)`` of them occur in a document, so any ``n - need + 1`` of
 its shingles include one that occurs.  Those with the smallest hashes, the
 item's bottom MinHash sketch, are looked up in every document: short items are
-found in documents of any length, with no missed pair.  A document smaller
+found in documents of any length, with no missed pair, from five words on: an
+item of fewer is a single shingle of all its words, which only a document of
+just these words has, so it is not searched in longer ones.  A document smaller
 than a partition's least ``need`` skips the partition.  Each candidate is then
 verified by exact containment over the shingles themselves.
 
