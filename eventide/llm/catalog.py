@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import containment, warc
+from . import containment, fill_middle, importance, warc
 from .html_templates import op1_html
 from .language_id import op5_language
+from .offset_pieces import op13_pieces
 from .packing import op10_packing
 from .pca_tiles import op3_embeddings
 from .quality_fm import op7_quality
@@ -23,5 +24,9 @@ QUERIES = {
     "op8_containment": containment.op8_containment,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
+    "op11_importance": importance.op11_importance,
+    "op12_fill_middle": fill_middle.op12_fill_middle,
+    "op13_pieces": op13_pieces,
 }
-ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op8_containment": containment.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_warc": warc.ORACLE, "op8_containment": containment.ORACLE,
+                              "op11_importance": importance.ORACLE, "op12_fill_middle": fill_middle.ORACLE}

@@ -28,4 +28,4 @@ def test_queries_without_the_repository_on_the_workers():
     r = subprocess.run([sys.executable, "-c", SCRIPT], cwd=work, env=env, capture_output=True, text=True, timeout=900)
     assert r.returncode == 0, r.stderr[-3000:]
     got = dict(x.split()[1:] for x in r.stdout.splitlines() if x.startswith("ROWS "))
-    assert len(got) == 11 and all(int(n) > 0 for k, n in got.items() if k != "op8_containment"), got
+    assert len(got) == 14 and all(int(n) > 0 for k, n in got.items() if k != "op8_containment"), got
