@@ -25,15 +25,26 @@ def _with_negation(pred: Column, negation: Column) -> Column:
 
 
 def term(col: Column | str, value) -> Column:
-    """Exact equality on an un-analysed field (F1)."""
+    """Exact equality on an un-analysed field (F1); nothing equals NULL."""
     c = _c(col)
+    if isinstance(value, Column):
+        return c == value
+    if value is None:
+        return _with_negation(F.lit(False), F.lit(True))
     return _with_negation(c == F.lit(value), c.isNull() | (c != F.lit(value)))
 
 
 def terms(col: Column | str, values: Iterable) -> Column:
-    """Equality with any of a list of values (F9 ``include``)."""
+    """Equality with any of a list of values (F9 ``include``); a NULL in the
+    list equals nothing, so it neither adds rows nor takes any from ``must_not``."""
     c = _c(col)
-    pred = c.isin(list(values))
+    values = list(values)
+    if any(isinstance(v, Column) for v in values):
+        return c.isin(values)
+    values = [v for v in values if v is not None]
+    if not values:
+        return _with_negation(F.lit(False), F.lit(True))
+    pred = c.isin(values)
     return _with_negation(pred, c.isNull() | ~pred)
 
 

@@ -15,14 +15,16 @@ equal row counts and work in three steps:
    value.  Only keys that span several buckets carry anything, so at most one
    row per bucket is joined back.
 
-The cuts are quantiles of a sample drawn by hash of the key and order columns
-themselves, compared in the columns' own types and directions, ties broken by
+The cuts are quantiles of a sample of the order columns, drawn once when the
+plan is built, compared in the columns' own types and directions, ties broken by
 the later order columns and NULLs in Spark's default place.  So an outlier, a
 handful of distinct values, many NULLs or a text column spread as evenly as
-anything else, provided the order columns together tell rows apart.  The sample
-is a lazy scalar subquery and a deterministic function of the rows: recomputing
-after an executor loss gives the same buckets.  A row's bucket is found by
-binary search.  The rows are shuffled once, on ``(key, bucket)``.
+anything else.  Rows that tie on all order columns, should they fill more than a
+bucket, are spread by a hash of the whole row (only rows equal in every column
+stay together).  The plan holds the cuts as constants: recomputing after an
+executor loss gives the same buckets.  A row's bucket is found by a compiled
+binary search.  The rows are shuffled once, on ``(key, bucket)``, and the table
+is read twice: for the rows, and map-side for the summaries (their columns only).
 """
 
 from __future__ import annotations
@@ -31,9 +33,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "_bkt"
-SAMPLES_PER_BUCKET = 16     # expected; more make bucket sizes more even
+SAMPLES_PER_BUCKET = 16     # more make bucket sizes more even
+SAMPLE_SEED = 11
+TIE = "_pfx_tie"
 
 Order = Sequence[str | tuple[str, bool]]
 
@@ -47,7 +52,8 @@ def _spec(order: Order) -> list[tuple[str, bool]]:
     return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
 
 
-def _zero(dtype: str) -> Column:
+def zero_of(dtype: str) -> Column:
+    """A non-NULL value of a type."""
     if dtype == "string":
         return F.lit("")
     if dtype == "boolean":
@@ -69,12 +75,11 @@ def _before(a, b, spec: Sequence[tuple[str, bool]], equal: bool) -> Column:
     return out
 
 
-def _cuts(df: DataFrame, spec: Sequence[tuple[str, bool]], n: int) -> Column:
-    """``n - 1`` cut rows at the quantiles of a hash sample, as an array."""
+def _cuts(df: DataFrame, spec: Sequence[tuple[str, bool]], n: int) -> list:
+    """``n - 1`` cut rows at the quantiles of a random sample of fixed size; one
+    pass over the order columns, no count."""
     names = [c for c, _ in spec]
-    total = df.select(F.count(F.lit(1))).scalar()
-    every = F.greatest(F.lit(1).cast("bigint"), F.floor(total / F.lit(n * SAMPLES_PER_BUCKET)).cast("bigint"))
-    drawn = df.select(*names).where(F.pmod(F.xxhash64(*names), every) == 0)
+    drawn = df.select(*names).orderBy(F.rand(SAMPLE_SEED)).limit(n * SAMPLES_PER_BUCKET)
 
     def compare(x, y):
         return (F.when(_before(x.getField, y.getField, spec, False), F.lit(-1))
@@ -83,29 +88,61 @@ def _cuts(df: DataFrame, spec: Sequence[tuple[str, bool]], n: int) -> Column:
     rows = F.collect_list(F.struct(*names))
     rows = F.array_sort(rows) if all(asc for _, asc in spec) else F.array_sort(rows, compare)
     at = F.transform(F.sequence(F.lit(1), F.lit(n - 1)),
-                     lambda i: F.get(F.col("_s"), F.floor(i * F.size("_s") / F.lit(n)).cast("int"))) if n > 1 else F.col("_s")
-    return drawn.agg(rows.alias("_s")).select(F.when(F.size("_s") > 0, at).otherwise(F.col("_s")).alias("_c")).scalar()
+                     lambda i: F.get(F.col("_s"), F.floor(i * F.size("_s") / F.lit(n)).cast("int")))
+    return drawn.agg(rows.alias("_s")).select(F.when(F.size("_s") > 0, at).otherwise(F.col("_s"))).first()[0]
 
 
-def with_buckets(df: DataFrame, order: Order, n_buckets: int | None = None, name: str = BUCKET) -> DataFrame:
-    """Add the bucket number: the cuts at or before the row, by binary search."""
+def _tied(cuts: list) -> bool:
+    """Whether rows that tie on all order columns fill more than a bucket."""
+    return any(a == b for a, b in zip(cuts, cuts[1:]))
+
+
+def with_buckets(df: DataFrame, order: Order, n_buckets: int | None = None, name: str = BUCKET,
+                 tie: str = TIE) -> DataFrame:
+    """Add the bucket number: how many cuts lie at or before the row.
+
+    The cuts are drawn when the plan is built, as the sample of a range
+    exchange is drawn before its shuffle; the plan holds them as constants.
+    Where rows that tie on all order columns fill more than a bucket, a hash of
+    the whole row joins the order as column ``tie``: it must then be part of
+    every sort that shall agree with the buckets.
+    """
     n = n_buckets or default_buckets(df.sparkSession)
     if n <= 1:
         return df.withColumn(name, F.lit(0))
     spec = _spec(order)
-    cut = df.withColumn("_cuts", _cuts(df, spec, n))
-
-    def step(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / F.lit(2)).cast("int")
-        here = F.get(F.col("_cuts"), mid)
-        right = _before(here.getField, F.col, spec, True)
-        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(
-            F.when(right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
-             .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
-
-    start = F.struct(F.lit(0).alias("lo"), F.size("_cuts").alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit((n - 1).bit_length())), start, step, lambda acc: acc["lo"])
-    return cut.withColumn(name, found).drop("_cuts")
+    cuts = _cuts(df, spec, n)
+    if _tied(cuts):
+        df = df.withColumn(tie, F.xxhash64(*[_hashable(f) for f in df.schema.fields]))
+        spec = [*spec, (tie, True)]
+        cuts = _cuts(df, spec, n)
+    return _located(df, spec, cuts, name)
+
+
+def _hashable(field: T.StructField) -> Column:
+    return F.to_json(F.struct(field.name)) if "map<" in field.dataType.simpleString() else F.col(field.name)
+
+
+def _located(df: DataFrame, spec: Sequence[tuple[str, bool]], cuts: list, name: str) -> DataFrame:
+    """Binary search with steps of falling powers of two, one projection a
+    step: compiled, and of a size that grows with the number of steps only."""
+    schema = T.StructType([T.StructField("_c", T.ArrayType(df.select(F.struct(*[c for c, _ in spec]).alias("r")).schema["r"].dataType))])
+    held = df.sparkSession.createDataFrame([(cuts,)], schema)
+    up = all(asc for _, asc in spec)
+    if up:
+        held = held.select(F.array_sort("_c"))
+    out = df.withColumn(name, F.lit(0)).withColumn("_pfx_cuts", held.scalar())
+    if up:
+        out = out.withColumn("_pfx_row", F.struct(*[c for c, _ in spec]))
+    for k in reversed(range(len(cuts).bit_length())):
+        here = F.get(F.col("_pfx_cuts"), F.col(name) + F.lit((1 << k) - 1))
+        if up:
+            passed = here <= F.col("_pfx_row")
+        else:
+            out = out.withColumn("_pfx_cut", here)
+            passed = F.col("_pfx_cut").isNotNull() & _before(F.col("_pfx_cut").getField, F.col, spec, True)
+        out = out.withColumn(name, F.col(name) + F.when(passed, F.lit(1 << k)).otherwise(F.lit(0)))
+    return out.drop("_pfx_cuts", "_pfx_row", "_pfx_cut")
 
 
 def prepare(df: DataFrame, keys: Sequence[str], order: Order, n_buckets: int | None = None,
@@ -125,7 +162,7 @@ def prepare(df: DataFrame, keys: Sequence[str], order: Order, n_buckets: int | N
     types = dict(df.dtypes)
     b = df
     for i, k in enumerate(keys):
-        b = (b.withColumn(f"_k{i}", F.coalesce(F.col(k), _zero(types[k])))
+        b = (b.withColumn(f"_k{i}", F.coalesce(F.col(k), zero_of(types[k])))
               .withColumn(f"_n{i}", F.col(k).isNull()))
         kcols += [f"_k{i}", f"_n{i}"]
     b = with_buckets(b, [*kcols, *order], n_buckets)
@@ -135,7 +172,12 @@ def prepare(df: DataFrame, keys: Sequence[str], order: Order, n_buckets: int | N
 
 
 def cleanup(df: DataFrame, kcols: Sequence[str]) -> DataFrame:
-    return df.drop(*kcols, BUCKET)
+    return df.drop(*kcols, BUCKET, TIE)
+
+
+def _with_tie(df: DataFrame, order: Order) -> Order:
+    """The order the buckets were cut in: with the row hash, where ties needed it."""
+    return [*order, TIE] if TIE in df.columns else order
 
 
 def restore_keys(df: DataFrame, keys: Sequence[str], kcols: Sequence[str], types: dict) -> DataFrame:
@@ -174,7 +216,7 @@ def running(df: DataFrame, kcols: Sequence[str], order: Order, specs: dict[str,
     strictly earlier rows (NULL for the first row, 0 for count).
     ``summary_from`` holds the same rows before the shuffle, when available.
     """
-    w_local = Window.partitionBy(*kcols, BUCKET).orderBy(*sort_columns(order))
+    w_local = Window.partitionBy(*kcols, BUCKET).orderBy(*sort_columns(_with_tie(df, order)))
     local_cols, summary_aggs, carry_cols = [], [], []
     agg_fn = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
     for name, (val, op, inclusive) in specs.items():
@@ -216,6 +258,7 @@ def next_match(df: DataFrame, kcols: Sequence[str], order: Order, cond: Column,
     first order column itself, the summary is a plain ``min`` (hash
     aggregate) instead of a ``min`` over a struct (sort aggregate).
     """
+    order = _with_tie(df, order)
     w_rev = (Window.partitionBy(*kcols, BUCKET).orderBy(*sort_columns(order, reverse=True))
              .rowsBetween(Window.unboundedPreceding, -1))
     hit = F.when(cond, payload)

@@ -76,12 +76,15 @@ def sq_running_reduce_decimal(spark, sf_dir):
 
 def _write_out_of_order(spark, sf_dir, path, cols):
     """The events as files that arrive about in event-time order: one write per
-    shifted week, rows shifted by up to six hours, so files overlap."""
-    ev = C.read_table(spark, sf_dir, "events", cols)
+    shifted week, rows shifted by up to six hours, so files overlap.  The table
+    is read once and dealt by week; each write reads its own week."""
+    from eventide.session import scratch_path
+    ev, weeks = C.read_table(spark, sf_dir, "events", cols), scratch_path(spark, "weeks")
     week = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) + (F.col("event_id") % 7) * C.HOUR_US) / F.lit(7 * C.DAY_US))
-    ev = ev.withColumn("_week", week)
-    for r in ev.select("_week").distinct().orderBy("_week").collect():      # one row per week
-        ev.where(F.col("_week") == r["_week"]).drop("_week").write.mode("append").parquet(path)
+    ev.withColumn("week", week).write.partitionBy("week").parquet(weeks)
+    dealt = spark.read.schema(ev.withColumn("week", week).schema).parquet(weeks)
+    for r in dealt.select("week").distinct().orderBy("week").collect():      # one row per week
+        dealt.where(F.col("week") == r["week"]).drop("week").write.mode("append").parquet(path)
 
 
 def _out_of_order(spark, sf_dir, name, cols):
@@ -156,6 +159,14 @@ def sq_sequence_match(spark, sf_dir):
     return _ntz(out, "start_ts", "end_ts")
 
 
+def sq_pattern_null_ids(spark, sf_dir):
+    """T2 where one id in seven is NULL."""
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "ts", "event_type"])
+    ev = ev.withColumn("name", F.expr("nullif(event_id, event_id div 7 * 7)"))
+    out = run_available(processors.sequence_match(ev, C._stages(), "ts", "event_id", "name", key="user_id"), "stream_pattern_null_ids")
+    return _ntz(out, "start_ts", "end_ts")
+
+
 def sq_sequence_match_global(spark, sf_dir):
     """T2 unkeyed, streamed: the pattern sink with its own 0 s watermark; all
     work is the distributed batch pattern over final and retained rows."""
@@ -228,6 +239,7 @@ OUT_OF_ORDER_DELAY = "8 days"
 STREAM_QUERIES = {
     "stream_running_reduce_decimal": sq_running_reduce_decimal,
     "stream_timeout_out_of_order": sq_timeout_out_of_order,
+    "stream_pattern_null_ids": sq_pattern_null_ids,
     "stream_pattern_out_of_order": sq_pattern_out_of_order,
     "stream_late_rows": sq_late_rows,
     "stream_watermark_trace": sq_watermark_trace,
@@ -279,6 +291,9 @@ STREAM_ORACLE_SQL = {
     "stream_pattern_out_of_order": "select user_id, 'e' || id0 as id0, 'e' || id1 as id1, 'e' || id2 as id2, start_ts, end_ts, "
                                    "'e' || id0 || ' e' || id1 || ' e' || id2 || ' ' as ids from ("
                                    + C._seq_sql(True).replace("from events)", f"from events where ts <= {_WM_DELAYED})", 1) + ")",
+    "stream_pattern_null_ids": "select user_id, nullif(id0, id0 // 7 * 7) as id0, nullif(id1, id1 // 7 * 7) as id1, nullif(id2, id2 // 7 * 7) as id2, "
+                               "start_ts, end_ts, case when id0 % 7 > 0 and id1 % 7 > 0 and id2 % 7 > 0 then ids end as ids from ("
+                               + C._seq_sql(True).replace("from events)", f"from events where ts <= {_WM})", 1) + ")",
     "stream_running_reduce_decimal": """
 select event_id, user_id, cast(v as varchar) as v,
        cast(sum(v) over (partition by user_id order by event_id rows between unbounded preceding and current row) as varchar) as running_sum

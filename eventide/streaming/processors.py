@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from eventide.plans.prefix import zero_of
+
 
 # The processors travel to the Python workers (and to the driver-side runner
 # that reads their state schemas) by value, so a cluster needs no install of
@@ -80,10 +82,29 @@ def _sum_type(dtype: str) -> str:
 
 def _split_nulls(stream: DataFrame, key: str, seq: str, value: str) -> tuple[DataFrame, str]:
     kind = _sum_type(dict(stream.dtypes)[value])
-    return stream.select(seq, key, F.coalesce(F.col(value).cast(kind), F.lit(0).cast(kind)).alias("amount"),
+    return stream.select(*_filled(stream, seq, "seq"), key, F.coalesce(F.col(value).cast(kind), F.lit(0).cast(kind)).alias("amount"),
                          F.col(value).isNotNull().alias("given")), kind
 
 
+def _filled(stream: DataFrame, col: str, name: str) -> list[Column]:
+    """``has_<name>`` and ``<name>_value``, NULLs as the type's zero: sorted by the
+    pair, NULLs come first, as in Spark's order."""
+    return [F.col(col).isNotNull().alias(f"has_{name}"), F.coalesce(F.col(col), zero_of(dict(stream.dtypes)[col])).alias(f"{name}_value")]
+
+
+def _order(a: dict[str, np.ndarray]) -> np.ndarray:
+    """Stable order of a batch by ``(has_seq, seq)``."""
+    o = np.argsort(a["seq_value"], kind="stable")
+    return o[np.argsort(a["has_seq"][o].astype(bool), kind="stable")]
+
+
+def _back(has: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Filled values with their NULLs, as objects: integers stay integers."""
+    out = (values.astype("datetime64[us]") if values.dtype.kind == "M" else values).astype(object)
+    out[~has.astype(bool)] = None
+    return out
+
+
 def _numbers(a: np.ndarray, kind: str) -> np.ndarray:
     return a if kind.startswith("decimal") else a.astype("int64" if kind == "bigint" else "float64")
 
@@ -106,14 +127,14 @@ class RunningSum(StatefulProcessor):
         self.total = handle.getValueState("total", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        a = _arrays(rows, [self.seq, "amount", "given"])
-        o = np.argsort(a[self.seq], kind="stable")
-        seq, v, given = a[self.seq][o], _numbers(a["amount"][o], self.kind), a["given"][o].astype(bool)
+        a = _arrays(rows, ["has_seq", "seq_value", "amount", "given"])
+        o = _order(a)
+        v, given = _numbers(a["amount"][o], self.kind), a["given"][o].astype(bool)
         cur = self.total.get()                          # None when the key is new
         base, count = cur if cur is not None else (_scalar(0, self.kind) if not self.kind.startswith("decimal") else v[0] - v[0], 0)
         run, n = base + np.cumsum(v), count + np.cumsum(given)
         self.total.update((_scalar(run[-1], self.kind), int(n[-1])))
-        yield pd.DataFrame({self.seq: seq, self.key_col: np.repeat(_key_value(key), len(seq)),
+        yield pd.DataFrame({self.seq: _back(a["has_seq"][o], a["seq_value"][o]), self.key_col: np.repeat(_key_value(key), len(o)),
                             "amount": v, "given": given, "total": run, "some": n > 0})
 
     def close(self) -> None:
@@ -139,40 +160,42 @@ class CountWindowAverage(StatefulProcessor):
     open window is kept in state (count so far, pending sum and values, first
     sequence number)."""
 
-    def __init__(self, key: str, seq: str, n: int, kind: str):
-        self.key_col, self.seq, self.n, self.kind = key, seq, n, kind
-        self.state = _state(cnt="bigint", pend_s=kind, pend_n="bigint", pend_first="bigint")
+    def __init__(self, key: str, seq_type: str, n: int, kind: str):
+        self.key_col, self.n, self.kind = key, n, kind
+        self.state = _state(cnt="bigint", pend_s=kind, pend_n="bigint", pend_first=seq_type, pend_last=seq_type)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.acc = handle.getValueState("acc", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n = self.n
-        a = _arrays(rows, [self.seq, "amount", "given"])
-        o = np.argsort(a[self.seq], kind="stable")
-        seq, v = a[self.seq][o].astype("int64"), _numbers(a["amount"][o], self.kind)
-        given = a["given"][o].astype("int64")
+        a = _arrays(rows, ["has_seq", "seq_value", "amount", "given"])
+        o = _order(a)
+        first, v = _back(a["has_seq"][o], a["seq_value"][o]), _numbers(a["amount"][o], self.kind)
+        last, given = first, a["given"][o].astype("int64")
         cur = self.acc.get()
-        cnt, pend_s, pend_n, pend_first = cur if cur is not None else (0, None, 0, None)
+        cnt, pend_s, pend_n, pend_first, pend_last = cur if cur is not None else (0, None, 0, None, None)
         open_n = cnt % n
         weight = np.ones(len(o), dtype="int64")
         if open_n:                                      # rows of the window left open earlier
             v = np.concatenate([np.array([pend_s], dtype=v.dtype), v])
             given = np.concatenate([[pend_n], given])
-            seq = np.concatenate([[pend_first], seq])
+            first, last = np.concatenate([_objects([pend_first]), first]), np.concatenate([_objects([pend_last]), last])
             weight = np.concatenate([[open_n], weight])
         pos = (cnt - open_n) + np.cumsum(weight)        # 1-based position of each row's end
         win = (pos - 1) // n
         starts = np.flatnonzero(np.r_[True, win[1:] != win[:-1]])
         s, c, g = np.add.reduceat(v, starts), np.add.reduceat(weight, starts), np.add.reduceat(given, starts)
-        first = seq[starts]
-        last = seq[np.r_[starts[1:], len(seq)] - 1]
+        ends = np.r_[starts[1:], len(win)]
+        # in order, NULLs first: the first and the last number given
+        first = _objects([next((x for x in first[i:j] if x is not None), None) for i, j in zip(starts, ends)])
+        last = _objects([next((x for x in last[i:j][::-1] if x is not None), None) for i, j in zip(starts, ends)])
         full = c == n
         new_cnt = int(cnt + len(o))
         if c[-1] < n:
-            self.acc.update((new_cnt, _scalar(s[-1], self.kind), int(g[-1]), int(first[-1])))
+            self.acc.update((new_cnt, _scalar(s[-1], self.kind), int(g[-1]), first[-1], last[-1]))
         else:
-            self.acc.update((new_cnt, None, 0, None))
+            self.acc.update((new_cnt, None, 0, None, None))
         if full.any():
             yield pd.DataFrame({
                 self.key_col: np.repeat(_key_value(key), int(full.sum())),
@@ -186,12 +209,18 @@ class CountWindowAverage(StatefulProcessor):
         pass
 
 
+def _objects(values: Sequence) -> np.ndarray:
+    out = np.empty(len(values), dtype=object)
+    out[:] = values
+    return out
+
+
 def count_window_avg(stream: DataFrame, key: str, seq: str, value: str, n: int = 2) -> DataFrame:
     """Average of every ``n`` rows, divided as in the batch form."""
     types = dict(stream.dtypes)
     src, kind = _split_nulls(stream, key, seq, value)
-    schema = f"{key} {types[key]}, window_idx bigint, total {kind}, given bigint, first_seq bigint, last_seq bigint"
-    out = src.groupBy(key).transformWithStateInPandas(CountWindowAverage(key, seq, n, kind), schema, "Append", "None")
+    schema = f"{key} {types[key]}, window_idx bigint, total {kind}, given bigint, first_seq {types[seq]}, last_seq {types[seq]}"
+    out = src.groupBy(key).transformWithStateInPandas(CountWindowAverage(key, types[seq], n, kind), schema, "Append", "None")
     avg = F.expr(f"total div {n}") if types[value] in _WHOLE else F.col("total") / F.lit(n)
     return out.select(key, "window_idx", F.when(F.col("given") > 0, avg).alias("avg_value"), "first_seq", "last_seq")
 
@@ -210,7 +239,7 @@ class InactivityTimeout(StatefulProcessor):
 
     def __init__(self, key: str, ts: str, seq: str, gap_us: int, seq_type: str = "bigint"):
         self.key_col, self.ts, self.seq, self.gap = key, ts, seq, int(gap_us)
-        self.buffered, self.state = _state(ts_us="bigint", seq=seq_type), _state(count="bigint", last_us="bigint", fired="bigint")
+        self.buffered, self.state = _state(ts_us="bigint", has_seq="boolean", seq=seq_type), _state(count="bigint", last_us="bigint", fired="bigint")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -223,9 +252,9 @@ class InactivityTimeout(StatefulProcessor):
         return -((-us) // 1000)  # ceil to whole ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        a = _arrays(rows, [self.ts, self.seq])
+        a = _arrays(rows, [self.ts, "has_seq", "seq_value"])
         ts = _us(a[self.ts])
-        self.buf.appendList(list(zip(ts.tolist(), a[self.seq].tolist())))
+        self.buf.appendList(list(zip(ts.tolist(), a["has_seq"].tolist(), a["seq_value"].tolist())))
         self.handle.registerTimer(self._timer_ms(int(ts.min())))
         return iter([])
 
@@ -270,7 +299,7 @@ def inactivity_timeout(stream: DataFrame, key: str, ts: str, seq: str, gap_us: i
     watermark when they arrive, or without event time, are dropped."""
     types = dict(stream.dtypes)
     schema = f"{key} {types[key]}, count bigint, last_ts timestamp, fire_ts timestamp"
-    return (stream.where(F.col(ts).isNotNull()).select(key, *dict.fromkeys([ts, seq])).groupBy(key)
+    return (stream.where(F.col(ts).isNotNull()).select(key, ts, *_filled(stream, seq, "seq")).groupBy(key)
                   .transformWithStateInPandas(InactivityTimeout(key, ts, seq, gap_us, types[seq]), schema,
                                               "Append", "EventTime"))
 
@@ -290,7 +319,7 @@ class SequencePattern(StatefulProcessor):
                  within_us: int | None = None, seq_type: str = "bigint", id_type: str = "bigint"):
         self.key_col, self.ts, self.seq, self.id_col, self.k = key, ts, seq, id_col, n_stages
         self.within = within_us
-        self.buffered = _state(ts_us="bigint", seq=seq_type, id=id_type, mask="bigint")
+        self.buffered = _state(ts_us="bigint", has_seq="boolean", seq=seq_type, has_id="boolean", id=id_type, mask="bigint")
         self.waiting = _state(stage="bigint", start_us="bigint", ids=f"array<{id_type}>")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -299,13 +328,13 @@ class SequencePattern(StatefulProcessor):
         self.partial = handle.getListState("partial", self.waiting)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        a = _arrays(rows, list(dict.fromkeys([self.ts, self.seq, self.id_col, "stage_mask"])))
+        names = ["has_seq", "seq_value", "has_id", "id_value"]
+        a = _arrays(rows, [self.ts, *names, "stage_mask"])
         mask = a["stage_mask"].astype("int64")
         keep = mask != 0
         if keep.any():
             ts = _us(a[self.ts])[keep]
-            recs = list(zip(ts.tolist(), a[self.seq][keep].tolist(),
-                            a[self.id_col][keep].tolist(), mask[keep].tolist()))
+            recs = list(zip(ts.tolist(), *(a[n][keep].tolist() for n in names), mask[keep].tolist()))
             self.buf.appendList(recs)
             self.handle.registerTimer(-((-int(ts.min())) // 1000))
         return iter([])
@@ -319,7 +348,8 @@ class SequencePattern(StatefulProcessor):
         for stage, start_us, ids in (self.partial.get() if self.partial.exists() else []):
             waiting[int(stage)].append((start_us, list(ids)))
         done = []
-        for ts_us, _seq, rid, mask in ready:
+        for ts_us, _has_seq, _seq, has_id, rid, mask in ready:
+            rid = rid if has_id else None
             for i in range(self.k - 1, 0, -1):          # later stages first: one step per row
                 if mask >> i & 1 and waiting[i]:
                     # the first stage-i row decides: a start it leaves too far
@@ -345,12 +375,12 @@ class SequencePattern(StatefulProcessor):
             self.buf.put(rest)
             self.handle.registerTimer(-((-int(rest[0][0])) // 1000))
         if done:
-            out = {f"id{i}": [d[1][i] for d in done] for i in range(self.k)}
+            out = {f"id{i}": _objects([d[1][i] for d in done]) for i in range(self.k)}
             if self.key_col is not None:
                 out = {self.key_col: np.repeat(_key_value(key), len(done)), **out}
             out["start_ts"] = _ts([d[0] for d in done])
             out["end_ts"] = _ts([d[2] for d in done])
-            out["ids"] = [" ".join(str(x) for x in d[1]) + " " for d in done]
+            out["ids"] = _objects([None if None in d[1] else " ".join(str(x) for x in d[1]) + " " for d in done])
             yield pd.DataFrame(out)
 
     def close(self) -> None:
@@ -372,8 +402,8 @@ def sequence_match(stream: DataFrame, stages: Sequence[Column], ts: str, seq: st
                 for i, s in enumerate(stages)), F.lit(0)).cast("bigint").alias("stage_mask")
     # (column names reaching pandas must not start with "_")
     gkey = key if key is not None else "all_rows"
-    base = list(dict.fromkeys([ts, seq, id_col]))      # id and seq may be one column
-    src = stream.select(*([key] if key else [F.lit(0).alias("all_rows")]), *base, mask)
+    src = stream.select(*([key] if key else [F.lit(0).alias("all_rows")]), ts, *_filled(stream, seq, "seq"),
+                        *_filled(stream, id_col, "id"), mask)
     key_schema = f"{key} {types[key]}, " if key else ""
     schema = (key_schema + ", ".join(f"id{i} {types[id_col]}" for i in range(k))
               + ", start_ts timestamp, end_ts timestamp, ids string")

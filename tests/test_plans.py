@@ -90,16 +90,18 @@ def test_approximate_count_sends_one_sketch_per_task(spark):
 
 
 def test_scans_of_ordered_operators(spark):
-    """The rows, the map-side summaries, and for the cuts a sample of the order
-    columns and a count; only the pattern's middle stage is summarised from the
-    shuffled rows, which it reuses."""
+    """Two scans, the rows and the map-side summaries (only the pattern's middle
+    stage is summarised from the shuffled rows, which it reuses; the timeout has
+    two summaries), and a bucket search without lambdas."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")     # reuse is then in the static plan
     try:
-        for name in ("sequence_match", "running_reduce", "inactivity_timeout", "paged_scan"):
+        for name in ("sequence_match", "running_reduce", "inactivity_timeout", "paged_scan", "watermark_trace"):
             df = Q[name](spark, SF001)
             spark.conf.set("spark.sql.adaptive.enabled", "false")     # the query sets the library's own
-            schemas = re.findall(r"ReadSchema: struct<(.*)>", _plan(df))
-            assert len(schemas) <= 4 + (name == "inactivity_timeout") and "" in schemas, (name, schemas)
+            plan = _plan(df)
+            schemas = re.findall(r"ReadSchema: struct<(.*)>", plan)
+            assert len(schemas) == 2 + (name == "inactivity_timeout"), (name, schemas)
+            assert "aggregate(" not in plan and "lambdafunction" not in plan.split("Subqueries")[0], name
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 

@@ -142,3 +142,32 @@ def test_row_numbers_over_text_and_reduce_operators(spark):
         got = rows(keyed.running_reduce(df, "s", "id", "v", n_buckets=4, op=op), "id", "running_sum")
         wk = Window.partitionBy("s").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
         assert got == rows(df.withColumn("running_sum", fn("v").over(wk)), "id", "running_sum")
+
+
+def test_ties_are_spread(spark):
+    """A third of the rows tie on every order column: they fill many buckets,
+    and running values, row numbers and next matches stay right."""
+    from eventide.plans import prefix
+    df = spark.range(0, 12000, 1, 5).selectExpr("case when id % 3 = 0 then 'hot' else concat('k', id % 7) end as k",
+                                                "case when id % 3 = 0 then 5 else id end as t", "id", "cast(id % 11 as bigint) as v")
+    b, kcols, _ = prefix.prepare(df, ["k"], ["t"], 12)
+    own = [r["count"] for r in b.where("k = 'hot'").groupBy(prefix.BUCKET).count().collect()]
+    assert len(own) >= 4 and max(own) <= 3 * 1000, own
+    got = keyed.running_reduce(df, "k", "t", "v", n_buckets=12)
+    assert got.columns == [*df.columns, "running_sum"]
+    hot = got.where("k = 'hot'")
+    assert hot.agg(F.max("running_sum")).first()[0] == df.where("k = 'hot'").agg(F.sum("v")).first()[0]
+    rn = keyed.row_numbers(df, [], ["t"], n_buckets=12)
+    assert rn.select("rn").distinct().count() == 12000
+    w = Window.orderBy("rn")
+    assert rn.withColumn("back", F.col("t") < F.lag("t").over(w)).where("back").count() == 0
+    fires = timeout.inactivity_timeout(df.withColumn("ts", F.timestamp_seconds("t")), "k", "ts", "id", 10**15, n_buckets=12)
+    assert rows(fires, "k", "count") == rows(df.groupBy("k").count(), "k", "count")
+
+
+def test_no_ties_no_row_hash(spark):
+    from eventide.plans import prefix
+    df = spark.range(0, 5000, 1, 3).selectExpr("id % 10 as k", "id", "map(1, id) as m")
+    assert prefix.TIE not in prefix.with_buckets(df, ["k", "id"], 16).columns
+    tied = prefix.with_buckets(df, ["k"], 16)
+    assert prefix.TIE in tied.columns and tied.groupBy(prefix.BUCKET).count().count() == 16

@@ -158,3 +158,14 @@ def test_display_time_keeps_small_values_numeric(spark):
     df = spark.createDataFrame([(0,), (50000,), (50001,), (1704110301764,)], "ms bigint")
     got = [r.d for r in df.orderBy("ms").select(display_time("ms").alias("d")).collect()]
     assert got == ["0", "50000", "1970-01-01 00:00:50.001", "2024-01-01 11:58:21.764"]
+
+
+def test_nulls_in_a_list_take_no_rows(spark):
+    from eventide.functions import predicates as P
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "x string")
+    kept = lambda p: sorted(str(r.x) for r in df.where(p).collect())
+    assert kept(P.must_not(P.terms("x", ["a", None]))) == ["None", "b"]
+    assert kept(P.must_not(P.term("x", None))) == ["None", "a", "b"] == kept(P.must_not(P.terms("x", [None])))
+    assert kept(P.terms("x", ["a", None])) == ["a"] and kept(P.term("x", None)) == [] == kept(P.terms("x", []))
+    assert kept(P.bool_query(must_=[P.exists("x")], must_not_=[P.terms("x", [None, "b"])])) == ["a"]
+    assert kept(P.must_not(P.term("x", F.col("x")))) == ["None"]

@@ -280,3 +280,38 @@ def test_running_values_keep_their_type_and_nulls(spark, scratch):
         got = spark.read.parquet(f"{scratch}/c{name}/data")
         ref = keyed.count_window_avg(cast(batch), "k", "seq", "v", 2)
         assert rows(got, "k", "window_idx", "avg_value", "first_seq", "last_seq") == rows(ref, "k", "window_idx", "avg_value", "first_seq", "last_seq")
+
+
+def test_null_ids_and_sequence_numbers(spark, scratch):
+    """NULL ids match and spell no id list; NULL sequence numbers come first
+    among ties; long ids beside them keep every digit."""
+    big, s = 9_007_199_254_740_993, 1_704_067_200_000_000
+    e = list("aabcxabbcacbcab")
+    data = [("k", s + (i // 2) * 10_000_000, None if i % 4 == 3 else i + big, i, x) for i, x in enumerate(e)]
+    sentinel = ("zz", s + 10**12, 1, 0, "x")
+    src = f"{scratch}/src"
+    _write_files(src, [data[:7], data[7:], [sentinel]])
+    batch = _as_df(spark, data).withColumn("id", F.expr("nullif(seq, 9007199254740995)"))
+    stages = [F.col("e") == x for x in "abc"]
+    ident = lambda d: d.withColumn("id", F.expr("nullif(seq, 9007199254740995)"))
+    for name, build, ref, cols in (
+            ("t1", lambda d: processors.inactivity_timeout(d, "k", "ts", "seq", 9_000_000),
+             timeout.inactivity_timeout(batch, "k", "ts", "seq", 9_000_000), ("k", "count")),
+            ("t2", lambda d: processors.sequence_match(ident(d), stages, "ts", "seq", "id", key="k"),
+             patterns.sequence_match(batch, stages, "ts", "seq", "id", key="k"), ("id0", "id1", "id2", "ids"))):
+        _run(spark, src, f"{scratch}/{name}", build)
+        got = rows(spark.read.parquet(f"{scratch}/{name}/data").where("k <> 'zz'"), *cols)
+        assert got == rows(ref, *cols) and got
+    # one batch: NULL sequence numbers are taken before all others
+    _write_files(f"{scratch}/one", [[(k, t, None if i in (2, 5) else q, i, x) for i, (k, t, q, _, x) in enumerate(data)]])
+    one = spark.read.parquet(f"{scratch}/one")
+    assert one.where("seq is null").count() > 2
+    _run(spark, f"{scratch}/one", f"{scratch}/a8", lambda d: processors.running_reduce(d.withColumn("v", F.lit(1)), "k", "seq", "v"))
+    got = rows(spark.read.parquet(f"{scratch}/a8/data"), "seq", "running_sum")
+    assert sorted(r[1] for r in got) == list(range(1, 16))
+    assert {r[1] for r in got if r[0] is None} == set(range(1, one.where("seq is null").count() + 1))
+    assert [r[0] for r in sorted(got, key=lambda r: r[1]) if r[0] is not None] == sorted(r[0] for r in got if r[0] is not None)
+    _run(spark, f"{scratch}/one", f"{scratch}/a9", lambda d: processors.count_window_avg(d.withColumn("v", F.lit(2)), "k", "seq", "v", 3))
+    ref = keyed.count_window_avg(one.withColumn("v", F.lit(2)), "k", "seq", "v", 3)
+    cols = ("k", "window_idx", "avg_value", "first_seq", "last_seq")
+    assert rows(spark.read.parquet(f"{scratch}/a9/data"), *cols) == rows(ref, *cols)
