@@ -63,36 +63,19 @@ def zero_of(dtype: str) -> Column:
     return F.lit(0).cast(dtype)
 
 
-def _before(a, b, spec: Sequence[tuple[str, bool]], equal: bool) -> Column:
-    """Whether row ``a`` comes before row ``b`` (or with it, if ``equal``);
-    NULLs come first ascending and last descending, as in Spark's sort."""
-    out = F.lit(equal)
-    for name, asc in reversed(spec):
-        x, y = a(name), b(name)
-        less = (x.isNull() & y.isNotNull()) | F.coalesce(x < y, F.lit(False)) if asc else \
-            (x.isNotNull() & y.isNull()) | F.coalesce(x > y, F.lit(False))
-        out = less | (x.eqNullSafe(y) & out)
-    return out
-
-
-def _cuts(df: DataFrame, spec: Sequence[tuple[str, bool]], n: int) -> list:
-    """``n - 1`` cut rows at the quantiles of a random sample of fixed size; one
-    pass over the order columns, no count."""
-    names = [c for c, _ in spec]
-    drawn = df.select(*names).orderBy(F.rand(SAMPLE_SEED)).limit(n * SAMPLES_PER_BUCKET)
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    def compare(x, y):
-        return (F.when(_before(x.getField, y.getField, spec, False), F.lit(-1))
-                 .when(_before(y.getField, x.getField, spec, False), F.lit(1)).otherwise(F.lit(0)))
 
-    rows = F.collect_list(F.struct(*names))
-    rows = F.array_sort(rows) if all(asc for _, asc in spec) else F.array_sort(rows, compare)
-    at = F.transform(F.sequence(F.lit(1), F.lit(n - 1)),
-                     lambda i: F.get(F.col("_s"), F.floor(i * F.size("_s") / F.lit(n)).cast("int")))
-    return drawn.agg(rows.alias("_s")).select(F.when(F.size("_s") > 0, at).otherwise(F.col("_s"))).first()[0]
+def _cuts(df: DataFrame, spec: Sequence[tuple[str, bool]], n: int) -> list[str]:
+    """``n - 1`` cut rows, as JSON, at the quantiles of a random sample of fixed
+    size; one pass over the order columns, no count."""
+    drawn = df.select(*[c for c, _ in spec]).orderBy(F.rand(SAMPLE_SEED)).limit(n * SAMPLES_PER_BUCKET)
+    rows = [r[0] for r in drawn.orderBy(*sort_columns(spec)).select(F.to_json(F.struct(*[c for c, _ in spec]))).collect()]
+    return [rows[i * len(rows) // n] for i in range(1, n)] if rows else []
 
 
-def _tied(cuts: list) -> bool:
+def _tied(cuts: list[str]) -> bool:
     """Whether rows that tie on all order columns fill more than a bucket."""
     return any(a == b for a, b in zip(cuts, cuts[1:]))
 
@@ -123,25 +106,27 @@ def _hashable(field: T.StructField) -> Column:
     return F.to_json(F.struct(field.name)) if "map<" in field.dataType.simpleString() else F.col(field.name)
 
 
-def _located(df: DataFrame, spec: Sequence[tuple[str, bool]], cuts: list, name: str) -> DataFrame:
+def _located(df: DataFrame, spec: Sequence[tuple[str, bool]], cuts: list[str], name: str) -> DataFrame:
     """Binary search with steps of falling powers of two, one projection a
     step: compiled, and of a size that grows with the number of steps only."""
-    schema = T.StructType([T.StructField("_c", T.ArrayType(df.select(F.struct(*[c for c, _ in spec]).alias("r")).schema["r"].dataType))])
-    held = df.sparkSession.createDataFrame([(cuts,)], schema)
+    names = [c for c, _ in spec]
+    kind = df.select(F.struct(*names).alias("r")).schema["r"].dataType
+    held = F.from_json(F.lit(f"[{','.join(cuts)}]"), T.ArrayType(kind))        # folded into a constant
     up = all(asc for _, asc in spec)
-    if up:
-        held = held.select(F.array_sort("_c"))
-    out = df.withColumn(name, F.lit(0)).withColumn("_pfx_cuts", held.scalar())
-    if up:
-        out = out.withColumn("_pfx_row", F.struct(*[c for c, _ in spec]))
+    out = df.select("*", held.alias("_pfx_cuts"), F.lit(0).alias(name), *([F.struct(*names).alias("_pfx_row")] if up else []))
+    passed = "_pfx_cut <= _pfx_row"
+    if not up:      # the cut comes before the row or with it; NULLs first ascending, last descending
+        passed = "true"
+        for c, asc in reversed(spec):
+            x, y = f"_pfx_cut.{_quoted(c)}", _quoted(c)
+            less = (f"(({x} is null and {y} is not null) or coalesce({x} < {y}, false))" if asc else
+                    f"(({x} is not null and {y} is null) or coalesce({x} > {y}, false))")
+            passed = f"({less} or (({x} <=> {y}) and {passed}))"
+        passed = f"_pfx_cut is not null and {passed}"
+    at = _quoted(name)
     for k in reversed(range(len(cuts).bit_length())):
-        here = F.get(F.col("_pfx_cuts"), F.col(name) + F.lit((1 << k) - 1))
-        if up:
-            passed = here <= F.col("_pfx_row")
-        else:
-            out = out.withColumn("_pfx_cut", here)
-            passed = F.col("_pfx_cut").isNotNull() & _before(F.col("_pfx_cut").getField, F.col, spec, True)
-        out = out.withColumn(name, F.col(name) + F.when(passed, F.lit(1 << k)).otherwise(F.lit(0)))
+        out = out.withColumn("_pfx_cut", F.expr(f"get(_pfx_cuts, {at} + {(1 << k) - 1})"))
+        out = out.withColumn(name, F.expr(f"{at} + case when {passed} then {1 << k} else 0 end"))
     return out.drop("_pfx_cuts", "_pfx_row", "_pfx_cut")
 
 
