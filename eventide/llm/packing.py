@@ -36,7 +36,10 @@ LENGTH = 2048
 QUANTUM = 128
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE = 600_000         # pieces a worker remembers
+CACHE_BYTES = 160 << 20  # of words and pieces a worker remembers
+LONG = 64               # characters; longer ones are not remembered
+_ENTRY = 180            # bytes of a remembered word beside its own
+GROUP = 4 << 20         # characters of plain text encoded at a time
 
 
 # Texts of these characters are not changed by the tokenizer's normalisation
@@ -45,16 +48,44 @@ _PLAIN = re.compile("[\\n\\t\\r -~À-ÖØ-öø-įı-ſ]*")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įı-ſ]+|[0-9]|[^\\n\\t\\r a-zß-öø-įı-ſ0-9]+")
 
 
+_BLANK = re.compile("[ \n\t\r]")
+_BLANKS = bytes.maketrans(b"\n\t\r", b"   ")
+
+
+def is_plain(text: str) -> bool:
+    return _PLAIN.fullmatch(text) is not None and "<|" not in text
+
+
 def pieces_of(text: str) -> list[str] | None:
     """A text as the tokenizer splits it before merging, where that is
     certain; None elsewhere (also where a special token may be spelt)."""
-    return _PIECE.findall(text.lower()) if _PLAIN.fullmatch(text) and "<|" not in text else None
+    return _PIECE.findall(text.lower()) if is_plain(text) else None
+
+
+class Memory(dict):
+    """Ids by word, up to ``CACHE_BYTES`` in a worker for all of them together."""
+
+    held = 0
+
+    def learn(self, words: list[str], ids: list[bytes]) -> list[str]:
+        """Remember; returns the words too long to be kept beyond this slice."""
+        self.update(zip(words, ids))
+        long = [w for w in words if len(w) > LONG]
+        self.held += sum(map(len, words)) + sum(map(len, ids)) + _ENTRY * len(words)
+        return long
+
+    def forget(self, words: list[str]) -> None:
+        for w in words:
+            self.held -= len(w) + len(self.pop(w)) + _ENTRY
 
 
 class Encoder:
-    """Ids of whole texts as little-endian bytes.  A piece is encoded once and
-    its ids joined; texts that cannot be split here are cut at blanks and line
-    ends, which the tokenizer's pieces never span, and their words encoded."""
+    """Ids of whole texts as little-endian bytes.  Texts are cut at blanks and
+    line ends, which the tokenizer's pieces never span.  The words of a group of
+    texts are numbered as arrays, each distinct one is looked up once, and its
+    ids are laid out by offsets.  New words of plain texts are split further,
+    and only new pieces reach the tokenizer.  What is remembered is bounded by
+    bytes."""
 
     def __init__(self, path: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,8 +97,7 @@ class Encoder:
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.pieces: dict[str, bytes] = {}      # of plain texts
-        self.words: dict[str, bytes] = {}       # of others
+        self.plain, self.words = Memory(), Memory()     # words and pieces of plain texts, words of others
         self.end = np.array([END_ID], self.kind).tobytes()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
@@ -90,16 +120,121 @@ class Encoder:
         buf, ends = ids.tobytes(), ends.tolist()
         return [buf[i:j] for i, j in zip([0, *ends], ends)]
 
+    def _plain(self, words: list[str]) -> list[str]:
+        """Learn lower-case words of plain texts by their pieces."""
+        split = {w: _PIECE.findall(w) for w in words if not w.isalpha()}     # letters alone are a piece
+        new = list({w for w in words if w not in split}.union(p for own in split.values() for p in own if p not in self.plain))
+        long = self.plain.learn(new, self._pieces(new))
+        rest = [w for w in split if w not in self.plain]
+        return long + self.plain.learn(rest, [b"".join(map(self.plain.__getitem__, split[w])) for w in rest])
+
+    def _others(self, words: list[str]) -> list[str]:
+        return self.words.learn(words, self._each(words) if words else [])
+
+    def _known(self, memory: Memory, learn, words: list[str]) -> tuple[list[bytes], list[str]]:
+        """Ids of distinct words, and those to be forgotten again."""
+        if self.plain.held + self.words.held > CACHE_BYTES:
+            for m in (self.plain, self.words):
+                m.clear()
+                m.held = 0
+        long = learn([w for w in words if w not in memory])
+        return list(map(memory.__getitem__, words)), long
+
+    def _group(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of plain texts."""
+        own = [t.lower().encode().translate(_BLANKS) for t in texts]
+        at = np.cumsum([1] + [len(t) + 1 for t in own])
+        buffer = b" " + b" ".join(own) + b" "
+        inside = np.frombuffer(buffer, np.uint8) != 0x20
+        turn = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = turn[::2], turn[1::2]
+        numbers, first = number_words(buffer, starts, ends)
+        words = [buffer[i:j].decode() for i, j in zip(starts[first].tolist(), ends[first].tolist())]
+        ids, long = self._known(self.plain, self._plain, words)
+        self.plain.forget(long)
+        flat, sizes = np.frombuffer(b"".join(ids), self.kind), np.array([len(x) for x in ids], np.int64) // int(self.kind[-1])
+        size = sizes[numbers]
+        end = np.cumsum(size)
+        where = np.repeat((np.cumsum(sizes) - sizes)[numbers] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
+        out = flat[where]
+        cut = np.concatenate([[0], end])[np.searchsorted(starts, at)]
+        return [out[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [pieces_of(t) for t in texts]
-        words = [None if p is not None else re.split("[ \n\t\r]+", t) for t, p in zip(texts, split)]
-        for cache, lists, learn in ((self.pieces, split, self._pieces), (self.words, words, self._each)):
-            if len(cache) > CACHE:
-                cache.clear()
-            new = list({p for own in lists if own for p in own if p not in cache})
-            cache.update(zip(new, learn(new)))
-        return [b"".join(map((self.pieces if w is None else self.words).__getitem__, p if w is None else w)) + self.end
-                for p, w in zip(split, words)]
+        out: list[list[bytes]] = [[] for _ in texts]
+        group, owner, size = [], [], 0
+
+        def flush() -> None:
+            for k, ids in zip(owner, self._group(group)):
+                out[k].append(ids.tobytes())
+            group.clear()
+            owner.clear()
+
+        for k, t in enumerate(texts):
+            if is_plain(t):
+                for part in parts_of(t):
+                    group.append(part)
+                    owner.append(k)
+                    size += len(part)
+                    if size > GROUP:
+                        flush()
+                        size = 0
+            else:
+                words = re.split("[ \n\t\r]+", t)
+                distinct = list(set(words))
+                ids, long = self._known(self.words, self._others, distinct)
+                found = dict(zip(distinct, ids))
+                self.words.forget(long)
+                out[k] += map(found.__getitem__, words)
+        flush()
+        return [b"".join(x) + self.end for x in out]
+
+
+def parts_of(text: str) -> Iterator[str]:
+    """A plain text in parts of about ``GROUP`` characters, cut at blanks."""
+    at = 0
+    while len(text) - at > GROUP:
+        cut = _BLANK.search(text, at + GROUP)
+        if cut is None:
+            break
+        yield text[at:cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def number_words(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every word of ``buffer``, equal for equal words, and the
+    first word of each number.  Words of up to 16 bytes are told apart by their
+    bytes as two integers, longer ones by a dictionary."""
+    numbers, size = np.zeros(len(starts), np.int64), ends - starts
+    first, many = [], 0
+    raw = np.ndarray((len(buffer) + 8,), "<u8", buffer + b"\0" * 16, strides=(1,))
+    mask = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    for lo, hi in ((1, 8), (9, 16)):
+        own = np.flatnonzero((size >= lo) & (size <= hi))
+        if not len(own):
+            continue
+        keys = raw[starts[own]] & mask[np.minimum(size[own], 8)]
+        if hi > 8:
+            rest = raw[starts[own] + 8] & mask[size[own] - 8]
+            order = np.lexsort((rest, keys))
+            new = np.ones(len(own), bool)
+            new[1:] = (keys[order][1:] != keys[order][:-1]) | (rest[order][1:] != rest[order][:-1])
+        else:
+            order = np.argsort(keys, kind="stable")
+            new = np.ones(len(own), bool)
+            new[1:] = keys[order][1:] != keys[order][:-1]
+        numbers[own[order]] = many + np.cumsum(new) - 1
+        first.append(own[order][new])
+        many += int(new.sum())
+    seen: dict[bytes, int] = {}
+    for k in np.flatnonzero(size > 16).tolist():
+        word = buffer[starts[k]:ends[k]]
+        if word not in seen:
+            seen[word] = many + len(seen)
+            first.append(np.array([k]))
+        numbers[k] = seen[word]
+    return numbers, np.concatenate([np.zeros(0, np.int64), *first]).astype(np.int64)
 
 
 def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str | None = "source",
@@ -110,7 +245,7 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
         width = int(encoder.kind[-1])
-        for b in slices(batches, 100):
+        for b in slices(batches, 2048):
             ids = encoder.encode([t or "" for t in b.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(x) // width for x in ids], pa.int64()),

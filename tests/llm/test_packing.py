@@ -28,14 +28,27 @@ def test_ids_are_the_tokenizers(encoder):
         assert np.frombuffer(got, encoder.kind).tolist() == want_ids(encoder, t), t
 
 
-def test_cache_limit(encoder):
-    old, P.CACHE = P.CACHE, 10
-    try:
-        e = P.Encoder(None)
-        for t in ODD:
-            assert np.frombuffer(e.encode([t])[0], e.kind).tolist() == want_ids(encoder, t)
-    finally:
-        P.CACHE = old
+def test_memory_is_bounded_by_bytes(encoder, monkeypatch):
+    """Whatever the limit, ids are the tokenizer's; texts without blanks, whole
+    words to the encoder, are not kept."""
+    monkeypatch.setattr(P, "CACHE_BYTES", 10)
+    e = P.Encoder(None)
+    for t in ODD:
+        assert np.frombuffer(e.encode([t])[0], e.kind).tolist() == want_ids(encoder, t)
+    monkeypatch.setattr(P, "CACHE_BYTES", 20_000)
+    rng = random.Random(8)
+    e, most = P.Encoder(None), 0
+    for k in range(60):
+        texts = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(4000)), "x" * 5000 + str(k),
+                 " ".join(f"w{rng.randrange(10**6)}é" for _ in range(20)), " ".join(f"日{rng.randrange(10**6)}" for _ in range(20))]
+        for t, got in zip(texts, e.encode(texts)):
+            assert np.frombuffer(got, e.kind).tolist() == want_ids(encoder, t)
+        kept = [*e.plain.items(), *e.words.items()]
+        assert all(len(w) <= P.LONG for w, _ in kept)
+        size = sum(len(w) + len(i) + P._ENTRY for w, i in kept)
+        assert size == e.plain.held + e.words.held
+        most = max(most, size)
+    assert most < 2 * 20_000
 
 
 def check(rows, texts, encoder, length):
@@ -113,3 +126,24 @@ def test_empty_and_bad_length(spark, docs):
     assert P.pack(docs([])).count() == 0
     with pytest.raises(ValueError):
         P.pack(docs([]), length=100)
+
+
+def test_words_are_numbered_by_their_bytes():
+    rng = random.Random(10)
+    words = ["a", "é", "abcdefgh", "abcdefghi", "abcdefghijklmnop", "abcdefghijklmnoq", "x" * 17, "x" * 18, "日本", "y" * 70]
+    given = [rng.choice(words) for _ in range(500)]
+    buffer = (" " + "  ".join(given) + " ").encode()
+    inside = np.frombuffer(buffer, np.uint8) != 0x20
+    turn = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    numbers, first = P.number_words(buffer, turn[::2], turn[1::2])
+    assert len(numbers) == len(given) and len(first) == len(set(given))
+    assert [given[first[k]] for k in numbers] == given
+
+
+def test_long_texts_go_in_parts(encoder, monkeypatch):
+    monkeypatch.setattr(P, "GROUP", 300)
+    e = P.Encoder(None)
+    texts = ["It's a long text, in parts; " * 200, "x" * 1000, "", "a\tb\nc d" * 100, "日本 " * 300, " " * 900]
+    for t, got in zip(texts, e.encode(texts)):
+        assert np.frombuffer(got, e.kind).tolist() == want_ids(encoder, t)
+        assert not P.is_plain(t) or "".join(P.parts_of(t)) == t
