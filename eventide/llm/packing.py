@@ -33,7 +33,7 @@ from .common import materialize, offsets_by_order, per_worker, ship_by_value, sl
 ship_by_value()
 
 LENGTH = 2048
-QUANTUM = 128
+QUANTUM = 256
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 CACHE_BYTES = 160 << 20  # of words and pieces a worker remembers
