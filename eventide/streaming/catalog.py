@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators.metrics import counted_stream
 from eventide.plans import catalog as C
-from eventide.streaming import processors, windows
+from eventide.streaming import keyed_table, processors, windows
 from eventide.streaming.runner import event_stream, run_available, table_stream
 
 
@@ -184,6 +184,47 @@ def sq_sequence_match_global(spark, sf_dir):
     return _ntz(m.select("id0", "id1", "id2", "start_ts", "end_ts", "ids"), "start_ts", "end_ts")
 
 
+def _table_rows(spark, name, schema, start):
+    """Run a keyed-table sink over all there is; return the rows it has written."""
+    from eventide.session import scratch_path
+    out = scratch_path(spark, name)
+    q = start(f"{out}/sink", f"{out}/_checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema(schema).parquet(f"{out}/sink/rows/batch=*")
+
+
+def sq_table_running_reduce(spark, sf_dir):
+    """A8 over a state table: event types are few, so every key is hot."""
+    ev = _ev(spark, sf_dir, ["event_id", "event_type", "value"], delay=None).select(
+        "event_id", "event_type", F.round(F.col("value") * 100).cast("bigint").alias("v"))
+    return _table_rows(spark, "stream_table_running_reduce", "event_type string, event_id bigint, v bigint, running_sum bigint",
+                       lambda p, c: keyed_table.running_reduce(ev, p, c, "event_type", "event_id", "v"))
+
+
+def sq_table_count_window_avg(spark, sf_dir):
+    """A9 over a state table."""
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "value"], delay=None).select(
+        "event_id", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("v"))
+    return _table_rows(spark, "stream_table_count_window", "user_id bigint, window_idx bigint, avg_value bigint, first_seq bigint, last_seq bigint",
+                       lambda p, c: keyed_table.count_window_avg(ev, p, c, "user_id", "event_id", "v", C.COUNT_WINDOW_N))
+
+
+def sq_table_inactivity_timeout(spark, sf_dir):
+    """T1 over a state table."""
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "ts"], delay=None)
+    return _ntz(_table_rows(spark, "stream_table_timeout", "user_id bigint, count bigint, last_ts timestamp, fire_ts timestamp",
+                            lambda p, c: keyed_table.inactivity_timeout(ev, p, c, "user_id", "ts", "event_id", C.TIMEOUT_GAP_US)), "last_ts", "fire_ts")
+
+
+def sq_table_sequence_match(spark, sf_dir):
+    """T2 over a state table."""
+    ev = _ev(spark, sf_dir, ["event_id", "user_id", "ts", "event_type"], delay=None)
+    return _ntz(_table_rows(spark, "stream_table_pattern", "user_id bigint, id0 bigint, id1 bigint, id2 bigint, start_ts timestamp, end_ts timestamp, ids string",
+                            lambda p, c: keyed_table.sequence_match_stream(ev, p, c, C._stages(), "ts", "event_id", "event_id", "user_id")), "start_ts", "end_ts")
+
+
 def sq_record_counter(spark, sf_dir):
     ev = _ev(spark, sf_dir, ["event_id", "event_type", "user_id"], delay=None)
     from eventide.sources.lines import good_rows, split_key_value
@@ -253,6 +294,10 @@ STREAM_QUERIES = {
     "stream_sequence_match": sq_sequence_match,
     "stream_sequence_match_global": sq_sequence_match_global,
     "stream_record_counter": sq_record_counter,
+    "stream_table_running_reduce": sq_table_running_reduce,
+    "stream_table_count_window_avg": sq_table_count_window_avg,
+    "stream_table_inactivity_timeout": sq_table_inactivity_timeout,
+    "stream_table_sequence_match": sq_table_sequence_match,
     "stream_buffered_sink_latest": sq_buffered_sink_latest,
     "stream_line_source": sq_line_source,
 }
@@ -312,6 +357,13 @@ where window_end <= {_WM}""",
     "stream_sequence_match_global": C._seq_sql(False).replace(
         "from events)", f"from events where ts <= {_WM})", 1),
     "stream_record_counter": C.ORACLE_SQL["record_counter"],
+    "stream_table_running_reduce": """
+select event_type, event_id, cast(round(value * 100) as bigint) as v,
+       cast(sum(cast(round(value * 100) as bigint)) over (partition by event_type order by event_id rows between unbounded preceding and current row) as bigint) as running_sum
+from events""",
+    "stream_table_count_window_avg": C.ORACLE_SQL["count_window_avg"],
+    "stream_table_inactivity_timeout": _timeout_sql(_WM),
+    "stream_table_sequence_match": C._seq_sql(True).replace("from events)", f"from events where ts <= {_WM})", 1),
     "stream_buffered_sink_latest": C.ORACLE_SQL["buffered_sink_latest"],
     "stream_line_source": """
 select event_type as key, user_id as value from events
