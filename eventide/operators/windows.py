@@ -7,10 +7,12 @@ plain projection with no shuffle at all.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.plans import prefix
 
@@ -81,6 +83,49 @@ def chained_windows(df: DataFrame, ts: str, size1: str, size2: str, offset2: str
     return tumbling_agg(stage1, ts, size2, aggs, None, offset2)
 
 
+def two_stage_windows(df: DataFrame, ts: str, size1: str, size2: str, key: str | Sequence[str] | None = None) -> DataFrame:
+    """A second aggregation over the results of a first (W5): rows counted per
+    (window of ``size1``, key), then per window of ``size2`` the number of those
+    groups, their rows and the largest.  Stage 2 sees a group at the end of its
+    first window (``window_time``), which keeps the event time that a stream's
+    watermark follows: on a stream these are two stateful operators in a row.
+    """
+    first = df.groupBy(F.window(ts, size1).alias("_w1"), *_keys(key)).agg(F.count(F.lit(1)).alias("_n"))
+    second = first.groupBy(F.window(F.window_time("_w1"), size2).alias("_w2"))
+    out = second.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("n"), F.max("_n").alias("largest"))
+    return out.select(F.col("_w2.start").alias("window_start"), F.col("_w2.end").alias("window_end"), "groups", "n", "largest")
+
+
+def apply_to_windows(df: DataFrame, ts: str, size: str, func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                     schema: str, key: str | Sequence[str] | None = None, offset: str | None = None) -> DataFrame:
+    """Any function of a whole window (and key): ``func`` reads the window's
+    rows, all columns of ``df``, as Arrow batches one after the other and yields
+    batches of ``schema``; ``window_start``, ``window_end`` and the keys are put
+    before its columns.  A window is never one frame: what is in memory beside a
+    batch is what ``func`` keeps.  Rows without event time are in no window.
+    """
+    keys = _keys(key)
+    w = F.window(ts, size, size, offset) if offset else F.window(ts, size)
+    rows = (df.withColumn("window_start", w["start"]).withColumn("window_end", w["end"]).where("window_start is not null"))
+    own = T.StructType.fromDDL(schema)
+    bounds = [rows.schema[c] for c in ("window_start", "window_end", *keys)]
+    names, drop = [f.name for f in bounds], [rows.columns.index(c) for c in ("window_start", "window_end")]
+    order = [f.name for f in own.fields]
+
+    def run(group: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keep = [i for i in range(b.num_columns) if i not in drop]
+                yield pa.RecordBatch.from_arrays([b.column(i) for i in keep], names=[b.schema.names[i] for i in keep])
+
+        for out in func(given()):
+            yield pa.RecordBatch.from_arrays([*(pa.repeat(k, out.num_rows) for k in group), *(out.column(out.schema.get_field_index(n)) for n in order)],
+                                             names=[*names, *order])
+
+    run.__annotations__ = {"group": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    return rows.groupBy("window_start", "window_end", *keys).applyInArrow(run, T.StructType([*bounds, *own.fields]))
+
+
 def watermark_trace(df: DataFrame, ts: str, seq: str, delay_us: int = 0,
                     n_buckets: int | None = None) -> DataFrame:
     """The watermark in force before each row, in arrival order ``seq``.

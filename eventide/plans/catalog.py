@@ -16,7 +16,7 @@ from eventide.functions import predicates as P
 from eventide.functions.scalars import display_time, epoch_ms, json_number
 from eventide.functions.text import match
 from eventide.operators import aggregates as A
-from eventide.operators import buffer, keyed, ordering, patterns, timeout, updates, windows
+from eventide.operators import buffer, keyed, ordering, patterns, sketches, timeout, updates, windows
 from eventide.operators.metrics import counted
 from eventide.sources.lines import good_rows, parse_json_lines, split_key_value
 from eventide.sources.tables import (full_scan, read_table, time_range, time_range_scan, wildcard_scan,
@@ -45,6 +45,7 @@ INCLUDE_USERS = (3, 7, 11, 19, 23, 42, 77, 101, 149)
 MATCH_QUERY = "esat chch"
 RENAME_FROM, RENAME_TO = "error", "failure"
 RANGE_START, RANGE_END = "2024-01-05 00:00:00", "2024-01-12 00:00:00"
+SKETCH_FIRST, SKETCH_LAST = "2024-01-05", "2024-01-20"
 SCAN_GLOB, SCAN_TYPE = "doc*.parquet", "src7"
 
 
@@ -92,6 +93,30 @@ def q_chained_windows(spark, sf_dir):
     return windows.chained_windows(ev, "ts", CHAIN_W1, CHAIN_W2, CHAIN_OFFSET)
 
 
+def q_two_stage_windows(spark, sf_dir):
+    return windows.two_stage_windows(_events(spark, sf_dir, ["ts", "user_id"]), "ts", CHAIN_W1, TUMBLE, "user_id")
+
+
+def median_of(column: str):
+    """The exact median of a column of whole numbers, as a window function: the
+    batches' values alone are kept, eight bytes each."""
+    def median(batches):
+        import numpy as np
+        import pyarrow as pa
+        parts = [b.column(b.schema.get_field_index(column)).drop_null().to_numpy(zero_copy_only=False) for b in batches]
+        values = np.concatenate([np.zeros(0, np.int64), *parts])
+        middle = np.partition(values, [(len(values) - 1) // 2, len(values) // 2])[(len(values) - 1) // 2:len(values) // 2 + 1] if len(values) else values
+        yield pa.RecordBatch.from_arrays([pa.array([len(values)], pa.int64()), pa.array([float(middle.mean()) if len(middle) else None], pa.float64())],
+                                         names=["n", "median"])
+    return median
+
+
+def q_window_median(spark, sf_dir):
+    """A function of whole windows: the median of each window and event type."""
+    ev = _events(spark, sf_dir, ["ts", "event_type", "value"]).select("ts", "event_type", _cents().alias("v"))
+    return windows.apply_to_windows(ev, "ts", TUMBLE, median_of("v"), "n bigint, median double", "event_type")
+
+
 def q_watermark_trace(spark, sf_dir):
     ev = _events(spark, sf_dir, ["event_id", "ts"])
     return windows.watermark_trace(ev, "ts", "event_id", delay_us=0)
@@ -212,6 +237,20 @@ def q_cardinality_within_5pct(spark, sf_dir):
     return A.cardinality_check(f, "user_id")
 
 
+def q_distinct_from_daily_sketches(spark, sf_dir):
+    """Distinct users of a range of days from stored daily sketches alone,
+    against the exact count."""
+    from eventide.session import scratch_path
+    ev, path = _events(spark, sf_dir, ["user_id", "ts"]), scratch_path(spark, "daily_sketches")
+    sketches.daily_distinct(ev, "user_id", "ts").write.parquet(path)
+    stored = spark.read.schema("day date, sketch binary, rows bigint").parquet(path)
+    union = sketches.distinct_in_range(stored, SKETCH_FIRST, SKETCH_LAST)
+    exact = A.cardinality(ev.where(F.to_date("ts").between(F.lit(SKETCH_FIRST).cast("date"), F.lit(SKETCH_LAST).cast("date"))), "user_id", exact=True)
+    off = F.abs(union.select("cardinality").scalar() - F.col("cardinality"))
+    return exact.select("cardinality", "total", union.select("rows").scalar().alias("sketched_rows"),
+                        (off <= F.lit(sketches.error_bound()) * F.col("cardinality")).alias("within_bound"))
+
+
 def q_date_histogram_filled(spark, sf_dir):
     ev = _events(spark, sf_dir, ["ts", "event_type"]).where(P.term("event_type", "purchase"))
     return A.date_histogram(ev, "ts", HIST_WIDTH_US, fill=True)
@@ -375,6 +414,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_offset_count": q_tumbling_offset_count,
     "window_tag_rows": q_window_tag_rows,
     "chained_windows": q_chained_windows,
+    "two_stage_windows": q_two_stage_windows,
+    "window_median": q_window_median,
+    "distinct_from_daily_sketches": q_distinct_from_daily_sketches,
     "watermark_trace": q_watermark_trace,
     "watermark_trace_split": q_watermark_trace_split,
     "running_reduce": q_running_reduce,
@@ -478,6 +520,19 @@ select {_bucket_sql('ts', CHAIN_W2_US, CHAIN_OFFSET_US)} as window_start,
        min({_bucket_sql('ts', CHAIN_W1_US)}) as first_w1_start,
        max({_bucket_sql('ts', CHAIN_W1_US)}) as last_w1_start
 from events group by all""",
+    "two_stage_windows": f"""
+with g as (select {_bucket_sql('ts', CHAIN_W1_US)} as w1, user_id, count(*) as n from events group by all)
+select {_bucket_sql("w1 + interval 1 hour - interval 1 microsecond", TUMBLE_US)} as window_start,
+       {_bucket_sql("w1 + interval 1 hour - interval 1 microsecond", TUMBLE_US)} + interval 6 hours as window_end,
+       count(*) as groups, cast(sum(n) as bigint) as n, max(n) as largest
+from g group by all""",
+    "window_median": f"""
+select {_bucket_sql('ts', TUMBLE_US)} as window_start, {_bucket_sql('ts', TUMBLE_US)} + interval 6 hours as window_end,
+       event_type, count(value) as n, median(cast(cast(round(value * 100) as bigint) as double)) as median
+from events group by all""",
+    "distinct_from_daily_sketches": f"""
+select count(distinct user_id) as cardinality, count(*) as total, count(*) as sketched_rows, true as within_bound
+from events where cast(ts as date) between date '{SKETCH_FIRST}' and date '{SKETCH_LAST}'""",
     "watermark_trace": """
 select event_id, ts, wm as watermark, coalesce(ts <= wm, false) as is_late
 from (select event_id, ts, max(ts) over (order by event_id rows between unbounded preceding and 1 preceding) as wm

@@ -51,6 +51,18 @@ def sq_chained_windows(spark, sf_dir):
                          "stream_chained_windows")
 
 
+def sq_two_stage_windows(spark, sf_dir):
+    """W5 as two stateful operators, both emitting."""
+    ev = _ev(spark, sf_dir, ["ts", "user_id"])
+    return run_available(windows.two_stage_windows(ev, "ts", C.CHAIN_W1, C.TUMBLE, "user_id"), "stream_two_stage_windows")
+
+
+def sq_rows_on_close(spark, sf_dir):
+    """W3 with the rows held until their window closes."""
+    ev = _ev(spark, sf_dir, ["event_id", "ts", "event_type"])
+    return run_available(windows.rows_on_close(ev, "ts", C.TUMBLE), "stream_rows_on_close")
+
+
 def sq_running_reduce(spark, sf_dir):
     ev = _ev(spark, sf_dir, ["event_id", "user_id", "value"], delay=None).select(
         "event_id", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("v"))
@@ -288,6 +300,8 @@ STREAM_QUERIES = {
     "stream_tumbling_offset_count": sq_tumbling_offset_count,
     "stream_window_tag_rows": sq_window_tag_rows,
     "stream_chained_windows": sq_chained_windows,
+    "stream_two_stage_windows": sq_two_stage_windows,
+    "stream_rows_on_close": sq_rows_on_close,
     "stream_running_reduce": sq_running_reduce,
     "stream_count_window_avg": sq_count_window_avg,
     "stream_inactivity_timeout": sq_inactivity_timeout,
@@ -329,6 +343,11 @@ STREAM_ORACLE_SQL = {
     "stream_window_tag_rows": C.ORACLE_SQL["window_tag_rows"],
     "stream_watermark_trace": C.ORACLE_SQL["watermark_trace"],
     "stream_chained_windows": _closed(C.ORACLE_SQL["chained_windows"]),
+    "stream_two_stage_windows": _closed(C.ORACLE_SQL["two_stage_windows"]),
+    "stream_rows_on_close": f"""
+select * from (select event_id, ts, event_type, {C._bucket_sql('ts', C.TUMBLE_US)} as window_start,
+                      {C._bucket_sql('ts', C.TUMBLE_US)} + interval 6 hours as window_end from events)
+where window_end <= {_WM}""",
     "stream_running_reduce": C.ORACLE_SQL["running_reduce"],
     "stream_count_window_avg": C.ORACLE_SQL["count_window_avg"],
     "stream_inactivity_timeout": _timeout_sql(_WM),

@@ -14,6 +14,7 @@ microseconds.  Timers are in milliseconds, as Spark's watermark is.
 from __future__ import annotations
 
 import bisect
+import datetime
 import re
 import sys
 from collections.abc import Iterator, Sequence
@@ -21,7 +22,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -411,3 +412,37 @@ def sequence_match(stream: DataFrame, stages: Sequence[Column], ts: str, seq: st
                .transformWithStateInPandas(SequencePattern(key, ts, seq, id_col, k, within_us, types[seq], types[id_col]),
                                            schema, "Append", "EventTime"))
 
+
+# --------------------------------------------------------------------------- W3
+
+class HoldUntilClose(StatefulProcessor):
+    """Rows of one window, kept until a timer at its end gives them out.
+
+    Works on Rows, so that any type and NULLs come back as they went in.
+    """
+
+    def __init__(self, kept: StructType):
+        self.kept, self.names = kept, kept.fieldNames()
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", self.kept)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        self.rows.appendList([tuple(r[n] for n in self.names) for r in rows])
+        # the key's time is the window's last microsecond
+        self.handle.registerTimer(_epoch_us(key[0]) // 1000 + 1)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        for r in self.rows.get():
+            yield Row(closes=key[0], **dict(zip(self.names, r)))
+        self.rows.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def _epoch_us(t: datetime.datetime) -> int:
+    """Rows bring times in the worker's own zone, without naming it."""
+    return int(t.replace(microsecond=0).timestamp()) * 1_000_000 + t.microsecond
