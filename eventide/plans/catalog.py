@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions import predicates as P
 from eventide.functions.scalars import display_time, epoch_ms, json_number
 from eventide.functions.text import match
 from eventide.operators import aggregates as A
-from eventide.operators import buffer, keyed, ordering, patterns, sketches, timeout, updates, windows
+from eventide.operators import buffer, keyed, ordering, patterns, reducers, sketches, timeout, updates, windows
 from eventide.operators.metrics import counted
 from eventide.sources.lines import good_rows, parse_json_lines, split_key_value
 from eventide.sources.tables import (full_scan, read_table, time_range, time_range_scan, wildcard_scan,
@@ -136,6 +136,34 @@ def q_running_reduce(spark, sf_dir):
     return keyed.running_reduce(ev, "user_id", "event_id", "v")
 
 
+def product_modulo(value: Column, modulus: int = 1_000_003) -> reducers.Reducer:
+    """Product of whole numbers modulo a number below 2**31."""
+    return reducers.Reducer({"p": ("bigint", F.pmod(F.coalesce(value, F.lit(1)), F.lit(modulus)))},
+                            lambda a, b: {"p": a["p"] * b["p"] % modulus})
+
+
+def best_so_far(value: str, at: str) -> reducers.Reducer:
+    """The largest value, where it was first reached, and the rows so far."""
+    def merge(a, b):
+        import numpy as np
+        later = b["best"] > a["best"]
+        return {"best": np.where(later, b["best"], a["best"]), "at": np.where(later, b["at"], a["at"]), "n": a["n"] + b["n"]}
+    return reducers.Reducer({"best": ("bigint", F.coalesce(value, F.lit(-2**63).cast("bigint"))), "at": ("bigint", F.coalesce(at, F.lit(-1))),
+                             "n": ("bigint", F.lit(1))}, merge)
+
+
+def q_running_product(spark, sf_dir):
+    """A8 by a user-defined function: product modulo a prime."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "value"]).select("event_id", "user_id", _cents().alias("v"))
+    return reducers.running_reduce(ev, "user_id", "event_id", product_modulo(F.col("v"))).select("event_id", "user_id", "v", "state.p")
+
+
+def q_running_best(spark, sf_dir):
+    """A8 by a user-defined function over a struct, few keys, all hot."""
+    ev = _events(spark, sf_dir, ["event_id", "event_type", "value"]).select("event_id", "event_type", _cents().alias("v"))
+    return reducers.running_reduce(ev, "event_type", "event_id", best_so_far("v", "event_id")).select("event_id", "event_type", "state.*")
+
+
 def q_count_window_avg(spark, sf_dir):
     ev = _events(spark, sf_dir, ["event_id", "user_id", "value"]).select(
         "event_id", "user_id", _cents().alias("v"))
@@ -414,6 +442,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_offset_count": q_tumbling_offset_count,
     "window_tag_rows": q_window_tag_rows,
     "chained_windows": q_chained_windows,
+    "running_product": q_running_product,
+    "running_best": q_running_best,
     "two_stage_windows": q_two_stage_windows,
     "window_median": q_window_median,
     "distinct_from_daily_sketches": q_distinct_from_daily_sketches,
@@ -520,6 +550,14 @@ select {_bucket_sql('ts', CHAIN_W2_US, CHAIN_OFFSET_US)} as window_start,
        min({_bucket_sql('ts', CHAIN_W1_US)}) as first_w1_start,
        max({_bucket_sql('ts', CHAIN_W1_US)}) as last_w1_start
 from events group by all""",
+    "running_product": """
+select event_id, user_id, v, list_reduce(list(v % 1000003) over (partition by user_id order by event_id), lambda a, b: a * b % 1000003) as p
+from (select event_id, user_id, cast(round(value * 100) as bigint) as v from events)""",
+    "running_best": """
+select event_id, event_type, best, min(case when v = best then event_id end) over (partition by event_type, best order by event_id) as at, n
+from (select event_id, event_type, v, max(v) over (partition by event_type order by event_id) as best,
+             row_number() over (partition by event_type order by event_id) as n
+      from (select event_id, event_type, cast(round(value * 100) as bigint) as v from events))""",
     "two_stage_windows": f"""
 with g as (select {_bucket_sql('ts', CHAIN_W1_US)} as w1, user_id, count(*) as n from events group by all)
 select {_bucket_sql("w1 + interval 1 hour - interval 1 microsecond", TUMBLE_US)} as window_start,

@@ -215,6 +215,15 @@ def sq_table_running_reduce(spark, sf_dir):
                        lambda p, c: keyed_table.running_reduce(ev, p, c, "event_type", "event_id", "v"))
 
 
+def sq_table_running_best(spark, sf_dir):
+    """A8 over a state table by a user-defined function."""
+    ev = _ev(spark, sf_dir, ["event_id", "event_type", "value"], delay=None).select(
+        "event_id", "event_type", F.round(F.col("value") * 100).cast("bigint").alias("v"))
+    out = _table_rows(spark, "stream_table_running_best", "event_id bigint, event_type string, state struct<best: bigint, at: bigint, n: bigint>",
+                      lambda p, c: keyed_table.running_reduce_by(ev, p, c, "event_type", "event_id", C.best_so_far("v", "event_id")))
+    return out.select("event_id", "event_type", "state.*")
+
+
 def sq_table_count_window_avg(spark, sf_dir):
     """A9 over a state table."""
     ev = _ev(spark, sf_dir, ["event_id", "user_id", "value"], delay=None).select(
@@ -309,6 +318,7 @@ STREAM_QUERIES = {
     "stream_sequence_match_global": sq_sequence_match_global,
     "stream_record_counter": sq_record_counter,
     "stream_table_running_reduce": sq_table_running_reduce,
+    "stream_table_running_best": sq_table_running_best,
     "stream_table_count_window_avg": sq_table_count_window_avg,
     "stream_table_inactivity_timeout": sq_table_inactivity_timeout,
     "stream_table_sequence_match": sq_table_sequence_match,
@@ -380,6 +390,7 @@ where window_end <= {_WM}""",
 select event_type, event_id, cast(round(value * 100) as bigint) as v,
        cast(sum(cast(round(value * 100) as bigint)) over (partition by event_type order by event_id rows between unbounded preceding and current row) as bigint) as running_sum
 from events""",
+    "stream_table_running_best": C.ORACLE_SQL["running_best"],
     "stream_table_count_window_avg": C.ORACLE_SQL["count_window_avg"],
     "stream_table_inactivity_timeout": _timeout_sql(_WM),
     "stream_table_sequence_match": C._seq_sql(True).replace("from events)", f"from events where ts <= {_WM})", 1),

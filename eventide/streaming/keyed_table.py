@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions.scalars import concat_ids
+from eventide.operators import reducers
 from eventide.operators.patterns import sequence_match
 from eventide.plans import prefix
 from eventide.streaming.state_log import commit, last_commit, next_slot
@@ -320,3 +321,30 @@ def sequence_match_stream(stream: DataFrame, path: str, checkpoint: str, stages:
     """Start the stream: the matches of the ordered pattern within each key.
     ``(ts, seq)`` tells a key's rows apart; ``stages`` are read on the stream's rows."""
     return _start(PatternTable(path, key, stages, ts, seq, id_col, delay_us, within_us, buckets, n_buckets), stream, checkpoint, available_now)
+
+
+# --------------------------------------------------- A8 with any associative reducer
+
+class ReducerTable(KeyedTableSink):
+    """State: the key's reduced state, in the reducer's own fields."""
+
+    def __init__(self, path: str, key: str, seq: str, reducer: reducers.Reducer, name: str, buckets: int, n_buckets: int | None):
+        super().__init__(path, key, buckets)
+        self.seq, self.reducer, self.name, self.n = seq, reducer, name, n_buckets
+        self.cols = [f"_f_{f}" for f in reducer.fields]
+
+    def state_type(self, batch: DataFrame) -> T.StructType:
+        return reducers.lift(batch, self.reducer).select(self.key, *self.cols).schema
+
+    def advance(self, batch, state, wm):
+        new = reducers.lift(batch, self.reducer).withColumn("_fresh", F.lit(1))
+        rows = state.withColumn("_fresh", F.lit(0)).unionByName(new, allowMissingColumns=True)
+        out = reducers.scan(rows, [self.key], ["_fresh", self.seq], list(self.reducer.fields), self.reducer.merge, self.n)
+        kept = out.groupBy(self.key).agg(F.max_by(F.struct(*self.cols), F.struct("_fresh", self.seq)).alias("_s")).select(self.key, "_s.*")
+        return out.where("_fresh = 1").select(*batch.columns, F.struct(*[F.col(f"_f_{f}").alias(f) for f in self.reducer.fields]).alias(self.name)), kept
+
+
+def running_reduce_by(stream: DataFrame, path: str, checkpoint: str, key: str, seq: str, reducer: reducers.Reducer, name: str = "state",
+                      buckets: int = BUCKETS, n_buckets: int | None = None, available_now: bool = True):
+    """Start the stream: every row with its key's state so far, by any associative reducer."""
+    return _start(ReducerTable(path, key, seq, reducer, name, buckets, n_buckets), stream, checkpoint, available_now)
