@@ -101,6 +101,64 @@ def test_equal_pages_do_not_delete_each_other(spark):
     assert {r.text for r in got} == {"Same every word of it"} and len(got) == 20
 
 
+CONTRACT = [  # what is never the article goes inside one, however long
+    (f"<article><h1>T</h1><p>short</p><section class='comments'><p>{LONG} {LONG}</p></section></article>", "T short"),
+    (f"<article><p>short</p>{''.join(f'<div class=comment>{LONG}</div>' for _ in range(8))}</article>", "short"),
+    (f"<article><p>short</p>{''.join(f'<div class=related>{LONG}</div>' for _ in range(6))}</article>", "short"),
+    (f"<article><p>a</p><div class='ad-slot'>{LONG}</div></article>", "a"),
+    (f"<article><div class='comments-and-content'><p>{LONG}</p></div></article>", LONG),
+    (f"<article><div class='comment'><p>{LONG}</p></div></article>", LONG),      # nothing else: the text stays
+]
+
+
+@pytest.mark.parametrize("source,want", CONTRACT)
+def test_comments_and_adverts_of_any_size(source, want):
+    assert H.Page(source).text() == want
+
+
+def varied(host, i, rng, comments=0, named=True):
+    """A page whose menu, advert and footer change from page to page."""
+    para = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    own = [para(rng.randrange(20, 60)) for _ in range(3)]
+    thread = "".join(f"<div class='{'comment' if named else 'c7'}'><p>{para(25)}</p></div>" for _ in range(comments))
+    return (f"<body><div class='top'><div>{para(8)}</div></div><div class='x1'>{para(6)}</div><div class='mid'><h1>{para(3)}</h1>"
+            f"<div class='txt'>{''.join(f'<p>{p}</p>' for p in own)}</div>{thread}</div><div class='low'>{para(9)}</div></body>"), own
+
+
+def test_frames_are_counted_by_shape(spark):
+    """Nothing recurs in text and no tag or word declares it: the shapes do."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for i in range(60):
+        source, own = varied("h", i, rng, comments=6 if i % 2 else 2)
+        rows.append((i, f"http://h{i % 2}.example/{i}", source, None, None))
+        want[i] = " ".join(own)
+    got = {r.page_id: r.text for r in H.main_text(frame(spark, rows)).collect()}
+    for i, text in got.items():
+        assert text.endswith(want[i]) and len(text) <= len(want[i]) + 21, (i, text)       # the headline stays
+    few = {r.page_id: r.text for r in H.main_text(frame(spark, rows[:3])).collect()}
+    assert all(len(t) > len(want[i]) + 21 for i, t in few.items())
+
+
+def test_counting_alone_finds_the_text_of_the_tables(spark):
+    """Without declared elements, names and articles the counted shapes give the
+    text of nearly all pages; without the counts they give none of them."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    full = {r.page_id: r.text for r in H.main_text(pages).collect()}
+    alone = {r.page_id: r.text for r in H.main_text(pages, declared=False).collect()}
+    assert sum(alone[i] == t for i, t in full.items()) > 0.9 * len(full)
+    bare = {r.page_id: H.Page(r.html, declared=False).text() for r in pages.where("page_id % 50 = 0").collect()}
+    assert sum(bare[i] == full[i] for i in bare) == 0
+
+
+def test_frame_of_a_host():
+    shapes = [(1, 0, 1000, 10, 10, 0), (2, 1, 100, 10, 10, 1), (3, 1, 850, 10, 10, 1), (4, 1, 50, 10, 10, 0),
+              (5, 3, 500, 60, 10, 1), (6, 3, 30, 10, 10, 1), (7, 3, 300, 10, 10, 2)]
+    assert H.frame_of(shapes) == {2: 3, 7: 0}         # 4 is prose, 5 is repeated on its pages, so 6 beside it stays
+    assert H.frame_of([(1, 0, 100, 10, 10, 0), (2, 1, 50, 10, 10, 1), (3, 1, 50, 10, 10, 1)]) == {}
+    assert H.frame_of([]) == {}
+
+
 def test_counts_against_brute_force(spark):
     rows, _ = site(spark, 2)
     df = frame(spark, rows).select("page_id", H._host(H.F.col("url")).alias("host"), "html")
