@@ -10,12 +10,14 @@ the id; counting, drawing and prediction run over all rows, texts unshuffled.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +25,14 @@ from .common import Shared, ship_by_value, slices, table
 
 ship_by_value()
 
-PER_LANGUAGE = 600      # documents of a language that the machines see, about
-MAX_LANGUAGES = 400     # the most frequent ones are learnt
+PER_LANGUAGE = 600      # documents of a language that the machines see, about,
+TRAIN_ROWS = 24_000     # and of all languages; many share this evenly
+MAX_LANGUAGES = 2_000   # more are refused: such a column does not hold languages
+OWN_FAMILY = 12         # unlisted codes that are families of their own; more are grouped by their profiles
 BINS = ((2, 11), (3, 12), (4, 12))      # gram length, bits of its hash
 SIZE = sum(1 << b for _, b in BINS)
 
-# Families of ISO 639-1 codes.  A code not listed is a family of its own.
+# Families of ISO 639-1 codes.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is fo af fy lb yi",
     "romance": "fr es it pt ro ca gl oc la co rm sc wa an ht",
@@ -47,12 +51,31 @@ FAMILIES = {
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _BLANK = bytes(b if 97 <= b < 123 or 65 <= b < 91 or b >= 128 else 32 for b in range(256))
 
 
-def family_of(lang: str) -> str:
-    return _FAMILY.get(lang, f"only {lang}")
+def families_of(langs: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The family of each row's language: by its code without region or script
+    (``en-US`` is ``en``), and for codes not listed its own, or, if these are
+    many, that of the nearest of a few of them, spread out by their profiles."""
+    names, row = np.unique(langs.astype(str), return_inverse=True)
+    family = [_FAMILY.get(re.split("[-_]", n.lower())[0], "") for n in names]
+    lone = [k for k, f in enumerate(family) if not f]
+    if len(lone) <= OWN_FAMILY:
+        for k in lone:
+            family[k] = f"only {names[k]}"
+    else:
+        mean = np.stack([x[row == k].mean(axis=0) for k in lone])
+        mean /= np.maximum(np.linalg.norm(mean, axis=1, keepdims=True), 1e-9)
+        centres = [0]
+        near = mean @ mean[0]
+        while len(centres) < math.isqrt(len(lone)):        # the one farthest from all centres so far
+            centres.append(int(near.argmin()))
+            near = np.maximum(near, mean @ mean[centres[-1]])
+        for k, c in zip(lone, (mean @ mean[centres].T).argmax(axis=1).tolist()):
+            family[k] = f"like {names[lone[centres[c]]]}"
+    return np.array(family, dtype=object)[row]
 
 
 def features(text: str) -> np.ndarray:
@@ -147,15 +170,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on documents that are not held out and have an id, a lang and a letter."""
+    """Fit on documents that are not held out and have an id, a lang and a letter.
+
+    At most about ``per_language`` documents of a language and ``TRAIN_ROWS`` of
+    all are drawn, by hash of id and text; a repeated row counts once.  Every
+    value of lang is learnt; more than ``MAX_LANGUAGES`` are an error."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()}
     if not counts:
         return Model()
-    rate = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    drawn = rows.where(F.col("lang").isin(*counts)).where(draw < F.try_element_at(rate, F.col("lang")))
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"lang has more than {MAX_LANGUAGES} values")
+    each = min(per_language, max(1, TRAIN_ROWS // len(counts)))
+    rate = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, each / n)))])
+    key = F.xxhash64("doc_id", "text")
+    draw = F.pmod(key, F.lit(1 << 40)) / float(1 << 40)
+    drawn = rows.where(draw < F.try_element_at(rate, F.col("lang")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -165,16 +196,19 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
                 x = [features(t) for t in part.column(1).to_pylist()]
                 at = [np.flatnonzero(v) for v in x]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([a.astype(np.int16) for a in at], pa.list_(pa.int16())),
-                                                  pa.array([v[a] for v, a in zip(x, at)], pa.list_(pa.float32()))], ["doc_id", "lang", "at", "x"])
+                                                  pa.array([v[a] for v, a in zip(x, at)], pa.list_(pa.float32())), part.column(3)],
+                                                 ["doc_id", "lang", "at", "x", "key"])
 
-    got = (drawn.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-           .mapInArrow(run, "doc_id long, lang string, at array<short>, x array<float>").toArrow()).sort_by([("doc_id", "ascending")])
+    got = (drawn.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), key.alias("key"))
+           .mapInArrow(run, "doc_id long, lang string, at array<short>, x array<float>, key long")
+           .groupBy("doc_id", "lang", "key").agg(F.first("at").alias("at"), F.first("x").alias("x"))       # a repeated row once
+           .orderBy("key", "doc_id", "lang").limit(2 * TRAIN_ROWS).toArrow()).sort_by([("doc_id", "ascending"), ("key", "ascending"), ("lang", "ascending")])
     langs, x = np.array(got.column("lang").to_pylist(), dtype=object), np.zeros((got.num_rows, SIZE), np.float32)
     for i, (a, v) in enumerate(zip(got.column("at"), got.column("x"))):
         x[i, a.values.to_numpy()] = v.values.to_numpy()
     if not len(langs):
         return Model()
-    families = np.array([family_of(lang) for lang in langs], dtype=object)
+    families = families_of(langs, x)
     return Model(Duels.fit(x, families), {f: Duels.fit(x[families == f], langs[families == f]) for f in sorted(set(families))})
 
 

@@ -154,10 +154,12 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
             f = [features(t, n) for t, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(3), pa.array([x[0].astype(np.int32) for x in f], pa.list_(pa.int32())),
-                 pa.array([x[1] for x in f], pa.list_(pa.float32()))], ["doc_id", "label", "idx", "val"])
+                 pa.array([x[1] for x in f], pa.list_(pa.float32())), b.column(4)], ["doc_id", "label", "idx", "val", "key"])
 
-    got = (_source(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "n_chars", "_label")
-           .mapInArrow(run, "doc_id long, label int, idx array<int>, val array<float>").toArrow())
+    # one row of each id, however often it occurs: TRAIN_ROWS bounds rows, too
+    got = (_source(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "n_chars", "_label", F.xxhash64("text", "n_chars").alias("_key"))
+           .mapInArrow(run, "doc_id long, label int, idx array<int>, val array<float>, key long")
+           .groupBy("doc_id").agg(F.min_by(F.struct("label", "idx", "val"), "key").alias("_r")).select("doc_id", "_r.*").toArrow())
     order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
     idx, val = got.column("idx").combine_chunks(), got.column("val").combine_chunks()
     rows = [(idx[int(i)].values.to_numpy().astype(np.int64), val[int(i)].values.to_numpy()) for i in order]

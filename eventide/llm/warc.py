@@ -285,11 +285,14 @@ class WarcReader(ds.DataSourceReader):
     def read(self, partition):
         store, _ = _store(self.path)
         held, used = [], 0
+        early = [t for t in self.tests if t[1] != "payload_length"]
+        late = [t for t in self.tests if t[1] == "payload_length"]      # foreign archives tell it by the payload alone
         for path, size in partition.files:
             with store.open_input_file(path) as f:
                 for head, body in records(f, size):
                     row = _fields(head)
-                    if not all(_TESTS[t](row[c], v) for t, c, v in self.tests) or any(head.get(k) != v for k, v in self.only.items()):
+                    known = early if row["payload_length"] is None else self.tests
+                    if not all(_TESTS[t](row[c], v) for t, c, v in known) or any(head.get(k) != v for k, v in self.only.items()):
                         continue
                     row["headers"] = list(head.items())
                     row["payload"] = None
@@ -298,7 +301,9 @@ class WarcReader(ds.DataSourceReader):
                         row["payload"] = http_payload(block) if (row["content_type"] or "").startswith("application/http") else block
                         if row["payload_length"] is None:
                             row["payload_length"] = len(row["payload"])
-                        used += len(row["payload"])
+                    if not all(_TESTS[t](row[c], v) for t, c, v in late):
+                        continue
+                    used += len(row["payload"] or b"")
                     held.append(row)
                     if len(held) >= 2000 or used >= 16 << 20:
                         yield pa.RecordBatch.from_pylist(held, schema=_ARROW)

@@ -44,6 +44,41 @@ def test_hierarchy_and_odd_texts(spark, docs):
     assert by[903][0][0] == "en" and sorted(p for p, _ in by[904]) == ["en", "fr"] and by[None][0][0] == "es" and by[905][0][0] != "und"
 
 
+def test_letters_by_category(docs):
+    rows, langs = made(60, 3)
+    model = L.train(docs(rows, langs=langs))
+    texts = ["½", "² ³", "①", "Ⅻ 5", "٣", "_", "ª", "日", "x1"]
+    assert [p == "und" for p in model.predict(texts)[0]] == [True] * 6 + [False] * 3
+
+
+def test_many_codes_and_repeated_rows(spark, docs, monkeypatch):
+    """Regions go with their language, many unlisted codes into few families;
+    what reaches the driver is bounded by rows, and too many values are refused."""
+    rng = random.Random(4)
+    codes = [f"q{a}{b}" for a in "abcde" for b in "abcdefgh"]
+    own = {c: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(6)] for c in codes}
+    langs = {i: codes[i % 40] for i in range(1200)}
+    rows = [(i, " ".join(rng.choice(own[langs[i]]) for _ in range(30))) for i in range(1200)]
+    model = L.train(docs(rows, langs=langs))
+    assert len(model.families.names) == 6 and sum(len(d.names) for d in model.within.values()) == 40
+    got = L.identify(docs(rows), model).collect()
+    assert sum(r.lang_pred == langs[r.doc_id] for r in got) > 0.9 * len(rows)
+    assert L.families_of(np.array(["en-US", "nl", "pt_BR", "zz"], object), np.eye(4, dtype=np.float32)).tolist() == ["germanic", "germanic", "romance", "only zz"]
+    seen, (one, two) = [], [i for i in range(20) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    real, L.families_of = L.families_of, lambda langs, x: (seen.append(len(langs)), real(langs, x))[1]
+    try:
+        L.train(docs([(one, "the same row of text")] * 500 + [(two, f"another text {i}") for i in range(500)], langs={one: "en", two: "fr"}), per_language=20)
+    finally:
+        L.families_of = real
+    assert seen and seen[0] < 60
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 39)
+    try:
+        L.train(docs(rows, langs=langs))
+        raise AssertionError("not refused")
+    except ValueError as e:
+        assert "39" in str(e)
+
+
 def test_no_use_of_held_out_labels(spark, docs):
     rows, langs = made(150, 2)
     out = {i: (zlib.crc32(str(i).encode()) % 3 == 1) for i, _ in rows}

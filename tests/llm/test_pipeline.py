@@ -89,3 +89,14 @@ def test_rows_that_differ_in_nulls_only_are_told_apart(spark, docs):
     df = docs([(1, "x y z"), (1, "x y z")], langs={1: "x"}).withColumn("source", F.lit(None).cast("string"))
     other = df.withColumn("source", F.col("lang")).withColumn("lang", F.lit(None).cast("string"))
     assert C.near_duplicates(spark, df.unionByName(other), "").count() == 1
+
+
+def test_columns_of_any_name_and_type(spark):
+    """A column named like the stage's own, and maps, come back as they went in."""
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text, "a", {"x": 1}), (2, text, "b", {"x": 2}), (3, "other words " * 9, "c", None), (3, "other words " * 9, "c", None), (None, text, "d", {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, tags map<string,int>")
+    out = C.near_duplicates(spark, docs, SF001)
+    assert out.dtypes == docs.dtypes
+    got = sorted(((r.doc_id, r._row, r.tags) for r in out.collect()), key=repr)
+    assert got == sorted([(1, "a", {"x": 1}), (3, "c", None), (None, "d", {})], key=repr)

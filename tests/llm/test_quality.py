@@ -45,3 +45,14 @@ def test_training_is_deterministic(spark):
     d, lab = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
     a, b = Q.train(d, lab, 200), Q.train(d.repartition(5), lab.repartition(2), 200)
     assert np.array_equal(a.factors, b.factors) and a.bias == b.bias
+
+
+def test_a_repeated_id_trains_once(spark, docs, monkeypatch):
+    seen = []
+    real = Q.fit
+    monkeypatch.setattr(Q, "fit", lambda rows, labels: (seen.append(len(rows)), real(rows, labels))[1])
+    rows = [(1, f"good text number {i}") for i in range(300)] + [(3, "bad"), (3, "bad"), (4, "fine words here")]
+    labels = spark.createDataFrame([(1, 1), (3, 0), (4, 1), (9, 0)], "doc_id long, quality int")
+    a = Q.train(docs(rows), labels)
+    b = Q.train(docs(rows).repartition(7), labels)
+    assert seen == [3, 3] and np.array_equal(a.factors, b.factors)

@@ -86,6 +86,18 @@ def test_foreign_archives(spark, path):
         list(W.records(io.BytesIO(plain[:300]), 300))
 
 
+def test_lengths_that_foreign_archives_do_not_tell(spark, path):
+    os.makedirs(path)
+    record = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:%d>\r\nContent-Type: text/plain\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n"
+    open(f"{path}/f.warc", "wb").write(b"".join(record % (n, n, b"x" * n) for n in (500, 20)))
+    W.register(spark)
+    df = spark.read.format("warc").load(path)
+    assert [r.payload_length for r in df.where("payload_length >= 100").collect()] == [500]
+    assert df.where("payload_length is null").count() == 0 and df.where("payload_length in (20, 500) and record_type = 'resource'").count() == 2
+    bare = spark.read.format("warc").option("payload", "false").load(path)      # payloads not read: their length is not known
+    assert bare.where("payload_length >= 100").count() == 0 and bare.where("payload_length is null").count() == 2
+
+
 def test_uncommitted_files_are_not_read(spark, path):
     W.archive_pages(pages(spark, ROWS[:3]), path)
     open(f"{path}/lost-task.warc.gz", "wb").write(b"half a record")
