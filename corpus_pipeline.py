@@ -10,7 +10,7 @@ the shared folder and read again as the next one's input.
 5. packing: pieces of token sequences, sources mixed.
 
 Stages 1 to 4 return the columns they are given.  Null and empty texts pass
-them by the operators' rules; documents without an id are kept by every stage
+them by the operators' rules, very long ones whole; columns may have any name and type; documents without an id are kept by every stage
 that drops by id; empty tables give empty results.
 """
 
@@ -34,20 +34,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows are told apart by id and a hash of all columns: an id that occurs with
     several texts is in the class of each, and links nothing."""
-    row = F.xxhash64(*[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())])
-    keyed = docs.withColumn("_row", row)
-    rows = materialize(simhash_vptree.fingerprints(keyed.where("doc_id is not null"), keep=("_row",)), "rows")
-    best = rows.groupBy("fp").agg(F.min(F.struct("doc_id", "_row")).alias("_best"))
+    row = "_row"
+    while row in docs.columns:      # a name of no column of the input
+        row += "_"
+    hashed = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema.fields]
+    keyed = docs.withColumn(row, F.xxhash64(*[x for c, f in zip(hashed, docs.columns) for x in (c, F.col(f).isNull())]))
+    rows = materialize(simhash_vptree.fingerprints(keyed.where("doc_id is not null"), keep=(row,)), "rows")
+    best = rows.groupBy("fp").agg(F.min(F.struct("doc_id", row)).alias("_best"))
     classes = simhash_vptree.classes(best.select(F.col("fp").alias("doc_id"), "fp"))     # nodes are texts, not ids
     first = materialize(best.join(classes.select("fp", "component_id"), "fp").groupBy("component_id").agg(F.min("_best").alias("_best"))
                         .select("_best.*"), "first")
-    repeated = materialize(rows.groupBy("doc_id", "_row").count().where("count > 1").join(first, ["doc_id", "_row"], "left_semi")
-                           .select("doc_id", "_row"), "repeated")
-    kept = keyed.join(first, ["doc_id", "_row"], "left_semi")
-    if not repeated.isEmpty():
-        twice = kept.join(repeated, ["doc_id", "_row"], "left_semi").groupBy("doc_id", "_row").agg(
-            F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_cols"))
-        kept = (kept.join(repeated, ["doc_id", "_row"], "left_anti").select(docs.columns)
+    repeated = materialize(rows.groupBy("doc_id", row).count().where("count > 1").join(first, ["doc_id", row], "left_semi")
+                           .select("doc_id", row), "repeated")
+    kept = keyed.join(first, ["doc_id", row], "left_semi")
+    if not repeated.isEmpty():      # rows equal in every column: one of them
+        twice = kept.join(repeated, ["doc_id", row], "left_semi").groupBy("doc_id", row).agg(
+            F.first(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_cols"))
+        kept = (kept.join(repeated, ["doc_id", row], "left_anti").select(docs.columns)
                 .unionByName(twice.select("doc_id", "_cols.*").select(docs.columns)))
     return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
