@@ -30,17 +30,20 @@ def backfill(dst: DataFrame, src: DataFrame, key: str | Sequence[str],
     """Fill ``dst`` from ``src`` by key (T10): the union of both key sets; for
     each column the source value wins where it is not NULL.
 
-    A full outer join: both sides shuffle once on the key.  AQE does not split
-    a full outer join, so a key is expected to have few rows on either side.
-    Rows with a NULL key match nothing; they are kept aside, unshuffled, so
-    that they do not meet in one task.
+    A full outer join, made of a left join and the source rows that match
+    nothing: AQE splits the rows of a hot key of ``dst`` in the first, and in the
+    second only the distinct keys of ``dst`` are on the other side.  Rows with a
+    NULL key match nothing; they are kept aside, unshuffled, so that they do not
+    meet in one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(columns) if columns is not None else [c for c in dst.columns if c not in keys]
     d = dst.select(*keys, *[F.col(c).alias(f"_d_{c}") for c in cols])
     s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols])
     lone = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    j = d.where(~lone).join(s.where(~lone), keys, "full_outer")
+    j = d.where(~lone).join(s.where(~lone), keys, "left")
+    alone = s.where(~lone).join(d.where(~lone).select(*keys).distinct(), keys, "left_anti")
+    j = j.unionByName(alone, allowMissingColumns=True)
     out = j.select(*keys, *[F.coalesce(f"_s_{c}", f"_d_{c}").alias(c) for c in cols])
     for side, name in ((d, "_d_"), (s, "_s_")):
         out = out.unionByName(side.where(lone).select(*keys, *[F.col(f"{name}{c}").alias(c) for c in cols]))

@@ -395,6 +395,16 @@ def q_epoch_display(spark, sf_dir):
     return ev.withColumn("ts_display", display_time("ts_ms"))
 
 
+def q_update_touched_files(spark, sf_dir):
+    """T10 on a stored table: only the files of the days in question are rewritten."""
+    from eventide.session import scratch_path
+    from eventide.sources.versioned import VersionedTable
+    stored = VersionedTable(spark, scratch_path(spark, "versioned_events"))
+    stored.create(_events(spark, sf_dir, ["event_id", "ts", "event_type"]).repartitionByRange("ts"))
+    stored.update(P.range_between("ts", RANGE_START, RANGE_END) & P.term("event_type", RENAME_FROM), "event_type", RENAME_TO)
+    return stored.read()
+
+
 def q_rename_value(spark, sf_dir):
     ev = _events(spark, sf_dir, ["event_id", "user_id", "event_type"])
     return updates.rename_value(ev, "event_type", RENAME_FROM, RENAME_TO)
@@ -442,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_offset_count": q_tumbling_offset_count,
     "window_tag_rows": q_window_tag_rows,
     "chained_windows": q_chained_windows,
+    "update_touched_files": q_update_touched_files,
     "running_product": q_running_product,
     "running_best": q_running_best,
     "two_stage_windows": q_two_stage_windows,
@@ -550,6 +561,10 @@ select {_bucket_sql('ts', CHAIN_W2_US, CHAIN_OFFSET_US)} as window_start,
        min({_bucket_sql('ts', CHAIN_W1_US)}) as first_w1_start,
        max({_bucket_sql('ts', CHAIN_W1_US)}) as last_w1_start
 from events group by all""",
+    "update_touched_files": f"""
+select event_id, ts, case when event_type = '{RENAME_FROM}' and ts between timestamp '{RANGE_START}' and timestamp '{RANGE_END}'
+                          then '{RENAME_TO}' else event_type end as event_type
+from events""",
     "running_product": """
 select event_id, user_id, v, list_reduce(list(v % 1000003) over (partition by user_id order by event_id), lambda a, b: a * b % 1000003) as p
 from (select event_id, user_id, cast(round(value * 100) as bigint) as v from events)""",
