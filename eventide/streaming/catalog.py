@@ -136,6 +136,28 @@ def sq_late_rows(spark, sf_dir):
     return result
 
 
+def sq_late_rows_kept(spark, sf_dir):
+    """W7 with the late rows as data: a tenth of the rows arrive after the
+    watermark of all others.  Each row of the input is in a closed window, in
+    an open one, or late: the three parts, which add up to the table."""
+    from eventide.session import scratch_path
+    path, out = scratch_path(spark, "stream_late_kept_in"), scratch_path(spark, "stream_late_kept")
+    ev = C.read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    for late in (False, True):      # the second run goes on from the first one's checkpoint
+        ev.where((F.col("event_id") % 10 == 0) == F.lit(late)).write.mode("append").parquet(path)
+        stream = event_stream(spark, path, ev.schema, delay=None)
+        q = keyed_table.tumbling_sum(stream, f"{out}/sink", f"{out}/_checkpoint", "ts", C.TUMBLE, "event_id")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    closed = (spark.read.schema("window_start timestamp, window_end timestamp, n bigint, sum_value bigint").parquet(f"{out}/sink/rows/batch=*")
+              .select(F.lit("closed").alias("part"), "window_start", "n", F.col("sum_value").alias("id_sum")))
+    kept = (spark.read.schema("ts timestamp, event_id bigint, window_start timestamp").parquet(f"{out}/sink/late/batch=*")
+            .groupBy("window_start").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
+            .select(F.lit("late").alias("part"), "window_start", "n", "id_sum"))
+    return _ntz(closed.unionByName(kept), "window_start")
+
+
 def sq_watermark_trace(spark, sf_dir):
     """W6 streamed: the events arrive in three lots, in the order of their ids."""
     from eventide.session import scratch_path
@@ -304,6 +326,7 @@ STREAM_QUERIES = {
     "stream_pattern_null_ids": sq_pattern_null_ids,
     "stream_pattern_out_of_order": sq_pattern_out_of_order,
     "stream_late_rows": sq_late_rows,
+    "stream_late_rows_kept": sq_late_rows_kept,
     "stream_watermark_trace": sq_watermark_trace,
     "stream_tumbling_sum": sq_tumbling_sum,
     "stream_tumbling_offset_count": sq_tumbling_offset_count,
@@ -372,6 +395,13 @@ where window_end <= {_WM}""",
 select event_id, user_id, cast(v as varchar) as v,
        cast(sum(v) over (partition by user_id order by event_id rows between unbounded preceding and current row) as varchar) as running_sum
 from (select event_id, user_id, case when event_type <> 'error' then cast(value as decimal(18,2)) end as v from events)""",
+    "stream_late_rows_kept": f"""
+with w as (select date_trunc('millisecond', max(ts)) as first from events where event_id % 10 <> 0),
+e as (select event_id, {C._bucket_sql('ts', C.TUMBLE_US)} as window_start, event_id % 10 = 0 and
+             {C._bucket_sql('ts', C.TUMBLE_US)} + interval 6 hours <= (select first from w) as late
+      from events)
+select case when late then 'late' else 'closed' end as part, window_start, count(*) as n, cast(sum(event_id) as bigint) as id_sum
+from e where late or window_start + interval 6 hours <= {_WM} group by all""",
     "stream_late_rows": f"""
 select * from (
   select {C._bucket_sql('ts', C.TUMBLE_US)} as window_start,

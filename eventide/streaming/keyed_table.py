@@ -50,6 +50,7 @@ class KeyedTableSink:
     """``advance`` makes output rows and the new state of the touched buckets."""
 
     timed = False
+    late = False        # keep rows that come too late, under ``<path>/late``
 
     def __init__(self, path: str, key: str, buckets: int = BUCKETS):
         self.path, self.key, self.buckets = path.rstrip("/"), key, int(buckets)
@@ -64,6 +65,10 @@ class KeyedTableSink:
     def advance(self, batch: DataFrame, state: DataFrame, wm: int | None) -> tuple[DataFrame, DataFrame]:
         raise NotImplementedError
 
+    def late_at(self, us: Column) -> Column:
+        """The watermark, in microseconds, at or behind which a row is too late."""
+        return us
+
     def due(self) -> Column:
         """When, in microseconds, a state row needs its bucket again."""
         return F.lit(None).cast("bigint")
@@ -90,7 +95,9 @@ class KeyedTableSink:
         rows, new_wm, seen = batch, wm, Observation()
         if self.timed:
             us = F.unix_micros(F.col(self.ts).cast("timestamp"))
-            timely = us.isNotNull() if wm is None else us.isNotNull() & (us > F.lit(wm))
+            timely = us.isNotNull() if wm is None else us.isNotNull() & (self.late_at(us) > F.lit(wm))
+            if self.late:
+                batch.where(~timely).write.mode("overwrite").parquet(f"{self.path}/late/batch={batch_id}")
             rows = batch.observe(seen, F.count_if(~timely).alias("dropped")).where(timely)
         rows = rows.cache()         # read several times; lost blocks are recomputed from the batch's files
         try:
@@ -348,3 +355,52 @@ def running_reduce_by(stream: DataFrame, path: str, checkpoint: str, key: str, s
                       buckets: int = BUCKETS, n_buckets: int | None = None, available_now: bool = True):
     """Start the stream: every row with its key's state so far, by any associative reducer."""
     return _start(ReducerTable(path, key, seq, reducer, name, buckets, n_buckets), stream, checkpoint, available_now)
+
+
+# ------------------------------------------------- W2 with the late rows kept
+
+class WindowTable(KeyedTableSink):
+    """State: per open (window, key) its rows so far and their sum.  The buckets
+    are by window start, so a closing window touches one."""
+
+    timed, late = True, True
+
+    def __init__(self, path: str, ts: str, size_us: int, value: str, keys: Sequence[str], delay_us: int, buckets: int):
+        super().__init__(path, "window_start", buckets)
+        self.ts, self.size_us, self.value, self.keys, self.delay_us = ts, int(size_us), value, list(keys), int(delay_us)
+
+    def _end(self) -> Column:
+        return F.unix_micros("window_start") + F.lit(self.size_us)
+
+    def late_at(self, us: Column) -> Column:
+        return self._end()          # as in Spark: a row is late when its window is closed
+
+    def due(self) -> Column:
+        return F.col("window_end_us")
+
+    def _partial(self, batch: DataFrame) -> DataFrame:
+        return (batch.withColumn("window_end_us", self._end())
+                .groupBy("window_start", "window_end_us", *self.keys).agg(F.count(F.lit(1)).alias("n"), F.sum(self.value).alias("sum_value")))
+
+    def state_type(self, batch: DataFrame) -> T.StructType:
+        return self._partial(batch).schema
+
+    def advance(self, batch, state, wm):
+        kinds = dict(state.dtypes)
+        both = (state.unionByName(self._partial(batch)).groupBy("window_start", "window_end_us", *self.keys)
+                .agg(F.sum("n").alias("n"), F.sum("sum_value").cast(kinds["sum_value"]).alias("sum_value")))
+        closed = F.col("window_end_us") <= F.lit(wm) if wm is not None else F.lit(False)
+        out = both.where(closed).select("window_start", F.timestamp_micros("window_end_us").alias("window_end"), *self.keys, "n", "sum_value")
+        return out, both.where(~closed)
+
+
+def tumbling_sum(stream: DataFrame, path: str, checkpoint: str, ts: str, size: str, value: str, keys: Sequence[str] = (),
+                 delay_us: int = 0, buckets: int = BUCKETS, available_now: bool = True):
+    """Start the stream: ``(window_start, window_end, keys..., n, sum_value)`` of
+    every closed window under ``<path>/rows``, and the rows that came when
+    their window was closed, or without a time, under ``<path>/late``."""
+    size_us = stream.sparkSession.sql(f"select unix_micros(timestamp_micros(0) + interval {size})").first()[0]       # one value
+    us = F.unix_micros(F.col(ts).cast("timestamp"))         # F.window would leave rows without a time out
+    start = F.timestamp_micros(us - F.pmod(us, F.lit(size_us)))
+    src = stream.select(*dict.fromkeys([ts, value, *keys]), start.alias("window_start"))
+    return _start(WindowTable(path, ts, size_us, value, keys, delay_us, buckets), src, checkpoint, available_now)

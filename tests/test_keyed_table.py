@@ -123,3 +123,27 @@ def test_redone_batches_and_untouched_buckets(spark, scratch):
     # late rows and rows without a time are counted
     sink(make([("b", data[0][1], 999, 1, "x"), ("b", None, 1000, 1, "x")]), 2)
     assert K.dropped_rows(spark, f"{scratch}/t") == 2
+
+
+def test_on_time_and_late_rows_add_up(spark, scratch):
+    schema = spark.createDataFrame([], SPARK_SCHEMA).schema
+    t0 = 1_704_067_200_000_000
+    data = [("ab"[i % 2], t0 + i * 1_000_000, i, i, "x") for i in range(50)]
+    late = [("a", t0 + 2_000_000, 100, 1000, "x"), ("b", t0 + 47_000_000, 101, 2000, "x"), ("a", None, 102, 4000, "x")]     # closed, open, no time
+    _write(f"{scratch}/src", [data[:30], data[30:], late])
+
+    def run():
+        q = K.tumbling_sum(event_stream(spark, f"{scratch}/src", schema, delay=None, max_files_per_trigger=1), f"{scratch}/sink", f"{scratch}/chk",
+                           "ts", "10 seconds", "v", ["k"], buckets=4)
+        q.awaitTermination()
+        assert q.exception() is None, q.exception()
+
+    run()
+    _write(f"{scratch}/src", [[("zz", t0 + 10**12, 0, 0, "x")]])
+    run()
+    got = spark.read.parquet(f"{scratch}/sink/rows/batch=*")
+    kept = spark.read.parquet(f"{scratch}/sink/late/batch=*")
+    assert rows(kept, "v") == [(1000,), (4000,)] and K.dropped_rows(spark, f"{scratch}/sink") == 2
+    whole = spark.createDataFrame([(k, t, v) for k, t, _, v, _ in data + late[1:2]], "k string, us bigint, v bigint")
+    want = whole.groupBy(F.window(F.timestamp_micros("us"), "10 seconds").alias("w"), "k").agg(F.count("v").alias("n"), F.sum("v").alias("s"))
+    assert rows(got, "window_start", "window_end", "k", "n", "sum_value") == rows(want.select("w.start", "w.end", "k", "n", "s"))
