@@ -5,11 +5,10 @@ distinct shingles is contained at ``threshold`` if at least ``need =
 ceil(threshold * n)`` of them occur in a document, so any ``n - need + 1`` of
 its shingles include one that occurs.  Those with the smallest hashes, the
 item's bottom MinHash sketch, are looked up in every document: short items are
-found in documents of any length, with no missed pair, from five words on: an
-item of fewer is a single shingle of all its words, which only a document of
-just these words has, so it is not searched in longer ones.  A document smaller
-than a partition's least ``need`` skips the partition.  Each candidate is then
-verified by exact containment over the shingles themselves.
+found in documents of any length, with no missed pair.  An item of fewer words
+than a shingle is looked up whole, among the document's runs of as many words.
+A document smaller than a partition's least ``need`` skips the partition.  Each
+candidate is then verified by exact containment over the shingles themselves.
 
 Documents are read once and never shuffled.  The items are a stated query set:
 blocks of bounded size are broadcast one after the other.
@@ -38,13 +37,22 @@ BLOCK_BYTES = 8_000_000     # item text broadcast at a time
 _WORD = re.compile(r"[^\W_]+")
 
 
+def words_of(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
+
+
+def runs(words: list[str], size: int) -> set[str]:
+    """Distinct runs of ``size`` words."""
+    return set(map(" ".join, zip(*(words[i:] for i in range(size)))))
+
+
 def shingles(text: str, size: int = SHINGLE) -> set[str]:
     """Distinct shingles of lower-cased letter and digit words; a text with
     fewer words is one shingle, one without any has none."""
-    words = _WORD.findall(text.lower())
+    words = words_of(text)
     if len(words) <= size:
         return {" ".join(words)} if words else set()
-    return set(map(" ".join, zip(*(words[i:] for i in range(size)))))
+    return runs(words, size)
 
 
 class Searcher:
@@ -54,7 +62,12 @@ class Searcher:
         self.threshold, self.size = threshold, size
         self.sets = [(i, s) for i, t in items if (s := shingles(t or "", size))]
         classes: dict[int, dict] = {}
+        self.short: dict[int, dict[str, list[int]]] = {}        # items of fewer words than a shingle, by their number
         for k, (_, s) in enumerate(self.sets):
+            words = next(iter(s)).count(" ") + 1
+            if words < size:
+                self.short.setdefault(words, {}).setdefault(next(iter(s)), []).append(k)
+                continue
             need = math.ceil(threshold * len(s) - 1e-9)
             part = classes.setdefault(len(s).bit_length(), {"need": need, "sketch": defaultdict(list)})
             part["need"] = min(part["need"], need)
@@ -64,12 +77,15 @@ class Searcher:
 
     def find(self, text: str | None) -> list[tuple[int, int, int]]:
         """``(item_id, shingles of the item, of them in the text)``."""
-        own = shingles(text or "", self.size)
+        words = words_of(text or "")
+        own = runs(words, self.size)
         found = set()
         for need, sketch in self.parts:
             if len(own) >= need:
                 found.update(k for x in sketch.keys() & own for k in sketch[x])
         out = []
+        for size, known in self.short.items():
+            out += [(self.sets[k][0], 1, 1) for x in known.keys() & runs(words, size) for k in known[x]]
         for k in sorted(found):
             item, s = self.sets[k]
             shared = len(s & own)
@@ -93,7 +109,8 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id",
     """``(doc_id, item_id, n_item, n_shared, containment)`` for every document
     that holds at least ``threshold`` of an item's distinct shingles.
 
-    Null texts are empty and match nothing; rows with a null id are left out;
+    Null texts are empty and match nothing; very long ones are searched whole,
+    in memory in proportion to them; rows with a null id are left out;
     repeated item rows count once, repeated documents each; other columns are
     ignored; empty tables give no rows.
     """
@@ -139,8 +156,9 @@ def op8_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from documents where doc_id is not null),
      i as (select distinct item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from benchmark where item_id is not null),
-     ds as (select distinct doc_id, array_to_string(w[x:x+4], ' ') s
-            from (select doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) x from d where len(w) > 0)),
+     k as (select 5 k union select distinct len(w) from i where len(w) between 1 and 4),
+     ds as (select distinct doc_id, array_to_string(w[x:x+k-1], ' ') s
+            from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) x from d, k)),
      its as (select distinct item_id, array_to_string(w[x:x+4], ' ') s
              from (select item_id, w, unnest(range(1, greatest(2, len(w) - 3))) x from i where len(w) > 0)),
      n as (select item_id, count(*) n_item from its group by 1),

@@ -215,7 +215,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row.  Null texts and texts without
     a letter are ``und`` with score 0, as is everything if there was nothing to
-    learn from; null and repeated ids stay; an empty table gives no rows."""
+    learn from; very long texts are read whole; null and repeated ids stay;
+    columns but doc_id and text are ignored; an empty table gives no rows."""
     shared = Shared(docs.sparkSession, model)    # by number of languages, at most MAX_LANGUAGES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

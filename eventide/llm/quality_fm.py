@@ -172,7 +172,8 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, score)`` of every row, repeated and null ids included; null
+    """``(doc_id, score)`` of every row, repeated and null ids included, very
+    long texts whole; columns other than doc_id, text and n_chars are ignored; null
     text is empty, and empty texts have a score like any other."""
     shared = Shared(docs.sparkSession, model)    # SIZE rows, whatever the input
 

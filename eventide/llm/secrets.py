@@ -264,7 +264,8 @@ def _rules(histograms: DataFrame) -> Rules:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: ``doc_id, n_assign, n_access, n_hex, base_sha256,
-    spans, n_random``.  Null texts are empty and have no spans; null and
+    spans, n_random``.  Null texts are empty and have no spans; very long
+    ones are searched whole, in memory in proportion to them; null and
     repeated ids stay as they are; an empty table gives no rows; other columns
     are ignored."""
     rows, rules = scan(docs, id_col, text_col)

@@ -15,9 +15,10 @@ def passage(n):
 def slow(docs, items):
     out = set()
     for d, t in docs:
-        own = C.shingles(t or "")
         for i, x in set(items):
-            s = C.shingles(x or "")
+            s, words = C.shingles(x or ""), C.words_of(t or "")
+            n = min(5, len(C.words_of(x or "")))        # a short item is looked for whole
+            own = {" ".join(words[k:k + n]) for k in range(len(words) - n + 1)}
             if d is not None and i is not None and s and len(s & own) >= 0.8 * len(s) - 1e-9:
                 out.add((d, i, len(s), len(s & own)))
     return out
@@ -63,3 +64,12 @@ def test_query_matches_sql(spark):
     want = con.execute(ORACLE_SQL["op8_containment"]).fetchall()
     got = [tuple(r) for r in QUERIES["op8_containment"](spark, SF001).collect()]
     assert sorted(got) == sorted(want) and got
+
+
+def test_short_items_in_long_texts(docs, spark):
+    long = " ".join(f"w{k}" for k in range(200_000))
+    items = spark.createDataFrame([(1, "needle"), (2, "Two, words"), (3, "w5 w6 w7 w8"), (4, "w199998 w199999 x"), (5, "absent"), (6, "a b c d e f")], "item_id long, text string")
+    df = docs([(1, long + " Needle " + long), (2, "two words"), (3, "words two"), (4, "a b c d"), (5, "z a b c d e f")])
+    got = {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in C.contained_items(df, items).collect()}
+    assert got == {(1, 1, 1, 1), (1, 3, 1, 1), (2, 2, 1, 1), (5, 6, 2, 2)}
+    assert [r.doc_id for r in C.decontaminate(df, items).orderBy("doc_id").collect()] == [3, 4]
