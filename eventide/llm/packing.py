@@ -36,7 +36,7 @@ LENGTH = 2048
 QUANTUM = 256
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_BYTES = 160 << 20  # of words and pieces a worker remembers
+CACHE_BYTES = 96 << 20  # of words and pieces a worker remembers
 LONG = 64               # characters; longer ones are not remembered
 _ENTRY = 180            # bytes of a remembered word beside its own
 GROUP = 4 << 20         # characters of plain text encoded at a time
