@@ -108,7 +108,13 @@ def _hashable(field: T.StructField) -> Column:
 
 def _located(df: DataFrame, spec: Sequence[tuple[str, bool]], cuts: list[str], name: str) -> DataFrame:
     """Binary search with steps of falling powers of two, one projection a
-    step: compiled, and of a size that grows with the number of steps only."""
+    step: compiled, and of a size that grows with the number of steps only.
+
+    Every step names the number found before it several times.  The bucket leaves
+    through a one-element ``explode``: rules that trace a join key down to the
+    scan (partition pruning, runtime filters) put each projection's expression
+    in for its name, so without it the key would grow by that factor a step.
+    """
     names = [c for c, _ in spec]
     kind = df.select(F.struct(*names).alias("r")).schema["r"].dataType
     held = F.from_json(F.lit(f"[{','.join(cuts)}]"), T.ArrayType(kind))        # folded into a constant
@@ -127,7 +133,7 @@ def _located(df: DataFrame, spec: Sequence[tuple[str, bool]], cuts: list[str], n
     for k in reversed(range(len(cuts).bit_length())):
         out = out.withColumn("_pfx_cut", F.expr(f"get(_pfx_cuts, {at} + {(1 << k) - 1})"))
         out = out.withColumn(name, F.expr(f"{at} + case when {passed} then {1 << k} else 0 end"))
-    return out.drop("_pfx_cuts", "_pfx_row", "_pfx_cut")
+    return out.drop("_pfx_cuts", "_pfx_row", "_pfx_cut").withColumn(name, F.explode(F.array(at)))
 
 
 def prepare(df: DataFrame, keys: Sequence[str], order: Order, n_buckets: int | None = None,
