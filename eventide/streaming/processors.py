@@ -13,7 +13,6 @@ microseconds.  Timers are in milliseconds, as Spark's watermark is.
 
 from __future__ import annotations
 
-import bisect
 import datetime
 import re
 import sys
@@ -226,9 +225,121 @@ def count_window_avg(stream: DataFrame, key: str, seq: str, value: str, n: int =
     return out.select(key, "window_idx", F.when(F.col("given") > 0, avg).alias("avg_value"), "first_seq", "last_seq")
 
 
+# --------------------------------------------------------------------------- T1, T2: groups of keys
+
+# Each call into a handler and its state costs a round trip to the JVM, some
+# ten a key and batch.  T1 and T2 therefore run on groups of keys: a group's
+# rows are buffered together, taken together when its one timer fires, and
+# worked on by key with numpy.
+
+KEY_GROUPS = 512        # part of the state's layout: a running query's checkpoint holds it
+STATE_CHUNK = 10_000    # values an array in the state holds at most
+
+# Key types that reach the handlers as another type: to it and back.
+_CODED = {
+    "timestamp": ("bigint", F.unix_micros, F.timestamp_micros),
+    "timestamp_ntz": ("bigint", lambda c: F.unix_micros(c.cast("timestamp")), lambda c: F.timestamp_micros(c).cast("timestamp_ntz")),
+    "date": ("int", F.unix_date, F.date_from_unix_date),
+    "binary": ("string", F.hex, F.unhex),
+}
+
+
+def _key_groups(stream: DataFrame, key: str | None) -> tuple[DataFrame, str]:
+    """The stream with ``key_group``, ``has_key`` and ``key_value``; the type of the last."""
+    if key is None:
+        return stream.withColumns({"key_group": F.lit(0), "has_key": F.lit(True), "key_value": F.lit(0)}), "int"
+    kind = dict(stream.dtypes)[key]
+    kind, coded = (_CODED[kind][0], _CODED[kind][1](F.col(key))) if kind in _CODED else (kind, F.col(key))
+    return stream.withColumns({"key_group": F.pmod(F.xxhash64(key), F.lit(KEY_GROUPS)).cast("int"), "has_key": F.col(key).isNotNull(),
+                               "key_value": F.coalesce(coded, zero_of(kind))}), kind
+
+
+def _key_back(out: DataFrame, key: str, dtype: str) -> DataFrame:
+    return out.withColumn(key, _CODED[dtype][2](F.col(key))) if dtype in _CODED else out
+
+
+def _arrays_of(**types: str) -> StructType:
+    return _state(**{k: f"array<{t}>" for k, t in types.items()})
+
+
+def _listed(a: np.ndarray) -> list:
+    return (a.astype("datetime64[us]") if a.dtype.kind == "M" else a).tolist()
+
+
+def _typed(values: list, kind: str) -> np.ndarray:
+    dtype = {"boolean": "bool", "float": "float64", "double": "float64"}.get(kind, "int64" if kind in _WHOLE else None)
+    return np.array(values, dtype=dtype) if dtype else _objects(values)
+
+
+def _codes(has: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number from 0 on for each key, NULL and NaN keys among them, and a place of each."""
+    raw = np.where(has, pd.factorize(values)[0] + 2, 0)
+    _, first, code = np.unique(raw, return_index=True, return_inverse=True)
+    return code, first
+
+
+class KeyGroup(StatefulProcessor):
+    """Buffer of a group of keys, in arrays, with one timer: at the earliest
+    time that any of its rows or keys waits for."""
+
+    def __init__(self, ts: str, buffered: dict[str, str], kept: dict[str, str]):
+        self.ts, self.buffered, self.kept_types = ts, list(buffered.items()), list(kept.items())
+        self.buffer_state, self.kept_state, self.timer_state = _arrays_of(**buffered), _arrays_of(**kept), _state(ms="bigint")
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", self.buffer_state)
+        self.kept = handle.getListState("kept", self.kept_state)
+        self.timer = handle.getValueState("timer", self.timer_state)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = [n for n, _ in self.buffered if n != "ts_us"]
+        a = self._taken(_arrays(rows, [self.ts, *names]))
+        if len(a[self.ts]):
+            a["ts_us"] = _us(a[self.ts])
+            self.buf.appendList(self._chunks([_listed(a[n]) for n, _ in self.buffered]))
+            self._wake(int(a["ts_us"].min()))
+        return iter([])
+
+    def _taken(self, a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        return a
+
+    def _wake(self, us: int) -> None:
+        ms = -((-us) // 1000)       # ceil to whole ms
+        at = self.timer.get()
+        if at is not None and at[0] <= ms:
+            return
+        if at is not None:
+            self.handle.deleteTimer(at[0])
+        self.handle.registerTimer(ms)
+        self.timer.update((ms,))
+
+    @staticmethod
+    def _chunks(columns: Sequence[list]) -> list[tuple]:
+        return [tuple(c[i:i + STATE_CHUNK] for c in columns) for i in range(0, len(columns[0]), STATE_CHUNK)]
+
+    @staticmethod
+    def _read(state, types: Sequence[tuple[str, str]]) -> list[list]:
+        columns: list[list] = [[] for _ in types]
+        for row in state.get() if state.exists() else []:
+            for c, part in zip(columns, row):
+                c.extend(part)
+        return columns
+
+    @classmethod
+    def _write(cls, state, columns: Sequence[list]) -> None:
+        if columns[0]:
+            state.put(cls._chunks(columns))
+        else:
+            state.clear()
+
+    def close(self) -> None:
+        pass
+
+
 # --------------------------------------------------------------------------- T1
 
-class InactivityTimeout(StatefulProcessor):
+class InactivityTimeout(KeyGroup):
     """Per key a running count; emit ``(key, count, last, last + gap)`` when
     ``gap`` of event time passes without an update.  The count is never
     reset.  A gap of exactly ``gap`` is not a timeout.
@@ -238,71 +349,70 @@ class InactivityTimeout(StatefulProcessor):
     into micro-batches, whatever the watermark's delay.
     """
 
-    def __init__(self, key: str, ts: str, seq: str, gap_us: int, seq_type: str = "bigint"):
-        self.key_col, self.ts, self.seq, self.gap = key, ts, seq, int(gap_us)
-        self.buffered, self.state = _state(ts_us="bigint", has_seq="boolean", seq=seq_type), _state(count="bigint", last_us="bigint", fired="bigint")
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buf = handle.getListState("buf", self.buffered)
-        # fired = 1 once the row counted last has been reported
-        self.st = handle.getValueState("st", self.state)
-
-    @staticmethod
-    def _timer_ms(us: int) -> int:
-        return -((-us) // 1000)  # ceil to whole ms
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        a = _arrays(rows, [self.ts, "has_seq", "seq_value"])
-        ts = _us(a[self.ts])
-        self.buf.appendList(list(zip(ts.tolist(), a["has_seq"].tolist(), a["seq_value"].tolist())))
-        self.handle.registerTimer(self._timer_ms(int(ts.min())))
-        return iter([])
+    def __init__(self, key: str, ts: str, gap_us: int, key_type: str = "bigint", seq_type: str = "bigint"):
+        self.key_col, self.gap = key, int(gap_us)
+        # fired: the row counted last has been reported
+        super().__init__(ts, {"has_key": "boolean", "key_value": key_type, "ts_us": "bigint", "has_seq": "boolean", "seq_value": seq_type},
+                         {"has_key": "boolean", "key_value": key_type, "count": "bigint", "last_us": "bigint", "fired": "boolean"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        buf = sorted(self.buf.get()) if self.buf.exists() else []
-        at = bisect.bisect_right(buf, wm_us, key=lambda r: r[0])
-        cur = self.st.get()
-        count, last, fired = cur if cur is not None else (0, None, 0)
-        if at:
-            ts = np.array([r[0] for r in buf[:at]], dtype="int64")
-            prev = np.concatenate([[last if last is not None else ts[0]], ts[:-1]])
-            fire = ts - prev > self.gap
-            fire[0] &= last is not None and not fired
-            counts = count + np.arange(at)              # count when the previous row was last
+        self.timer.clear()
+        buf = self._read(self.buf, self.buffered)
+        b_has, b_key, ts, has_seq, seq = (_typed(c, t) for c, (_, t) in zip(buf, self.buffered))
+        k_has, k_key, *kept = (_typed(c, t) for c, (_, t) in zip(self._read(self.kept, self.kept_types), self.kept_types))
+        has, keys = np.concatenate([k_has, b_has]), np.concatenate([k_key, b_key])
+        code, first = _codes(has, keys)
+        old, code, n = code[:len(k_has)], code[len(k_has):], len(first)
+        has, keys = has[first], keys[first]
+        known, fired, count, last = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, "int64"), np.zeros(n, "int64")
+        known[old], count[old], last[old], fired[old] = True, *kept
+
+        ready = ts <= wm_us
+        o = np.flatnonzero(ready)
+        for by in (seq, has_seq, ts, code):
+            o = o[np.argsort(by[o], kind="stable")]
+        if len(o):
+            c, t = code[o], ts[o]
+            at = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])       # each key's first row
+            size, own = np.diff(np.r_[at, len(c)]), c[at]
+            prev = np.r_[t[:1], t[:-1]]
+            prev[at] = np.where(known[own], last[own], t[at])
+            fire = t - prev > self.gap
+            fire[at] &= known[own] & ~fired[own]
+            counts = count[c] + np.arange(len(c)) - np.repeat(at, size)     # count when the previous row was last
             if fire.any():
-                yield self._rows(key, counts[fire], prev[fire])
-            count, last, fired = int(count + at), int(ts[-1]), 0
-            self.buf.clear()
-            if buf[at:]:
-                self.buf.put(buf[at:])
-                self.handle.registerTimer(self._timer_ms(buf[at][0]))
-        if last is not None and not fired:
-            due = last + self.gap
-            if due > wm_us:
-                self.handle.registerTimer(self._timer_ms(due))
-            elif not buf[at:] or buf[at][0] - last > self.gap:
-                yield self._rows(key, np.array([count]), np.array([last]))
-                fired = 1
-        self.st.update((count, last, fired))
-
-    def _rows(self, key, count: np.ndarray, last: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({self.key_col: np.repeat(_key_value(key), len(count)), "count": count.astype("int64"),
+                yield self._rows(has, keys, c[fire], counts[fire], prev[fire])
+            count[own] += size
+            last[own], fired[own], known[own] = t[at + size - 1], False, True
+            self._write(self.buf, [[x for x, r in zip(col, ready.tolist()) if not r] for col in buf])
+        upcoming = np.full(n, np.iinfo("int64").max)
+        np.minimum.at(upcoming, code[~ready], ts[~ready])
+        due = last + self.gap
+        waits = known & ~fired & (due > wm_us)
+        quiet = known & ~fired & (due <= wm_us) & (upcoming > due)
+        if quiet.any():
+            yield self._rows(has, keys, np.flatnonzero(quiet), count[quiet], last[quiet])
+            fired |= quiet
+        self._write(self.kept, [_listed(x[known]) for x in (has, keys, count, last, fired)])
+        wake = np.concatenate([ts[~ready], due[waits]])
+        if len(wake):
+            self._wake(int(wake.min()))
+
+    def _rows(self, has: np.ndarray, keys: np.ndarray, of: np.ndarray, count: np.ndarray, last: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({self.key_col: _back(has[of], keys[of]), "count": count.astype("int64"),
                              "last_ts": _ts(last), "fire_ts": _ts(last + self.gap)})
 
-    def close(self) -> None:
-        pass
-
 
 def inactivity_timeout(stream: DataFrame, key: str, ts: str, seq: str, gap_us: int) -> DataFrame:
     """Needs a watermark on ``ts``; emits append-only rows.  Rows behind the
     watermark when they arrive, or without event time, are dropped."""
     types = dict(stream.dtypes)
-    schema = f"{key} {types[key]}, count bigint, last_ts timestamp, fire_ts timestamp"
-    return (stream.where(F.col(ts).isNotNull()).select(key, ts, *_filled(stream, seq, "seq")).groupBy(key)
-                  .transformWithStateInPandas(InactivityTimeout(key, ts, seq, gap_us, types[seq]), schema,
-                                              "Append", "EventTime"))
+    src, kind = _key_groups(stream.where(F.col(ts).isNotNull()), key)
+    schema = f"{key} {kind}, count bigint, last_ts timestamp, fire_ts timestamp"
+    out = (src.select("key_group", "has_key", "key_value", ts, *_filled(stream, seq, "seq")).groupBy("key_group")
+              .transformWithStateInPandas(InactivityTimeout(key, ts, gap_us, kind, types[seq]), schema, "Append", "EventTime"))
+    return _key_back(out, key, types[key])
 
 
 # --------------------------------------------------------------------------- T2

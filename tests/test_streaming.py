@@ -315,3 +315,27 @@ def test_null_ids_and_sequence_numbers(spark, scratch):
     ref = keyed.count_window_avg(one.withColumn("v", F.lit(2)), "k", "seq", "v", 3)
     cols = ("k", "window_idx", "avg_value", "first_seq", "last_seq")
     assert rows(spark.read.parquet(f"{scratch}/a9/data"), *cols) == rows(ref, *cols)
+
+
+def _many_keys(n_keys, e):
+    """Each key's rows lie a minute and more apart, dealt to three files; every tenth key is NULL."""
+    s = 1_704_067_200_000_000
+    return [(None if i % 10 == 0 else f"2024-01-{1 + i % 28:02d}" if i % 3 == 0 else f"k{i}", s + (j * 60 + i % 7) * 1_000_000, j * n_keys + i, j, x)
+            for j, x in enumerate(e) for i in range(n_keys)]
+
+
+def _grouped_run(spark, scratch, name, data, build):
+    sentinel = ("zz", data[-1][1] + 10**12, 10**8, 0, "x")
+    size = -(-len(data) // 3)
+    _write_files(f"{scratch}/src", [data[:size], data[size:2 * size], data[2 * size:], [sentinel]])
+    q = _run(spark, f"{scratch}/src", f"{scratch}/{name}", build)
+    # state and timers are those of key groups: per key it was two rows and more
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 4 * processors.KEY_GROUPS
+    return spark.read.parquet(f"{scratch}/{name}/data")
+
+
+def test_timeout_state_is_by_key_group(spark, scratch):
+    data = _many_keys(3000, "abc")
+    ref = rows(timeout.inactivity_timeout(_as_df(spark, data), "k", "ts", "seq", 60_000_000), "k", "count", "last_ts")
+    got = _grouped_run(spark, scratch, "t1", data, lambda d: processors.inactivity_timeout(d, "k", "ts", "seq", 60_000_000)).where("k is null or k <> 'zz'")
+    assert rows(got.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz")), "k", "count", "last_ts") == ref and len(ref) > 1500
