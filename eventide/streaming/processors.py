@@ -417,86 +417,78 @@ def inactivity_timeout(stream: DataFrame, key: str, ts: str, seq: str, gap_us: i
 
 # --------------------------------------------------------------------------- T2
 
-class SequencePattern(StatefulProcessor):
+class SequencePattern(KeyGroup):
     """``stage0 followedBy stage1 followedBy ...`` in event-time order.
 
     Rows are buffered until the watermark passes them (a timer at the
-    earliest buffered time), then replayed in (ts, seq) order.  Open partial
-    matches wait in state grouped by the stage they need next: all starts
-    waiting for stage i advance together on the next stage-i row.
+    earliest buffered time), then replayed in (ts, seq) order key by key.  Open
+    partial matches wait in state grouped by the stage they need next: all
+    starts waiting for stage i advance together on the next stage-i row.
     """
 
-    def __init__(self, key: str | None, ts: str, seq: str, id_col: str, n_stages: int,
-                 within_us: int | None = None, seq_type: str = "bigint", id_type: str = "bigint"):
-        self.key_col, self.ts, self.seq, self.id_col, self.k = key, ts, seq, id_col, n_stages
-        self.within = within_us
-        self.buffered = _state(ts_us="bigint", has_seq="boolean", seq=seq_type, has_id="boolean", id=id_type, mask="bigint")
-        self.waiting = _state(stage="bigint", start_us="bigint", ids=f"array<{id_type}>")
+    def __init__(self, key: str | None, ts: str, n_stages: int, within_us: int | None = None,
+                 key_type: str = "bigint", seq_type: str = "bigint", id_type: str = "bigint"):
+        self.key_col, self.k, self.within = key, n_stages, within_us
+        super().__init__(ts, {"has_key": "boolean", "key_value": key_type, "ts_us": "bigint", "has_seq": "boolean", "seq_value": seq_type,
+                              "has_id": "boolean", "id_value": id_type, "stage_mask": "bigint"},
+                         {"has_key": "boolean", "key_value": key_type, "stage": "bigint", "start_us": "bigint", "ids": f"array<{id_type}>"})
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buf = handle.getListState("buf", self.buffered)
-        self.partial = handle.getListState("partial", self.waiting)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        names = ["has_seq", "seq_value", "has_id", "id_value"]
-        a = _arrays(rows, [self.ts, *names, "stage_mask"])
-        mask = a["stage_mask"].astype("int64")
-        keep = mask != 0
-        if keep.any():
-            ts = _us(a[self.ts])[keep]
-            recs = list(zip(ts.tolist(), *(a[n][keep].tolist() for n in names), mask[keep].tolist()))
-            self.buf.appendList(recs)
-            self.handle.registerTimer(-((-int(ts.min())) // 1000))
-        return iter([])
+    def _taken(self, a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """Without the rows of no stage.  A filter on the stream would be moved
+        before the watermark, which these rows advance."""
+        keep = a["stage_mask"] != 0
+        return {n: x[keep] for n, x in a.items()}
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        buf = sorted(self.buf.get()) if self.buf.exists() else []
-        ready = [r for r in buf if r[0] <= wm_us]
-        rest = [r for r in buf if r[0] > wm_us]
-        waiting: list[list[tuple]] = [[] for _ in range(self.k)]
-        for stage, start_us, ids in (self.partial.get() if self.partial.exists() else []):
-            waiting[int(stage)].append((start_us, list(ids)))
+        self.timer.clear()
+        buf, partial = self._read(self.buf, self.buffered), self._read(self.kept, self.kept_types)
+        has = _typed(partial[0] + buf[0], "boolean")
+        keys = _typed(partial[1] + buf[1], dict(self.buffered)["key_value"])
+        code, first = _codes(has, keys)
+        has, keys, code, ahead = has[first], keys[first], code.tolist(), len(partial[0])
+        waiting: dict[int, list[list[tuple]]] = {}
+        for c, stage, start_us, ids in zip(code, *partial[2:]):
+            waiting.setdefault(c, [[] for _ in range(self.k)])[stage].append((start_us, list(ids)))
         done = []
-        for ts_us, _has_seq, _seq, has_id, rid, mask in ready:
+        ready = sorted(r for r in zip(code[ahead:], *buf[2:]) if r[1] <= wm_us)
+        for c, ts_us, _has_seq, _seq, has_id, rid, mask in ready:
             rid = rid if has_id else None
+            own = waiting.setdefault(c, [[] for _ in range(self.k)])
             for i in range(self.k - 1, 0, -1):          # later stages first: one step per row
-                if mask >> i & 1 and waiting[i]:
+                if mask >> i & 1 and own[i]:
                     # the first stage-i row decides: a start it leaves too far
                     # behind can never match
-                    moved = [(s, ids + [rid]) for s, ids in waiting[i]
+                    moved = [(s, ids + [rid]) for s, ids in own[i]
                              if self.within is None or ts_us - s <= self.within]
-                    waiting[i] = []
+                    own[i] = []
                     if i == self.k - 1:
-                        done += [(s, ids, ts_us) for s, ids in moved]
+                        done += [(c, s, ids, ts_us) for s, ids in moved]
                     else:
-                        waiting[i + 1] += moved
+                        own[i + 1] += moved
             if mask & 1:
-                waiting[1].append((ts_us, [rid]))
-        self.partial.clear()
+                own[1].append((ts_us, [rid]))
         # every later row is newer than the watermark: bounded matches whose
         # span already ended can be dropped, so state stays bounded
         alive = (lambda s: True) if self.within is None else (lambda s: s + self.within > wm_us)
-        flat = [(i, s, ids) for i in range(1, self.k) for s, ids in waiting[i] if alive(s)]
-        if flat:
-            self.partial.put(flat)
-        self.buf.clear()
-        if rest:
-            self.buf.put(rest)
-            self.handle.registerTimer(-((-int(rest[0][0])) // 1000))
+        flat = [(c, i, s, ids) for c, own in waiting.items() for i in range(1, self.k) for s, ids in own[i] if alive(s)]
+        of = [f[0] for f in flat]
+        self._write(self.kept, [_listed(has[of]), _listed(keys[of]), *([f[j] for f in flat] for j in (1, 2, 3))])
+        late = [t > wm_us for t in buf[2]]
+        if ready:
+            self._write(self.buf, [[x for x, r in zip(col, late) if r] for col in buf])
+        if any(late):
+            self._wake(min(t for t in buf[2] if t > wm_us))
         if done:
-            out = {f"id{i}": _objects([d[1][i] for d in done]) for i in range(self.k)}
+            out = {f"id{i}": _objects([d[2][i] for d in done]) for i in range(self.k)}
             if self.key_col is not None:
-                out = {self.key_col: np.repeat(_key_value(key), len(done)), **out}
-            out["start_ts"] = _ts([d[0] for d in done])
-            out["end_ts"] = _ts([d[2] for d in done])
-            out["ids"] = _objects([None if None in d[1] else " ".join(str(x) for x in d[1]) + " " for d in done])
+                of = [d[0] for d in done]
+                out = {self.key_col: _back(has[of], keys[of]), **out}
+            out["start_ts"] = _ts([d[1] for d in done])
+            out["end_ts"] = _ts([d[3] for d in done])
+            out["ids"] = _objects([None if None in d[2] else " ".join(str(x) for x in d[2]) + " " for d in done])
             yield pd.DataFrame(out)
 
-    def close(self) -> None:
-        pass
-
 
 def sequence_match(stream: DataFrame, stages: Sequence[Column], ts: str, seq: str, id_col: str,
                    key: str | None = None, within_us: int | None = None) -> DataFrame:
@@ -512,15 +504,14 @@ def sequence_match(stream: DataFrame, stages: Sequence[Column], ts: str, seq: st
     mask = sum((F.when(F.coalesce(s, F.lit(False)), F.lit(1 << i)).otherwise(F.lit(0))
                 for i, s in enumerate(stages)), F.lit(0)).cast("bigint").alias("stage_mask")
     # (column names reaching pandas must not start with "_")
-    gkey = key if key is not None else "all_rows"
-    src = stream.select(*([key] if key else [F.lit(0).alias("all_rows")]), ts, *_filled(stream, seq, "seq"),
-                        *_filled(stream, id_col, "id"), mask)
-    key_schema = f"{key} {types[key]}, " if key else ""
-    schema = (key_schema + ", ".join(f"id{i} {types[id_col]}" for i in range(k))
+    src, kind = _key_groups(stream.where(F.col(ts).isNotNull()), key)
+    src = src.select("key_group", "has_key", "key_value", ts, *_filled(stream, seq, "seq"), *_filled(stream, id_col, "id"), mask)
+    schema = ((f"{key} {kind}, " if key else "") + ", ".join(f"id{i} {types[id_col]}" for i in range(k))
               + ", start_ts timestamp, end_ts timestamp, ids string")
-    return (src.where(F.col(ts).isNotNull()).groupBy(gkey)
-               .transformWithStateInPandas(SequencePattern(key, ts, seq, id_col, k, within_us, types[seq], types[id_col]),
-                                           schema, "Append", "EventTime"))
+    out = (src.groupBy("key_group")
+              .transformWithStateInPandas(SequencePattern(key, ts, k, within_us, kind, types[seq], types[id_col]),
+                                          schema, "Append", "EventTime"))
+    return _key_back(out, key, types[key]) if key else out
 
 
 # --------------------------------------------------------------------------- W3

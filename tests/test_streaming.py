@@ -339,3 +339,27 @@ def test_timeout_state_is_by_key_group(spark, scratch):
     ref = rows(timeout.inactivity_timeout(_as_df(spark, data), "k", "ts", "seq", 60_000_000), "k", "count", "last_ts")
     got = _grouped_run(spark, scratch, "t1", data, lambda d: processors.inactivity_timeout(d, "k", "ts", "seq", 60_000_000)).where("k is null or k <> 'zz'")
     assert rows(got.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz")), "k", "count", "last_ts") == ref and len(ref) > 1500
+
+
+def test_pattern_state_is_by_key_group(spark, scratch):
+    data = _many_keys(3000, "abc")
+    stages = [F.col("e") == x for x in "abc"]
+    ref = rows(patterns.sequence_match(_as_df(spark, data), stages, "ts", "seq", "seq", key="k"), "k", "id0", "id1", "id2", "ids")
+    got = _grouped_run(spark, scratch, "t2", data, lambda d: processors.sequence_match(d, stages, "ts", "seq", "seq", key="k"))
+    assert rows(got, "k", "id0", "id1", "id2", "ids") == ref and len(ref) == 3000
+
+
+def test_key_groups_keep_key_types(spark, scratch):
+    data = _many_keys(30, "abc")
+    stages = [F.col("e") == x for x in "abc"]
+    for dtype in ("date", "timestamp_ntz", "binary", "decimal(9,2)"):
+        kind = (F.col("k").cast("binary") if dtype == "binary" else F.when(F.col("k").isNotNull(), (F.col("seq") % 5).cast(dtype))
+                if dtype.startswith("decimal") else F.expr(f"try_cast(k as {dtype})"))
+        cast = lambda d, c=kind: d.withColumn("k", c)
+        build = lambda d: processors.sequence_match(cast(d), stages, "ts", "seq", "seq", key="k")
+        got = _grouped_run(spark, f"{scratch}/{dtype[:12]}", "t2", data, build)
+        assert dict(got.dtypes)["k"] == dtype
+        text = lambda d: d.withColumn("k", F.col("k").cast("string"))
+        want = text(cast(_as_df(spark, data)))
+        assert rows(text(got), "k", "ids") == rows(patterns.sequence_match(want, stages, "ts", "seq", "seq", key="k"), "k", "ids")
+        assert got.count() == len(data) // 3
